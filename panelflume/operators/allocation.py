@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from panelflume import fixed_values as fv
 from panelflume.functions.columns import half_even, half_up_integer, or_default
+from panelflume.functions.shapes import record
 
 TOL = 1e-9
 PARAMS = ["forecast_pax", "capacity", "lf_target", "ob_rate", "min_eco_pct", "min_first_pct"]
@@ -109,7 +110,7 @@ def solve(pax, cap, lf, ob, eco, first, ylds):
     return seats, np.where(feasible, best, 0.0), np.where(np.isfinite(shadow), np.abs(shadow), 0.0), feasible
 
 
-@F.pandas_udf("struct<first:double,biz:double,prem:double,eco:double,revenue:double,shadow:double,feasible:boolean>")
+@F.pandas_udf(record(**{c: "double" for c in fv.CABINS}, revenue="double", shadow="double", feasible="bool"))
 def _solve_batch(pax: pd.Series, cap: pd.Series, lf: pd.Series, ob: pd.Series, eco: pd.Series, first: pd.Series,
                  y0: pd.Series, y1: pd.Series, y2: pd.Series, y3: pd.Series) -> pd.DataFrame:
     columns = [s.to_numpy(float) for s in (pax, cap, lf, ob, eco, first)]
@@ -152,21 +153,24 @@ def optimise(df: DataFrame, rounded: bool = True) -> DataFrame:
         "bid_biz": F.when(ok, ratio).otherwise(F.col("y_biz") * F.col("dp_biz")),
         "uplift": (F.col("revenue") - F.col("flat_revenue")) / F.greatest(F.col("flat_revenue"), F.lit(1.0)) * 100.0,
     }).drop("_lp")
-    return record(out, df.columns) if rounded else out
+    return allocation_record(out, df.columns) if rounded else out
 
 
-def record(solved: DataFrame, keep: list[str]) -> DataFrame:
-    """Rounded allocation record."""
+def allocation_record(solved: DataFrame, keep: list[str]) -> DataFrame:
+    """Rounded allocation record. Values are settled at six decimals first, so that float noise does not decide ties."""
+    def tidy(c: Column, digits: int) -> Column:
+        return half_even(half_even(c, 6), digits)
+
     kept = [c for c in keep if c not in ("lp_success",)]
     return solved.select(
         *kept,
-        *[half_even(F.col(f"x_{c}"), 0).cast("long").alias(f"{c}_seats") for c in fv.CABINS],
-        *[half_even(F.col(f"x_{c}") / F.col("capacity") * 100.0, 1).alias(f"{c}_pct") for c in fv.CABINS],
-        half_even(F.col("revenue"), 0).alias("expected_revenue"),
-        half_even(F.col("flat_revenue"), 0).alias("flat_baseline_rev"),
-        half_even(F.col("uplift"), 2).alias("revenue_uplift_pct"),
-        half_even(F.col("bid_eco"), 2).alias("bid_price_eco"),
-        half_even(F.col("bid_biz"), 2).alias("bid_price_biz"),
+        *[tidy(F.col(f"x_{c}"), 0).cast("long").alias(f"{c}_seats") for c in fv.CABINS],
+        *[tidy(F.col(f"x_{c}") / F.col("capacity") * 100.0, 1).alias(f"{c}_pct") for c in fv.CABINS],
+        tidy(F.col("revenue"), 0).alias("expected_revenue"),
+        tidy(F.col("flat_revenue"), 0).alias("flat_baseline_rev"),
+        tidy(F.col("uplift"), 2).alias("revenue_uplift_pct"),
+        tidy(F.col("bid_eco"), 2).alias("bid_price_eco"),
+        tidy(F.col("bid_biz"), 2).alias("bid_price_biz"),
         "lp_success",
     )
 

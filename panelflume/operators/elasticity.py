@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from panelflume import fixed_values as fv
 from panelflume.functions.columns import cyclic_cos, cyclic_sin
+from panelflume.functions.shapes import record
 from panelflume.functions.tails import chi2_1_tail, t_tail
 from panelflume.operators.filters import present
 from panelflume.operators.regression import fit, moments, scaled_pinv, square
@@ -67,7 +68,7 @@ def two_stage(n: float, mean: np.ndarray, cov: np.ndarray) -> tuple:
             float(chi2_1_tail(h)), iv_se_corrected, partial_f)
 
 
-@F.pandas_udf("struct<" + ",".join(f"{f}:double" for f in _FIELDS) + ">")
+@F.pandas_udf(record(**{f: "double" for f in _FIELDS}))
 def _solve(n: pd.Series, means: pd.Series, covs: pd.Series) -> pd.DataFrame:
     rows = []
     for n_i, mean, upper in zip(n, means, covs):

@@ -11,6 +11,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
+from panelflume.functions.shapes import record
 from panelflume.functions.tails import t_tail
 
 RCOND = 1e-10
@@ -70,7 +71,7 @@ def ols(df: DataFrame, y: str, xs: list[str], keys: list[str]) -> DataFrame:
     terms = ["intercept", *xs]
     k = len(terms)
 
-    @F.pandas_udf("struct<estimate:array<double>,se:array<double>,t:array<double>,p:array<double>,r2:double>")
+    @F.pandas_udf(record(estimate="doubles", se="doubles", t="doubles", p="doubles", r2="double"))
     def solve(n: pd.Series, means: pd.Series, covs: pd.Series) -> pd.DataFrame:
         rows = []
         for n_i, mean, upper in zip(n, means, covs):

@@ -13,6 +13,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
 from panelflume import fixed_values as fv
+from panelflume.functions.shapes import record
 
 GRID = np.array(list(itertools.product(fv.ALPHA_GRID, fv.BETA_GRID, fv.GAMMA_GRID)))
 
@@ -138,8 +139,8 @@ def best_fit(y: np.ndarray, season: int, grid: np.ndarray = GRID) -> dict:
             "level": level, "trend": trend, "seasonal": seasonal, "fitted": fitted}
 
 
-_FIT_TYPE = ("struct<alpha:double,beta:double,gamma:double,rmse:double,level:array<double>,trend:array<double>,"
-             "seasonal:array<double>,fitted:array<double>>")
+_FIT_TYPE = record(alpha="double", beta="double", gamma="double", rmse="double", level="doubles", trend="doubles",
+                   seasonal="doubles", fitted="doubles")
 
 
 def grid_fit(df: DataFrame, season: int = fv.SEASON_WEEKS) -> DataFrame:
@@ -163,5 +164,4 @@ def decomposition(components: DataFrame, last: int = 2 * fv.SEASON_WEEKS) -> Dat
     kept = rows.withColumn("_r", F.slice("_all", F.greatest(F.size("_all") - last + 1, F.lit(1)), last))
     return kept.select(
         "route", F.transform("_r", lambda r: F.date_format(r["date"], "yyyy-MM-dd")).alias("dates"),
-        *[F.transform("_r", lambda r, f=f: r[f]).alias("pax" if f == "y" else f)
-          for f in ("y", "level", "trend", "seasonal", "residual")])
+        F.col("_r.y").alias("pax"), *[F.col(f"_r.{c}").alias(c) for c in ("level", "trend", "seasonal", "residual")])

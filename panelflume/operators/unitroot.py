@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from panelflume import fixed_values as fv
 from panelflume.functions.columns import unit_root_p
+from panelflume.functions.shapes import record
 from panelflume.operators.features import differences
 from panelflume.operators.smoothing import series
 
@@ -48,7 +49,7 @@ def adf(df: DataFrame, value: str = "pax", max_lag: int | None = None) -> DataFr
     The lag order depends on each series' own length, so the test runs on the ordered series of one entity; a series
     has at most one value per period.
     """
-    @F.pandas_udf("struct<adf_t_stat:double,n_lags:int,n_obs:int>")
+    @F.pandas_udf(record(adf_t_stat="double", n_lags="int", n_obs="int"))
     def run(y: pd.Series) -> pd.DataFrame:
         return pd.DataFrame([statistic(np.asarray(v, float), max_lag) for v in y],
                             columns=["adf_t_stat", "n_lags", "n_obs"])

@@ -175,3 +175,87 @@ DAY = "strftime(date, '%Y-%m-%d') AS date"
 
 def with_sql(ctes: str, body: str) -> str:
     return f"WITH {ctes}\n{body}"
+
+
+# Checking SQL for statistics ---------------------------------------------------------------------------------------
+
+def sweep(prefix: str, source: str, keys: list[str], xs: list[str], y: str) -> str:
+    """CTEs that regress y on xs per key by sweeping the covariance matrix, one regressor per CTE.
+
+    The last CTE, <prefix>_fit, has the keys, n, means m0.., coefficients b0.., inverse diagonal i0.., and sse, sst.
+    A regressor without remaining variance is passed over, with coefficient zero.
+    """
+    names = [*xs, y]
+    p, key = len(names), ", ".join(keys)
+    pairs = [(i, j) for i in range(p) for j in range(i, p)]
+    first = ", ".join([f"covar_pop({names[i]}, {names[j]}) AS a{i}_{j}" for i, j in pairs]
+                      + [f"avg({v}) AS m{i}" for i, v in enumerate(names)])
+    ctes = [f"{prefix}_0 AS (SELECT {key}, count(*) AS n, {first} FROM {source} GROUP BY {key})"]
+    means = ", ".join(f"m{i}" for i in range(p))
+    for k in range(p - 1):
+        def at(i, j):
+            return f"a{min(i, j)}_{max(i, j)}"
+        cols, d = [], f"a{k}_{k}"
+        for i, j in pairs:
+            if i == k and j == k:
+                new, flat = f"-1 / {d}", "0"
+            elif k in (i, j):
+                new, flat = f"{at(i, j)} / {d}", "0"
+            else:
+                new, flat = f"{at(i, j)} - {at(i, k)} * {at(k, j)} / {d}", at(i, j)
+            cols.append(f"CASE WHEN {d} > 1e-14 THEN {new} ELSE {flat} END AS {at(i, j)}")
+        orig = f"a{p - 1}_{p - 1} AS sst0" if k == 0 else "sst0"
+        ctes.append(f"{prefix}_{k + 1} AS (SELECT {key}, n, {means}, {orig}, {', '.join(cols)} FROM {prefix}_{k})")
+    last = ", ".join([f"a{i}_{p - 1} AS b{i}" for i in range(p - 1)] + [f"-a{i}_{i} AS i{i}" for i in range(p - 1)])
+    ctes.append(f"{prefix}_fit AS (SELECT {key}, n, {means}, {last}, n * a{p - 1}_{p - 1} AS sse, n * sst0 AS sst "
+                f"FROM {prefix}_{p - 1})")
+    return ",\n".join(ctes)
+
+
+def t_tail_sql(t: str, dof: str) -> str:
+    """Two-sided Student-t p-value from the finite trigonometric series for whole degrees of freedom."""
+    c2, theta = f"(({dof}) / (({dof}) + ({t}) * ({t})))", f"atan(abs({t}) / sqrt({dof}))"
+    even = f"""sin({theta}) * (SELECT sum(exp(lgamma(j + 0.5) - lgamma(j + 1)) * power({c2}, j))
+        FROM generate_series(0, CAST(({dof}) / 2 - 1 AS BIGINT)) g(j)) / sqrt(pi())"""
+    odd = f"""2 / pi() * ({theta} + sin({theta}) * cos({theta}) * (SELECT sum(sqrt(pi()) / 2
+        * exp(lgamma(j + 1) - lgamma(j + 1.5)) * power({c2}, j))
+        FROM generate_series(0, CAST((({dof}) - 3) / 2 AS BIGINT)) g(j)))"""
+    return f"(1 - CASE WHEN CAST({dof} AS BIGINT) % 2 = 0 THEN {even} ELSE {odd} END)"
+
+
+def chi2_tail_sql(x: str) -> str:
+    """Upper chi-square tail, one degree of freedom, from the all-positive series of the error function."""
+    z = f"sqrt(({x}) / 2)"
+    return f"""(CASE WHEN ({x}) > 60 THEN 0.0 ELSE 1 - 2 / sqrt(pi()) * exp(-({x}) / 2) * (SELECT sum(
+        exp(j * ln(2.0) + (2 * j + 1) * ln(greatest({z}, 1e-300)) - (lgamma(2 * j + 2) - j * ln(2.0) - lgamma(j + 1))))
+        FROM generate_series(0, 400) g(j)) END)"""
+
+
+SPEC_COLUMNS = "experiment, treatment_date, treatment_routes, control_routes, pre_weeks, post_weeks"
+
+
+def did_rows_sql(experiments: list[tuple]) -> str:
+    """CTE `d`: panel rows per experiment, outcome in long form, as one join on list membership and date range."""
+    from panelflume.operators.did import SPEC_SHAPE
+    return f"""specs AS (SELECT * FROM {values_sql(SPEC_SHAPE, experiments, 't', 'list_value')}),
+  d0 AS (SELECT s.experiment, s.pre_weeks, p.route, p.date, p.pax, p.yield_aud,
+      CAST(list_contains(treatment_routes, p.route) AS INTEGER) AS tr, CAST(p.date >= treatment_date AS INTEGER) AS po
+    FROM panel p JOIN specs s ON (list_contains(treatment_routes, p.route) OR list_contains(control_routes, p.route))
+      AND p.date BETWEEN treatment_date - 7 * pre_weeks AND treatment_date + 7 * post_weeks),
+  d AS (SELECT *, 'yield_aud' AS outcome, yield_aud AS y FROM d0 UNION ALL SELECT *, 'pax', CAST(pax AS DOUBLE) FROM d0)"""
+
+
+def did_fit_sql(source: str, post: str, name: str) -> str:
+    """CTE `name`: estimates per experiment and outcome from rows of `source`."""
+    cells = [(tr, po) for tr in (0, 1) for po in (0, 1)]
+    aggs = ", ".join(
+        f"count(*) FILTER (tr = {a} AND {post} = {b}) AS n_{a}_{b}, "
+        f"coalesce(avg(y) FILTER (tr = {a} AND {post} = {b}), 0) AS mean_{a}_{b}, "
+        f"coalesce(var_pop(y) FILTER (tr = {a} AND {post} = {b}), 0) AS v_{a}_{b}" for a, b in cells)
+    sse = " + ".join(f"n_{a}_{b} * v_{a}_{b}" for a, b in cells)
+    inv = " + ".join(f"1.0::DOUBLE / n_{a}_{b}" for a, b in cells)
+    hc = " + ".join(f"v_{a}_{b} / n_{a}_{b}" for a, b in cells)
+    return f"""{name}_c AS (SELECT experiment, outcome, count(*) AS n_obs, {aggs} FROM {source} GROUP BY 1, 2),
+  {name} AS (SELECT *, (mean_1_1 - mean_1_0) - (mean_0_1 - mean_0_0) AS att,
+    sqrt(({sse}) / (n_obs - 4) * ({inv})) AS att_se, sqrt(n_obs / (n_obs - 4.0::DOUBLE) * ({hc})) AS att_se_hc1
+    FROM {name}_c)"""

@@ -1 +1,317 @@
-"""Queries."""
+"""Queries on smoothing, forecasts, accuracy, intervals and importance."""
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from panelflume import fixed_values as fv
+from panelflume.operators import filters, hybrid, metrics, smoothing
+from panelflume.registry.base import DAY, FEATURES, PANEL, feature_frame, iso, panel, query, rounded
+from panelflume.sources.files import cut_lineage
+
+QUARTER, FIXED = 13, (0.3, 0.1, 0.15)
+# Trees of the registered fits; the library default is larger.
+TREES = 20
+
+
+# Holt-Winters ------------------------------------------------------------------------------------------------------
+
+def smoothing_sql(source: str, params: str, season: int) -> str:
+    """CTE `rec`: one row per route, parameter set and period, by recursion over periods.
+
+    `source` is a relation (route, date, y); `params` a VALUES list (pid, a, b, g).
+    """
+    return f"""ser AS (SELECT *, row_number() OVER (PARTITION BY route ORDER BY date) - 1 AS t,
+      count(*) OVER (PARTITION BY route) AS n FROM {source}),
+  par AS (SELECT * FROM (VALUES {params}) AS p(pid, a, b, g)),
+  ini AS (SELECT route, CASE WHEN any_value(n) >= {2 * season} THEN avg(y) FILTER (t < {season}) ELSE min(y) FILTER (t = 0) END AS l0,
+      CASE WHEN any_value(n) >= {2 * season} THEN (avg(y) FILTER (t >= {season} AND t < {2 * season}) - avg(y) FILTER (t < {season})) / {season}
+        ELSE (min(y) FILTER (t = n - 1) - min(y) FILTER (t = 0)) / greatest(any_value(n) - 1, 1) END AS t0,
+      any_value(n) >= {season} AS seasonal, min(y) FILTER (t = 0) AS y0 FROM ser GROUP BY route),
+  rec AS (
+    SELECT i.route, pid, a, b, g, CAST(0 AS BIGINT) AS t, l0 AS l, t0 AS tr, [CASE WHEN seasonal THEN y0 - l0 ELSE 0 END] AS s,
+      CASE WHEN seasonal THEN y0 - l0 ELSE 0 END AS s0, CAST(0 AS DOUBLE) AS sp, y0 AS y, l0 + t0 + CASE WHEN seasonal THEN y0 - l0 ELSE 0 END AS fitted
+    FROM ini i, par
+    UNION ALL
+    SELECT route, pid, a, b, g, t, nl, nt, CASE WHEN len(s) < {season} THEN list_append(s, g * (y - nl) + (1 - g) * sp)
+        ELSE list_append(s[2:], g * (y - nl) + (1 - g) * sp) END, s0, sp, y, nl + nt + sp
+    FROM (SELECT *, b * (nl - l) + (1 - b) * tr AS nt FROM (
+      SELECT *, a * (y - sp) + (1 - a) * (l + tr) AS nl FROM (
+        SELECT r.route, r.pid, r.a, r.b, r.g, ser.t, r.l, r.tr, r.s, r.s0, ser.y,
+          CASE WHEN ser.t >= {season} THEN r.s[1] ELSE 0 END AS sp
+        FROM rec r JOIN ser ON ser.route = r.route AND ser.t = r.t + 1))))"""
+
+
+ONE = f"(0, {FIXED[0]}::DOUBLE, {FIXED[1]}::DOUBLE, {FIXED[2]}::DOUBLE)"
+GRID = ", ".join(f"({i}, {a}::DOUBLE, {b}::DOUBLE, {g}::DOUBLE)" for i, (a, b, g) in enumerate(smoothing.GRID.round(2).tolist()))
+SERIES = "(SELECT route, date, CAST(pax AS DOUBLE) AS y FROM panel)"
+HW = f"WITH RECURSIVE {PANEL}, {smoothing_sql(SERIES, ONE, QUARTER)} "
+HW_DAY = "strftime(ser.date, '%Y-%m-%d') AS date"
+HW_JOIN = "FROM rec JOIN ser ON ser.route = rec.route AND ser.t = rec.t"
+
+
+def _smoothed(spark, sf):
+    return smoothing.smooth(smoothing.series(panel(spark, sf)), *FIXED, season=QUARTER)
+
+
+@query("h01_holt_winters", HW + f"SELECT rec.route, {HW_DAY}, round(l, 4) AS level, round(tr, 4) AS trend, round(fitted, 4) AS fitted {HW_JOIN}")
+def holt_winters(spark, sf):
+    rows = smoothing.fitted_rows(_smoothed(spark, sf), QUARTER)
+    return rounded(rows.select("route", "date", "level", "trend", "fitted"), {"level": 4, "trend": 4, "fitted": 4})
+
+
+@query("h01_one_step_ahead", HW + f"""SELECT rec.route, {HW_DAY}, round(CASE WHEN rec.t = 0 THEN fitted ELSE
+    lag(l) OVER w + lag(tr) OVER w + sp END, 4) AS fitted {HW_JOIN} WINDOW w AS (PARTITION BY rec.route ORDER BY rec.t)""")
+def _one_step(spark, sf):
+    state = smoothing.smooth(smoothing.series(panel(spark, sf)), *FIXED, season=QUARTER, one_step_ahead=True)
+    return rounded(smoothing.fitted_rows(state, QUARTER).select("route", "date", "fitted"), {"fitted": 4})
+
+
+@query("h02_grid_search", f"""WITH RECURSIVE {PANEL}, {smoothing_sql(SERIES, GRID, 52)},
+    err AS (SELECT route, pid, any_value(a) AS alpha, any_value(b) AS beta, any_value(g) AS gamma, sqrt(avg(power(y - fitted, 2))) AS rmse
+      FROM rec GROUP BY route, pid)
+    SELECT route, alpha, beta, gamma, round(rmse, 4) AS rmse FROM err
+    QUALIFY row_number() OVER (PARTITION BY route ORDER BY rmse, pid) = 1""")
+def grid_search(spark, sf):
+    fitted = smoothing.grid_fit(smoothing.series(panel(spark, sf)))
+    return rounded(fitted.select("route", "alpha", "beta", "gamma", "rmse"), {"rmse": 4})
+
+
+@query("h03_forecast", HW + """SELECT route, CAST(h AS INTEGER) AS step, round(l + h * tr + s[1 + (h - 1) % 13], 4) AS hw_fc
+    FROM (SELECT * FROM rec QUALIFY row_number() OVER (PARTITION BY route ORDER BY t DESC) = 1), generate_series(1, 52) g(h)""")
+def _ahead(spark, sf):
+    return rounded(smoothing.forecast_rows(_smoothed(spark, sf), 52, QUARTER), {"hw_fc": 4})
+
+
+@query("h04_components", HW + f"""SELECT rec.route, {HW_DAY}, round(l, 4) AS level, round(tr, 4) AS trend,
+    round(CASE WHEN rec.t >= 13 THEN sp ELSE s0 END, 4) AS seasonal, round(rec.y - fitted, 4) AS residual {HW_JOIN}""")
+def _components(spark, sf):
+    rows = smoothing.fitted_rows(_smoothed(spark, sf), QUARTER)
+    cols = ["level", "trend", "seasonal", "residual"]
+    return rounded(rows.select("route", "date", *cols), {c: 4 for c in cols})
+
+
+@query("h05_decomposition", HW + """SELECT route, string_agg(date, ',' ORDER BY t) AS dates, round(sum(l), 2) AS level_sum,
+    round(sum(residual), 2) AS residual_sum, count(*) AS weeks FROM (
+      SELECT rec.route, rec.t, strftime(ser.date, '%Y-%m-%d') AS date, l, rec.y - fitted AS residual,
+        row_number() OVER (PARTITION BY rec.route ORDER BY rec.t DESC) AS back
+      FROM rec JOIN ser ON ser.route = rec.route AND ser.t = rec.t) WHERE back <= 104 GROUP BY route""")
+def _decomposition(spark, sf):
+    d = smoothing.decomposition(smoothing.fitted_rows(_smoothed(spark, sf), QUARTER))
+
+    def total(c):
+        return F.round(F.aggregate(c, F.lit(0.0), lambda a, v: a + v), 2)
+
+    return d.select("route", F.array_join("dates", ",").alias("dates"), total("level").alias("level_sum"),
+                    total("residual").alias("residual_sum"), F.size("dates").cast("long").alias("weeks"))
+
+
+NAIVE = f"""{PANEL}, numbered AS (SELECT *, lag(pax, 52) OVER w AS hw_fc, (lag(pax, 52) OVER w + lag(pax, 4) OVER w) / 2.0::DOUBLE AS hybrid_fc,
+      row_number() OVER w AS rn, count(*) OVER (PARTITION BY route) AS n FROM panel WINDOW w AS (PARTITION BY route ORDER BY date)),
+    ft AS (SELECT route, date, CASE WHEN rn > n - 26 THEN 'test' ELSE 'train' END AS period, pax AS actual, CAST(hw_fc AS DOUBLE) AS hw_fc,
+      hybrid_fc FROM numbered WHERE hw_fc IS NOT NULL)"""
+
+
+def naive_table(p):
+    """Forecast table of two simple rules: the value 52 periods back, and its mean with the value 4 periods back."""
+    w = filters.series_window()
+    split = filters.holdout_split(p, fv.TEST_WEEKS)
+    out = split.withColumns({"hw_fc": F.lag("pax", 52).over(w).cast("double"),
+                             "hybrid_fc": (F.lag("pax", 52).over(w) + F.lag("pax", 4).over(w)) / F.lit(2.0)})
+    return out.filter(F.col("hw_fc").isNotNull()).select(
+        "route", "date", "period", F.col("pax").alias("actual"), "hw_fc", "hybrid_fc")
+
+
+def _test(spark, sf):
+    return naive_table(panel(spark, sf)).filter(F.col("period") == "test")
+
+
+@query("h08_seasonal_naive", f"WITH {NAIVE} SELECT route, round(avg(abs((actual - hw_fc) / actual)), 8) AS mape FROM ft WHERE period = 'test' GROUP BY route")
+def _naive(spark, sf):
+    t = _test(spark, sf)
+    return rounded(t.groupBy("route").agg(metrics.mape(F.col("actual"), F.col("hw_fc")).alias("mape")), {"mape": 8})
+
+
+# Accuracy ----------------------------------------------------------------------------------------------------------
+
+@query("d04_mape", f"WITH {NAIVE} SELECT route, period, round(avg(abs((actual - hybrid_fc) / actual)), 8) AS mape FROM ft GROUP BY 1, 2")
+def _mape(spark, sf):
+    t = naive_table(panel(spark, sf))
+    return rounded(t.groupBy("route", "period").agg(metrics.mape(F.col("actual"), F.col("hybrid_fc")).alias("mape")), {"mape": 8})
+
+
+@query("d05_rmse", f"WITH {NAIVE} SELECT route, period, round(sqrt(avg(power(actual - hybrid_fc, 2))), 4) AS rmse FROM ft GROUP BY 1, 2")
+def _rmse(spark, sf):
+    t = naive_table(panel(spark, sf))
+    return rounded(t.groupBy("route", "period").agg(metrics.rmse(F.col("actual"), F.col("hybrid_fc")).alias("rmse")), {"rmse": 4})
+
+
+R2 = "1 - sum(power(actual - hybrid_fc, 2)) / sum(power(actual - mean, 2))"
+
+
+@query("d06_r2", f"WITH {NAIVE} SELECT route, round({R2}, 8) AS r2 FROM (SELECT *, avg(actual) OVER (PARTITION BY route) AS mean FROM ft) GROUP BY route")
+def _r2(spark, sf):
+    t = naive_table(panel(spark, sf))
+    return rounded(t.groupBy("route").agg(metrics.r2(F.col("actual"), F.col("hybrid_fc")).alias("r2")), {"r2": 8})
+
+
+METRICS_SQL = f"""SELECT route, count(*) FILTER (period = 'train') AS n_train, count(*) FILTER (period = 'test') AS n_test,
+    avg(abs((actual - hw_fc) / actual)) FILTER (period = 'test') AS hw_mape,
+    avg(abs((actual - hybrid_fc) / actual)) FILTER (period = 'test') AS hybrid_mape,
+    sqrt(avg(power(actual - hybrid_fc, 2)) FILTER (period = 'test')) AS hybrid_rmse,
+    1 - sum(power(actual - hybrid_fc, 2)) FILTER (period = 'test') / sum(power(actual - mean, 2)) FILTER (period = 'test') AS hybrid_r2
+    FROM (SELECT *, avg(actual) OVER (PARTITION BY route, period) AS mean FROM ft) GROUP BY route"""
+
+
+@query("d07_improvement", f"WITH {NAIVE}, m AS ({METRICS_SQL}) SELECT route, round((hw_mape - hybrid_mape) / hw_mape * 100, 6) AS mape_improvement_pct FROM m")
+def _improvement(spark, sf):
+    return rounded(metrics.forecast_metrics(naive_table(panel(spark, sf))).select("route", "mape_improvement_pct"), {"mape_improvement_pct": 6})
+
+
+FOLDS = f"""{NAIVE}, tr AS (SELECT *, row_number() OVER (PARTITION BY route ORDER BY date) - 1 AS pos, count(*) OVER (PARTITION BY route) AS m
+      FROM ft WHERE period = 'train'),
+    folds AS (SELECT tr.*, f AS fold, CASE WHEN pos < m - (4 - f) * 8 THEN 'train' ELSE 'val' END AS role FROM tr, generate_series(1, 3) g(f)
+      WHERE pos < m - (4 - f) * 8 + 8)"""
+
+
+def _folds(spark, sf):
+    train = naive_table(panel(spark, sf)).filter(F.col("period") == "train")
+    return filters.walk_forward(train, fv.CV_FOLDS, fv.CV_FOLD_WEEKS)
+
+
+@query("i05_walk_forward", f"WITH {FOLDS} SELECT route, {DAY}, CAST(fold AS INTEGER) AS fold, role FROM folds")
+def _walk(spark, sf):
+    return iso(_folds(spark, sf).select("route", "date", "fold", "role"))
+
+
+@query("d08_cv_summary", f"""WITH {FOLDS}, c AS (SELECT route, fold, avg(abs((actual - hybrid_fc) / actual)) AS mape FROM folds
+    WHERE role = 'val' GROUP BY 1, 2) SELECT route, round(avg(mape), 8) AS cv_mape_mean, round(stddev_pop(mape), 8) AS cv_mape_std FROM c GROUP BY route""")
+def _cv_summary(spark, sf):
+    val = _folds(spark, sf).filter(F.col("role") == "val")
+    cv = val.groupBy("route", "fold").agg(metrics.mape(F.col("actual"), F.col("hybrid_fc")).alias("mape"))
+    return rounded(hybrid.cv_summary(cv), {"cv_mape_mean": 8, "cv_mape_std": 8})
+
+
+@query("d09_cross_entity_mean", f"""WITH {NAIVE}, m AS ({METRICS_SQL}) SELECT round(avg(hw_mape), 8) AS hw_mape, round(avg(hybrid_mape), 8) AS hybrid_mape FROM m""")
+def _across(spark, sf):
+    m = metrics.forecast_metrics(naive_table(panel(spark, sf)))
+    return rounded(m.agg(F.avg("hw_mape").alias("hw_mape"), F.avg("hybrid_mape").alias("hybrid_mape")), {"hw_mape": 8, "hybrid_mape": 8})
+
+
+@query("d11_percentile", f"""WITH {NAIVE} SELECT route, round(quantile_cont(CAST(actual AS DOUBLE), 0.025), 6) AS low,
+    round(quantile_cont(CAST(actual AS DOUBLE), 0.975), 6) AS high FROM ft GROUP BY route""")
+def _percentile(spark, sf):
+    q = F.percentile("actual", F.array(F.lit(0.025), F.lit(0.975)))
+    out = naive_table(panel(spark, sf)).groupBy("route").agg(q.alias("q"))
+    return rounded(out.select("route", F.get("q", F.lit(0)).alias("low"), F.get("q", F.lit(1)).alias("high")), {"low": 6, "high": 6})
+
+
+@query("d15_share_of_max", f"WITH {PANEL}, m AS (SELECT route, month, sum(pax) AS pax FROM panel GROUP BY 1, 2) SELECT route, month, round(pax / max(pax) OVER (PARTITION BY route), 8) AS share_of_max FROM m")
+def _share(spark, sf):
+    m = panel(spark, sf).groupBy("route", "month").agg(F.sum("pax").alias("pax"))
+    return rounded(metrics.share_of_max(m, "pax").select("route", "month", "share_of_max"), {"share_of_max": 8})
+
+
+@query("i07_metrics_table", f"""WITH {NAIVE}, m AS ({METRICS_SQL}) SELECT route, n_train, n_test, round_even(hw_mape, 4) AS hw_mape,
+    round_even(hybrid_mape, 4) AS hybrid_mape, round_even(hybrid_rmse, 2) AS hybrid_rmse, round_even(hybrid_r2, 4) AS hybrid_r2,
+    round_even((hw_mape - hybrid_mape) / hw_mape * 100, 2) AS mape_improvement_pct FROM m""")
+def _metrics(spark, sf):
+    return metrics.round_metrics(metrics.forecast_metrics(naive_table(panel(spark, sf))))
+
+
+@query("i11_forecast_table", f"""WITH {NAIVE}, r AS (SELECT *, row_number() OVER (PARTITION BY route, period ORDER BY date DESC) AS back FROM ft)
+    SELECT route, {DAY}, period, actual, CAST(trunc(hybrid_fc) AS BIGINT) AS hybrid_fc, CAST(trunc(hw_fc) AS BIGINT) AS hw_fc,
+      CASE WHEN period = 'test' THEN CAST(trunc(greatest(hybrid_fc - 500.5, 0)) AS BIGINT) END AS ci_low,
+      CASE WHEN period = 'test' THEN CAST(trunc(hybrid_fc + 500.5) AS BIGINT) END AS ci_high
+    FROM r WHERE period = 'test' OR back <= 52""")
+def _table(spark, sf):
+    t = naive_table(panel(spark, sf)).withColumns({"ci_low": F.col("hybrid_fc") - 500.5, "ci_high": F.col("hybrid_fc") + 500.5})
+    return iso(hybrid.forecast_table(t))
+
+
+@query("f04_union_with_nulls", f"""WITH {NAIVE} SELECT route, {DAY}, period, CASE WHEN period = 'test' THEN hw_fc END AS test_fc FROM ft""")
+def _union(spark, sf):
+    t = naive_table(panel(spark, sf))
+    test = t.filter(F.col("period") == "test").select("route", "date", "period", F.col("hw_fc").alias("test_fc"))
+    train = t.filter(F.col("period") == "train").select("route", "date", "period")
+    return iso(test.unionByName(train, allowMissingColumns=True))
+
+
+# Intervals ---------------------------------------------------------------------------------------------------------
+
+@query("i08_bootstrap_interval", f"""WITH {NAIVE}, te AS (SELECT *, row_number() OVER (PARTITION BY route ORDER BY date) AS step FROM ft WHERE period = 'test'),
+    re AS (SELECT route, actual - hybrid_fc AS residual, row_number() OVER (PARTITION BY route ORDER BY date) - 1 AS i,
+      count(*) OVER (PARTITION BY route) AS m FROM ft WHERE period = 'train'),
+    draws AS (SELECT te.route, te.date, te.step, hybrid_fc, b, CAST('0x' || substr(md5(concat_ws('|', te.route, step, b, 42)), 1, 12) AS BIGINT)
+      % (SELECT max(m) FROM re WHERE re.route = te.route) AS i FROM te, generate_series(0, 299) g(b)),
+    boot AS (SELECT d.*, greatest(d.hybrid_fc + re.residual, 0) AS v FROM draws d JOIN re ON re.route = d.route AND re.i = d.i)
+    SELECT route, {DAY}, round(quantile_cont(CAST(v AS DOUBLE), 0.025), 4) AS ci_low, round(quantile_cont(CAST(v AS DOUBLE), 0.975), 4) AS ci_high
+    FROM boot GROUP BY route, date""")
+def bootstrap(spark, sf):
+    t = naive_table(panel(spark, sf))
+    residuals = t.filter(F.col("period") == "train").select("route", "date", (F.col("actual") - F.col("hybrid_fc")).alias("residual"))
+    test = t.filter(F.col("period") == "test").withColumn("step", F.row_number().over(filters.series_window()))
+    out = hybrid.bootstrap_interval(test, residuals)
+    return rounded(out.select("route", "date", "ci_low", "ci_high"), {"ci_low": 4, "ci_high": 4})
+
+
+# Residual model ----------------------------------------------------------------------------------------------------
+
+@query("i01_residual_target", HW + f"SELECT rec.route, {HW_DAY}, round(rec.y - fitted, 4) AS residual {HW_JOIN}")
+def _target(spark, sf):
+    return rounded(smoothing.fitted_rows(_smoothed(spark, sf), QUARTER).select("route", "date", "residual"), {"residual": 4})
+
+
+SCALED = ["week_sin", "pax_lag52", "rolling_mean_13w", "business_mix"]
+
+
+@query("i02_standardise", f"WITH {FEATURES} SELECT route, {DAY}, " + ", ".join(
+    f"round(({c} - avg({c}) OVER (PARTITION BY route)) / stddev_pop({c}) OVER (PARTITION BY route), 6) AS {c}" for c in SCALED)
+       + " FROM feat WHERE pax_lag52 IS NOT NULL")
+def _scaled(spark, sf):
+    frame = feature_frame(spark, sf).select("route", "date", *SCALED)
+    return rounded(metrics.standardise(frame, SCALED), {c: 6 for c in SCALED})
+
+
+def _frame(spark, sf, **kw):
+    return cut_lineage(hybrid.smoothed_frame(feature_frame(spark, sf, **kw)))
+
+
+@query("i04_hybrid_forecast")
+def hybrid_forecast(spark, sf):
+    frame = _frame(spark, sf)
+    model = hybrid.fit_boost(frame.filter(F.col("period") == "train"), TREES)
+    return iso(hybrid.score(model, frame).select("route", "date", "period", "actual", "hw_fc", "hybrid_fc"))
+
+
+@query("i06_walk_forward_cv")
+def _cv(spark, sf):
+    return hybrid.cross_validate(_frame(spark, sf), trees=TREES)
+
+
+@query("i09_permutation_importance")
+def _importance(spark, sf):
+    frame = _frame(spark, sf)
+    train = frame.filter(F.col("period") == "train")
+    model = hybrid.fit_boost(train, TREES)
+    return hybrid.importance(model, train, fv.FEATURE_COLS).select("route", "rank", "feature", "feature_code", "importance", "importance_std")
+
+
+@query("i10_feature_labels", "SELECT * FROM (VALUES " + ", ".join(f"('{c}', '{n}')" for c, n in fv.FEATURES if c.startswith("pax")
+       ) + ") AS t(feature_code, feature)")
+def _labels(spark, sf):
+    names = [c for c in feature_frame(spark, sf).columns if c.startswith("pax_")]
+    codes = F.explode(F.array(*[F.lit(c) for c in names])).alias("feature_code")
+    return hybrid.label(panel(spark, sf).select(codes).distinct())
+
+
+@query("f02_sorted_desc", f"WITH {PANEL} SELECT route, month, CAST(sum(pax) AS BIGINT) AS pax FROM panel GROUP BY 1, 2 ORDER BY pax DESC")
+def _desc(spark, sf):
+    return panel(spark, sf).groupBy("route", "month").agg(F.sum("pax").alias("pax")).orderBy(F.col("pax").desc())
+
+
+@query("f03_top_per_group", f"""WITH {PANEL}, m AS (SELECT route, month, sum(pax) AS pax FROM panel GROUP BY 1, 2)
+    SELECT route, month, CAST(pax AS BIGINT) AS pax, CAST(row_number() OVER (PARTITION BY route ORDER BY pax DESC, month) AS INTEGER) AS rank
+    FROM m QUALIFY rank <= 10""")
+def _top(spark, sf):
+    m = panel(spark, sf).groupBy("route", "month").agg(F.sum("pax").alias("pax"))
+    return metrics.top_per_group(m, "pax", 10, tie="month").select("route", "month", "pax", "rank")

@@ -1 +1,54 @@
-"""Queries."""
+"""Queries on the serving tables."""
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from panelflume.operators import did, metrics
+from panelflume.plans import serving, stages
+from panelflume.registry.allocation_queries import BASE, CAPACITY, NAIVE_BODY, lp_sql, naive_forecasts
+from panelflume.registry.base import (EXPERIMENTS, PANEL, did_fit_sql, did_rows_sql, demo, enriched, panel, query, rounded)
+from panelflume.registry.causal_queries import _FULL, DID, START, _fitted, _specs, _table_sql
+from panelflume.registry.forecast_queries import METRICS_SQL, NAIVE, naive_table
+
+
+@query("l01_coefficient_rows", DID + """SELECT outcome, position, coefficient, round(estimate, 4) AS estimate, round(se, 4) AS se, round(t, 4) AS t FROM (
+    SELECT outcome, 0 AS position, 'intercept' AS coefficient, mean_0_0 AS estimate, NULL::DOUBLE AS se, NULL::DOUBLE AS t FROM f
+    UNION ALL SELECT outcome, 1, 'treated', mean_1_0 - mean_0_0, NULL, NULL FROM f
+    UNION ALL SELECT outcome, 2, 'post', mean_0_1 - mean_0_0, NULL, NULL FROM f
+    UNION ALL SELECT outcome, 3, 'att', att, att_se, att / att_se FROM f)""")
+def _coefficients(spark, sf):
+    rows = did.coefficient_rows(_fitted(spark, sf))
+    return rounded(rows.drop("experiment"), {"estimate": 4, "se": 4, "t": 4})
+
+
+ALLOCATED = f"""{NAIVE_BODY}, {lp_sql('scaled', 'route')}, lp AS (SELECT route,
+    round_even(round_even((revenue - flat) / greatest(flat, 1) * 100, 6), 2) AS revenue_uplift_pct FROM solved)"""
+FORECASTS = NAIVE[len(PANEL) + 2:]
+RESULTS = f"""{_FULL}, {ALLOCATED}, {FORECASTS}, m AS ({METRICS_SQL}), el AS ({_table_sql('only_here AS (SELECT 1)')})"""
+
+
+def _inputs(spark, sf):
+    p = panel(spark, sf)
+    lp = stages.allocate(naive_forecasts(p), p, demo(spark, "daily_flights"), BASE, {"capacity": float(CAPACITY)})["lp_results"]
+    el = stages.elasticity_table(enriched(spark, sf, start=START), START)
+    return metrics.forecast_metrics(naive_table(p)), el, lp
+
+
+@query("l02_scorecard", f"""WITH {RESULTS} SELECT m.route, round(hw_mape, 8) AS hw_mape, round(hybrid_mape, 8) AS hybrid_mape,
+    round((hw_mape - hybrid_mape) / hw_mape * 100, 6) AS mape_improvement_pct, round(hybrid_r2, 8) AS hybrid_r2, revenue_uplift_pct,
+    preferred_elasticity FROM m LEFT JOIN lp USING (route) LEFT JOIN el USING (route)""")
+def scorecard(spark, sf):
+    m, el, lp = _inputs(spark, sf)
+    return rounded(serving.scorecard(m, el, lp), {"hw_mape": 8, "hybrid_mape": 8, "mape_improvement_pct": 6, "hybrid_r2": 8})
+
+
+@query("l03_headline", f"""WITH {RESULTS}, {did_rows_sql(EXPERIMENTS[:1])}, {did_fit_sql('d', 'po', 'f')}
+    SELECT kpi, round(value, 4) AS value FROM (
+    SELECT 'mean_hybrid_mape' AS kpi, avg(hybrid_mape) AS value FROM m UNION ALL SELECT 'mean_hw_mape', avg(hw_mape) FROM m
+    UNION ALL SELECT 'mean_uplift_pct', avg(revenue_uplift_pct) FROM lp
+    UNION ALL SELECT 'elasticity', max(preferred_elasticity) FROM el WHERE route = 'ASIA'
+    UNION ALL SELECT 'att', max(att) FROM f WHERE outcome = 'yield_aud' UNION ALL SELECT 'n_obs', max(n_obs) FROM f WHERE outcome = 'yield_aud')""")
+def _headline(spark, sf):
+    m, el, lp = _inputs(spark, sf)
+    effects = did.estimate(panel(spark, sf), _specs(spark), ["yield_aud"], p_values=False)
+    return rounded(serving.headline(m, el, effects, lp, "ASIA"), {"value": 4})
