@@ -1,9 +1,8 @@
 """Constrained cabin allocation over a table of flights.
 
 Per flight, seats x over four cabins maximise sum(yield * fill * x) subject to a seat total, a load-factor floor and a
-box per cabin. The class floors are box bounds, which leaves two coupling rows, so an optimum lies on one of 104
-bases. Each Arrow batch evaluates all of them at once; there is no shuffle, and columns the programme does not need
-never reach Python.
+box per cabin (the class floors are box bounds). The two coupling rows leave a short parametric search that is exact
+and runs on whole Arrow batches. There is no shuffle, and columns the programme does not need never reach Python.
 """
 from __future__ import annotations
 
@@ -36,78 +35,68 @@ def fill_columns() -> dict[str, Column]:
     return {f"dp_{c}": F.least(F.lit(rate) * signal, F.lit(rate)) for c, rate in zip(fv.CABINS, fv.FILL_RATES)}
 
 
-def bases() -> list[tuple[tuple[int, ...], dict[int, int]]]:
-    """(free cabins, bound side of each other cabin): none free; one free; two free. One-free bases occur once per
-    coupling row that determines the free cabin."""
-    out = []
-    for free in itertools.chain([()], itertools.combinations(range(4), 1), itertools.combinations(range(4), 2)):
-        fixed = [c for c in range(4) if c not in free]
-        for sides in itertools.product((0, 1), repeat=len(fixed)):
-            out.append((free, dict(zip(fixed, sides))))
-    return out
+def greedy(key, low, span, room):
+    """Seats when room is handed out in descending key order, each cabin up to its span above its lower bound."""
+    order = np.argsort(-key, axis=1, kind="stable")
+    ranked = np.take_along_axis(span, order, axis=1)
+    before = np.cumsum(ranked, axis=1) - ranked
+    given = np.clip(room[:, None] - before, 0.0, ranked)
+    seats = np.empty_like(given)
+    np.put_along_axis(seats, order, given, axis=1)
+    return low + seats
 
 
 def solve(pax, cap, lf, ob, eco, first, ylds):
     """Vectorised over flights. Returns seats (n, 4), revenue, capacity price and feasibility.
 
-    Seats come from the feasible basis of highest revenue, the earliest on ties. The capacity price is the largest
-    multiplier of the seat total among optimal bases that are also dual feasible: revenue lost per seat taken away.
+    With a price on load, the best use of the seat total is greedy in yield plus priced load, and the greedy order
+    only changes where two cabins tie, at up to six prices. The load carried rises with the price, so the optimum is
+    the free solution if that carries enough load, and else the blend of the two greedy solutions on either side of
+    the price at which the floor is reached. The capacity price is the value of the last seat handed out.
     """
-    n = len(pax)
     fill = np.array(fv.FILL_RATES)
     signal = np.minimum(fv.FILL_SIGNAL_CAP, pax / np.maximum(cap * lf, 1.0))
     d = np.minimum(fill * signal[:, None], fill)
     v = ylds * d
-    low = np.zeros((n, 4))
+    low = np.zeros_like(v)
     low[:, 0], low[:, 3] = first * cap, eco * cap
-    high = np.array(fv.MAX_MIX) * cap[:, None]
-    total, floor = cap * (1 + ob), lf * cap
+    span = np.array(fv.MAX_MIX) * cap[:, None] - low
     slack = TOL * cap
+    boxes = (span >= -slack[:, None]).all(axis=1)
+    span = np.maximum(span, 0.0)
+    spare = cap * (1 + ob) - low.sum(axis=1)
+    room = np.clip(spare, 0.0, span.sum(axis=1))
+    floor = lf * cap
 
-    revenues, points, duals = [], [], []
     with np.errstate(all="ignore"):
-        for free, sides in bases():
-            x = np.zeros((n, 4))
-            for c, side in sides.items():
-                x[:, c] = (high if side else low)[:, c]
-            seats_left, load_left = total - x.sum(axis=1), floor - (d * x).sum(axis=1)
-            if not free:
-                options = [(x, np.zeros(n), np.zeros(n))]
-            elif len(free) == 1:
-                c = free[0]
-                by_seats, by_load = x.copy(), x.copy()
-                by_seats[:, c], by_load[:, c] = seats_left, load_left / d[:, c]
-                options = [(by_seats, v[:, c], np.zeros(n)), (by_load, np.zeros(n), -v[:, c] / d[:, c])]
-            else:
-                i, j = free
-                gap = d[:, i] - d[:, j]
-                both = x.copy()
-                both[:, i] = (load_left - d[:, j] * seats_left) / gap
-                both[:, j] = seats_left - both[:, i]
-                load_price = (v[:, j] - v[:, i]) / gap
-                options = [(both, v[:, i] + load_price * d[:, i], load_price)]
-            for point, seat_price, load_price in options:
-                ok = (np.isfinite(point).all(axis=1)
-                      & (point >= low - slack[:, None]).all(axis=1) & (point <= high + slack[:, None]).all(axis=1)
-                      & (point.sum(axis=1) <= total + slack) & ((d * point).sum(axis=1) >= floor - slack))
-                reduced = v - seat_price[:, None] + load_price[:, None] * d
-                eps = TOL * (1 + np.abs(v).max(axis=1))
-                priced = (seat_price >= -eps) & (load_price >= -eps)
-                for c, side in sides.items():
-                    # A cabin whose box is a single point may carry a reduced cost of either sign.
-                    pinned = high[:, c] - low[:, c] <= slack
-                    priced &= pinned | (reduced[:, c] >= -eps if side else reduced[:, c] <= eps)
-                revenues.append(np.where(ok, (v * point).sum(axis=1), -np.inf))
-                points.append(point)
-                duals.append(np.where(ok & priced, seat_price, -np.inf))
-        revenue, price = np.array(revenues), np.array(duals)
-        best = revenue.max(axis=0)
-        near = revenue >= best - TOL * np.maximum(np.abs(best), 1.0)
-        pick = near.argmax(axis=0)
-        seats = np.maximum(np.array(points)[pick, np.arange(n)], 0.0)
-        shadow = np.where(near, price, -np.inf).max(axis=0)
-    feasible = np.isfinite(best)
-    return seats, np.where(feasible, best, 0.0), np.where(np.isfinite(shadow), np.abs(shadow), 0.0), feasible
+        ties = [(v[:, j] - v[:, i]) / (d[:, i] - d[:, j]) for i, j in itertools.combinations(range(4), 2)]
+        prices = np.column_stack([np.zeros(len(pax)), *ties])
+    prices = np.sort(np.where(np.isfinite(prices) & (prices > 0), prices, 0.0), axis=1)
+    upper = np.column_stack([prices[:, 1:], 2 * prices[:, -1:] + 1.0])
+
+    seats = greedy(v + (prices[:, :1] + upper[:, :1]) / 2 * d, low, span, room)
+    load = (d * seats).sum(axis=1)
+    price = np.zeros(len(pax))
+    open_rows = load < floor + slack
+    for k in range(1, prices.shape[1]):
+        if not open_rows.any():
+            break
+        after = greedy(v + ((prices[:, k] + upper[:, k]) / 2)[:, None] * d, low, span, room)
+        load_after = (d * after).sum(axis=1)
+        gain = load_after - load
+        rises = open_rows & (gain > slack)
+        share = np.clip(np.where(rises, (floor - load) / np.where(gain > 0, gain, 1.0), 0.0), 0.0, 1.0)
+        seats = np.where(rises[:, None], seats + share[:, None] * (after - seats), seats)
+        price = np.where(rises, prices[:, k], price)
+        load = np.where(rises, load + share * gain, load)
+        open_rows = open_rows & (load_after < floor + slack)
+
+    key = v + price[:, None] * d
+    used = seats > low + slack[:, None]
+    last = np.where(used, key, np.inf).min(axis=1)
+    shadow = np.where(np.isfinite(last) & (spare <= span.sum(axis=1) + slack), last, 0.0)
+    feasible = boxes & (spare >= -slack) & (load >= floor - slack)
+    return seats, (v * seats).sum(axis=1), shadow, feasible
 
 
 @F.pandas_udf(record(**{c: "double" for c in fv.CABINS}, revenue="double", shadow="double", feasible="bool"))
@@ -115,13 +104,9 @@ def _solve_batch(pax: pd.Series, cap: pd.Series, lf: pd.Series, ob: pd.Series, e
                  y0: pd.Series, y1: pd.Series, y2: pd.Series, y3: pd.Series) -> pd.DataFrame:
     columns = [s.to_numpy(float) for s in (pax, cap, lf, ob, eco, first)]
     ylds = np.column_stack([s.to_numpy(float) for s in (y0, y1, y2, y3)])
-    parts = []
-    for at in range(0, max(len(pax), 1), 2048):
-        cut = slice(at, at + 2048)
-        seats, revenue, shadow, feasible = solve(*[c[cut] for c in columns], ylds[cut])
-        parts.append(pd.DataFrame({**{c: seats[:, i] for i, c in enumerate(fv.CABINS)}, "revenue": revenue,
-                                   "shadow": shadow, "feasible": feasible}))
-    return pd.concat(parts, ignore_index=True)
+    seats, revenue, shadow, feasible = solve(*columns, ylds)
+    return pd.DataFrame({**{c: seats[:, i] for i, c in enumerate(fv.CABINS)}, "revenue": revenue,
+                         "shadow": shadow, "feasible": feasible})
 
 
 def optimise(df: DataFrame, rounded: bool = True) -> DataFrame:

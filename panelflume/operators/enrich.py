@@ -6,7 +6,7 @@ is paired with calendar rows it does not match.
 """
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from panelflume import fixed_values as fv
 from panelflume.functions.columns import half_even
@@ -15,14 +15,20 @@ from panelflume.sources.lookups import lookup
 
 def school_holidays(df: DataFrame, intervals: DataFrame, time: str = "date") -> DataFrame:
     """school_holiday = 1 if the date lies in any [start_date, end_date]."""
-    days = intervals.select(F.explode(F.sequence("start_date", "end_date")).alias(time)).distinct()
-    return _flag(df, days, time, "school_holiday")
+    return _flag(df, _school_days(intervals).distinct().withColumnRenamed("day", time), time, "school_holiday")
 
 
 def public_holidays(df: DataFrame, holidays: DataFrame, time: str = "date") -> DataFrame:
     """public_holiday = 1 if a holiday falls on the date or the six days after it."""
-    starts = F.sequence(F.date_sub("day", 6), F.col("day"))
-    return _flag(df, holidays.select(F.explode(starts).alias(time)).distinct(), time, "public_holiday")
+    return _flag(df, _holiday_weeks(holidays).distinct().withColumnRenamed("day", time), time, "public_holiday")
+
+
+def _school_days(intervals: DataFrame) -> DataFrame:
+    return intervals.select(F.explode(F.sequence("start_date", "end_date")).alias("day"))
+
+
+def _holiday_weeks(holidays: DataFrame) -> DataFrame:
+    return holidays.select(F.explode(F.sequence(F.date_sub("day", 6), F.col("day"))).alias("day"))
 
 
 def _flag(df: DataFrame, days: DataFrame, time: str, name: str) -> DataFrame:
@@ -48,20 +54,27 @@ def event_effects(events: DataFrame) -> DataFrame:
 def event_multiplier(df: DataFrame, events: DataFrame, entity: str = "route", time: str = "date") -> DataFrame:
     """1 plus the effects of all events whose city occurs in the entity name."""
     effects = event_effects(events).withColumnRenamed("day", time)
-    mine = F.filter("effects", lambda e: F.col(entity).contains(e["city"]))
-    total = F.aggregate(mine, F.lit(0.0), lambda acc, e: acc + e["effect"])
     return df.join(effects, time, "left").withColumn(
-        "event_multiplier", F.lit(1.0) + F.coalesce(total, F.lit(0.0))).drop("effects")
+        "event_multiplier", F.lit(1.0) + F.coalesce(_effect_sum(F.col(entity)), F.lit(0.0))).drop("effects")
+
+
+def _effect_sum(entity: Column) -> Column:
+    mine = F.filter("effects", lambda e: entity.contains(e["city"]))
+    return F.aggregate(mine, F.lit(0.0), lambda acc, e: acc + e["effect"])
 
 
 def regime_factor(df: DataFrame, regimes: DataFrame, time: str = "date", name: str = "covid_factor") -> DataFrame:
     """Linear interpolation inside [from_date, to_date), 1 outside all regimes."""
-    days = regimes.withColumn(time, F.explode(F.sequence("from_date", F.date_sub("to_date", 1))))
-    share = F.datediff(time, "from_date") / F.datediff("to_date", "from_date")
-    factors = days.select(time, (F.col("v0") + (F.col("v1") - F.col("v0")) * share).alias(name))
+    factors = regime_days(regimes).select(F.col("day").alias(time), F.col("factor").alias(name))
     return df.join(factors, time, "left").withColumn(name, F.coalesce(F.col(name), F.lit(1.0)))
 
 
+def regime_days(regimes: DataFrame) -> DataFrame:
+    days = regimes.withColumn("day", F.explode(F.sequence("from_date", F.date_sub("to_date", 1))))
+    share = F.datediff("day", "from_date") / F.datediff("to_date", "from_date")
+    return days.select("day", (F.col("v0") + (F.col("v1") - F.col("v0")) * share).alias("factor"))
+
+
 def macro(df: DataFrame, annual: DataFrame) -> DataFrame:
     """rba_cash_rate, inflation and macro_fuel by year, with defaults for years not listed."""
     renamed = annual.select("year", F.col("rate").alias("rba_cash_rate"), F.col("cpi").alias("inflation"),
@@ -107,24 +120,40 @@ def densify(df: DataFrame, step_days: int = 7, fill: dict | None = None, entity:
     return out.fillna(fill) if fill else out
 
 
+def day_dimension(tables: dict[str, DataFrame]) -> DataFrame:
+    """One row per day that any calendar table touches: school_holiday, public_holiday, effects, covid_factor."""
+    parts = [
+        _school_days(tables["school_holidays"]).withColumn("school_holiday", F.lit(1)),
+        _holiday_weeks(tables["public_holidays"]).withColumn("public_holiday", F.lit(1)),
+        event_effects(tables["events"]),
+        regime_days(tables["regimes"]).withColumnRenamed("factor", "covid_factor"),
+    ]
+    stacked = parts[0]
+    for part in parts[1:]:
+        stacked = stacked.unionByName(part, allowMissingColumns=True)
+    return stacked.groupBy("day").agg(
+        F.max("school_holiday").alias("school_holiday"), F.max("public_holiday").alias("public_holiday"),
+        F.first("effects", ignorenulls=True).alias("effects"), F.max("covid_factor").alias("covid_factor"))
+
+
+def year_dimension(annual: DataFrame, base_year: int, first: int = 1900, last: int = 2100) -> DataFrame:
+    """One row per calendar year with macro columns, defaults filled in, and the price index."""
+    years = annual.sparkSession.range(first, last + 1, 1, 1).select(F.col("id").cast("int").alias("year"))
+    return macro(price_index(years, annual, base_year), annual)
+
+
 def calendar(df: DataFrame, tables: dict[str, DataFrame], base_year: int = fv.BASE_YEAR) -> DataFrame:
-    """All calendar, event and macro columns of the panel, rounded as stored."""
-    out = school_holidays(df, tables["school_holidays"])
-    out = public_holidays(out, tables["public_holidays"])
-    out = event_multiplier(out, tables["events"])
-    out = regime_factor(out, tables["regimes"])
-    out = macro(out, tables["macro"])
-    years = out.select("year")
-    index = price_index(_year_spine(years), tables["macro"], base_year)
-    out = out.join(index, "year", "left")
-    return (out.withColumn("event_multiplier", half_even(F.col("event_multiplier"), 4))
-            .withColumn("covid_factor", half_even(F.col("covid_factor"), 4))
-            .withColumn("cpi_index", half_even(F.col("cpi_index"), 4)))
-
-
-def _year_spine(years: DataFrame, first: int = 1900, last: int = 2100) -> DataFrame:
-    """Calendar years as a small generated table, so that the price index does not read the panel a second time."""
-    return years.sparkSession.range(first, last + 1).select(F.col("id").cast("int").alias("year"))
+    """All calendar, event and macro columns of the panel, rounded as stored, from one join by day and one by year."""
+    days = day_dimension(tables).withColumnRenamed("day", "date")
+    out = df.join(days, "date", "left").join(year_dimension(tables["macro"], base_year), "year", "left")
+    total = F.lit(1.0) + F.coalesce(_effect_sum(F.col("route")), F.lit(0.0))
+    return out.withColumns({
+        "school_holiday": F.coalesce("school_holiday", F.lit(0)),
+        "public_holiday": F.coalesce("public_holiday", F.lit(0)),
+        "event_multiplier": half_even(total, 4),
+        "covid_factor": half_even(F.coalesce("covid_factor", F.lit(1.0)), 4),
+        "cpi_index": half_even(F.col("cpi_index"), 4),
+    }).drop("effects")
 
 
 def default_tables(spark) -> dict[str, DataFrame]:
