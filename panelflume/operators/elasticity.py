@@ -22,9 +22,11 @@ _DIGITS = {"ols_t": 3, "iv_t": 3, "stage1_fstat": 2, "stage1_partial_f": 2}
 
 
 def log_columns(df: DataFrame) -> DataFrame:
-    """ln_pax, ln_yield, ln_fuel for rows with pax > 0, and the week encoding where it is absent."""
-    out = df.filter(F.col("pax") > 0).withColumns({
-        "ln_pax": F.ln("pax"), "ln_yield": F.ln("yield_aud"), "ln_fuel": F.ln("fuel_index")})
+    """ln_pax, ln_yield and ln_fuel, NULL where pax is not positive, and the week encoding where it is absent."""
+    sold = F.col("pax") > 0
+    out = df.withColumns({
+        "ln_pax": F.when(sold, F.ln("pax")), "ln_yield": F.when(sold, F.ln("yield_aud")),
+        "ln_fuel": F.when(sold, F.ln("fuel_index"))})
     if "week_sin" not in out.columns:
         week = F.col("week_of_year")
         out = out.withColumns({"week_sin": cyclic_sin(week, fv.SEASON_WEEKS),
@@ -81,8 +83,8 @@ def _solve(n: pd.Series, means: pd.Series, covs: pd.Series) -> pd.DataFrame:
 
 
 def estimate(df: DataFrame, keys: list[str] | None = None, controls: list[str] | None = None,
-             rounded: bool = True) -> DataFrame:
-    """One row per entity with OLS and IV elasticities, Hausman test and the preferred estimate.
+             rounded: bool = True, least: int = 0) -> DataFrame:
+    """One row per entity with at least `least` rows: OLS and IV elasticities, Hausman test, preferred estimate.
 
     Controls that the table lacks are left out. iv_se_corrected and stage1_partial_f are the textbook forms of the
     second-stage error and the instrument test.
@@ -90,8 +92,8 @@ def estimate(df: DataFrame, keys: list[str] | None = None, controls: list[str] |
     keys = keys or ["route"]
     logs = log_columns(df)
     used = present(logs, fv.ELASTICITY_CONTROLS if controls is None else controls)
-    solved = moments(logs, ["ln_yield", "ln_fuel", *used, "ln_pax"], keys).withColumn(
-        "fit", _solve("n", "means", "covs"))
+    table = moments(logs, ["ln_yield", "ln_fuel", *used, "ln_pax"], keys)
+    solved = table.filter((F.col("n_rows") >= least) & (F.col("n") > 0)).withColumn("fit", _solve("n", "means", "covs"))
     out = solved.select(*keys, "n", "fit.*")
     endogenous = F.coalesce(F.col("hausman_p") < 0.05, F.lit(False))
     preferred = F.when(endogenous, F.col("iv_elasticity")).otherwise(F.col("ols_elasticity"))

@@ -7,10 +7,12 @@ not change the number of fits; fit_per_entity gives one model per entity for a s
 from __future__ import annotations
 
 from functools import reduce
+from multiprocessing.pool import ThreadPool
 
 from pyspark.ml.functions import array_to_vector
 from pyspark.ml.regression import GBTRegressionModel, GBTRegressor
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.util import inheritable_thread_target
 
 from panelflume import fixed_values as fv
 from panelflume.operators import filters, metrics, smoothing
@@ -59,6 +61,13 @@ def smoothed_frame(feat: DataFrame, test_rows: int = fv.TEST_WEEKS, season: int
         "alpha", "beta", "gamma", "rmse")
 
 
+def side_by_side(run, items) -> list:
+    """Independent fits submitted together, as Spark's own cross-validator does: their small jobs fill idle cores."""
+    items = list(items)
+    with ThreadPool(min(len(items), 4)) as pool:
+        return pool.map(inheritable_thread_target(SparkSession.getActiveSession())(run), items)
+
+
 def fit_boost(train: DataFrame, trees: int = fv.BOOST_PARAMS["trees"], label: str = "residual") -> GBTRegressionModel:
     """Gradient-boosted trees for the smoothing residual."""
     p = fv.BOOST_PARAMS
@@ -76,11 +85,11 @@ def score(model: GBTRegressionModel, df: DataFrame) -> DataFrame:
 
 def fit_per_entity(frame: DataFrame, entities: list[str], trees: int = fv.BOOST_PARAMS["trees"]) -> DataFrame:
     """One model per named entity. The list is short and given by the caller; each fit is a Spark job of its own."""
-    parts = []
-    for entity in entities:
+    def run(entity: str) -> DataFrame:
         mine = frame.filter(F.col("route") == entity)
-        parts.append(score(fit_boost(mine.filter(F.col("period") == "train"), trees), mine))
-    return reduce(DataFrame.unionByName, parts)
+        return score(fit_boost(mine.filter(F.col("period") == "train"), trees), mine)
+
+    return reduce(DataFrame.unionByName, side_by_side(run, entities))
 
 
 def cross_validate(frame: DataFrame, folds: int = fv.CV_FOLDS, fold_rows: int = fv.CV_FOLD_WEEKS,
@@ -91,17 +100,18 @@ def cross_validate(frame: DataFrame, folds: int = fv.CV_FOLDS, fold_rows: int =
     refitted on the rows before each fold instead.
     """
     train = frame.filter(F.col("period") == "train")
-    marked = filters.walk_forward(train, folds, fold_rows)
-    scored = []
-    for fold in range(1, folds + 1):
+    marked = cut_lineage(filters.walk_forward(train, folds, fold_rows))
+
+    def run(fold: int) -> DataFrame:
         rows = marked.filter(F.col("fold") == fold)
         if feat is not None:
             seen = feat.join(rows.select("route", "date"), ["route", "date"], "left_semi")
             rows = cut_lineage(smoothed_frame(seen, fold_rows)).withColumns({
                 "fold": F.lit(fold), "role": F.when(F.col("period") == "train", "train").otherwise("val")})
         model = fit_boost(rows.filter(F.col("role") == "train"), trees)
-        scored.append(score(model, rows).select("route", "fold", "role", "actual", "hybrid_fc"))
-    all_rows = reduce(DataFrame.unionByName, scored)
+        return score(model, rows).select("route", "fold", "role", "actual", "hybrid_fc")
+
+    all_rows = reduce(DataFrame.unionByName, side_by_side(run, range(1, folds + 1)))
     val = F.col("role") == "val"
     y, f = F.when(val, F.col("actual")), F.when(val, F.col("hybrid_fc"))
     return all_rows.groupBy("route", "fold").agg(

@@ -7,6 +7,9 @@ covariance); they still count in the degrees of freedom.
 """
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
@@ -18,10 +21,16 @@ RCOND = 1e-10
 
 
 def moments(df: DataFrame, variables: list[str], keys: list[str]) -> DataFrame:
-    """(keys, n, means, covs): covs is the upper triangle, row by row. Rows with a NULL variable are left out."""
+    """(keys, n_rows, n, means, covs): covs is the upper triangle, row by row.
+
+    n_rows counts all rows of the group; the n rows without a NULL variable enter the statistics.
+    """
     pairs = [(a, b) for i, a in enumerate(variables) for b in variables[i:]]
-    return df.dropna(subset=variables).groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("n"),
+    whole = reduce(and_, [F.col(v).isNotNull() for v in variables])
+    masked = df.select(*keys, *[F.when(whole, F.col(v).cast("double")).alias(v) for v in variables])
+    return masked.groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("n_rows"),
+        F.count(variables[0]).alias("n"),
         F.array(*[F.avg(v) for v in variables]).alias("means"),
         F.array(*[F.covar_pop(a, b) for a, b in pairs]).alias("covs"),
     )

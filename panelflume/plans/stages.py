@@ -20,9 +20,10 @@ def forecast(panel: DataFrame, trees: int = fv.BOOST_PARAMS["trees"], cv_trees:
     names = filters.present(feat, fv.FEATURE_COLS)
     frame = cut_lineage(hybrid.smoothed_frame(feat))
     train = frame.filter(F.col("period") == "train")
-    model = hybrid.fit_boost(train, trees)
+    fits = {"model": lambda: hybrid.fit_boost(train, trees),
+            "cv": lambda: cut_lineage(hybrid.cross_validate(frame, trees=cv_trees))}
+    model, cv = hybrid.side_by_side(lambda name: fits[name](), fits)
     scored = hybrid.score(model, frame)
-    cv = cut_lineage(hybrid.cross_validate(frame, trees=cv_trees))
 
     residuals = scored.filter(F.col("period") == "train").select(
         "route", "date", (F.col("actual") - F.col("hybrid_fc")).alias("residual"))
@@ -62,13 +63,11 @@ def causal(panel: DataFrame, specs: DataFrame | None = None, outcomes: list[str]
 
 def elasticity_table(panel: DataFrame, start: str = fv.ELASTICITY_START,
                      least: int = fv.ELASTICITY_MIN_OBS) -> DataFrame:
-    """Elasticities per route on rows from `start` on. The observation gate reads the count of the same aggregate
-    when no row is dropped for pax = 0, so it needs no pass of its own."""
+    """Elasticities per route on rows from `start` on. The observation gate reads a count of the same aggregate."""
     recent = panel.filter(F.col("date") >= F.lit(start).cast("date"))
-    counts = recent.groupBy("route").agg(F.count(F.lit(1)).alias("_rows")).filter(F.col("_rows") >= least)
     columns = ["route", "n", "ols_elasticity", "ols_se", "ols_t", "ols_p", "ols_r2", "iv_elasticity", "iv_se", "iv_t",
                "iv_p", "stage1_fstat", "hausman_stat", "hausman_p", "endogenous", "preferred_elasticity"]
-    return elasticity.estimate(recent).join(counts, "route", "left_semi").select(*columns)
+    return elasticity.estimate(recent, least=least).select(*columns)
 
 
 def allocate(forecasts: DataFrame, panel: DataFrame, flights: DataFrame | None = None,

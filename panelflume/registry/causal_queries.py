@@ -297,7 +297,7 @@ def _adf_sql(lags: int, source: str = "panel") -> str:
     tau AS (SELECT route, n AS n_obs, b0 / sqrt(sse / (n - {lags + 2}) * i0 / n) AS t FROM w_fit)"""
 
 
-def _adf_select(lags: int) -> str:
+def _adf_select(lags) -> str:
     p = f"greatest(0.001, least(0.999, {P_SQL.format(t='t')}))"
     return f"""SELECT route, {lags} AS n_lags, CAST(n_obs AS INTEGER) AS n_obs, round(t, 6) AS adf_t_stat,
     round({p}, 6) AS adf_p, {p} < 0.05 AS is_stationary FROM tau"""
@@ -312,7 +312,19 @@ def _adf4(spark, sf):
     return _adf_out(unitroot.adf(panel(spark, sf), max_lag=4))
 
 
-@query("h06_adf", f"WITH {_adf_sql(16, PANEL)} {_adf_select(16)}")
+MOST_LAGS = 17  # enough for series of up to 500 periods
+_LAGS = [f"dy_lag{i}" for i in range(1, MOST_LAGS + 1)]
+SCHWERT = f"""{PANEL}, d1 AS (SELECT route, date, CAST(pax AS DOUBLE) - lag(pax, 1) OVER w AS dy, CAST(lag(pax, 1) OVER w AS DOUBLE) AS y_prev,
+      row_number() OVER w AS pos, count(*) OVER (PARTITION BY route) AS len FROM panel WINDOW w AS (PARTITION BY route ORDER BY date)),
+    d2 AS (SELECT *, least(CAST(floor(12 * power(len / 100.0::DOUBLE, 0.25)) AS INTEGER), len // 4) AS k FROM d1),
+    d3 AS (SELECT *, {', '.join(f'CASE WHEN {i} <= k THEN lag(dy, {i}) OVER (PARTITION BY route ORDER BY date) ELSE 0 END AS dy_lag{i}'
+                                for i in range(1, MOST_LAGS + 1))} FROM d2),
+    d4 AS (SELECT * FROM d3 WHERE pos >= k + 2),
+    {sweep('w', 'd4', ['route', 'k'], ['y_prev', *_LAGS], 'dy')},
+    tau AS (SELECT route, k, n AS n_obs, b0 / sqrt(sse / (n - (k + 2)) * i0 / n) AS t FROM w_fit)"""
+
+
+@query("h06_adf", f"WITH {SCHWERT} {_adf_select('CAST(k AS INTEGER)')}")
 def _adf(spark, sf):
     return _adf_out(unitroot.adf(panel(spark, sf)))
 
