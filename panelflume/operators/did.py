@@ -36,19 +36,20 @@ def assign(panel: DataFrame, specs: DataFrame) -> DataFrame:
             .withColumn("did", F.col("treated") * F.col("post")))
 
 
-def outcomes_long(df: DataFrame, outcomes: list[str]) -> DataFrame:
-    """One row per (row, outcome) with columns outcome and y."""
-    pairs = F.array(*[F.struct(F.lit(o).alias("outcome"), F.col(o).cast("double").alias("y")) for o in outcomes])
-    kept = [c for c in df.columns if c not in outcomes]
-    return df.select(*kept, F.inline(pairs))
+def daily_moments(assigned: DataFrame, outcomes: list[str]) -> DataFrame:
+    """Count, mean and centred sum of squares per experiment, outcome, arm and date.
+
+    All outcomes are aggregated side by side and only the aggregated rows are turned into one row per outcome.
+    """
+    keys = ["experiment", "pre_weeks", "treated", "post", "date"]
 
+    def moment(o: str):
+        y = F.col(o).cast("double")
+        return F.struct(F.lit(o).alias("outcome"), F.count(y).alias("n"), F.avg(y).alias("mean"),
+                        (F.var_pop(y) * F.count(y)).alias("m2"))
 
-def daily_moments(assigned: DataFrame, outcomes: list[str]) -> DataFrame:
-    """Count, mean and centred sum of squares per experiment, outcome, arm and date."""
-    long = outcomes_long(assigned.select(
-        "experiment", "pre_weeks", "treated", "post", "date", *outcomes), outcomes).filter(F.col("y").isNotNull())
-    return long.groupBy("experiment", "outcome", "pre_weeks", "treated", "post", "date").agg(
-        F.count("y").alias("n"), F.avg("y").alias("mean"), (F.var_pop("y") * F.count("y")).alias("m2"))
+    wide = assigned.groupBy(*keys).agg(F.array(*[moment(o) for o in outcomes]).alias("_moments"))
+    return wide.select(*keys, F.inline("_moments")).filter(F.col("n") > 0)
 
 
 def cell_moments(moments: DataFrame, post: str = "post") -> DataFrame:

@@ -3,6 +3,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from panelflume.operators.blocks import with_positions
+
 # One series has at most one row per period, so a window over one entity is bounded by the calendar, not by the
 # number of source rows. `blocks.py` has the form for series that are longer than one task should hold.
 
@@ -32,34 +34,48 @@ def min_observations(df: DataFrame, least: int, entity: str = "route") -> DataFr
     return df.join(kept, entity, "left_semi")
 
 
-def holdout_split(df: DataFrame, test_rows: int, entity: str = "route", time: str = "date") -> DataFrame:
-    """Add position (1-based), n_rows and period: the last test_rows of each entity are 'test'."""
-    return (
-        df.withColumn("position", F.row_number().over(series_window(entity, time)))
-        .withColumn("n_rows", F.count(F.lit(1)).over(Window.partitionBy(entity)))
-        .withColumn("period", F.when(F.col("position") > F.col("n_rows") - test_rows, "test").otherwise("train"))
-    )
+def numbered(df: DataFrame, entity: str = "route", time: str = "date", bucket: Column | None = None) -> DataFrame:
+    """Add position (1-based, by time) and n_rows of the entity.
+
+    With a bucket (an expression that does not decrease with time, e.g. the year) both come from counts per
+    (entity, bucket), and no task holds a whole entity.
+    """
+    if bucket is None:
+        return (df.withColumn("position", F.row_number().over(series_window(entity, time)))
+                .withColumn("n_rows", F.count(F.lit(1)).over(Window.partitionBy(entity))))
+    sizes = df.groupBy(entity).agg(F.count(F.lit(1)).alias("n_rows"))
+    placed = with_positions(df, bucket, entity, time).withColumn("position", (F.col("position") + 1).cast("int"))
+    return placed.join(sizes, entity)
+
+
+def holdout_split(df: DataFrame, test_rows: int, entity: str = "route", time: str = "date",
+                  bucket: Column | None = None) -> DataFrame:
+    """Add position, n_rows and period: the last test_rows of each entity are 'test'."""
+    last = F.col("position") > F.col("n_rows") - test_rows
+    return numbered(df, entity, time, bucket).withColumn("period", F.when(last, "test").otherwise("train"))
 
 
-def tail(df: DataFrame, rows: int, entity: str = "route", time: str = "date") -> DataFrame:
+def tail(df: DataFrame, rows: int, entity: str = "route", time: str = "date", bucket: Column | None = None) -> DataFrame:
     """Last rows of each entity."""
+    if bucket is not None:
+        kept = numbered(df, entity, time, bucket).filter(F.col("position") > F.col("n_rows") - rows)
+        return kept.drop("position", "n_rows")
     rank = F.row_number().over(Window.partitionBy(entity).orderBy(F.col(time).desc()))
     return df.withColumn("_from_end", rank).filter(F.col("_from_end") <= rows).drop("_from_end")
 
 
-def walk_forward(df: DataFrame, folds: int, fold_rows: int, entity: str = "route", time: str = "date") -> DataFrame:
+def walk_forward(df: DataFrame, folds: int, fold_rows: int, entity: str = "route", time: str = "date",
+                 bucket: Column | None = None) -> DataFrame:
     """Expanding-window folds over the rows of each entity.
 
     Validation windows tile the tail; fold i trains on all rows before its window. Each row is emitted once per fold
     it belongs to (fold 1..folds, role 'train' or 'val').
     """
-    w = series_window(entity, time)
-    numbered = (
-        df.withColumn("_pos", F.row_number().over(w) - 1)
-        .withColumn("_n", F.count(F.lit(1)).over(Window.partitionBy(entity)))
+    placed = (
+        numbered(df, entity, time, bucket)
         .withColumn("fold", F.explode(F.sequence(F.lit(1), F.lit(folds))))
-        .withColumn("_from", F.col("_n") - (F.lit(folds + 1) - F.col("fold")) * fold_rows)
-        .filter(F.col("_pos") < F.col("_from") + fold_rows)
+        .withColumn("_from", F.col("n_rows") - (F.lit(folds + 1) - F.col("fold")) * fold_rows)
+        .filter(F.col("position") <= F.col("_from") + fold_rows)
     )
-    role = F.when(F.col("_pos") < F.col("_from"), "train").otherwise("val")
-    return numbered.withColumn("role", role).drop("_pos", "_n", "_from")
+    role = F.when(F.col("position") <= F.col("_from"), "train").otherwise("val")
+    return placed.withColumn("role", role).drop("position", "n_rows", "_from")

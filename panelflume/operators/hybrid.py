@@ -61,11 +61,11 @@ def smoothed_frame(feat: DataFrame, test_rows: int = fv.TEST_WEEKS, season: int
         "alpha", "beta", "gamma", "rmse")
 
 
-def side_by_side(run, items) -> list:
+def side_by_side(spark: SparkSession, run, items) -> list:
     """Independent fits submitted together, as Spark's own cross-validator does: their small jobs fill idle cores."""
     items = list(items)
     with ThreadPool(min(len(items), 4)) as pool:
-        return pool.map(inheritable_thread_target(SparkSession.getActiveSession())(run), items)
+        return pool.map(inheritable_thread_target(spark)(run), items)
 
 
 def fit_boost(train: DataFrame, trees: int = fv.BOOST_PARAMS["trees"], label: str = "residual") -> GBTRegressionModel:
@@ -89,7 +89,7 @@ def fit_per_entity(frame: DataFrame, entities: list[str], trees: int = fv.BOOST_
         mine = frame.filter(F.col("route") == entity)
         return score(fit_boost(mine.filter(F.col("period") == "train"), trees), mine)
 
-    return reduce(DataFrame.unionByName, side_by_side(run, entities))
+    return reduce(DataFrame.unionByName, side_by_side(frame.sparkSession, run, entities))
 
 
 def cross_validate(frame: DataFrame, folds: int = fv.CV_FOLDS, fold_rows: int = fv.CV_FOLD_WEEKS,
@@ -111,7 +111,7 @@ def cross_validate(frame: DataFrame, folds: int = fv.CV_FOLDS, fold_rows: int =
         model = fit_boost(rows.filter(F.col("role") == "train"), trees)
         return score(model, rows).select("route", "fold", "role", "actual", "hybrid_fc")
 
-    all_rows = reduce(DataFrame.unionByName, side_by_side(run, range(1, folds + 1)))
+    all_rows = reduce(DataFrame.unionByName, side_by_side(frame.sparkSession, run, range(1, folds + 1)))
     val = F.col("role") == "val"
     y, f = F.when(val, F.col("actual")), F.when(val, F.col("hybrid_fc"))
     return all_rows.groupBy("route", "fold").agg(
@@ -164,16 +164,17 @@ def permuted(train: DataFrame, names: list[str], repeats: int) -> DataFrame:
     The shuffle orders rows by a hash of (route, feature, repeat, row), on the packed series, so one exchange on the
     route serves all features and repeats.
     """
+    labels = F.array(*[F.lit(n) for n in names])
     packed = train.groupBy("route").agg(F.array_sort(F.collect_list(F.struct("date", "residual", "x"))).alias("rows"))
     trials = packed.withColumn("f", F.explode(F.sequence(F.lit(0), F.lit(len(names) - 1)))).withColumn(
         "repeat", F.explode(F.sequence(F.lit(1), F.lit(repeats))))
     keys = F.transform(F.sequence(F.lit(0), F.size("rows") - 1), lambda i: F.struct(
-        F.xxhash64(F.col("route"), F.col("f"), F.col("repeat"), i).alias("h"), i.alias("i")))
+        F.md5(F.concat_ws("|", "route", F.get(labels, F.col("f")), F.col("repeat").cast("string"), i.cast("string"))
+              ).alias("h"), i.alias("i")))
     donors = F.transform(F.array_sort(keys), lambda k: F.get(F.get(F.col("rows"), k["i"])["x"], F.col("f")))
     zipped = F.arrays_zip(F.col("rows"), donors.alias("donor"))
     long = trials.select("route", "f", "repeat", F.explode(zipped).alias("r"))
     swapped = F.transform("r.rows.x", lambda v, i: F.when(i == F.col("f"), F.col("r.donor")).otherwise(v))
-    labels = F.array(*[F.lit(n) for n in names])
     return long.select("route", F.get(labels, F.col("f")).alias("feature_code"), "repeat", "r.rows.residual",
                        swapped.alias("x"))
 
@@ -181,17 +182,21 @@ def permuted(train: DataFrame, names: list[str], repeats: int) -> DataFrame:
 def importance(model: GBTRegressionModel, train: DataFrame, names: list[str],
                repeats: int = fv.IMPORTANCE_REPEATS) -> DataFrame:
     """Rise of the squared error when a feature is shuffled: mean and population deviation over repeats, ranked."""
-    def squared_error(df: DataFrame, *keys: str) -> DataFrame:
-        scored = model.transform(df.withColumn("features", array_to_vector("x")))
-        gap = F.col("residual") - F.col("boost")
-        return scored.groupBy(*keys).agg(F.avg(gap * gap).alias("mse"))
+    def predict(df: DataFrame) -> DataFrame:
+        return model.transform(df.withColumn("features", array_to_vector("x")))
+
+    return label(importance_table(predict(train), predict(permuted(train, names, repeats)), len(names)))
+
 
-    base = squared_error(train, "route").withColumnRenamed("mse", "base_mse")
-    trials = squared_error(permuted(train, names, repeats), "route", "feature_code", "repeat")
+def importance_table(plain: DataFrame, shuffled: DataFrame, features: int) -> DataFrame:
+    """Ranked importances from scored rows with columns residual and boost, as they are and shuffled."""
+    error = F.avg((F.col("residual") - F.col("boost")) * (F.col("residual") - F.col("boost")))
+    base = plain.groupBy("route").agg(error.alias("base_mse"))
+    trials = shuffled.groupBy("route", "feature_code", "repeat").agg(error.alias("mse"))
     rise = trials.join(base, "route").withColumn("rise", F.col("mse") - F.col("base_mse"))
     table = rise.groupBy("route", "feature_code").agg(
         F.avg("rise").alias("importance"), F.stddev_pop("rise").alias("importance_std"))
-    return label(metrics.top_per_group(table, "importance", len(names)))
+    return metrics.top_per_group(table, "importance", features)
 
 
 def label(df: DataFrame) -> DataFrame:

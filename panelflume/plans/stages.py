@@ -22,7 +22,7 @@ def forecast(panel: DataFrame, trees: int = fv.BOOST_PARAMS["trees"], cv_trees:
     train = frame.filter(F.col("period") == "train")
     fits = {"model": lambda: hybrid.fit_boost(train, trees),
             "cv": lambda: cut_lineage(hybrid.cross_validate(frame, trees=cv_trees))}
-    model, cv = hybrid.side_by_side(lambda name: fits[name](), fits)
+    model, cv = hybrid.side_by_side(panel.sparkSession, lambda name: fits[name](), fits)
     scored = hybrid.score(model, frame)
 
     residuals = scored.filter(F.col("period") == "train").select(

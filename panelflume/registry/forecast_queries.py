@@ -5,7 +5,9 @@ from pyspark.sql import functions as F
 
 from panelflume import fixed_values as fv
 from panelflume.operators import filters, hybrid, metrics, smoothing
-from panelflume.registry.base import DAY, FEATURES, PANEL, feature_frame, iso, panel, query, rounded
+from panelflume.plans import stages
+from panelflume.registry.base import (BASE_YEAR, DAY, FEATURES, PANEL, enriched, feature_frame, iso, panel, query,
+                                      rounded)
 from panelflume.sources.files import cut_lineage
 
 QUARTER, FIXED = 13, (0.3, 0.1, 0.15)
@@ -296,6 +298,39 @@ def _importance(spark, sf):
     return hybrid.importance(model, train, fv.FEATURE_COLS).select("route", "rank", "feature", "feature_code", "importance", "importance_std")
 
 
+TRIED = ["pax_lag4", "pax_lag52", "rolling_mean_13w"]
+_SHUFFLED = " UNION ALL ".join(
+    f"""SELECT a.route, '{c}' AS feature_code, a.repeat, a.residual, (b.{c} + {' + '.join('a.' + o for o in TRIED if o != c)}) / 3.0::DOUBLE AS boost
+    FROM (SELECT * FROM tr, generate_series(1, 15) g(repeat)) a
+    JOIN (SELECT *, row_number() OVER (PARTITION BY route, repeat ORDER BY md5(concat_ws('|', route, '{c}', repeat, i))) - 1 AS place
+      FROM tr, generate_series(1, 15) g(repeat)) b ON a.route = b.route AND a.repeat = b.repeat AND a.i = b.place""" for c in TRIED)
+
+
+@query("i09_permutation_scoring", f"""WITH {FEATURES}, tr AS (SELECT route, date, CAST(pax AS DOUBLE) AS residual,
+      CAST(pax_lag4 AS DOUBLE) AS pax_lag4, CAST(pax_lag52 AS DOUBLE) AS pax_lag52, rolling_mean_13w,
+      row_number() OVER (PARTITION BY route ORDER BY date) - 1 AS i FROM feat WHERE pax_lag52 IS NOT NULL),
+    sh AS ({_SHUFFLED}),
+    base AS (SELECT route, avg(power(residual - (pax_lag4 + pax_lag52 + rolling_mean_13w) / 3, 2)) AS base FROM tr GROUP BY route),
+    trial AS (SELECT route, feature_code, repeat, avg(power(residual - boost, 2)) AS mse FROM sh GROUP BY 1, 2, 3)
+    SELECT t.route, feature_code, round(avg(mse - base), 3) AS importance, round(stddev_pop(mse - base), 3) AS importance_std,
+      CAST(row_number() OVER (PARTITION BY t.route ORDER BY avg(mse - base) DESC) AS INTEGER) AS rank
+    FROM trial t JOIN base b ON t.route = b.route GROUP BY t.route, feature_code""")
+def _scoring(spark, sf):
+    x = F.array(*[F.col(c).cast("double") for c in TRIED])
+    feat = feature_frame(spark, sf).select("route", "date", F.col("pax").cast("double").alias("residual"), x.alias("x"))
+
+    def predict(df):
+        return df.withColumn("boost", (F.get("x", F.lit(0)) + F.get("x", F.lit(1)) + F.get("x", F.lit(2))) / F.lit(3.0))
+
+    table = hybrid.importance_table(predict(feat), predict(hybrid.permuted(feat, TRIED, fv.IMPORTANCE_REPEATS)), len(TRIED))
+    return rounded(table, {"importance": 3, "importance_std": 3})
+
+
+@query("i12_forecast_stage")
+def forecast_stage(spark, sf):
+    return stages.forecast(enriched(spark, sf), trees=TREES, cv_trees=TREES, repeats=3, base_year=BASE_YEAR)["model_metrics"]
+
+
 @query("i10_feature_labels", "SELECT * FROM (VALUES " + ", ".join(f"('{c}', '{n}')" for c, n in fv.FEATURES if c.startswith("pax")
        ) + ") AS t(feature_code, feature)")
 def _labels(spark, sf):

@@ -63,6 +63,14 @@ def shared_folder(spark: SparkSession) -> str | None:
     return f"{root.rstrip('/')}/panelflume-{uuid.uuid4().hex}"
 
 
+def result_folder(spark: SparkSession) -> str:
+    """As shared_folder, for callers that cannot go on without one."""
+    folder = shared_folder(spark)
+    if folder is None:
+        raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
+    return folder
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Write df to the shared folder and read it back, so that later jobs neither repeat nor depend on its plan.
 

@@ -88,6 +88,14 @@ def test_blocks_spread_one_entity(spark):
     assert sizes["count"].max() <= 60 + 53 and len(sizes) >= 5
 
 
+def test_numbering_by_buckets_equals_windows(spark):
+    p = spark.createDataFrame(pd.concat([weekly(100, "A"), weekly(40, "B", seed=1)])).select("route", "date")
+    year = F.year("date")
+    assert filters.holdout_split(p, 26).exceptAll(filters.holdout_split(p, 26, bucket=year)).count() == 0
+    assert filters.tail(p, 52).exceptAll(filters.tail(p, 52, bucket=year)).count() == 0
+    assert filters.walk_forward(p, 3, 8).exceptAll(filters.walk_forward(p, 3, 8, bucket=year)).count() == 0
+
+
 def test_leak_free_ignores_the_current_target(spark):
     d = weekly(120)
     e = d.copy()

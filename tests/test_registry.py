@@ -25,3 +25,12 @@ def test_contract(spark):
     assert set(contract.oracle_sql()) <= set(contract.queries())
     assert {"outcome", "att", "att_se"} <= set(contract.entry(spark).columns)
     assert contract.entry(spark).count() == 2
+
+
+FITS_MODELS = {"i04_hybrid_forecast", "i06_walk_forward_cv", "i09_permutation_importance", "i12_forecast_stage"}
+
+
+@pytest.mark.parametrize("name", [n for n in QUERIES if n not in FITS_MODELS])
+def test_no_join_pairs_all_rows(spark, name):
+    plan = QUERIES[name].run(spark, SF)._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" not in plan and "NestedLoopJoin" not in plan
