@@ -52,12 +52,12 @@ def daily_moments(assigned: DataFrame, outcomes: list[str]) -> DataFrame:
     return wide.select(*keys, F.inline("_moments")).filter(F.col("n") > 0)
 
 
-def cell_moments(moments: DataFrame, post: str = "post") -> DataFrame:
-    """Pool dates to cells: one row per experiment, outcome, treated and post with n, mean and m2."""
-    cell = Window.partitionBy(*KEYS, "treated", post)
+def cell_moments(moments: DataFrame, keys: list[str] = KEYS) -> DataFrame:
+    """Pool dates to cells: one row per key, treated and post with n, mean and m2."""
+    cell = Window.partitionBy(*keys, "treated", "post")
     pooled = moments.withColumn("_mean", F.sum(F.col("n") * F.col("mean")).over(cell) / F.sum("n").over(cell))
     gap = F.col("mean") - F.col("_mean")
-    return pooled.groupBy(*KEYS, "treated", F.col(post).alias("post")).agg(
+    return pooled.groupBy(*keys, "treated", "post").agg(
         F.sum("n").alias("n"), F.first("_mean").alias("mean"), F.sum(F.col("m2") + F.col("n") * gap * gap).alias("m2"))
 
 
@@ -99,33 +99,42 @@ def from_cells(cells: DataFrame, keys: list[str] = KEYS) -> DataFrame:
     )
 
 
-def placebo_moments(moments: DataFrame) -> DataFrame:
-    """Pre-period moments with pseudo_post, split half the pre window after the first date present."""
-    pre = moments.filter(F.col("post") == 0)
-    first = F.min("date").over(Window.partitionBy(*KEYS))
-    half = F.floor(F.col("pre_weeks") / F.lit(2)).cast("int") * 7
-    return pre.withColumn("pseudo_post", (F.col("date") >= F.date_add(first, half)).cast("int"))
-
+def with_placebo(moments: DataFrame) -> DataFrame:
+    """Every moment row under test 'main' and pre-period rows again under test 'placebo'.
 
-def placebo(moments: DataFrame) -> DataFrame:
-    """parallel_trends_t per experiment and outcome."""
-    fitted = from_cells(cell_moments(placebo_moments(moments), "pseudo_post"))
+    The placebo's post flag splits the pre-period half the pre window after the first date present. Doubling the small
+    moment table lets one pass over the data serve both tests.
+    """
+    first = F.min(F.when(F.col("post") == 0, F.col("date"))).over(Window.partitionBy(*KEYS))
+    half = F.floor(F.col("pre_weeks") / F.lit(2)).cast("int") * 7
+    pseudo = F.when(F.col("post") == 0, (F.col("date") >= F.date_add(first, half)).cast("int"))
+    tests = F.array(F.struct(F.lit("main").alias("test"), F.col("post").alias("post")),
+                    F.struct(F.lit("placebo").alias("test"), pseudo.alias("post")))
+    kept = [c for c in moments.columns if c != "post"]
+    doubled = moments.withColumn("_tests", tests)
+    return doubled.select(*kept, F.inline("_tests")).filter(F.col("post").isNotNull())
+
+
+def fit_tests(moments: DataFrame) -> DataFrame:
+    """Estimates of the main test with parallel_trends_t and parallel_trends_n of its placebo."""
+    keys = [*KEYS, "test"]
+    fitted = from_cells(cell_moments(with_placebo(moments), keys), keys)
     floor = F.greatest(F.coalesce(F.col("att_se"), F.lit(1e-10)), F.lit(1e-10))
-    return fitted.select(*KEYS, (F.col("att") / floor).alias("parallel_trends_t"),
-                         F.col("n_obs").alias("parallel_trends_n"))
+    placebo, group = F.col("test") == "placebo", Window.partitionBy(*KEYS)
+    return (fitted.withColumn("parallel_trends_t", F.max(F.when(placebo, F.col("att") / floor)).over(group))
+            .withColumn("parallel_trends_n", F.max(F.when(placebo, F.col("n_obs"))).over(group))
+            .filter(F.col("test") == "main").drop("test"))
 
 
 def estimate(panel: DataFrame, specs: DataFrame, outcomes: list[str], se_type: str = "classical",
              p_values: bool = True) -> DataFrame:
     """One row per experiment and outcome. se_type 'hc1' bases t, interval and p on the robust error."""
-    moments = daily_moments(assign(panel, specs), outcomes)
-    fitted = from_cells(cell_moments(moments))
+    out = fit_tests(daily_moments(assign(panel, specs), outcomes))
     if se_type == "hc1":
-        fitted = (fitted.withColumn("att_se", F.col("att_se_hc1"))
-                  .withColumn("att_t", F.try_divide(F.col("att"), F.col("att_se")))
-                  .withColumn("att_ci_low", F.col("att") - F.lit(1.96) * F.col("att_se"))
-                  .withColumn("att_ci_high", F.col("att") + F.lit(1.96) * F.col("att_se")))
-    out = fitted.join(placebo(moments), KEYS, "left")
+        out = (out.withColumn("att_se", F.col("att_se_hc1"))
+               .withColumn("att_t", F.try_divide(F.col("att"), F.col("att_se")))
+               .withColumn("att_ci_low", F.col("att") - F.lit(1.96) * F.col("att_se"))
+               .withColumn("att_ci_high", F.col("att") + F.lit(1.96) * F.col("att_se")))
     if not p_values:
         return out
     out = (out.withColumn("att_p", student_t_p(F.col("att_t"), (F.col("n_obs") - 4).cast("double")))

@@ -6,7 +6,7 @@ is paired with calendar rows it does not match.
 """
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from panelflume import fixed_values as fv
 from panelflume.functions.columns import half_even
@@ -112,11 +112,16 @@ def competition_rules(df: DataFrame, rules: DataFrame, name: str = "competition_
 
 def densify(df: DataFrame, step_days: int = 7, fill: dict | None = None, entity: str = "route",
             time: str = "date") -> DataFrame:
-    """One row per period between each entity's first and last date; `fill` gives values for the added rows."""
-    span = df.groupBy(entity).agg(F.min(time).alias("_lo"), F.max(time).alias("_hi"))
-    spine = span.select(entity, F.explode(
-        F.sequence("_lo", "_hi", F.make_dt_interval(F.lit(step_days)))).alias(time))
-    out = spine.join(df, [entity, time], "left")
+    """One row per period between each entity's first and last date; `fill` gives values for the added rows.
+
+    Every row brings forth the periods missing before the next row, so the data is read once and joined with nothing.
+    """
+    following = F.lead(time).over(Window.partitionBy(entity).orderBy(time))
+    until = F.greatest(F.col(time), F.coalesce(F.date_sub(following, step_days), F.col(time)))
+    dates = F.sequence(F.col(time), until, F.make_dt_interval(F.lit(step_days)))
+    values = [c for c in df.columns if c not in (entity, time)]
+    spread = df.withColumn("_dates", dates).select(entity, *values, F.posexplode("_dates").alias("_nth", "_date"))
+    out = spread.select(entity, F.col("_date").alias(time), *[F.when(F.col("_nth") == 0, F.col(c)).alias(c) for c in values])
     return out.fillna(fill) if fill else out
 
 

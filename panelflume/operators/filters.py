@@ -29,9 +29,9 @@ def date_window(column: Column, centre: Column, before_weeks, after_weeks) -> Co
 
 
 def min_observations(df: DataFrame, least: int, entity: str = "route") -> DataFrame:
-    """Rows of entities with at least `least` rows. The count is pre-aggregated and joined back on the entity."""
-    kept = df.groupBy(entity).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") >= least).select(entity)
-    return df.join(kept, entity, "left_semi")
+    """Rows of entities with at least `least` rows, in one pass over df."""
+    counted = df.withColumn("_n", F.count(F.lit(1)).over(Window.partitionBy(entity)))
+    return counted.filter(F.col("_n") >= least).drop("_n")
 
 
 def numbered(df: DataFrame, entity: str = "route", time: str = "date", bucket: Column | None = None) -> DataFrame:

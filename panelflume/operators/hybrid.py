@@ -11,7 +11,7 @@ from multiprocessing.pool import ThreadPool
 
 from pyspark.ml.functions import array_to_vector
 from pyspark.ml.regression import GBTRegressionModel, GBTRegressor
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 from pyspark.util import inheritable_thread_target
 
 from panelflume import fixed_values as fv
@@ -158,15 +158,18 @@ def bootstrap_interval(test: DataFrame, residuals: DataFrame, draws: int = fv.BO
                             ).drop("_pool", "_r", "_boot")
 
 
-def permuted(train: DataFrame, names: list[str], repeats: int) -> DataFrame:
+def permuted(train: DataFrame, names: list[str], repeats: int, spread: int = 6) -> DataFrame:
     """Rows (route, feature_code, repeat, residual, x): x with one feature shuffled among the rows of its route.
 
-    The shuffle orders rows by a hash of (route, feature, repeat, row), on the packed series, so one exchange on the
-    route serves all features and repeats.
+    The shuffle orders rows by a hash of (route, feature, repeat, row) on the packed series. A packed series is sent to
+    `spread` places, each of which works off its share of the features, so few entities still fill many tasks.
     """
     labels = F.array(*[F.lit(n) for n in names])
     packed = train.groupBy("route").agg(F.array_sort(F.collect_list(F.struct("date", "residual", "x"))).alias("rows"))
-    trials = packed.withColumn("f", F.explode(F.sequence(F.lit(0), F.lit(len(names) - 1)))).withColumn(
+    placed = smoothing.by_entity(
+        packed.withColumn("slot", F.explode(F.sequence(F.lit(0), F.lit(spread - 1)))), "route", "slot")
+    mine = F.filter(F.sequence(F.lit(0), F.lit(len(names) - 1)), lambda f: f % spread == F.col("slot"))
+    trials = placed.withColumn("f", F.explode(mine)).withColumn(
         "repeat", F.explode(F.sequence(F.lit(1), F.lit(repeats))))
     keys = F.transform(F.sequence(F.lit(0), F.size("rows") - 1), lambda i: F.struct(
         F.md5(F.concat_ws("|", "route", F.get(labels, F.col("f")), F.col("repeat").cast("string"), i.cast("string"))
@@ -210,9 +213,10 @@ def forecast_table(scored: DataFrame, last_train: int = fv.SEASON_WEEKS) -> Data
 
     Input columns: route, date, period, actual, hybrid_fc, hw_fc and, for test rows, ci_low and ci_high.
     """
-    test = scored.filter(F.col("period") == "test")
-    train = filters.tail(scored.filter(F.col("period") == "train"), last_train).drop("ci_low", "ci_high")
-    both = test.unionByName(train, allowMissingColumns=True)
-    values = {c: F.col(c).cast("long") for c in ("actual", "hybrid_fc", "hw_fc", "ci_high")}
-    values["ci_low"] = F.when(F.col("ci_low").isNotNull(), F.greatest(F.col("ci_low"), F.lit(0.0))).cast("long")
-    return both.withColumns(values).select("route", "date", "period", "actual", "hybrid_fc", "hw_fc", "ci_low", "ci_high")
+    test = F.col("period") == "test"
+    back = F.row_number().over(Window.partitionBy("route", "period").orderBy(F.col("date").desc()))
+    kept = scored.withColumn("_back", back).filter(test | (F.col("_back") <= last_train))
+    values = {c: F.col(c).cast("long") for c in ("actual", "hybrid_fc", "hw_fc")}
+    values["ci_low"] = F.when(test & F.col("ci_low").isNotNull(), F.greatest(F.col("ci_low"), F.lit(0.0))).cast("long")
+    values["ci_high"] = F.when(test, F.col("ci_high")).cast("long")
+    return kept.withColumns(values).select("route", "date", "period", "actual", "hybrid_fc", "hw_fc", "ci_low", "ci_high")

@@ -30,15 +30,12 @@ def improvement_pct(base: Column, better: Column) -> Column:
 
 
 def standardise(df: DataFrame, columns: list[str], entity: str = "route") -> DataFrame:
-    """(x - mean) / population deviation per entity; a constant column is only centred.
-
-    The statistics are pre-aggregated per entity and joined back, so rows of a hot entity stay where they are.
-    """
-    stats = [f(c).alias(f"_{tag}_{c}") for c in columns for tag, f in (("m", F.avg), ("s", F.stddev_pop))]
-    joined = df.join(df.groupBy(entity).agg(*stats), entity)
+    """(x - mean) / population deviation per entity; a constant column is only centred. One pass over df."""
+    w = Window.partitionBy(entity)
+    stats = {f"_s_{c}": F.stddev_pop(c).over(w) for c in columns} | {f"_m_{c}": F.avg(c).over(w) for c in columns}
     scaled = {c: (F.col(c) - F.col(f"_m_{c}")) / F.when(F.col(f"_s_{c}") == 0, 1.0).otherwise(F.col(f"_s_{c}"))
               for c in columns}
-    return joined.withColumns(scaled).drop(*[f"_{t}_{c}" for c in columns for t in "ms"])
+    return df.withColumns(stats).withColumns(scaled).drop(*stats)
 
 
 def forecast_metrics(df: DataFrame) -> DataFrame:

@@ -18,10 +18,19 @@ from panelflume.functions.shapes import record
 GRID = np.array(list(itertools.product(fv.ALPHA_GRID, fv.BETA_GRID, fv.GAMMA_GRID)))
 
 
+def by_entity(df: DataFrame, *keys: str) -> DataFrame:
+    """Hash rows by key into the session's number of shuffle partitions.
+
+    Adaptive execution would merge partitions by their bytes; a series is few bytes but much work, so the number is
+    kept. Grouping by the same keys needs no further exchange.
+    """
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys)
+
+
 def series(df: DataFrame, value: str = "pax", carry: list[str] | None = None) -> DataFrame:
     """One row per route: `rows` array<struct<date, carry...>> in time order and `y` array<double>."""
     packed = F.struct("date", F.col(value).cast("double").alias("y"), *(carry or []))
-    rows = df.groupBy("route").agg(F.array_sort(F.collect_list(packed)).alias("rows"))
+    rows = by_entity(df.select("route", "date", value, *(carry or [])), "route").groupBy("route").agg(F.array_sort(F.collect_list(packed)).alias("rows"))
     return rows.withColumn("y", F.transform("rows", lambda r: r["y"]))
 
 

@@ -23,7 +23,7 @@ def forecast(panel: DataFrame, trees: int = fv.BOOST_PARAMS["trees"], cv_trees:
     fits = {"model": lambda: hybrid.fit_boost(train, trees),
             "cv": lambda: cut_lineage(hybrid.cross_validate(frame, trees=cv_trees))}
     model, cv = hybrid.side_by_side(panel.sparkSession, lambda name: fits[name](), fits)
-    scored = hybrid.score(model, frame)
+    scored = cut_lineage(hybrid.score(model, frame))
 
     residuals = scored.filter(F.col("period") == "train").select(
         "route", "date", (F.col("actual") - F.col("hybrid_fc")).alias("residual"))
@@ -74,6 +74,7 @@ def allocate(forecasts: DataFrame, panel: DataFrame, flights: DataFrame | None =
              base_yield: float = fv.BASE_YIELD, parameters: dict | None = None) -> dict[str, DataFrame]:
     """lp_results and lp_sensitivity per route. The sweep uses unscaled yields."""
     flights = lookup(panel.sparkSession, "daily_flights") if flights is None else flights
+    panel = panel.select("route", "yield_aud")
     demand = allocation.flight_demand(forecasts, flights)
     if parameters:
         demand = demand.withColumns({k: F.lit(v) for k, v in parameters.items()})

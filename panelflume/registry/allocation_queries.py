@@ -10,6 +10,7 @@ from panelflume.operators import allocation, filters
 from panelflume.plans import stages
 from panelflume.registry.base import LOOKUPS, PANEL, demo, panel, query, rounded
 from panelflume.sources import table
+from panelflume.sources.files import cut_lineage
 
 CABINS = fv.CABINS
 
@@ -204,7 +205,7 @@ def _sweep(spark, sf):
     round_even(round_even((revenue - flat) / greatest(flat, 1) * 100, 6), 2) AS revenue_uplift_pct, round_even(round_even(bid_eco, 5), 2) AS bid_price_eco,
     lp_success FROM solved""")
 def route_allocation(spark, sf):
-    p = panel(spark, sf)
+    p = cut_lineage(panel(spark, sf))
     return stages.allocate(naive_forecasts(p), p, demo(spark, "daily_flights"), BASE,
                            {"capacity": float(CAPACITY)})["lp_results"]
 

@@ -10,7 +10,11 @@ from panelflume.operators import did, elasticity, regression, unitroot
 from panelflume.plans import stages
 from panelflume.registry.base import (ENRICHED, EXPERIMENTS, PANEL, chi2_tail_sql, did_fit_sql, did_rows_sql, enriched,
                                       panel, panel_sql, query, rounded, sweep, t_tail_sql)
+from panelflume.sources import table
+from panelflume.sources.files import result_folder
 from panelflume.sources.lookups import values_table
+from panelflume.sources.star import TABLE_SCHEMAS
+from panelflume.streaming import did_updates
 
 E1 = EXPERIMENTS[:1]
 OUTCOMES = ["yield_aud", "pax"]
@@ -69,7 +73,8 @@ def _placebo_ctes(experiments):
     n_obs AS parallel_trends_n, round(att / greatest(att_se, 1e-10), 4) AS parallel_trends_t FROM q""")
 def _parallel(spark, sf):
     moments = did.daily_moments(did.assign(panel(spark, sf), _specs(spark, EXPERIMENTS)), OUTCOMES)
-    return rounded(did.placebo(moments), {"parallel_trends_t": 4})
+    return rounded(did.fit_tests(moments).select("experiment", "outcome", "parallel_trends_n", "parallel_trends_t"),
+                   {"parallel_trends_t": 4})
 
 
 @query("j05_multi_outcome", DID + "SELECT outcome, n_obs, round(att, 4) AS att, round(att_se, 4) AS att_se FROM f")
@@ -94,20 +99,37 @@ ORDER_ROWS = f"""panel AS (SELECT r_name AS route, CAST(o_orderdate AS DATE) AS
     JOIN region ON n_regionkey = r_regionkey)"""
 
 
-@query("j02_did_order_level", f"""WITH {ORDER_ROWS}, {did_rows_sql(E1)}, {did_fit_sql('d', 'po', 'f')}
-    SELECT outcome, n_obs, round(att, 2) AS att, round(att_se, 2) AS att_se FROM f WHERE outcome = 'yield_aud'""")
-def _order_level(spark, sf):
-    from panelflume.sources import table
+ORDER_SQL = f"""WITH {ORDER_ROWS}, {did_rows_sql(E1)}, {did_fit_sql('d', 'po', 'f')}
+    SELECT outcome, n_obs, round(att, 2) AS att, round(att_se, 2) AS att_se FROM f WHERE outcome = 'yield_aud'"""
+
+
+def _order_rows(spark, sf, orders):
     places = table(spark, sf, "nation").join(table(spark, sf, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
     owners = table(spark, sf, "customer").join(places, F.col("c_nationkey") == F.col("n_nationkey"))
-    rows = table(spark, sf, "orders").join(owners, F.col("o_custkey") == F.col("c_custkey")).select(
+    return orders.join(owners, F.col("o_custkey") == F.col("c_custkey")).select(
         F.col("r_name").alias("route"), F.col("o_orderdate").cast("date").alias("date"),
         F.col("o_totalprice").alias("yield_aud"))
-    moments = did.daily_moments(did.assign(rows, _specs(spark)), ["yield_aud"])
-    fitted = did.from_cells(did.cell_moments(moments))
+
+
+def _order_out(fitted):
     return rounded(fitted.select("outcome", "n_obs", "att", "att_se"), {"att": 2, "att_se": 2})
 
 
+@query("j02_did_order_level", ORDER_SQL)
+def _order_level(spark, sf):
+    rows = _order_rows(spark, sf, table(spark, sf, "orders"))
+    return _order_out(did.fit_tests(did.daily_moments(did.assign(rows, _specs(spark)), ["yield_aud"])))
+
+
+@query("m01_incremental_did", ORDER_SQL)
+def _incremental(spark, sf):
+    folder = result_folder(spark)
+    arriving = spark.readStream.schema(TABLE_SCHEMAS["orders"]).parquet(f"{sf}/orders.parquet*")
+    running = did_updates.maintain(_order_rows(spark, sf, arriving), _specs(spark), ["yield_aud"], folder)
+    running.awaitTermination()
+    return _order_out(did_updates.estimates(spark, folder, running))
+
+
 # Regression --------------------------------------------------------------------------------------------------------
 
 LOGS = """logs AS (SELECT *, ln(pax) AS ln_pax, ln(yield_aud) AS ln_yield, ln(fuel_index) AS ln_fuel FROM {src} WHERE pax > 0)"""
@@ -271,15 +293,14 @@ def _chi(spark, sf):
     return rounded(c.withColumn("p", chi2_1_p("x")), {"x": 6, "p": 8})
 
 
-P_SQL = """CASE WHEN {t} <= -3.5 THEN 0.001 WHEN {t} <= -2.9 THEN 0.01 + ({t} + 3.5) / 0.6::DOUBLE * 0.04
-    WHEN {t} <= -2.6 THEN 0.05 + ({t} + 2.9) / 0.3::DOUBLE * 0.05 WHEN {t} <= -2.0 THEN 0.1 + ({t} + 2.6) / 0.6::DOUBLE * 0.4
-    WHEN {t} <= 0 THEN 0.5 - {t} / 2 * 0.4 ELSE 0.9 END"""
+P_SQL = f"CASE WHEN {{t}} <= {fv.UNIT_ROOT_SEGMENTS[0][0]} THEN {fv.UNIT_ROOT_P_LOW} " + " ".join(
+    f"WHEN {{t}} <= {b} THEN {p}::DOUBLE + ({{t}} - ({a}::DOUBLE)) * ({q}::DOUBLE - {p}::DOUBLE) / ({b}::DOUBLE - ({a}::DOUBLE))"
+    for a, b, p, q in fv.UNIT_ROOT_SEGMENTS) + f" ELSE {fv.UNIT_ROOT_P_HIGH} END"
 
 
 @query("g13_unit_root_p", f"""SELECT o_orderkey, tau, round(greatest(0.001, least(0.999, {P_SQL.format(t='tau')})), 8) AS p
     FROM (SELECT o_orderkey, (o_orderkey % 97) / 16.0::DOUBLE - 5 AS tau FROM orders)""")
 def _root_p(spark, sf):
-    from panelflume.sources import table
     t = table(spark, sf, "orders").select("o_orderkey", (F.col("o_orderkey") % 97 / F.lit(16.0) - 5).alias("tau"))
     return rounded(t.withColumn("p", unit_root_p(F.col("tau"))), {"p": 8})
 

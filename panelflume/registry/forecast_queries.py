@@ -249,7 +249,7 @@ def _union(spark, sf):
     SELECT route, {DAY}, round(quantile_cont(CAST(v AS DOUBLE), 0.025), 4) AS ci_low, round(quantile_cont(CAST(v AS DOUBLE), 0.975), 4) AS ci_high
     FROM boot GROUP BY route, date""")
 def bootstrap(spark, sf):
-    t = naive_table(panel(spark, sf))
+    t = cut_lineage(naive_table(panel(spark, sf)))
     residuals = t.filter(F.col("period") == "train").select("route", "date", (F.col("actual") - F.col("hybrid_fc")).alias("residual"))
     test = t.filter(F.col("period") == "test").withColumn("step", F.row_number().over(filters.series_window()))
     out = hybrid.bootstrap_interval(test, residuals)

@@ -3,10 +3,12 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from panelflume.operators import did, metrics
+from panelflume.operators import did, enrich, metrics
 from panelflume.plans import serving, stages
 from panelflume.registry.allocation_queries import BASE, CAPACITY, NAIVE_BODY, lp_sql, naive_forecasts
-from panelflume.registry.base import (EXPERIMENTS, PANEL, did_fit_sql, did_rows_sql, demo, enriched, panel, query, rounded)
+from panelflume.registry.base import (BASE_YEAR, EXPERIMENTS, PANEL, did_fit_sql, did_rows_sql, demo, demo_tables, panel,
+                                      query, rounded)
+from panelflume.sources.files import cut_lineage
 from panelflume.registry.causal_queries import _FULL, DID, START, _fitted, _specs, _table_sql
 from panelflume.registry.forecast_queries import METRICS_SQL, NAIVE, naive_table
 
@@ -28,17 +30,17 @@ RESULTS = f"""{_FULL}, {ALLOCATED}, {FORECASTS}, m AS ({METRICS_SQL}), el AS ({_
 
 
 def _inputs(spark, sf):
-    p = panel(spark, sf)
+    p = cut_lineage(panel(spark, sf))
     lp = stages.allocate(naive_forecasts(p), p, demo(spark, "daily_flights"), BASE, {"capacity": float(CAPACITY)})["lp_results"]
-    el = stages.elasticity_table(enriched(spark, sf, start=START), START)
-    return metrics.forecast_metrics(naive_table(p)), el, lp
+    recent = enrich.calendar(p.filter(F.col("date") >= F.lit(START).cast("date")), demo_tables(spark), BASE_YEAR)
+    return p, metrics.forecast_metrics(naive_table(p)), stages.elasticity_table(recent, START), lp
 
 
 @query("l02_scorecard", f"""WITH {RESULTS} SELECT m.route, round(hw_mape, 8) AS hw_mape, round(hybrid_mape, 8) AS hybrid_mape,
     round((hw_mape - hybrid_mape) / hw_mape * 100, 6) AS mape_improvement_pct, round(hybrid_r2, 8) AS hybrid_r2, revenue_uplift_pct,
     preferred_elasticity FROM m LEFT JOIN lp USING (route) LEFT JOIN el USING (route)""")
 def scorecard(spark, sf):
-    m, el, lp = _inputs(spark, sf)
+    _, m, el, lp = _inputs(spark, sf)
     return rounded(serving.scorecard(m, el, lp), {"hw_mape": 8, "hybrid_mape": 8, "mape_improvement_pct": 6, "hybrid_r2": 8})
 
 
@@ -49,6 +51,6 @@ def scorecard(spark, sf):
     UNION ALL SELECT 'elasticity', max(preferred_elasticity) FROM el WHERE route = 'ASIA'
     UNION ALL SELECT 'att', max(att) FROM f WHERE outcome = 'yield_aud' UNION ALL SELECT 'n_obs', max(n_obs) FROM f WHERE outcome = 'yield_aud')""")
 def _headline(spark, sf):
-    m, el, lp = _inputs(spark, sf)
-    effects = did.estimate(panel(spark, sf), _specs(spark), ["yield_aud"], p_values=False)
+    p, m, el, lp = _inputs(spark, sf)
+    effects = did.estimate(p, _specs(spark), ["yield_aud"], p_values=False)
     return rounded(serving.headline(m, el, effects, lp, "ASIA"), {"value": 4})

@@ -74,10 +74,11 @@ def result_folder(spark: SparkSession) -> str:
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Write df to the shared folder and read it back, so that later jobs neither repeat nor depend on its plan.
 
-    The written table outlives executors. Where the cluster names no shared folder the plan is returned unchanged.
+    The written table outlives executors, and its files are sized by their bytes, however many tasks computed them.
+    Where the cluster names no shared folder the plan is returned unchanged.
     """
     folder = shared_folder(df.sparkSession)
     if folder is None:
         return df
-    df.write.parquet(folder)
+    df.hint("rebalance").write.parquet(folder)
     return df.sparkSession.read.schema(df.schema).parquet(folder)

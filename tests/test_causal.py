@@ -8,6 +8,7 @@ from panelflume.functions.tails import chi2_1_tail, t_tail
 from panelflume.operators import did, elasticity, regression, unitroot
 from panelflume.plans import stages
 from panelflume.sources.lookups import values_table
+from panelflume.streaming import did_updates
 
 SPEC = [("e", "2024-07-01", ["T1", "T2"], ["C1", "C2"], 52, 26)]
 
@@ -74,6 +75,22 @@ def test_result_does_not_depend_on_partitioning(spark):
     assert outs[0]["att_se"] == pytest.approx(outs[1]["att_se"], rel=1e-12)
 
 
+def test_stream_over_arriving_files_equals_batch(spark, tmp_path):
+    pdf, specs = did_panel(), values_table(spark, did.SPEC_SHAPE, SPEC)
+    rows = spark.createDataFrame(pdf).select("route", "date", "yield_aud")
+    inbox, work = f"{tmp_path}/inbox", f"{tmp_path}/work"
+    whole = did.estimate(rows, specs, ["yield_aud"], p_values=False).first()
+    for part, late in ((rows.filter(F.col("route") != "C2"), False), (rows.filter(F.col("route") == "C2"), True)):
+        part.write.mode("append").parquet(inbox)
+        stream = spark.readStream.schema(rows.schema).parquet(inbox)
+        query = did_updates.maintain(stream, specs, ["yield_aud"], work)
+        query.awaitTermination()
+        now = did_updates.estimates(spark, work, query).first()
+        assert (now["n_obs"] == whole["n_obs"]) == late
+    for c in ("att", "att_se", "parallel_trends_t"):
+        assert now[c] == pytest.approx(whole[c], rel=1e-10)
+
+
 def elasticity_rows(seed=3, n=150):
     rng = np.random.default_rng(seed)
     dates = pd.date_range("2022-01-03", periods=n, freq="7D")
