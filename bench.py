@@ -11,7 +11,7 @@ from pyspark.sql import SparkSession
 from panelflume.registry import QUERIES
 
 HEADLINE = [
-    "a07_panel_scan", "a07_panel_scan_nation_brand", "c09_calendar_frame", "e14_feature_frame", "h02_grid_search",
+    "a07_panel_scan", "a07_panel_scan_nation_brand", "c00_calendar_frame", "e14_feature_frame", "h02_grid_search",
     "h06_adf", "i04_hybrid_forecast", "i06_walk_forward_cv", "i08_bootstrap_interval", "i09_permutation_importance",
     "j02_did_att", "j07_many_experiments", "j14_elasticity_table", "j14_elasticity_many_routes",
     "k06_allocation_record", "k07_sensitivity_sweep", "k08_route_allocation", "l02_scorecard",

@@ -8,8 +8,8 @@ import pandas as pd
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
-_lgamma = np.frompyfunc(math.lgamma, 1, 1)
-_erfc = np.frompyfunc(math.erfc, 1, 1)
+_lgamma = np.vectorize(math.lgamma, otypes=[float])
+_erfc = np.vectorize(math.erfc, otypes=[float])
 
 
 def beta_inc(a, b, x):
@@ -19,7 +19,7 @@ def beta_inc(a, b, x):
     p, q, z = np.where(swap, b, a), np.where(swap, a, b), np.where(swap, 1 - x, x)
     tiny = 1e-300
     with np.errstate(all="ignore"):
-        front = np.exp(np.asarray(_lgamma(p + q) - _lgamma(p) - _lgamma(q), float)
+        front = np.exp(_lgamma(p + q) - _lgamma(p) - _lgamma(q)
                        + p * np.log(np.maximum(z, tiny)) + q * np.log1p(-z)) / p
         d = 1 - (p + q) * z / (p + 1)
         d = 1 / np.where(np.abs(d) < tiny, tiny, d)
@@ -50,7 +50,7 @@ def chi2_1_tail(x):
     """Upper tail of the chi-square distribution with one degree of freedom."""
     x = np.asarray(x, float)
     ok = np.isfinite(x) & (x >= 0)
-    return np.where(ok, np.asarray(_erfc(np.sqrt(np.where(ok, x, 0.0) / 2)), float), np.nan)
+    return np.where(ok, _erfc(np.sqrt(np.where(ok, x, 0.0) / 2)), np.nan)
 
 
 @F.pandas_udf(DoubleType())

@@ -11,7 +11,7 @@ from panelflume.plans import stages
 from panelflume.registry.base import (ENRICHED, EXPERIMENTS, PANEL, chi2_tail_sql, did_fit_sql, did_rows_sql, enriched,
                                       panel, panel_sql, query, rounded, sweep, t_tail_sql)
 from panelflume.sources import table
-from panelflume.sources.files import result_folder
+from panelflume.sources.files import read_json, result_folder, write_json
 from panelflume.sources.lookups import values_table
 from panelflume.sources.star import TABLE_SCHEMAS
 from panelflume.streaming import did_updates
@@ -51,6 +51,16 @@ def did_att(spark, sf):
     return rounded(_fitted(spark, sf).select("experiment", "outcome", "n_obs", *cols), {c: 4 for c in cols})
 
 
+@query("a04_json_sink", DID + """SELECT outcome, n_obs, round(mean_0_0, 4) AS control_pre, round(mean_0_1, 4) AS control_post,
+    round(mean_1_0, 4) AS treated_pre, round(mean_1_1, 4) AS treated_post FROM f""")
+def _json_sink(spark, sf):
+    folder = result_folder(spark)
+    write_json(did.group_means(_fitted(spark, sf)).select("outcome", "n_obs", "group_means"), f"{folder}/did_results")
+    back = read_json(spark, f"{folder}/did_results", "outcome string, n_obs bigint, group_means map<string,double>")
+    names = {"control_pre": "0_0", "control_post": "0_1", "treated_pre": "1_0", "treated_post": "1_1"}
+    return back.select("outcome", "n_obs", *[F.round(F.col("group_means")[k], 4).alias(n) for n, k in names.items()])
+
+
 @query("j03_naive_did", DID + "SELECT outcome, round(att, 4) AS naive_did FROM f")
 def _naive(spark, sf):
     return rounded(_fitted(spark, sf).select("outcome", "naive_did"), {"naive_did": 4})

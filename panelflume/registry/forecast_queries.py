@@ -285,6 +285,13 @@ def hybrid_forecast(spark, sf):
     return iso(hybrid.score(model, frame).select("route", "date", "period", "actual", "hw_fc", "hybrid_fc"))
 
 
+@query("i03_boosted_residuals")
+def _boosted(spark, sf):
+    frame = _frame(spark, sf)
+    train = frame.filter(F.col("period") == "train")
+    return iso(hybrid.score(hybrid.fit_boost(train, TREES), train).select("route", "date", "residual", "boost"))
+
+
 @query("i06_walk_forward_cv")
 def _cv(spark, sf):
     return hybrid.cross_validate(_frame(spark, sf), trees=TREES)

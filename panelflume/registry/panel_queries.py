@@ -26,6 +26,15 @@ def _csv(spark, sf):
     return iso(files.read_csv(spark, f"{folder}/panel", PANEL_SCHEMA))
 
 
+@query("a02_csv_sink", P + """SELECT route, year, CAST(sum(pax) AS BIGINT) AS pax, strftime(max(date), '%Y-%m-%d') AS last_week
+    FROM panel GROUP BY route, year""")
+def _csv_sink(spark, sf):
+    folder = files.result_folder(spark)
+    annual = panel(spark, sf).groupBy("route", "year").agg(F.sum("pax").alias("pax"), F.max("date").alias("last_week"))
+    files.write_csv(annual, f"{folder}/tables/annual")
+    return iso(files.read_csv(spark, f"{folder}/tables/annual", annual.schema))
+
+
 @query("a03_json_round_trip", P + """SELECT route, year, CAST(sum(pax) AS BIGINT) AS pax, count(*) AS weeks
     FROM panel GROUP BY route, year""")
 def _json(spark, sf):
@@ -237,7 +246,7 @@ def _regime(spark, sf):
                    .select("route", "date", "covid_factor"), {"covid_factor": 8})
 
 
-@query("c09_calendar_frame", E_ + f"""SELECT route, {DAY}, school_holiday, public_holiday, event_multiplier, covid_factor,
+@query("c00_calendar_frame", E_ + f"""SELECT route, {DAY}, school_holiday, public_holiday, event_multiplier, covid_factor,
     rba_cash_rate, cpi_index FROM enriched""")
 def _calendar(spark, sf):
     return iso(enriched(spark, sf).select("route", "date", "school_holiday", "public_holiday", "event_multiplier",

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from panelflume.operators import did, enrich, metrics
 from panelflume.plans import serving, stages
 from panelflume.registry.allocation_queries import BASE, CAPACITY, NAIVE_BODY, lp_sql, naive_forecasts
-from panelflume.registry.base import (BASE_YEAR, EXPERIMENTS, PANEL, did_fit_sql, did_rows_sql, demo, demo_tables, panel,
+from panelflume.registry.base import (BASE_YEAR, EXPERIMENTS, LOOKUPS, PANEL, did_fit_sql, did_rows_sql, demo, demo_tables, panel,
                                       query, rounded)
 from panelflume.sources.files import cut_lineage
 from panelflume.registry.causal_queries import _FULL, DID, START, _fitted, _specs, _table_sql
@@ -36,6 +36,18 @@ def _inputs(spark, sf):
     return p, metrics.forecast_metrics(naive_table(p)), stages.elasticity_table(recent, START), lp
 
 
+@query("c09_results_wide_join", f"""WITH {PANEL}, {LOOKUPS}, {ALLOCATED}, {FORECASTS}, m AS ({METRICS_SQL})
+    SELECT m.route, n_test, round(hybrid_rmse, 4) AS hybrid_rmse, revenue_uplift_pct, route_desc
+    FROM m LEFT JOIN lp USING (route) LEFT JOIN routes USING (route)""")
+def _wide(spark, sf):
+    p = cut_lineage(panel(spark, sf))
+    lp = stages.allocate(naive_forecasts(p), p, demo(spark, "daily_flights"), BASE, {"capacity": float(CAPACITY)})["lp_results"]
+    m = metrics.forecast_metrics(naive_table(p)).select("route", "n_test", "hybrid_rmse")
+    wide = m.join(lp.select("route", "revenue_uplift_pct"), "route", "left").join(
+        demo(spark, "routes").select("route", "route_desc"), "route", "left")
+    return rounded(wide, {"hybrid_rmse": 4})
+
+
 @query("l02_scorecard", f"""WITH {RESULTS} SELECT m.route, round(hw_mape, 8) AS hw_mape, round(hybrid_mape, 8) AS hybrid_mape,
     round((hw_mape - hybrid_mape) / hw_mape * 100, 6) AS mape_improvement_pct, round(hybrid_r2, 8) AS hybrid_r2, revenue_uplift_pct,
     preferred_elasticity FROM m LEFT JOIN lp USING (route) LEFT JOIN el USING (route)""")

@@ -27,7 +27,7 @@ def test_contract(spark):
     assert contract.entry(spark).count() == 2
 
 
-FITS_MODELS = {"i04_hybrid_forecast", "i06_walk_forward_cv", "i09_permutation_importance", "i12_forecast_stage"}
+FITS_MODELS = {"i03_boosted_residuals", "i04_hybrid_forecast", "i06_walk_forward_cv", "i09_permutation_importance", "i12_forecast_stage"}
 
 
 @pytest.mark.parametrize("name", [n for n in QUERIES if n not in FITS_MODELS])
