@@ -24,21 +24,20 @@ def _star(pairs: DataFrame, larger: bool) -> DataFrame:
 def components(links: DataFrame) -> DataFrame:
     """links (a long, b long) -> (id, component_id) for every id that has a link, component_id being the smallest id reachable.
 
-    Large-star and small-star steps alternate until the edges no longer change: a number of rounds that grows with the
-    logarithm of the longest chain. Each round's edges are a written table, so lineage stays short and no component is
+    Large-star and small-star steps alternate until every id has one edge, to an id that has none: a number of rounds that
+    grows with the logarithm of the longest chain. Each round's edges are a written table, so lineage stays short and no component is
     ever gathered in one place; ids with many neighbours are dealt out by salt. Null ids and self links are ignored.
     """
     edges = saved(links.select("a", "b").where("a is not null and b is not null and a <> b")
                   .select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
-    before = None
     while True:
+        chained = edges.select("b").join(edges.select(F.col("a").alias("b")).distinct(), "b", "left_semi")
+        forked = edges.groupBy("a").agg(F.count("*").alias("n")).where("n > 1").select(F.col("a").alias("b"))
+        if chained.unionByName(forked).isEmpty():
+            break
         large = saved(_star(_both_ways(edges), True))
         edges = saved(_star(large.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")), False)
                       .select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
-        state = edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
-        if state == before:
-            break
-        before = state
-    ids = edges.groupBy("a").agg(F.min("b").alias("component_id")).withColumnRenamed("a", "id")
+    ids = edges.select(F.col("a").alias("id"), F.col("b").alias("component_id"))
     roots = ids.select(F.col("component_id").alias("id")).distinct().withColumn("component_id", F.col("id"))
     return saved(ids.unionByName(roots))

@@ -16,7 +16,7 @@ TREES = 10
 PATH = 32
 SKETCH = 128
 SKETCH_CUT = 0.62
-SMALL_NODE = 64
+SMALL_NODE = 512
 FILTER_SLOTS = 1 << 24
 CHUNK_BYTES = 1 << 20
 SEED = 20240229
@@ -181,9 +181,9 @@ def node_pairs(members: DataFrame) -> DataFrame:
 def confirmed(pairs: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
     """The pairs that link, by their full sets. docs (id, text) is read again for the ids in pairs; a Bloom filter of fixed
     size keeps other texts out of the shuffle."""
-    wanted = saved(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct())
+    wanted = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
     slot = F.pmod(F.xxhash64("id"), F.lit(FILTER_SLOTS))
-    near = bloom_hit(docs, slot, saved(bloom(wanted.select(slot.alias("slot_")), "slot_")), "hit_").where("hit_").select("id", "text")
+    near = bloom_hit(docs, slot, bloom(wanted.select(slot.alias("slot_")), "slot_"), "hit_").where("hit_").select("id", "text")
     sets = saved(full_sets(near.join(wanted, "id").dropDuplicates(["id"])))
     left = attach(pairs, sets.toDF("b", "sb"), ["b"], ["a"])
     met = left.join(sets.toDF("a", "sa"), "a").select("a", "b", F.size("sa").alias("na"), F.size("sb").alias("nb"),
