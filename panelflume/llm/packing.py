@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from panelflume.llm.common import sealed, words
 
 CAPACITY = 2048
-SHARD_ROWS = 4096
+SHARD_ROWS = 2048
 
 
 def best_fit(items: list[tuple[int, int, int]], capacity: int) -> list[int]:
