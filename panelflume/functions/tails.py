@@ -8,8 +8,18 @@ import pandas as pd
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
-_lgamma = np.vectorize(math.lgamma, otypes=[float])
-_erfc = np.vectorize(math.erfc, otypes=[float])
+
+def _each(fn, x):
+    """fn of every element. Nothing is kept at module level: ufuncs made from Python functions can't be pickled."""
+    return np.array([fn(v) for v in np.ravel(x)], dtype=float).reshape(np.shape(x))
+
+
+def _lgamma(x):
+    return _each(math.lgamma, x)
+
+
+def _erfc(x):
+    return _each(math.erfc, x)
 
 
 def beta_inc(a, b, x):

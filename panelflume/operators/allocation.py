@@ -164,11 +164,13 @@ def sweep_grid(df: DataFrame, high: float = fv.SWEEP_HIGH, grid: list[int] | Non
     """One row per flight and economy floor: adds eco_fixed and min_eco_pct = eco_fixed / capacity.
 
     The default grid runs from 40 % of capacity up to, not including, `high`, in steps of five seats; a flight's grid
-    is generated on its own row.
+    is generated on its own row. A missing or zero capacity is the default one; a flight too small for any step has no rows.
     """
-    cap = F.col("capacity") if "capacity" in df.columns else F.lit(fv.ALLOCATION_DEFAULTS["capacity"])
+    default = F.lit(fv.ALLOCATION_DEFAULTS["capacity"])
+    cap = F.coalesce(F.nullif("capacity", F.lit(0)), default) if "capacity" in df.columns else default
     if grid is None:
-        points = F.sequence((cap * fv.SWEEP_LOW).cast("int"), (cap * high).cast("int") - 1, F.lit(fv.SWEEP_STEP))
+        low, top = (cap * fv.SWEEP_LOW).cast("int"), (cap * high).cast("int") - 1
+        points = F.when(low <= top, F.sequence(low, F.greatest(low, top), F.lit(fv.SWEEP_STEP))).otherwise(F.array().cast("array<int>"))
     else:
         points = F.array(*[F.lit(g) for g in grid])
     rest = df.drop("min_eco_pct")

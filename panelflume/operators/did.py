@@ -52,6 +52,43 @@ def daily_moments(assigned: DataFrame, outcomes: list[str]) -> DataFrame:
     return wide.select(*keys, F.inline("_moments")).filter(F.col("n") > 0)
 
 
+def arms(specs: DataFrame, bucket_days: int) -> DataFrame:
+    """One row per experiment, listed route and bucket of days its window touches."""
+    first, last = F.date_sub("treatment_date", F.col("pre_weeks") * 7), F.date_add("treatment_date", F.col("post_weeks") * 7)
+    spread = specs.filter(first <= last).withColumn("bucket", F.explode(F.sequence(_bucket(first, bucket_days), _bucket(last, bucket_days))))
+    sides = F.concat(F.transform("treatment_routes", lambda r: F.struct(r.alias("route"), F.lit(1).alias("treated"))),
+                     F.transform("control_routes", lambda r: F.struct(r.alias("route"), F.lit(0).alias("treated"))))
+    return spread.select("experiment", "treatment_date", "pre_weeks", "post_weeks", "bucket", F.inline(sides))
+
+
+def _bucket(day, days: int):
+    return F.floor(F.datediff(day, F.lit("1970-01-05").cast("date")) / F.lit(days)).cast("int")
+
+
+def moments(panel: DataFrame, specs: DataFrame, outcomes: list[str], bucket_days: int = 56) -> DataFrame:
+    """As daily_moments, but rows are first reduced to (route, date), which no experiment has a say in; only those meet the
+    experiments, by route and bucket of days, so a row meets experiments near its date and the bounds follow from the specs.
+    """
+    def moment(o: str):
+        y = F.col(o).cast("double")
+        return F.struct(F.lit(o).alias("outcome"), F.count(y).alias("n"), F.avg(y).alias("mean"), (F.var_pop(y) * F.count(y)).alias("m2"))
+
+    days = panel.groupBy("route", "date").agg(F.array(*[moment(o) for o in outcomes]).alias("_moments"))
+    inside = date_window(F.col("date"), F.col("treatment_date"), F.col("pre_weeks"), F.col("post_weeks"))
+    met = days.withColumn("bucket", _bucket(F.col("date"), bucket_days)).join(arms(specs, bucket_days), ["route", "bucket"]).filter(inside)
+    post = (F.col("date") >= F.col("treatment_date")).cast("int")
+    return merge_moments(met.select("experiment", "pre_weeks", "treated", post.alias("post"), "date", F.inline("_moments")).filter(F.col("n") > 0))
+
+
+def merge_moments(moments: DataFrame) -> DataFrame:
+    """Moments of disjoint sets of rows pooled to one row per key."""
+    keys = ["experiment", "pre_weeks", "treated", "post", "date", "outcome"]
+    return moments.groupBy(*keys).agg(
+        F.sum("n").alias("n"), (F.sum(F.col("n") * F.col("mean")) / F.sum("n")).alias("mean"),
+        F.greatest(F.sum(F.col("m2") + F.col("n") * F.col("mean") * F.col("mean"))
+                   - F.sum(F.col("n") * F.col("mean")) * F.sum(F.col("n") * F.col("mean")) / F.sum("n"), F.lit(0.0)).alias("m2"))
+
+
 def cell_moments(moments: DataFrame, keys: list[str] = KEYS) -> DataFrame:
     """Pool dates to cells: one row per key, treated and post with n, mean and m2."""
     cell = Window.partitionBy(*keys, "treated", "post")
@@ -129,7 +166,7 @@ def fit_tests(moments: DataFrame) -> DataFrame:
 def estimate(panel: DataFrame, specs: DataFrame, outcomes: list[str], se_type: str = "classical",
              p_values: bool = True) -> DataFrame:
     """One row per experiment and outcome. se_type 'hc1' bases t, interval and p on the robust error."""
-    out = fit_tests(daily_moments(assign(panel, specs), outcomes))
+    out = fit_tests(moments(panel, specs, outcomes))
     if se_type == "hc1":
         out = (out.withColumn("att_se", F.col("att_se_hc1"))
                .withColumn("att_t", F.try_divide(F.col("att"), F.col("att_se")))

@@ -24,7 +24,8 @@ def public_holidays(df: DataFrame, holidays: DataFrame, time: str = "date") -> D
 
 
 def _school_days(intervals: DataFrame) -> DataFrame:
-    return intervals.select(F.explode(F.sequence("start_date", "end_date")).alias("day"))
+    """Days of the intervals; one that ends before it starts has none."""
+    return intervals.filter("start_date <= end_date").select(F.explode(F.sequence("start_date", "end_date")).alias("day"))
 
 
 def _holiday_weeks(holidays: DataFrame) -> DataFrame:
@@ -42,7 +43,7 @@ def event_effects(events: DataFrame) -> DataFrame:
     An event reaches from lead_weeks before its date to one week after. An array holds one entry per city active on
     that day.
     """
-    days = events.withColumn("day", F.explode(F.sequence(
+    days = events.filter("lead_weeks >= -1").withColumn("day", F.explode(F.sequence(
         F.date_sub("event_date", F.col("lead_weeks") * 7), F.date_add("event_date", 7))))
     weeks = F.datediff("event_date", "day") / F.lit(7.0)
     sigma = F.greatest(F.col("lead_weeks") / F.lit(2.5), F.lit(0.5))
@@ -70,7 +71,7 @@ def regime_factor(df: DataFrame, regimes: DataFrame, time: str = "date", name: s
 
 
 def regime_days(regimes: DataFrame) -> DataFrame:
-    days = regimes.withColumn("day", F.explode(F.sequence("from_date", F.date_sub("to_date", 1))))
+    days = regimes.filter("from_date < to_date").withColumn("day", F.explode(F.sequence("from_date", F.date_sub("to_date", 1))))
     share = F.datediff("day", "from_date") / F.datediff("to_date", "from_date")
     return days.select("day", (F.col("v0") + (F.col("v1") - F.col("v0")) * share).alias("factor"))
 
@@ -141,23 +142,36 @@ def day_dimension(tables: dict[str, DataFrame]) -> DataFrame:
         F.first("effects", ignorenulls=True).alias("effects"), F.max("covid_factor").alias("covid_factor"))
 
 
-def year_dimension(annual: DataFrame, base_year: int, first: int = 1900, last: int = 2100) -> DataFrame:
+FIRST_YEAR, LAST_YEAR = 1900, 2100
+
+
+def year_dimension(annual: DataFrame, base_year: int, first: int = FIRST_YEAR, last: int = LAST_YEAR) -> DataFrame:
     """One row per calendar year with macro columns, defaults filled in, and the price index."""
     years = annual.sparkSession.range(first, last + 1, 1, 1).select(F.col("id").cast("int").alias("year"))
     return macro(price_index(years, annual, base_year), annual)
 
 
 def calendar(df: DataFrame, tables: dict[str, DataFrame], base_year: int = fv.BASE_YEAR) -> DataFrame:
-    """All calendar, event and macro columns of the panel, rounded as stored, from one join by day and one by year."""
+    """All calendar, event and macro columns of the panel, rounded as stored, from one join by day and one by year.
+
+    Years outside the year table get the defaults; their price index grows by the default rate beyond the table's end.
+    """
     days = day_dimension(tables).withColumnRenamed("day", "date")
-    out = df.join(days, "date", "left").join(year_dimension(tables["macro"], base_year), "year", "left")
+    listed = tables["macro"].filter(F.col("year").between(FIRST_YEAR, LAST_YEAR))
+    out = df.join(days, "date", "left").join(year_dimension(listed, base_year), "year", "left")
+    until = F.greatest(F.lit(LAST_YEAR), F.lit(base_year - 1))
+    end = price_index(df.sparkSession.range(1).select(F.lit(LAST_YEAR).alias("year")), listed, base_year).select("cpi_index").scalar()
+    beyond = F.when(F.col("year") > until, end * F.pow(F.lit(1.0 + fv.DEFAULT_CPI), F.col("year") - until)).otherwise(F.lit(1.0))
     total = F.lit(1.0) + F.coalesce(_effect_sum(F.col("route")), F.lit(0.0))
     return out.withColumns({
         "school_holiday": F.coalesce("school_holiday", F.lit(0)),
         "public_holiday": F.coalesce("public_holiday", F.lit(0)),
         "event_multiplier": half_even(total, 4),
         "covid_factor": half_even(F.coalesce("covid_factor", F.lit(1.0)), 4),
-        "cpi_index": half_even(F.col("cpi_index"), 4),
+        "rba_cash_rate": F.coalesce("rba_cash_rate", F.lit(fv.DEFAULT_RATE)),
+        "inflation": F.coalesce("inflation", F.lit(fv.DEFAULT_CPI)),
+        "macro_fuel": F.coalesce("macro_fuel", F.lit(fv.DEFAULT_FUEL)),
+        "cpi_index": half_even(F.coalesce("cpi_index", beyond), 4),
     }).drop("effects")
 
 

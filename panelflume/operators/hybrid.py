@@ -1,21 +1,17 @@
-"""Hybrid forecaster: Holt-Winters per entity plus a boosted-tree model of its residuals.
+"""Hybrid forecaster: Holt-Winters per entity plus a boosted-tree model of its residuals, also per entity.
 
-The frame is built with one exchange on the entity: rows are packed per series, smoothed, and unpacked again. The tree
-model is one Spark ML fit over all entities, with the entity's level as an extra input, so the number of entities does
-not change the number of fits; fit_per_entity gives one model per entity for a short list of entities.
+The frame is built with one exchange on the entity: rows are packed per series, smoothed, and unpacked again. Tree models
+are fitted where an entity's rows are, all entities side by side, so neither the number of entities nor the number of
+trees adds Spark jobs, and a model depends on its entity's rows only.
 """
 from __future__ import annotations
 
-from functools import reduce
-from multiprocessing.pool import ThreadPool
-
-from pyspark.ml.functions import array_to_vector
-from pyspark.ml.regression import GBTRegressionModel, GBTRegressor
-from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
-from pyspark.util import inheritable_thread_target
+import numpy as np
+import pandas as pd
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from panelflume import fixed_values as fv
-from panelflume.operators import filters, metrics, smoothing
+from panelflume.operators import boosting, filters, metrics, smoothing
 from panelflume.sources.files import cut_lineage
 
 LEVEL = "entity_level"
@@ -61,35 +57,34 @@ def smoothed_frame(feat: DataFrame, test_rows: int = fv.TEST_WEEKS, season: int
         "alpha", "beta", "gamma", "rmse")
 
 
-def side_by_side(spark: SparkSession, run, items) -> list:
-    """Independent fits submitted together, as Spark's own cross-validator does: their small jobs fill idle cores."""
-    items = list(items)
-    with ThreadPool(min(len(items), 4)) as pool:
-        return pool.map(inheritable_thread_target(spark)(run), items)
-
-
-def fit_boost(train: DataFrame, trees: int = fv.BOOST_PARAMS["trees"], label: str = "residual") -> GBTRegressionModel:
-    """Gradient-boosted trees for the smoothing residual."""
+def _kernel(pdf: pd.DataFrame, train: np.ndarray, trees: int) -> tuple[boosting.Boosted, np.ndarray]:
+    """Model of an entity's training rows, which stand in time order, and the features of all its rows."""
+    x = np.array([np.asarray(v, dtype=float) for v in pdf["x"]])
     p = fv.BOOST_PARAMS
-    gbt = GBTRegressor(featuresCol="features", labelCol=label, predictionCol="boost", maxIter=trees,
-                       maxDepth=p["depth"], stepSize=p["step"], subsamplingRate=p["subsample"],
-                       minInstancesPerNode=p["min_leaf"], seed=p["seed"], maxBins=32)
-    return gbt.fit(train.select(array_to_vector("x").alias("features"), label))
+    model = boosting.fit(x[train], pdf["residual"].to_numpy(float)[train], trees, p["depth"], p["step"], p["subsample"], p["min_leaf"], p["seed"])
+    return model, x
 
 
-def score(model: GBTRegressionModel, df: DataFrame) -> DataFrame:
-    """Add boost and hybrid_fc, the smoothed value plus the boosted correction, floored at zero."""
-    scored = model.transform(df.withColumn("features", array_to_vector("x"))).drop("features")
-    return scored.withColumn("hybrid_fc", F.greatest(F.col("hw_fc") + F.col("boost"), F.lit(0.0)))
+def boost(frame: DataFrame, trees: int = fv.BOOST_PARAMS["trees"]) -> DataFrame:
+    """Add boost, the entity's modelled residual, and hybrid_fc, the smoothed value plus the correction, floored at zero.
 
+    Models are fitted on rows of period 'train'; an entity without such rows gets no correction.
+    """
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("date").reset_index(drop=True)
+        train = (pdf["period"] == "train").to_numpy()
+        if not train.any():
+            return pdf.assign(boost=0.0)
+        model, x = _kernel(pdf, train, trees)
+        return pdf.assign(boost=boosting.predict(model, x))
 
-def fit_per_entity(frame: DataFrame, entities: list[str], trees: int = fv.BOOST_PARAMS["trees"]) -> DataFrame:
-    """One model per named entity. The list is short and given by the caller; each fit is a Spark job of its own."""
-    def run(entity: str) -> DataFrame:
-        mine = frame.filter(F.col("route") == entity)
-        return score(fit_boost(mine.filter(F.col("period") == "train"), trees), mine)
+    schema = ", ".join(f"`{c}` {t}" for c, t in frame.dtypes) + ", boost double"
+    scored = smoothing.by_entity(frame, "route").groupBy("route").applyInPandas(run, schema)
+    return combined(scored)
 
-    return reduce(DataFrame.unionByName, side_by_side(frame.sparkSession, run, entities))
+
+def combined(scored: DataFrame) -> DataFrame:
+    return scored.withColumn("hybrid_fc", F.greatest(F.col("hw_fc") + F.col("boost"), F.lit(0.0)))
 
 
 def cross_validate(frame: DataFrame, folds: int = fv.CV_FOLDS, fold_rows: int = fv.CV_FOLD_WEEKS,
@@ -97,24 +92,35 @@ def cross_validate(frame: DataFrame, folds: int = fv.CV_FOLDS, fold_rows: int =
     """Walk-forward folds over the training rows: (route, fold, mape, rmse, n_train, n_val).
 
     The smoothing of the whole training part is reused in every fold. Given the feature frame `feat`, smoothing is
-    refitted on the rows before each fold instead.
+    refitted on the rows before each fold instead. A fold of an entity is one group: all are fitted side by side.
     """
-    train = frame.filter(F.col("period") == "train")
-    marked = cut_lineage(filters.walk_forward(train, folds, fold_rows))
-
-    def run(fold: int) -> DataFrame:
-        rows = marked.filter(F.col("fold") == fold)
-        if feat is not None:
-            seen = feat.join(rows.select("route", "date"), ["route", "date"], "left_semi")
-            rows = cut_lineage(smoothed_frame(seen, fold_rows)).withColumns({
+    marked = filters.walk_forward(frame.filter(F.col("period") == "train"), folds, fold_rows)
+    if feat is not None:
+        marked = cut_lineage(marked)
+        refitted = None
+        for fold in range(1, folds + 1):
+            rows = marked.filter(F.col("fold") == fold).select("route", "date")
+            again = smoothed_frame(feat.join(rows, ["route", "date"], "left_semi"), fold_rows).withColumns({
                 "fold": F.lit(fold), "role": F.when(F.col("period") == "train", "train").otherwise("val")})
-        model = fit_boost(rows.filter(F.col("role") == "train"), trees)
-        return score(model, rows).select("route", "fold", "role", "actual", "hybrid_fc")
-
-    all_rows = reduce(DataFrame.unionByName, side_by_side(frame.sparkSession, run, range(1, folds + 1)))
+            refitted = again if refitted is None else refitted.unionByName(again)
+        marked = refitted
+    rows = marked.select("route", "fold", "role", "date", "x", "residual", "actual", "hw_fc")
+
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("date").reset_index(drop=True)
+        train = (pdf["role"] == "train").to_numpy()
+        if train.any():
+            model, x = _kernel(pdf, train, trees)
+            pdf["boost"] = boosting.predict(model, x)
+        else:
+            pdf["boost"] = 0.0
+        return pdf[["route", "fold", "role", "actual", "hw_fc", "boost"]]
+
+    scored = combined(smoothing.by_entity(rows, "route", "fold").groupBy("route", "fold").applyInPandas(
+        run, "route string, fold int, role string, actual double, hw_fc double, boost double"))
     val = F.col("role") == "val"
     y, f = F.when(val, F.col("actual")), F.when(val, F.col("hybrid_fc"))
-    return all_rows.groupBy("route", "fold").agg(
+    return scored.groupBy("route", "fold").agg(
         metrics.mape(y, f).alias("mape"), metrics.rmse(y, f).alias("rmse"),
         F.count_if(~val).alias("n_train"), F.count_if(val).alias("n_val"))
 
@@ -182,13 +188,35 @@ def permuted(train: DataFrame, names: list[str], repeats: int, spread: int = 6)
                        swapped.alias("x"))
 
 
-def importance(model: GBTRegressionModel, train: DataFrame, names: list[str],
+def importance(frame: DataFrame, names: list[str], trees: int = fv.BOOST_PARAMS["trees"],
                repeats: int = fv.IMPORTANCE_REPEATS) -> DataFrame:
-    """Rise of the squared error when a feature is shuffled: mean and population deviation over repeats, ranked."""
-    def predict(df: DataFrame) -> DataFrame:
-        return model.transform(df.withColumn("features", array_to_vector("x")))
+    """Rise of the squared training error when a feature is shuffled: mean and population deviation over repeats, ranked.
 
-    return label(importance_table(predict(train), predict(permuted(train, names, repeats)), len(names)))
+    Shuffles are those of permuted(), by hash of route, feature, repeat and row. A feature that no tree of the entity's
+    model uses has importance zero, exactly, and is not tried.
+    """
+    import hashlib
+
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("date").reset_index(drop=True)
+        model, x = _kernel(pdf, np.ones(len(pdf), dtype=bool), trees)
+        residual, route = pdf["residual"].to_numpy(float), pdf["route"].iloc[0]
+        base = np.mean((residual - boosting.predict(model, x)) ** 2)
+        used, rows = model.used(), []
+        for f, name in enumerate(names):
+            rises = np.zeros(repeats)
+            for r in range(1, repeats + 1) if f in used else ():
+                order = sorted(range(len(x)), key=lambda i: (hashlib.md5(f"{route}|{name}|{r}|{i}".encode()).hexdigest(), i))
+                other = x.copy()
+                other[:, f] = x[order, f]
+                rises[r - 1] = np.mean((residual - boosting.predict(model, other)) ** 2) - base
+            rows.append((route, name, float(rises.mean()), float(rises.std())))
+        return pd.DataFrame(rows, columns=["route", "feature_code", "importance", "importance_std"])
+
+    train = frame.filter(F.col("period") == "train").select("route", "date", "x", "residual")
+    table = smoothing.by_entity(train, "route").groupBy("route").applyInPandas(
+        run, "route string, feature_code string, importance double, importance_std double")
+    return label(metrics.top_per_group(table, "importance", len(names)))
 
 
 def importance_table(plain: DataFrame, shuffled: DataFrame, features: int) -> DataFrame:

@@ -1,8 +1,7 @@
 """Additive Holt-Winters smoothing of many series at once.
 
 Smoothing is sequential in time, so one series is one array and series are the unit of distribution. The array of a
-series has one entry per period. With given parameters the recursion runs in the JVM as an `aggregate` fold; the grid
-search runs as Arrow batches, vectorised over the whole parameter grid.
+series has one entry per period. The recursion runs in Arrow batches, vectorised over the parameter sets.
 """
 from __future__ import annotations
 
@@ -34,51 +33,27 @@ def series(df: DataFrame, value: str = "pax", carry: list[str] | None = None) ->
     return rows.withColumn("y", F.transform("rows", lambda r: r["y"]))
 
 
-def let(expr: Column, body) -> Column:
-    """Bind expr once and use it several times in body."""
-    return F.get(F.transform(F.array(expr), body), F.lit(0))
-
-
-def _mean(values: Column, length: int) -> Column:
-    return F.aggregate(values, F.lit(0.0), lambda a, v: a + v) / F.lit(float(length))
-
-
 def smooth(df: DataFrame, alpha: float, beta: float, gamma: float, season: int,
            one_step_ahead: bool = False) -> DataFrame:
-    """Add `state`: arrays level, trend, seasonal and fitted for the array column y.
+    """Add `state`: arrays level, trend, seasonal and fitted for the array column y, in time linear in its length.
 
     The level starts at the first season's mean and the trend at the mean step between the first two seasons; with
     less than two seasons they start at the first value and the mean step. Before one full season has passed the
     seasonal term is zero. fitted uses the level after the value was seen; one_step_ahead uses the state before it.
     """
-    y, n = F.col("y"), F.size("y")
-    m = season
-    first, second = _mean(F.slice(y, 1, m), m), _mean(F.slice(y, m + 1, m), m)
-    long_enough = n >= 2 * m
-    y0, y_last = F.get(y, F.lit(0)), F.get(y, n - 1)
-    level0 = F.when(long_enough, first).otherwise(y0)
-    trend0 = F.when(long_enough, (second - first) / F.lit(float(m))).otherwise(
-        (y_last - y0) / F.greatest(n - 1, F.lit(1)).cast("double"))
-    season0 = F.when(n >= m, y0 - level0).otherwise(F.lit(0.0))
-
-    start = F.struct(
-        F.array(level0).alias("level"), F.array(trend0).alias("trend"), F.array(season0).alias("seasonal"),
-        F.array(level0 + trend0 + season0).alias("fitted"))
-
-    def step(acc, value):
-        t = F.size(acc["level"])
-        l_prev, t_prev = F.element_at(acc["level"], -1), F.element_at(acc["trend"], -1)
-        return let(F.coalesce(F.get(acc["seasonal"], t - m), F.lit(0.0)), lambda s_prev: let(
-            F.lit(alpha) * (value - s_prev) + F.lit(1 - alpha) * (l_prev + t_prev), lambda level: let(
-                F.lit(beta) * (level - l_prev) + F.lit(1 - beta) * t_prev, lambda trend: F.struct(
-                    F.concat(acc["level"], F.array(level)).alias("level"),
-                    F.concat(acc["trend"], F.array(trend)).alias("trend"),
-                    F.concat(acc["seasonal"], F.array(
-                        F.lit(gamma) * (value - level) + F.lit(1 - gamma) * s_prev)).alias("seasonal"),
-                    F.concat(acc["fitted"], F.array(
-                        (l_prev + t_prev if one_step_ahead else level + trend) + s_prev)).alias("fitted")))))
-
-    return df.withColumn("state", F.aggregate(F.slice(y, F.lit(2), F.greatest(n - 1, F.lit(0))), start, step))
+    params = np.array([[alpha, beta, gamma]])
+
+    @F.pandas_udf(record(level="doubles", trend="doubles", seasonal="doubles", fitted="doubles"))
+    def run(y: pd.Series) -> pd.DataFrame:
+        rows = []
+        for v in y:
+            level, trend, seasonal, fitted = (a[:, 0] for a in states(np.asarray(v, float), params, season))
+            if one_step_ahead and len(level):
+                fitted = np.concatenate((fitted[:1], level[:-1] + trend[:-1] + previous_season(seasonal, season)[1:]))
+            rows.append({"level": level, "trend": trend, "seasonal": seasonal, "fitted": fitted})
+        return pd.DataFrame(rows, columns=["level", "trend", "seasonal", "fitted"])
+
+    return df.withColumn("state", run("y"))
 
 
 def fitted_rows(smoothed: DataFrame, season: int) -> DataFrame:
@@ -108,43 +83,59 @@ def forecast_rows(smoothed: DataFrame, steps: int, season: int) -> DataFrame:
 
 # Grid search -----------------------------------------------------------------------------------------------------
 
-def run_grid(y: np.ndarray, grid: np.ndarray, season: int):
-    """Level, trend, seasonal index and fitted values, shape (n, parameter sets), one time step at a time."""
-    n, width = len(y), len(grid)
-    alpha, beta, gamma = grid.T
-    level, trend, seasonal, fitted = (np.zeros((n, width)) for _ in range(4))
+def opening(y: np.ndarray, season: int) -> tuple[float, float, float]:
+    """Level, trend and seasonal term of the first period."""
+    n = len(y)
     if n >= 2 * season:
-        first, second = y[:season].mean(), y[season:2 * season].mean()
-        level[0], trend[0] = first, (second - first) / season
+        one, two = y[:season].mean(), y[season:2 * season].mean()
+        level, trend = one, (two - one) / season
     else:
-        level[0], trend[0] = y[0], (y[-1] - y[0]) / max(n - 1, 1)
-    if n >= season:
-        seasonal[0] = y[0] - level[0]
-    fitted[0] = level[0] + trend[0] + seasonal[0]
-    none = np.zeros(width)
-    for t in range(1, n):
-        s = seasonal[t - season] if t >= season else none
-        level[t] = alpha * (y[t] - s) + (1 - alpha) * (level[t - 1] + trend[t - 1])
-        trend[t] = beta * (level[t] - level[t - 1]) + (1 - beta) * trend[t - 1]
-        seasonal[t] = gamma * (y[t] - level[t]) + (1 - gamma) * s
-        fitted[t] = level[t] + trend[t] + s
-    return level, trend, seasonal, fitted
+        level, trend = y[0], (y[-1] - y[0]) / max(n - 1, 1)
+    return level, trend, (y[0] - level if n >= season else 0.0)
+
+
+def passes(y: np.ndarray, grid: np.ndarray, season: int):
+    """(level, trend, seasonal, fitted) of every period for all parameter sets side by side. Only a ring of one season is kept."""
+    alpha, beta, gamma = grid.T
+    level, trend, first = (np.full(len(grid), v) for v in opening(y, season))
+    ring = np.zeros((season, len(grid)))
+    ring[0] = first
+    yield level, trend, first, level + trend + first
+    for t in range(1, len(y)):
+        was = ring[t % season].copy() if t >= season else 0.0
+        up = alpha * (y[t] - was) + (1 - alpha) * (level + trend)
+        trend = beta * (up - level) + (1 - beta) * trend
+        level = up
+        now = gamma * (y[t] - level) + (1 - gamma) * was
+        ring[t % season] = now
+        yield level, trend, now, level + trend + was
+
+
+def previous_season(seasonal: np.ndarray, season: int) -> np.ndarray:
+    """The seasonal term one season earlier, zero in the first season."""
+    return np.concatenate((np.zeros(min(season, len(seasonal))), seasonal[:-season]))[:len(seasonal)]
+
+
+def states(y: np.ndarray, grid: np.ndarray, season: int) -> list[np.ndarray]:
+    """Level, trend, seasonal index and fitted values, each of shape (periods, parameter sets)."""
+    if not len(y):
+        return [np.zeros((0, len(grid)))] * 4
+    return [np.array(part) for part in zip(*passes(y, grid, season))]
 
 
 def best_fit(y: np.ndarray, season: int, grid: np.ndarray = GRID) -> dict:
-    """Grid point of least in-sample error, earliest on ties, with its state."""
+    """Grid point of least in-sample error, earliest on ties, with its state: errors of all points first, then the state of
+    the best."""
     with np.errstate(all="ignore"):
-        states = run_grid(y, grid, season)
-        error = np.sqrt(np.mean((y[:, None] - states[3]) ** 2, axis=0))
-    params = grid
-    if np.isfinite(error).any():
-        i = int(np.argmin(np.where(np.isfinite(error), error, np.inf)))
-    else:
-        params, i = np.array([fv.FALLBACK_PARAMS]), 0
-        states = run_grid(y, params, season)
-        error = np.sqrt(np.mean((y[:, None] - states[3]) ** 2, axis=0))
-    level, trend, seasonal, fitted = (s[:, i] for s in states)
-    return {"alpha": params[i, 0], "beta": params[i, 1], "gamma": params[i, 2], "rmse": error[i],
+        square = sum(((v - fitted) ** 2 for v, (_, _, _, fitted) in zip(y, passes(y, grid, season))), np.zeros(len(grid)))
+        error = np.sqrt(square / len(y))
+        if np.isfinite(error).any():
+            params = grid[[int(np.argmin(np.where(np.isfinite(error), error, np.inf)))]]
+        else:
+            params = np.array([fv.FALLBACK_PARAMS])
+        level, trend, seasonal, fitted = (a[:, 0] for a in states(y, params, season))
+        rmse = np.sqrt(np.mean((y - fitted) ** 2))
+    return {"alpha": params[0, 0], "beta": params[0, 1], "gamma": params[0, 2], "rmse": rmse,
             "level": level, "trend": trend, "seasonal": seasonal, "fitted": fitted}
 
 

@@ -17,20 +17,13 @@ def scorecard(model_metrics: DataFrame, elasticity: DataFrame, lp_results: DataF
 def headline(model_metrics: DataFrame, elasticity: DataFrame, did: DataFrame, lp_results: DataFrame,
              route: str, outcome: str = "yield_aud") -> DataFrame:
     """Headline figures as (kpi, value) rows."""
-    def row(df: DataFrame, kpi: str, value) -> DataFrame:
-        return df.agg(value.cast("double").alias("value")).select(F.lit(kpi).alias("kpi"), "value")
+    def rows(df: DataFrame, **values) -> DataFrame:
+        """One aggregate over df, its values as rows."""
+        pairs = [F.struct(F.lit(k).alias("kpi"), v.cast("double").alias("value")) for k, v in values.items()]
+        return df.agg(F.array(*pairs).alias("_rows")).select(F.inline("_rows"))
 
-    chosen = elasticity.filter(F.col("route") == route)
-    effect = did.filter(F.col("outcome") == outcome)
-    rows = [
-        row(model_metrics, "mean_hybrid_mape", F.avg("hybrid_mape")),
-        row(model_metrics, "mean_hw_mape", F.avg("hw_mape")),
-        row(lp_results, "mean_uplift_pct", F.avg("revenue_uplift_pct")),
-        row(chosen, "elasticity", F.max("preferred_elasticity")),
-        row(effect, "att", F.max("att")),
-        row(effect, "n_obs", F.max("n_obs")),
-    ]
-    out = rows[0]
-    for r in rows[1:]:
-        out = out.unionByName(r)
-    return out
+    chosen, effect = F.col("route") == route, F.col("outcome") == outcome
+    return (rows(model_metrics, mean_hybrid_mape=F.avg("hybrid_mape"), mean_hw_mape=F.avg("hw_mape"))
+            .unionByName(rows(lp_results, mean_uplift_pct=F.avg("revenue_uplift_pct")))
+            .unionByName(rows(elasticity.filter(chosen), elasticity=F.max("preferred_elasticity")))
+            .unionByName(rows(did.filter(effect), att=F.max("att"), n_obs=F.max("n_obs"))))

@@ -1,5 +1,5 @@
 """The three analyses as composed plans. Each returns named result tables; nothing runs until one is used, apart from
-the model fits of the forecast."""
+the tables the forecast writes in between."""
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -19,11 +19,8 @@ def forecast(panel: DataFrame, trees: int = fv.BOOST_PARAMS["trees"], cv_trees:
     feat = features.add_features(panel, leak_free=leak_free, base_year=base_year)
     names = filters.present(feat, fv.FEATURE_COLS)
     frame = cut_lineage(hybrid.smoothed_frame(feat))
-    train = frame.filter(F.col("period") == "train")
-    fits = {"model": lambda: hybrid.fit_boost(train, trees),
-            "cv": lambda: cut_lineage(hybrid.cross_validate(frame, trees=cv_trees))}
-    model, cv = hybrid.side_by_side(panel.sparkSession, lambda name: fits[name](), fits)
-    scored = cut_lineage(hybrid.score(model, frame))
+    cv = cut_lineage(hybrid.cross_validate(frame, trees=cv_trees))
+    scored = cut_lineage(hybrid.boost(frame, trees))
 
     residuals = scored.filter(F.col("period") == "train").select(
         "route", "date", (F.col("actual") - F.col("hybrid_fc")).alias("residual"))
@@ -39,7 +36,7 @@ def forecast(panel: DataFrame, trees: int = fv.BOOST_PARAMS["trees"], cv_trees:
     return {
         "model_metrics": metrics.round_metrics(table),
         "forecasts": forecasts,
-        "feature_importance": hybrid.importance(model, train, names, repeats),
+        "feature_importance": hybrid.importance(frame, names, trees, repeats),
         "cv_results": cv,
         "decompositions": smoothing.decomposition(components),
     }

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from panelflume.operators import enrich, features
 from panelflume.sources.lookups import SHAPES, values_sql, values_table
-from panelflume.sources.star import END_WEEK, FIRST_WEEK, panel
+from panelflume.sources.star import panel
 
 
 class Query(NamedTuple):
@@ -119,7 +119,6 @@ def panel_sql(route: str = "r_name", extra_join: str = "") -> str:
     return f"""panel AS (
   SELECT {route} AS route, CAST(date_trunc('week', o_orderdate) AS DATE) AS date, {PANEL_MEASURES}
   FROM {ORDER_JOINS} {extra_join}
-  WHERE o_orderdate >= TIMESTAMP '{FIRST_WEEK}' AND o_orderdate < TIMESTAMP '{END_WEEK}'
   GROUP BY 1, 2)"""
 
 

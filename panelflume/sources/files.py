@@ -1,7 +1,6 @@
 """File sources and sinks: typed CSV and JSON scans, optional tables, partitioned result export."""
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.errors import AnalysisException
@@ -53,32 +52,18 @@ def write_results(tables: dict[str, DataFrame], folder: str, partition_key: str
         writer.parquet(f"{folder}/{name}")
 
 
-def shared_folder(spark: SparkSession) -> str | None:
-    """A fresh folder under spark.checkpoint.dir. Only a local master may fall back to a temporary folder."""
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        if not spark.sparkContext.master.startswith("local"):
-            return None
-        root = tempfile.mkdtemp(prefix="panelflume-")
+def shared_folder(spark: SparkSession, work_dir: str | None = None) -> str:
+    """A fresh folder under work_dir, else under spark.checkpoint.dir, else under the warehouse: all of them shared by the
+    executors, under any master."""
+    root = work_dir or spark.conf.get("spark.checkpoint.dir", None) or f"{spark.conf.get('spark.sql.warehouse.dir')}/scratch"
     return f"{root.rstrip('/')}/panelflume-{uuid.uuid4().hex}"
 
 
-def result_folder(spark: SparkSession) -> str:
-    """As shared_folder, for callers that cannot go on without one."""
-    folder = shared_folder(spark)
-    if folder is None:
-        raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
-    return folder
-
-
-def cut_lineage(df: DataFrame) -> DataFrame:
+def cut_lineage(df: DataFrame, work_dir: str | None = None) -> DataFrame:
     """Write df to the shared folder and read it back, so that later jobs neither repeat nor depend on its plan.
 
     The written table outlives executors, and its files are sized by their bytes, however many tasks computed them.
-    Where the cluster names no shared folder the plan is returned unchanged.
     """
-    folder = shared_folder(df.sparkSession)
-    if folder is None:
-        return df
+    folder = shared_folder(df.sparkSession, work_dir)
     df.hint("rebalance").write.parquet(folder)
     return df.sparkSession.read.schema(df.schema).parquet(folder)

@@ -21,7 +21,6 @@ SHAPES = {
                ("distance_km", "int"), ("competitors", "array<string>"), ("comp_capacity_share", "double"),
                ("business_mix", "double"), ("avg_load_factor", "double"), ("trend_pa", "double")],
 }
-SINGLE_TASK_ROWS = 10_000
 DEFAULTS = {
     "school_holidays": fv.SCHOOL_HOLIDAYS,
     "public_holidays": [(d,) for d in fv.PUBLIC_HOLIDAYS],
@@ -54,10 +53,9 @@ def values_sql(shape: list[tuple[str, str]], rows: list[tuple], alias: str = "t"
 
 
 def values_table(spark: SparkSession, shape: list[tuple[str, str]], rows: list[tuple]) -> DataFrame:
-    """The rows as a DataFrame. Up to SINGLE_TASK_ROWS rows sit in one partition, so that grouping them needs no
-    exchange; more rows are spread."""
-    df = spark.sql(f"SELECT * FROM {values_sql(shape, rows)}")
-    return df.coalesce(1) if len(rows) <= SINGLE_TASK_ROWS else df
+    """Literal rows as a DataFrame in one partition, so that grouping them needs no exchange. Bulk tables come as
+    DataFrames of their own."""
+    return spark.sql(f"SELECT * FROM {values_sql(shape, rows)}").coalesce(1)
 
 
 def lookup(spark: SparkSession, name: str, rows: list[tuple] | None = None) -> DataFrame:

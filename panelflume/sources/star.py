@@ -10,9 +10,6 @@ PANEL_SCHEMA = (
     "competition_index double, fuel_index double, business_mix double, week_of_year int, year int, month int, "
     "quarter int"
 )
-# First Monday and the Monday after the last whole week of order dates; both edge weeks are partial.
-FIRST_WEEK = "1995-01-02"
-END_WEEK = "2001-07-30"
 GRAINS = {"region": ["r_name"], "nation": ["n_name"], "nation_brand": ["n_name", "p_brand"]}
 
 
@@ -52,21 +49,23 @@ def order_lines(lineitem: DataFrame, *keys: str) -> DataFrame:
     )
 
 
-def panel(spark: SparkSession, sf_dir: str, grain: str = "region", start: str = FIRST_WEEK,
-          end: str = END_WEEK, entities: list[str] | None = None) -> DataFrame:
-    """Weekly panel in PANEL_SCHEMA for order weeks in [start, end).
+def panel(spark: SparkSession, sf_dir: str, grain: str = "region", start: str | None = None,
+          end: str | None = None, entities: list[str] | None = None) -> DataFrame:
+    """Weekly panel in PANEL_SCHEMA, of all orders or of those in [start, end).
 
     start and end are Mondays; they reach the orders scan as pushed filters. entities restricts the region or nation
-    name on the dimension side, before any fact is joined. No join carries a hint: dimensions are broadcast only if
+    name on the dimension side. With any of these limits, lines are reduced to the located orders before they are summed,
+    by a semi join that Spark can turn into a runtime filter on the line scan. No join carries a hint: dimensions are broadcast only if
     their scanned size is below the session's threshold, and a skewed customer or part is split by AQE.
     """
     stamp = F.col("o_orderdate")
-    orders = (
-        table(spark, sf_dir, "orders")
-        .filter((stamp >= F.lit(start).cast("timestamp_ntz")) & (stamp < F.lit(end).cast("timestamp_ntz")))
-        .select("o_orderkey", "o_custkey", F.trunc(stamp.cast("date"), "week").alias("date"),
-                F.col("o_orderpriority").isin("1-URGENT", "2-HIGH").cast("int").alias("priority"))
-    )
+    orders = table(spark, sf_dir, "orders")
+    if start is not None:
+        orders = orders.filter(stamp >= F.lit(start).cast("timestamp_ntz"))
+    if end is not None:
+        orders = orders.filter(stamp < F.lit(end).cast("timestamp_ntz"))
+    orders = orders.select("o_orderkey", "o_custkey", F.trunc(stamp.cast("date"), "week").alias("date"),
+                           F.col("o_orderpriority").isin("1-URGENT", "2-HIGH").cast("int").alias("priority"))
     places = table(spark, sf_dir, "nation").join(
         table(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
     if entities is not None:
@@ -77,6 +76,8 @@ def panel(spark: SparkSession, sf_dir: str, grain: str = "region", start: str =
 
     keys = [k for k in GRAINS[grain] if k.startswith("p_")]
     lines = table(spark, sf_dir, "lineitem")
+    if (start, end, entities) != (None, None, None):
+        lines = lines.join(located.select(F.col("o_orderkey").alias("l_orderkey")), "l_orderkey", "left_semi")
     if keys:
         parts = table(spark, sf_dir, "part").select("p_partkey", *keys)
         lines = lines.join(parts, F.col("l_partkey") == F.col("p_partkey"))

@@ -1,8 +1,8 @@
 """Difference-in-differences kept current while rows arrive.
 
-The moments behind the estimates are additive, so a streaming aggregate can maintain them. Its state is the moment
-table itself: one row per experiment, arm and date, however many rows arrive. Each micro-batch leaves a complete
-moment table in a folder of its own, written again under the same name if the batch is retried.
+Moments of disjoint rows merge, so the stream keeps no state: each micro-batch is reduced to its own moments, one row per
+experiment, arm and date, in a folder named by the batch and written again under the same name if the batch is retried.
+Estimates merge the moments of all written batches. compact() merges them on disk.
 """
 from __future__ import annotations
 
@@ -16,16 +16,22 @@ def maintain(rows: DataFrame, specs: DataFrame, outcomes: list[str], folder: str
 
     rows is a streaming DataFrame with route, date and the outcome columns. Progress is kept in folder/progress.
     """
-    moments = did.daily_moments(did.assign(rows, specs), outcomes)
-
     def store(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{folder}/moments/batch={batch_id}")
+        did.moments(batch, specs, outcomes).write.mode("overwrite").parquet(f"{folder}/moments/batch={batch_id}")
 
-    return (moments.writeStream.outputMode("complete").foreachBatch(store)
+    return (rows.writeStream.foreachBatch(store)
             .option("checkpointLocation", f"{folder}/progress").trigger(availableNow=True).start())
 
 
-def estimates(spark: SparkSession, folder: str, query) -> DataFrame:
-    """Estimates from the moment table of the query's last finished batch."""
-    batch = query.lastProgress["batchId"]
-    return did.fit_tests(spark.read.parquet(f"{folder}/moments/batch={batch}"))
+def moments(spark: SparkSession, folder: str) -> DataFrame:
+    """The moments of all batches written so far, in any run, merged."""
+    return did.merge_moments(spark.read.option("recursiveFileLookup", True).parquet(f"{folder}/moments"))
+
+
+def estimates(spark: SparkSession, folder: str) -> DataFrame:
+    return did.fit_tests(moments(spark, folder))
+
+
+def compact(spark: SparkSession, folder: str, into: str) -> None:
+    """Write the merged moments to a new folder, which a stream with new progress can go on from. Nothing is deleted."""
+    moments(spark, folder).write.parquet(f"{into}/moments/batch=base")

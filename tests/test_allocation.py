@@ -94,3 +94,12 @@ def test_stage_tables(spark):
     assert lp["SYD-MEL"]["forecast_pax"] == round(27000 * .58 / 98) and lp["XXX-YYY"]["forecast_pax"] == round(9000 * .58 / 35)
     assert lp["XXX-YYY"]["flat_baseline_rev"] == pytest.approx(2 * 142030.66, abs=1)
     assert out["lp_sensitivity"].count() == 28
+
+
+def test_sweep_of_missing_and_tiny_capacities(spark):
+    df = spark.createDataFrame([("null", None, 160.0), ("zero", 0.0, 160.0), ("one", 1.0, 160.0), ("usual", 189.0, 160.0)],
+                               "route string, capacity double, forecast_pax double")
+    steps = {}
+    for r in allocation.sensitivity(df, ["route"]).collect():
+        steps.setdefault(r["route"], []).append((r["eco_seats"], r["expected_revenue"]))
+    assert sorted(steps["null"]) == sorted(steps["usual"]) == sorted(steps["zero"]) and "one" not in steps

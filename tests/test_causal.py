@@ -85,10 +85,33 @@ def test_stream_over_arriving_files_equals_batch(spark, tmp_path):
         stream = spark.readStream.schema(rows.schema).parquet(inbox)
         query = did_updates.maintain(stream, specs, ["yield_aud"], work)
         query.awaitTermination()
-        now = did_updates.estimates(spark, work, query).first()
+        now = did_updates.estimates(spark, work).first()
         assert (now["n_obs"] == whole["n_obs"]) == late
     for c in ("att", "att_se", "parallel_trends_t"):
-        assert now[c] == pytest.approx(whole[c], rel=1e-10)
+        assert now[c] == pytest.approx(whole[c], rel=1e-9)
+    idle = did_updates.maintain(spark.readStream.schema(rows.schema).parquet(inbox), specs, ["yield_aud"], work)
+    idle.awaitTermination()
+    again = did_updates.estimates(spark, work).first()
+    did_updates.compact(spark, work, f"{tmp_path}/compact")
+    small = did_updates.estimates(spark, f"{tmp_path}/compact").first()
+    assert again["n_obs"] == small["n_obs"] == whole["n_obs"] and small["att"] == pytest.approx(whole["att"], rel=1e-9)
+
+
+def test_tails_on_the_driver_do_not_spoil_the_udfs(spark):
+    from panelflume.functions import tails
+    assert tails.t_tail([2.0], [10])[0] == pytest.approx(0.0733880, rel=1e-5) and tails.chi2_1_tail([3.84])[0] == pytest.approx(0.05, abs=1e-3)
+    row = spark.range(1).select(tails.student_t_p(F.lit(2.0), F.lit(10.0)).alias("t"), tails.chi2_1_p(F.lit(3.84)).alias("c")).first()
+    assert row["t"] == pytest.approx(0.0733880, rel=1e-5) and row["c"] == pytest.approx(0.05, abs=1e-3)
+
+
+def test_moments_reduced_first_equal_moments_of_assigned_rows(spark):
+    pdf, specs = did_panel(), values_table(spark, did.SPEC_SHAPE, SPEC)
+    rows = spark.createDataFrame(pdf)
+    rows = rows.unionByName(rows.withColumn("yield_aud", F.col("yield_aud") + 7))
+    keys = ["experiment", "outcome", "treated", "post", "date"]
+    a = did.moments(rows, specs, ["yield_aud"]).orderBy(*keys).toPandas()
+    b = did.daily_moments(did.assign(rows, specs), ["yield_aud"]).orderBy(*keys).toPandas()
+    assert a[keys].equals(b[keys]) and (a.n == b.n).all() and np.allclose(a["mean"], b["mean"]) and np.allclose(a.m2, b.m2, atol=1e-6)
 
 
 def elasticity_rows(seed=3, n=150):

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from panelflume import fixed_values as fv
-from panelflume.operators import features, filters, hybrid
+from panelflume.operators import boosting, features, filters, hybrid
 from panelflume.plans import serving, stages
 from tests.test_features import weekly
 
@@ -31,11 +31,6 @@ def frame(feat):
     return hybrid.smoothed_frame(feat).persist()
 
 
-@pytest.fixture(scope="module")
-def model(frame):
-    return hybrid.fit_boost(frame.filter(F.col("period") == "train"), 20)
-
-
 def test_frame_shape(frame, feat):
     assert frame.count() == feat.count() == 2 * 168
     counts = {(r["route"], r["period"]): r["count"] for r in frame.groupBy("route", "period").count().collect()}
@@ -45,10 +40,23 @@ def test_frame_shape(frame, feat):
     assert frame.filter(F.size("x") != len(fv.FEATURE_COLS) + 1).count() == 0
 
 
-def test_boosting_lowers_the_training_error(frame, model):
-    s = hybrid.score(model, frame).filter(F.col("period") == "train").select("residual", "boost").toPandas()
+def test_boosting_lowers_the_training_error(frame):
+    s = hybrid.boost(frame, 20).filter(F.col("period") == "train").select("residual", "boost").toPandas()
     assert np.mean((s.residual - s.boost) ** 2) < np.mean(s.residual ** 2)
-    assert hybrid.score(model, frame).filter(F.col("hybrid_fc") < 0).count() == 0
+    assert hybrid.boost(frame, 20).filter(F.col("hybrid_fc") < 0).count() == 0
+
+
+def test_model_does_not_depend_on_partitions(frame):
+    one, eight = (hybrid.boost(frame.repartition(k), 10).orderBy("route", "date").select("boost").toPandas().boost for k in (1, 8))
+    assert (one == eight).all()
+
+
+def test_kernel_recovers_a_step_and_handles_gaps():
+    x = np.column_stack([np.arange(60.0), np.full(60, np.nan), np.ones(60)])
+    y = np.where(x[:, 0] < 30, -1.0, 1.0)
+    model = boosting.fit(x, y, 200, 2, .1, 1.0, 5, 1)
+    assert np.abs(boosting.predict(model, x) - y).max() < 1e-6 and model.used() == {0}
+    assert boosting.predict(boosting.fit(x[:1], y[:1], 3, 4, .1, .8, 5, 1), x[:1]).tolist() == [-1.0]
 
 
 @pytest.mark.parametrize("refit", [False, True])
@@ -58,9 +66,8 @@ def test_cross_validation_table(frame, feat, refit):
     assert cv.n_train.tolist() == [118, 126, 134] * 2 and (cv.mape > 0).all()
 
 
-def test_importance_is_ranked_and_repeatable(frame, model):
-    train = frame.filter(F.col("period") == "train")
-    runs = [hybrid.importance(model, train.repartition(k), fv.FEATURE_COLS, 3).orderBy("route", "rank").toPandas() for k in (1, 5)]
+def test_importance_is_ranked_and_repeatable(frame):
+    runs = [hybrid.importance(frame.repartition(k), fv.FEATURE_COLS, 20, 3).orderBy("route", "rank").toPandas() for k in (1, 5)]
     pd.testing.assert_frame_equal(runs[0], runs[1])
     top = runs[0][runs[0].route == "AAA-BBB"]
     assert top["rank"].tolist() == list(range(1, 31)) and top.importance.is_monotonic_decreasing
@@ -88,11 +95,6 @@ def test_bootstrap_interval(spark):
     assert 945 < rows[0]["ci_low"] < 965 and 1035 < rows[0]["ci_high"] < 1055 and rows[1]["ci_low"] == 0
 
 
-def test_per_entity_fit(frame):
-    out = hybrid.fit_per_entity(frame, ["AAA-BBB", "CCC-DDD"], trees=2)
-    assert out.count() == frame.count()
-
-
 def test_stage_end_to_end(spark):
     out = stages.forecast(spark.createDataFrame(panel()), trees=5, cv_trees=3, repeats=2)
     m = out["model_metrics"].orderBy("route").collect()

@@ -35,10 +35,7 @@ def test_contract(spark):
     assert contract.entry(spark).count() == 2
 
 
-FITS_MODELS = {"i03_boosted_residuals", "i04_hybrid_forecast", "i06_walk_forward_cv", "i09_permutation_importance", "i12_forecast_stage"}
-
-
-@pytest.mark.parametrize("name", [n for n in QUERIES if n not in FITS_MODELS])
+@pytest.mark.parametrize("name", list(QUERIES))
 def test_no_join_pairs_all_rows(spark, no_broadcast, name):
     """Also when no side is small enough to broadcast."""
     plan = QUERIES[name].run(spark, SF)._jdf.queryExecution().executedPlan().toString()

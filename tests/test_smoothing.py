@@ -41,7 +41,7 @@ def by_hand(y, a, b, g, m):
 def test_fold_and_kernel_equal_a_plain_loop(spark, n):
     y, m = seasonal(n), 13
     expected = by_hand(y, .3, .1, .15, m)
-    kernel = smoothing.run_grid(y, np.array([[.3, .1, .15]]), m)
+    kernel = smoothing.states(y, np.array([[.3, .1, .15]]), m)
     np.testing.assert_allclose(np.column_stack([k[:, 0] for k in kernel]), expected, rtol=1e-12)
     state = smoothing.smooth(smoothing.series(frame(spark, {"a": y})), .3, .1, .15, m).first()["state"]
     for i, name in enumerate(("level", "trend", "seasonal", "fitted")):
@@ -98,3 +98,15 @@ def test_one_step_ahead_uses_the_state_before(spark):
     e = by_hand(y, .3, .1, .15, m)
     st = smoothing.smooth(smoothing.series(frame(spark, {"a": y})), .3, .1, .15, m, one_step_ahead=True).first()["state"]
     assert st["fitted"][20] == pytest.approx(e[19, 0] + e[19, 1] + e[20 - m, 2])
+
+
+def test_long_series_take_linear_time(spark):
+    import time
+    took = []
+    for n in (2500, 10000):
+        df = smoothing.series(frame(spark, {"a": np.sin(np.arange(n) / 9) + 3}))
+        smoothing.smooth(df, .3, .1, .15, 52).select(F.size("state.level")).collect()
+        begun = time.perf_counter()
+        assert smoothing.smooth(df, .3, .1, .15, 52).select(F.size("state.level")).first()[0] == n
+        took.append(time.perf_counter() - begun)
+    assert took[1] < 8 * took[0]

@@ -97,3 +97,44 @@ def test_competition_rules(spark):
 
 def test_default_experiment_runs(spark):
     assert stages.experiment_specs(spark).first()["treatment_routes"] == ["SYD-ADL", "MEL-ADL"]
+
+
+def test_every_order_is_counted(spark, tmp_path):
+    """Also orders outside the weeks that the test tables cover."""
+    for name in ("region", "nation", "customer", "part"):
+        spark.read.parquet(f"{SF}/{name}.parquet").write.parquet(f"{tmp_path}/{name}.parquet")
+    orders, lines = spark.read.parquet(f"{SF}/orders.parquet"), spark.read.parquet(f"{SF}/lineitem.parquet")
+    first = orders.select(F.min("o_orderkey")).first()[0]
+    for shift, day in ((1, "1980-05-05"), (2, "2031-05-05")):
+        key = F.lit(10 ** 9 + shift)
+        orders = orders.unionByName(orders.filter(F.col("o_orderkey") == first).limit(1).withColumns(
+            {"o_orderkey": key, "o_orderdate": F.lit(day).cast("timestamp_ntz")}))
+        lines = lines.unionByName(lines.filter(F.col("l_orderkey") < 10 ** 9).limit(1).withColumn("l_orderkey", key))
+    orders.write.parquet(f"{tmp_path}/orders.parquet")
+    lines.write.parquet(f"{tmp_path}/lineitem.parquet")
+    dates = {str(r[0]) for r in panel(spark, str(tmp_path)).select("date").distinct().collect()}
+    assert {"1980-05-05", "2031-05-05"} <= dates
+
+
+def test_reversed_intervals_and_empty_regimes_touch_no_day(spark):
+    d = dt.date.fromisoformat
+    school = spark.createDataFrame([(d("2024-02-10"), d("2024-02-01"))], "start_date date, end_date date")
+    assert enrich.school_holidays(days(spark, "2024-02-05"), school).first()["school_holiday"] == 0
+    regimes = spark.createDataFrame([(d("2024-02-05"), d("2024-02-05"), .5, .5)], "from_date date, to_date date, v0 double, v1 double")
+    assert enrich.regime_factor(days(spark, "2024-02-05"), regimes).first()["covid_factor"] == 1.0
+    events = spark.createDataFrame([("e", d("2024-02-05"), "SYD", 1.5, -3)], "event_id string, event_date date, city string, peak_mult double, lead_weeks int")
+    assert enrich.event_multiplier(days(spark, "2024-02-12"), events).first()["event_multiplier"] == 1.0
+
+
+def test_years_beyond_the_year_table_get_the_defaults(spark):
+    out = enrich.calendar(days(spark, "2150-01-05", "1850-01-07", "2100-01-04"), enrich.default_tables(spark)).orderBy("year").collect()
+    assert all(r["rba_cash_rate"] == fv.DEFAULT_RATE and r["inflation"] == fv.DEFAULT_CPI and r["macro_fuel"] == fv.DEFAULT_FUEL for r in out)
+    assert out[0]["cpi_index"] == 1.0
+    assert out[2]["cpi_index"] == pytest.approx(out[1]["cpi_index"] * (1 + fv.DEFAULT_CPI) ** 50, rel=1e-4)
+
+
+def test_lines_are_reduced_to_located_orders_before_they_are_summed(spark):
+    plan = panel(spark, SF, entities=["ASIA"])._jdf.queryExecution().optimizedPlan().toString()
+    lines = [i for i, x in enumerate(plan.splitlines()) if "LeftSemi" in x]
+    sums = [i for i, x in enumerate(plan.splitlines()) if "Aggregate [l_orderkey" in x]
+    assert lines and sums and sums[0] < lines[0]
