@@ -3,7 +3,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from panelflume.llm.common import attach, saved
+from panelflume.llm.common import saved
 
 
 def _both_ways(edges: DataFrame) -> DataFrame:
@@ -12,8 +12,9 @@ def _both_ways(edges: DataFrame) -> DataFrame:
 
 def _star(pairs: DataFrame, larger: bool) -> DataFrame:
     """Around every node a: link its neighbours (the larger ones, or all smaller ones and itself) to its smallest."""
-    low = pairs.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("low"))
-    met = attach(pairs, low, ["a"], ["b"])
+    pairs = saved(pairs)
+    low = saved(pairs.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("low")))
+    met = pairs.join(low, "a")
     if larger:
         out = met.where("b > a").select(F.col("b").alias("a"), F.col("low").alias("b"))
     else:
@@ -26,7 +27,7 @@ def components(links: DataFrame) -> DataFrame:
 
     Large-star and small-star steps alternate until every id has one edge, to an id that has none: a number of rounds that
     grows with the logarithm of the longest chain. Each round's edges are a written table, so lineage stays short and no component is
-    ever gathered in one place; ids with many neighbours are dealt out by salt. Null ids and self links are ignored.
+    ever gathered in one place; joins are between written tables, so adaptive execution can split ids with many neighbours. Null ids and self links are ignored.
     """
     edges = saved(links.select("a", "b").where("a is not null and b is not null and a <> b")
                   .select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
@@ -35,7 +36,7 @@ def components(links: DataFrame) -> DataFrame:
         forked = edges.groupBy("a").agg(F.count("*").alias("n")).where("n > 1").select(F.col("a").alias("b"))
         if chained.unionByName(forked).isEmpty():
             break
-        large = saved(_star(_both_ways(edges), True))
+        large = _star(_both_ways(edges), True)
         edges = saved(_star(large.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")), False)
                       .select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
     ids = edges.select(F.col("a").alias("id"), F.col("b").alias("component_id"))

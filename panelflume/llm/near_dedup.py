@@ -7,7 +7,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from panelflume.llm.common import attach, bloom, bloom_hit, opened, saved, sealed
+from panelflume.llm.common import bloom, bloom_hit, opened, saved, sealed
 from panelflume.llm.components import components
 
 SHINGLE = 5
@@ -147,7 +147,7 @@ def _alike(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 def sketch_pairs(pairs: DataFrame, reps: DataFrame) -> DataFrame:
     """The pairs (a, b) whose sketches don't rule out a link."""
     sketches = reps.select("rep", "sketch")
-    both = attach(pairs, sketches.toDF("b", "sb"), ["b"], ["a"]).join(sketches.toDF("a", "sa"), "a")
+    both = saved(pairs).join(sketches.toDF("b", "sb"), "b").join(sketches.toDF("a", "sa"), "a")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -179,22 +179,30 @@ def node_pairs(members: DataFrame) -> DataFrame:
 
 
 def confirmed(pairs: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
-    """The pairs that link, by their full sets. docs (id, text) is read again for the ids in pairs; a Bloom filter of fixed
+    """The pairs (a written table) that link, by their full sets. docs (id, text) is read again for the ids in pairs; a Bloom filter of fixed
     size keeps other texts out of the shuffle."""
     wanted = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
     slot = F.pmod(F.xxhash64("id"), F.lit(FILTER_SLOTS))
     near = bloom_hit(docs, slot, bloom(wanted.select(slot.alias("slot_")), "slot_"), "hit_").where("hit_").select("id", "text")
     sets = saved(full_sets(near.join(wanted, "id").dropDuplicates(["id"])))
-    left = attach(pairs, sets.toDF("b", "sb"), ["b"], ["a"])
-    met = left.join(sets.toDF("a", "sa"), "a").select("a", "b", F.size("sa").alias("na"), F.size("sb").alias("nb"),
+    met = pairs.join(sets.toDF("b", "sb"), "b").join(sets.toDF("a", "sa"), "a").select("a", "b", F.size("sa").alias("na"), F.size("sb").alias("nb"),
                                                       F.size(F.array_intersect("sa", "sb")).alias("shared"))
     return met.where((F.col("shared") * 100).cast("long") >= (F.col("na") + F.col("nb") - F.col("shared")).cast("long") * percent).select("a", "b")
 
 
 def _nodes(members: DataFrame) -> DataFrame:
-    """members (node, rep) of nodes with two or more, with size and low, the node's smallest rep."""
-    stats = members.groupBy("node").agg(F.count("*").alias("size"), F.min("rep").alias("low")).where("size > 1")
-    return attach(members, stats, ["node"], ["rep"])
+    """members (node, rep, component) of nodes with two or more, with size and low, the node's smallest rep and its component.
+
+    Both sides of the join are written tables, so adaptive execution can split a node that holds many members.
+    """
+    members = saved(members)
+    stats = members.groupBy("node").agg(F.count("*").alias("size"), F.min(F.struct("rep", "component")).alias("low")).where("size > 1")
+    return saved(members.join(saved(stats), "node"), rebalance=True)
+
+
+def _stars(nodes: DataFrame) -> DataFrame:
+    """Pairs of a node's members with its smallest, where they are not in one component yet."""
+    return nodes.where("component <> low.component").select(F.col("rep").alias("a"), F.col("low.rep").alias("b")).distinct()
 
 
 def link_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", trees: int = TREES, small: int = SMALL_NODE,
@@ -223,43 +231,42 @@ def link_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
         F.min("id").alias("rep"), F.first("path").alias("path"), F.first("sketch").alias("sketch")))
     reps = classes.select("rep", "path", "sketch")
     starts = reps.select("rep", F.posexplode(F.slice("path", 1, trees)).alias("tree", "token"))
-    nodes = saved(_nodes(starts.select(F.xxhash64("tree", "token").alias("node"), "rep")), rebalance=True)
-    pairs = nodes.where("rep <> low").select(F.col("rep").alias("a"), F.col("low").alias("b")).distinct()
-    links = saved(confirmed(saved(sketch_pairs(pairs, reps), rebalance=True), rows, percent))
-    found = components(links)
+    nodes = _nodes(starts.select(F.xxhash64("tree", "token").alias("node"), "rep", F.col("rep").alias("component")))
+    pairs = saved(sketch_pairs(_stars(nodes), reps), rebalance=True)
+    found = components(confirmed(pairs, rows, percent))
 
     level = 1
     while True:
-        known = nodes.join(found.withColumnRenamed("id", "rep"), "rep", "left").select(
-            "node", "rep", "size", F.coalesce("component_id", "rep").alias("component"))
-        known = saved(known, rebalance=True)
-        mixed = known.groupBy("node").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi").select("node")
-        still = saved(attach(known, mixed, ["node"], ["rep"]), rebalance=True)
-        if still.isEmpty():
+        known = saved(nodes.drop("component", "low").join(found.withColumnRenamed("id", "rep"), "rep", "left").select(
+            "node", "rep", "size", F.coalesce("component_id", "rep").alias("component")), rebalance=True)
+        mixed = saved(known.groupBy("node").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
+                      .where("lo <> hi").select("node"))
+        if mixed.isEmpty():
             break
+        still = saved(known.join(mixed, "node"), rebalance=True)
         few = still.where(F.col("size") <= small).join(reps.select("rep", "sketch"), "rep")
         pairs = node_pairs(few).distinct()
-        many = still.where(F.col("size") > small).join(reps.select("rep", "path"), "rep")
-        branch = F.explode(F.when((F.lit(level) <= 2) | (F.pmod(F.xxhash64("node", F.lit(-1)), F.lit(3)) == 0), F.array(F.lit(0), F.lit(1)))
-                           .otherwise(F.array(F.lit(0))))
-        place = F.pmod(F.xxhash64("node", "branch"), F.lit(PATH)).cast("int")
-        children = (many.withColumn("branch", branch).withColumn("place", place)
-                    .select(F.xxhash64("node", "branch", F.get("path", F.col("place"))).alias("node"), "rep"))
-        nodes = saved(_nodes(children), rebalance=True)
-        of = found.select(F.col("id"), F.col("component_id"))
-        stars = nodes.where("rep <> low").select(F.col("rep").alias("a"), F.col("low").alias("b")).distinct()
-        stars = stars.join(of.toDF("a", "ca"), "a", "left")
-        low = attach(stars, stars.select("b").distinct().join(of.toDF("b", "cb"), "b"), ["b"], ["a"], how="left")
-        stars = low.where(F.coalesce("ca", "a") != F.coalesce("cb", "b")).select("a", "b")
-        pairs = saved(pairs.unionByName(sketch_pairs(stars, reps)).distinct(), rebalance=True)
-        new = saved(confirmed(pairs, rows, percent))
-        if not new.isEmpty():
+        large = F.col("size") > small
+        nodes = None
+        if not still.where(large).isEmpty():
+            many = still.where(large).join(reps.select("rep", "path"), "rep")
+            branch = F.explode(F.when((F.lit(level) <= 2) | (F.pmod(F.xxhash64("node", F.lit(-1)), F.lit(3)) == 0), F.array(F.lit(0), F.lit(1)))
+                               .otherwise(F.array(F.lit(0))))
+            place = F.pmod(F.xxhash64("node", "branch"), F.lit(PATH)).cast("int")
+            nodes = _nodes(many.withColumn("branch", branch).withColumn("place", place).select(
+                F.xxhash64("node", "branch", F.get("path", F.col("place"))).alias("node"), "rep", "component"))
+            pairs = pairs.unionByName(sketch_pairs(_stars(nodes), reps)).distinct()
+        pairs = saved(pairs, rebalance=True)
+        if not pairs.isEmpty():
+            new = confirmed(pairs, rows, percent)
             found = components(found.select(F.col("id").alias("a"), F.col("component_id").alias("b")).unionByName(new))
+        if nodes is None:
+            break
         level += 1
 
-    whole = classes.select(*print_, "rep").join(found.withColumnRenamed("id", "rep"), "rep", "left").select(
-        *print_, F.coalesce("component_id", "rep").alias("component"))
-    some = attach(sig.where("n > 0 and id is not null").select("id", *print_), whole, print_, ["id"]).select("id", "n", "component")
+    whole = saved(classes.select(*print_, "rep").join(found.withColumnRenamed("id", "rep"), "rep", "left").select(
+        *print_, F.coalesce("component_id", "rep").alias("component")))
+    some = sig.where("n > 0 and id is not null").select("id", *print_).join(whole, print_).select("id", "n", "component")
     none = sig.where("n = 0 or id is null").select("id", "n", F.col("id").alias("component"))
     return some.unionByName(none).select(F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"), F.col("component").alias("component_id"),
                                          F.col("id").eqNullSafe(F.col("component")).alias("kept"))
