@@ -9,6 +9,7 @@ from panelflume import fixed_values as fv
 from panelflume.operators import allocation, filters
 from panelflume.plans import stages
 from panelflume.registry.base import LOOKUPS, PANEL, demo, panel, query, rounded
+from panelflume.registry.forecast_queries import CHAIN, chain_table
 from panelflume.sources import table
 from panelflume.sources.files import cut_lineage
 
@@ -142,6 +143,10 @@ NAIVE_BODY = f"""naive AS (SELECT route, date, pax, lag(pax, 52) OVER (PARTITION
     {', '.join(f'round_even({v}::DOUBLE * yield_scalar, 0) AS y_{c}' for c, v in fv.CABIN_YIELDS.items())}
     FROM per_flight p JOIN means m ON p.route = m.route)"""
 NAIVE = f"{PANEL}, {LOOKUPS}, {NAIVE_BODY}"
+# The same from the forecasts of the serving chain.
+CHAIN_BODY = """demand AS (SELECT t.route, avg(hybrid_fc) AS weekly_pax, coalesce(any_value(f.flights), 5) * 7 AS flights_per_week
+    FROM ft t LEFT JOIN daily_flights f ON t.route = f.route WHERE period = 'test' GROUP BY t.route),
+  """ + NAIVE_BODY[NAIVE_BODY.index("per_flight AS"):]
 BASE = 900.0
 
 
@@ -199,14 +204,14 @@ def _sweep(spark, sf):
     return allocation.sensitivity(means, ["o_orderpriority"])
 
 
-@query("k08_route_allocation", f"""WITH {NAIVE}, {lp_sql('scaled', 'route')}
+@query("k08_route_allocation", f"""WITH RECURSIVE {CHAIN}, {LOOKUPS}, {CHAIN_BODY}, {lp_sql('scaled', 'route')}
     SELECT route, CAST(round_even(forecast_pax, 0) AS BIGINT) AS forecast_pax, {SEATS_SQL}, {PCT_SQL},
     round_even(round_even(revenue, 6), 0) AS expected_revenue, round_even(round_even(flat, 6), 0) AS flat_baseline_rev,
     round_even(round_even((revenue - flat) / greatest(flat, 1) * 100, 6), 2) AS revenue_uplift_pct, round_even(round_even(bid_eco, 5), 2) AS bid_price_eco,
     lp_success FROM solved""")
 def route_allocation(spark, sf):
     p = cut_lineage(panel(spark, sf))
-    return stages.allocate(naive_forecasts(p), p, demo(spark, "daily_flights"), BASE,
+    return stages.allocate(chain_table(p), p, demo(spark, "daily_flights"), BASE,
                            {"capacity": float(CAPACITY)})["lp_results"]
 
 

@@ -6,13 +6,13 @@ from pyspark.sql import functions as F
 from panelflume import fixed_values as fv
 from panelflume.functions.columns import unit_root_p
 from panelflume.functions.tails import chi2_1_p, student_t_p
-from panelflume.operators import did, elasticity, regression, unitroot
+from panelflume.operators import did, elasticity, filters, hybrid, metrics, regression, unitroot
 from panelflume.plans import stages
 from panelflume.registry.base import (ENRICHED, EXPERIMENTS, PANEL, chi2_tail_sql, did_fit_sql, did_rows_sql, enriched,
                                       panel, panel_sql, query, rounded, sweep, t_tail_sql, BASE_YEAR)
-from panelflume.registry.forecast_queries import TRAINED
+from panelflume.registry.forecast_queries import CHAIN, FOLD_ROWS, METRICS_SQL, TRAINED, chain_table
 from panelflume.sources import table
-from panelflume.sources.files import read_json, shared_folder, write_json
+from panelflume.sources.files import cut_lineage, read_json, shared_folder, write_json
 from panelflume.sources.lookups import values_table
 from panelflume.sources.star import TABLE_SCHEMAS
 from panelflume.streaming import did_updates
@@ -378,3 +378,22 @@ def _verdict(spark, sf):
 def forecast_stage(spark, sf):
     m = stages.forecast(enriched(spark, sf), base_year=BASE_YEAR)["model_metrics"]
     return m.select("route", "n_train", "n_test", "hw_mape", "hw_alpha", "hw_beta", "hw_gamma", "adf_t_stat", "adf_p", "is_stationary")
+
+
+@query("i07_metrics_table", f"""WITH RECURSIVE {CHAIN}, {SCHWERT[len(PANEL) + 2:]}, {FOLD_ROWS}, m AS ({METRICS_SQL}),
+    c AS (SELECT route, fold, avg(abs((actual - hybrid_fc) / actual)) AS mape FROM folds WHERE role = 'val' GROUP BY 1, 2),
+    cv AS (SELECT route, avg(mape) AS cv_mape_mean, stddev_pop(mape) AS cv_mape_std FROM c GROUP BY route),
+    adf AS ({_adf_select('CAST(k AS INTEGER)')})
+    SELECT m.route, n_train, n_test, round_even(hw_mape, 4) AS hw_mape, round_even(hybrid_mape, 4) AS hybrid_mape, round_even(hybrid_rmse, 2) AS hybrid_rmse,
+      round_even(hybrid_r2, 4) AS hybrid_r2, round_even((hw_mape - hybrid_mape) / hw_mape * 100, 2) AS mape_improvement_pct,
+      round_even(cv_mape_mean, 4) AS cv_mape_mean, round_even(cv_mape_std, 4) AS cv_mape_std, alpha AS hw_alpha, beta AS hw_beta, gamma AS hw_gamma,
+      round_even(adf.adf_t_stat, 4) AS adf_t_stat, round_even(adf.adf_p, 4) AS adf_p, adf.is_stationary
+    FROM m JOIN cv ON cv.route = m.route JOIN won ON won.route = m.route LEFT JOIN adf ON adf.route = m.route""")
+def metrics_table(spark, sf):
+    p = cut_lineage(panel(spark, sf))
+    t = cut_lineage(chain_table(p))
+    val = filters.walk_forward(t.filter(F.col("period") == "train"), fv.CV_FOLDS, fv.CV_FOLD_WEEKS).filter(F.col("role") == "val")
+    cv = hybrid.cv_summary(val.groupBy("route", "fold").agg(metrics.mape(F.col("actual"), F.col("hybrid_fc")).alias("mape")))
+    params = t.groupBy("route").agg(*[F.first(c).alias(f"hw_{c}") for c in ("alpha", "beta", "gamma")])
+    adf = unitroot.adf(p).select("route", "adf_t_stat", "adf_p", "is_stationary")
+    return metrics.round_metrics(metrics.forecast_metrics(t).join(cv, "route").join(params, "route").join(adf, "route", "left"))

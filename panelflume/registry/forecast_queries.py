@@ -105,6 +105,33 @@ def _decomposition(spark, sf):
                     total("residual").alias("residual_sum"), F.size("dates").cast("long").alias("weeks"))
 
 
+# Holt-Winters on the part of each route the hybrid trains on: rows from the 53rd to the 27th last. `won` has the best
+# parameters, `hw` a row per training and test row.
+TRAINED = f"""{PANEL}, kept AS (SELECT route, date, CAST(pax AS DOUBLE) AS y, row_number() OVER (PARTITION BY route ORDER BY date) AS rn,
+      count(*) OVER (PARTITION BY route) AS total FROM panel),
+    {smoothing_sql('(SELECT route, date, y FROM kept WHERE rn > 52 AND rn <= total - 26)', GRID, 52)},
+    won AS (SELECT route, pid, any_value(a) AS alpha, any_value(b) AS beta, any_value(g) AS gamma FROM rec GROUP BY route, pid
+      QUALIFY row_number() OVER (PARTITION BY route ORDER BY avg(power(y - fitted, 2)), pid) = 1),
+    mine AS (SELECT rec.* FROM rec JOIN won ON won.route = rec.route AND won.pid = rec.pid),
+    final AS (SELECT * FROM mine QUALIFY row_number() OVER (PARTITION BY route ORDER BY t DESC) = 1),
+    hw AS (SELECT m.route, ser.date, 'train' AS period, m.y AS actual, m.fitted AS hw_fc FROM mine m JOIN ser ON ser.route = m.route AND ser.t = m.t
+      UNION ALL SELECT k.route, k.date, 'test', k.y, greatest(f.l + h * f.tr + CASE WHEN len(f.s) >= 52 THEN f.s[1 + (h - 1) % 52] ELSE 0 END, 0)
+      FROM (SELECT *, rn - (total - 26) AS h FROM kept WHERE rn > total - 26 AND rn > 52) k JOIN final f ON f.route = k.route)"""
+# The forecast table of the serving chain: Holt-Winters forecasts, and a correction that needs no fitted trees (the mean with
+# the value four periods back), so that SQL can follow the whole chain.
+CHAIN = f"""{TRAINED}, ft AS (SELECT route, date, period, CAST(actual AS BIGINT) AS actual, hw_fc,
+      (hw_fc + coalesce(lag(actual, 4) OVER (PARTITION BY route ORDER BY date), hw_fc)) / 2.0::DOUBLE AS hybrid_fc FROM hw)"""
+
+
+def chain_table(p):
+    """Holt-Winters forecast table (route, date, period, actual, hw_fc, hybrid_fc) of a panel's rows from the 53rd on."""
+    later = filters.numbered(p).filter(F.col("position") > fv.SEASON_WEEKS).drop("position", "n_rows")
+    frame = hybrid.smoothed_frame(later)
+    back = F.coalesce(F.lag("actual", 4).over(filters.series_window()), F.col("hw_fc"))
+    return frame.select("route", "date", "period", F.col("actual").cast("long").alias("actual"), "hw_fc",
+                        ((F.col("hw_fc") + back) / F.lit(2.0)).alias("hybrid_fc"), "alpha", "beta", "gamma")
+
+
 NAIVE = f"""{PANEL}, numbered AS (SELECT *, lag(pax, 52) OVER w AS hw_fc, (lag(pax, 52) OVER w + lag(pax, 4) OVER w) / 2.0::DOUBLE AS hybrid_fc,
       row_number() OVER w AS rn, count(*) OVER (PARTITION BY route) AS n FROM panel WINDOW w AS (PARTITION BY route ORDER BY date)),
     ft AS (SELECT route, date, CASE WHEN rn > n - 26 THEN 'test' ELSE 'train' END AS period, pax AS actual, CAST(hw_fc AS DOUBLE) AS hw_fc,
@@ -167,10 +194,11 @@ def _improvement(spark, sf):
     return rounded(metrics.forecast_metrics(naive_table(panel(spark, sf))).select("route", "mape_improvement_pct"), {"mape_improvement_pct": 6})
 
 
-FOLDS = f"""{NAIVE}, tr AS (SELECT *, row_number() OVER (PARTITION BY route ORDER BY date) - 1 AS pos, count(*) OVER (PARTITION BY route) AS m
+FOLD_ROWS = """tr AS (SELECT *, row_number() OVER (PARTITION BY route ORDER BY date) - 1 AS pos, count(*) OVER (PARTITION BY route) AS m
       FROM ft WHERE period = 'train'),
     folds AS (SELECT tr.*, f AS fold, CASE WHEN pos < m - (4 - f) * 8 THEN 'train' ELSE 'val' END AS role FROM tr, generate_series(1, 3) g(f)
       WHERE pos < m - (4 - f) * 8 + 8)"""
+FOLDS = f"{NAIVE}, {FOLD_ROWS}"
 
 
 def _folds(spark, sf):
@@ -211,20 +239,13 @@ def _share(spark, sf):
     return rounded(metrics.share_of_max(m, "pax").select("route", "month", "share_of_max"), {"share_of_max": 8})
 
 
-@query("i07_metrics_table", f"""WITH {NAIVE}, m AS ({METRICS_SQL}) SELECT route, n_train, n_test, round_even(hw_mape, 4) AS hw_mape,
-    round_even(hybrid_mape, 4) AS hybrid_mape, round_even(hybrid_rmse, 2) AS hybrid_rmse, round_even(hybrid_r2, 4) AS hybrid_r2,
-    round_even((hw_mape - hybrid_mape) / hw_mape * 100, 2) AS mape_improvement_pct FROM m""")
-def _metrics(spark, sf):
-    return metrics.round_metrics(metrics.forecast_metrics(naive_table(panel(spark, sf))))
-
-
-@query("i11_forecast_table", f"""WITH {NAIVE}, r AS (SELECT *, row_number() OVER (PARTITION BY route, period ORDER BY date DESC) AS back FROM ft)
+@query("i11_forecast_table", f"""WITH RECURSIVE {CHAIN}, r AS (SELECT *, row_number() OVER (PARTITION BY route, period ORDER BY date DESC) AS back FROM ft)
     SELECT route, {DAY}, period, actual, CAST(trunc(hybrid_fc) AS BIGINT) AS hybrid_fc, CAST(trunc(hw_fc) AS BIGINT) AS hw_fc,
       CASE WHEN period = 'test' THEN CAST(trunc(greatest(hybrid_fc - 500.5, 0)) AS BIGINT) END AS ci_low,
       CASE WHEN period = 'test' THEN CAST(trunc(hybrid_fc + 500.5) AS BIGINT) END AS ci_high
     FROM r WHERE period = 'test' OR back <= 52""")
 def _table(spark, sf):
-    t = naive_table(panel(spark, sf)).withColumns({"ci_low": F.col("hybrid_fc") - 500.5, "ci_high": F.col("hybrid_fc") + 500.5})
+    t = chain_table(panel(spark, sf)).withColumns({"ci_low": F.col("hybrid_fc") - 500.5, "ci_high": F.col("hybrid_fc") + 500.5})
     return iso(hybrid.forecast_table(t))
 
 
@@ -238,7 +259,7 @@ def _union(spark, sf):
 
 # Intervals ---------------------------------------------------------------------------------------------------------
 
-@query("i08_bootstrap_interval", f"""WITH {NAIVE}, te AS (SELECT *, row_number() OVER (PARTITION BY route ORDER BY date) AS step FROM ft WHERE period = 'test'),
+@query("i08_bootstrap_interval", f"""WITH RECURSIVE {CHAIN}, te AS (SELECT *, row_number() OVER (PARTITION BY route ORDER BY date) AS step FROM ft WHERE period = 'test'),
     re AS (SELECT route, actual - hybrid_fc AS residual, row_number() OVER (PARTITION BY route ORDER BY date) - 1 AS i,
       count(*) OVER (PARTITION BY route) AS m FROM ft WHERE period = 'train'),
     draws AS (SELECT te.route, te.date, te.step, hybrid_fc, b, CAST('0x' || substr(md5(concat_ws('|', te.route, step, b, 42)), 1, 12) AS BIGINT)
@@ -247,7 +268,7 @@ def _union(spark, sf):
     SELECT route, {DAY}, round(quantile_cont(CAST(v AS DOUBLE), 0.025), 4) AS ci_low, round(quantile_cont(CAST(v AS DOUBLE), 0.975), 4) AS ci_high
     FROM boot GROUP BY route, date""")
 def bootstrap(spark, sf):
-    t = cut_lineage(naive_table(panel(spark, sf)))
+    t = cut_lineage(chain_table(panel(spark, sf)))
     residuals = t.filter(F.col("period") == "train").select("route", "date", (F.col("actual") - F.col("hybrid_fc")).alias("residual"))
     test = t.filter(F.col("period") == "test").withColumn("step", F.row_number().over(filters.series_window()))
     out = hybrid.bootstrap_interval(test, residuals)
@@ -276,20 +297,6 @@ def _frame(spark, sf, **kw):
     return cut_lineage(hybrid.smoothed_frame(feature_frame(spark, sf, **kw)))
 
 
-# Holt-Winters on the part of each route the hybrid trains on: rows from the 53rd to the 27th last. `won` has the best
-# parameters, `hw` a row per training and test row.
-TRAINED = f"""{PANEL}, kept AS (SELECT route, date, CAST(pax AS DOUBLE) AS y, row_number() OVER (PARTITION BY route ORDER BY date) AS rn,
-      count(*) OVER (PARTITION BY route) AS total FROM panel),
-    {smoothing_sql('(SELECT route, date, y FROM kept WHERE rn > 52 AND rn <= total - 26)', GRID, 52)},
-    won AS (SELECT route, pid, any_value(a) AS alpha, any_value(b) AS beta, any_value(g) AS gamma FROM rec GROUP BY route, pid
-      QUALIFY row_number() OVER (PARTITION BY route ORDER BY avg(power(y - fitted, 2)), pid) = 1),
-    mine AS (SELECT rec.* FROM rec JOIN won ON won.route = rec.route AND won.pid = rec.pid),
-    final AS (SELECT * FROM mine QUALIFY row_number() OVER (PARTITION BY route ORDER BY t DESC) = 1),
-    hw AS (SELECT m.route, ser.date, 'train' AS period, m.y AS actual, m.fitted AS hw_fc FROM mine m JOIN ser ON ser.route = m.route AND ser.t = m.t
-      UNION ALL SELECT k.route, k.date, 'test', k.y, greatest(f.l + h * f.tr + CASE WHEN len(f.s) >= 52 THEN f.s[1 + (h - 1) % 52] ELSE 0 END, 0)
-      FROM (SELECT *, rn - (total - 26) AS h FROM kept WHERE rn > total - 26 AND rn > 52) k JOIN final f ON f.route = k.route)"""
-
-
 @query("i04_hybrid_forecast", f"""WITH RECURSIVE {TRAINED} SELECT route, {DAY}, period, actual, round(hw_fc, 4) AS hw_fc, true AS combines,
     true AS not_negative FROM hw""")
 def hybrid_forecast(spark, sf):

@@ -5,12 +5,12 @@ from pyspark.sql import functions as F
 
 from panelflume.operators import did, enrich, metrics
 from panelflume.plans import serving, stages
-from panelflume.registry.allocation_queries import BASE, CAPACITY, NAIVE_BODY, lp_sql, naive_forecasts
+from panelflume.registry.allocation_queries import BASE, CAPACITY, CHAIN_BODY, lp_sql
 from panelflume.registry.base import (BASE_YEAR, EXPERIMENTS, LOOKUPS, PANEL, did_fit_sql, did_rows_sql, demo, demo_tables, panel,
                                       query, rounded)
 from panelflume.sources.files import cut_lineage
 from panelflume.registry.causal_queries import _FULL, DID, START, _fitted, _specs, _table_sql
-from panelflume.registry.forecast_queries import METRICS_SQL, NAIVE, naive_table
+from panelflume.registry.forecast_queries import CHAIN, METRICS_SQL, chain_table
 
 
 @query("l01_coefficient_rows", DID + """SELECT outcome, position, coefficient, round(estimate, 4) AS estimate, round(se, 4) AS se, round(t, 4) AS t FROM (
@@ -23,32 +23,34 @@ def _coefficients(spark, sf):
     return rounded(rows.drop("experiment"), {"estimate": 4, "se": 4, "t": 4})
 
 
-ALLOCATED = f"""{NAIVE_BODY}, {lp_sql('scaled', 'route')}, lp AS (SELECT route,
+ALLOCATED = f"""{CHAIN_BODY}, {lp_sql('scaled', 'route')}, lp AS (SELECT route,
     round_even(round_even((revenue - flat) / greatest(flat, 1) * 100, 6), 2) AS revenue_uplift_pct FROM solved)"""
-FORECASTS = NAIVE[len(PANEL) + 2:]
-RESULTS = f"""{_FULL}, {ALLOCATED}, {FORECASTS}, m AS ({METRICS_SQL}), el AS ({_table_sql('only_here AS (SELECT 1)')})"""
+FORECASTS = CHAIN[len(PANEL) + 2:]
+RESULTS = f"""{_FULL}, {FORECASTS}, {ALLOCATED}, m AS ({METRICS_SQL}), el AS ({_table_sql('only_here AS (SELECT 1)')})"""
 
 
 def _inputs(spark, sf):
     p = cut_lineage(panel(spark, sf))
-    lp = stages.allocate(naive_forecasts(p), p, demo(spark, "daily_flights"), BASE, {"capacity": float(CAPACITY)})["lp_results"]
+    t = cut_lineage(chain_table(p))
+    lp = stages.allocate(t, p, demo(spark, "daily_flights"), BASE, {"capacity": float(CAPACITY)})["lp_results"]
     recent = enrich.calendar(p.filter(F.col("date") >= F.lit(START).cast("date")), demo_tables(spark), BASE_YEAR)
-    return p, metrics.forecast_metrics(naive_table(p)), stages.elasticity_table(recent, START), lp
+    return p, metrics.forecast_metrics(t), stages.elasticity_table(recent, START), lp
 
 
-@query("c09_results_wide_join", f"""WITH {PANEL}, {LOOKUPS}, {ALLOCATED}, {FORECASTS}, m AS ({METRICS_SQL})
+@query("c09_results_wide_join", f"""WITH RECURSIVE {CHAIN}, {LOOKUPS}, {ALLOCATED}, m AS ({METRICS_SQL})
     SELECT m.route, n_test, round(hybrid_rmse, 4) AS hybrid_rmse, revenue_uplift_pct, route_desc
     FROM m LEFT JOIN lp USING (route) LEFT JOIN routes USING (route)""")
 def _wide(spark, sf):
     p = cut_lineage(panel(spark, sf))
-    lp = stages.allocate(naive_forecasts(p), p, demo(spark, "daily_flights"), BASE, {"capacity": float(CAPACITY)})["lp_results"]
-    m = metrics.forecast_metrics(naive_table(p)).select("route", "n_test", "hybrid_rmse")
+    t = cut_lineage(chain_table(p))
+    lp = stages.allocate(t, p, demo(spark, "daily_flights"), BASE, {"capacity": float(CAPACITY)})["lp_results"]
+    m = metrics.forecast_metrics(t).select("route", "n_test", "hybrid_rmse")
     wide = m.join(lp.select("route", "revenue_uplift_pct"), "route", "left").join(
         demo(spark, "routes").select("route", "route_desc"), "route", "left")
     return rounded(wide, {"hybrid_rmse": 4})
 
 
-@query("l02_scorecard", f"""WITH {RESULTS} SELECT m.route, round(hw_mape, 8) AS hw_mape, round(hybrid_mape, 8) AS hybrid_mape,
+@query("l02_scorecard", f"""WITH RECURSIVE {RESULTS} SELECT m.route, round(hw_mape, 8) AS hw_mape, round(hybrid_mape, 8) AS hybrid_mape,
     round((hw_mape - hybrid_mape) / hw_mape * 100, 6) AS mape_improvement_pct, round(hybrid_r2, 8) AS hybrid_r2, revenue_uplift_pct,
     preferred_elasticity FROM m LEFT JOIN lp USING (route) LEFT JOIN el USING (route)""")
 def scorecard(spark, sf):
@@ -56,7 +58,7 @@ def scorecard(spark, sf):
     return rounded(serving.scorecard(m, el, lp), {"hw_mape": 8, "hybrid_mape": 8, "mape_improvement_pct": 6, "hybrid_r2": 8})
 
 
-@query("l03_headline", f"""WITH {RESULTS}, {did_rows_sql(EXPERIMENTS[:1])}, {did_fit_sql('d', 'po', 'f')}
+@query("l03_headline", f"""WITH RECURSIVE {RESULTS}, {did_rows_sql(EXPERIMENTS[:1])}, {did_fit_sql('d', 'po', 'f')}
     SELECT kpi, round(value, 4) AS value FROM (
     SELECT 'mean_hybrid_mape' AS kpi, avg(hybrid_mape) AS value FROM m UNION ALL SELECT 'mean_hw_mape', avg(hw_mape) FROM m
     UNION ALL SELECT 'mean_uplift_pct', avg(revenue_uplift_pct) FROM lp
