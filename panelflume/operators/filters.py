@@ -28,6 +28,11 @@ def date_window(column: Column, centre: Column, before_weeks, after_weeks) -> Co
     return column.between(F.date_sub(centre, before * 7), F.date_add(centre, after * 7))
 
 
+def repeated_keys(df: DataFrame, *keys: str) -> DataFrame:
+    """Keys that occur more than once, with their number of rows. Lags and folds assume none for (route, date)."""
+    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_rows")).filter(F.col("n_rows") > 1)
+
+
 def min_observations(df: DataFrame, least: int, entity: str = "route") -> DataFrame:
     """Rows of entities with at least `least` rows, in one pass over df."""
     counted = df.withColumn("_n", F.count(F.lit(1)).over(Window.partitionBy(entity)))

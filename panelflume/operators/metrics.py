@@ -20,6 +20,14 @@ def r2(y: Column, f: Column) -> Column:
     return F.lit(1.0) - F.try_divide(F.sum((y - f) * (y - f)), F.var_pop(y) * F.count(y))
 
 
+def percentiles(df: DataFrame, value: str, shares: list[float], *keys: str, accuracy: int | None = None) -> DataFrame:
+    """Per key an array of percentiles, linearly interpolated. Given an accuracy they come from a sketch of bounded size instead
+    (relative rank error 1 / accuracy), for groups too large to sort."""
+    at = F.array(*[F.lit(s) for s in shares])
+    column = F.percentile(value, at) if accuracy is None else F.percentile_approx(F.col(value).cast("double"), at, accuracy)
+    return df.groupBy(*keys).agg(column.alias("percentiles"))
+
+
 def exact_sum(name: str, scale: int = 4) -> Column:
     """Sum of amounts with a fixed number of decimals; the same for any order of the rows."""
     return F.sum(F.col(name).cast(f"decimal(28,{scale})")).cast("double")

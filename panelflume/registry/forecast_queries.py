@@ -228,8 +228,7 @@ def _across(spark, sf):
 @query("d11_percentile", f"""WITH {NAIVE} SELECT route, round(quantile_cont(CAST(actual AS DOUBLE), 0.025), 6) AS low,
     round(quantile_cont(CAST(actual AS DOUBLE), 0.975), 6) AS high FROM ft GROUP BY route""")
 def _percentile(spark, sf):
-    q = F.percentile("actual", F.array(F.lit(0.025), F.lit(0.975)))
-    out = naive_table(panel(spark, sf)).groupBy("route").agg(q.alias("q"))
+    out = metrics.percentiles(naive_table(panel(spark, sf)), "actual", [0.025, 0.975], "route").withColumnRenamed("percentiles", "q")
     return rounded(out.select("route", F.get("q", F.lit(0)).alias("low"), F.get("q", F.lit(1)).alias("high")), {"low": 6, "high": 6})
 
 

@@ -52,6 +52,25 @@ def _optional(spark, sf):
     return totals.join(overrides, "route", "left").withColumn("share", F.coalesce("share", F.lit(fv.MARKET_SHARE)))
 
 
+@query("a05_optional_present", P + """SELECT p.route, CAST(sum(pax) AS BIGINT) AS pax, 0.5::DOUBLE + any_value(r_regionkey) / 100.0::DOUBLE AS share
+    FROM panel p JOIN region ON r_name = p.route GROUP BY p.route""")
+def _optional_present(spark, sf):
+    folder = files.shared_folder(spark)
+    shares = table(spark, sf, "region").select(F.col("r_name").alias("route"), (F.lit(0.5) + F.col("r_regionkey") / F.lit(100.0)).alias("share"))
+    shares.write.parquet(f"{folder}/route_overrides.parquet")
+    overrides = files.read_optional(spark, f"{folder}/route_overrides.parquet", "route string, share double")
+    totals = panel(spark, sf).groupBy("route").agg(F.sum("pax").alias("pax"))
+    return totals.join(overrides, "route", "left").withColumn("share", F.coalesce("share", F.lit(fv.MARKET_SHARE)))
+
+
+@query("a06_json_arrays", P + """, y AS (SELECT route, year, CAST(sum(pax) AS BIGINT) AS pax FROM panel WHERE route < 'B' GROUP BY 1, 2)
+    SELECT r_name AS route, coalesce(to_json(list(struct_pack(year := year, pax := pax) ORDER BY year) FILTER (year IS NOT NULL))::VARCHAR, '[]') AS records
+    FROM region LEFT JOIN y ON y.route = r_name GROUP BY r_name""")
+def _arrays(spark, sf):
+    annual = panel(spark, sf).filter("route < 'B'").groupBy("route", "year").agg(F.sum("pax").alias("pax"))
+    return files.json_arrays(annual, table(spark, sf, "region").select(F.col("r_name").alias("route")), "route", "year")
+
+
 @query("a06_json_records", P + """SELECT to_json(struct_pack(route := route, year := year, pax := CAST(sum(pax) AS BIGINT)))::VARCHAR
     AS record FROM panel GROUP BY route, year""")
 def _records(spark, sf):
@@ -84,6 +103,13 @@ def _export(spark, sf):
 SHORT = f"SELECT route, {DAY}, pax, revenue FROM panel"
 
 
+@query("b00_repeated_keys", """SELECT o_custkey, strftime(o_orderdate, '%Y-%m') AS month, count(*) AS n_rows FROM orders
+    GROUP BY 1, 2 HAVING count(*) > 1""")
+def _repeated(spark, sf):
+    orders = table(spark, sf, "orders").select("o_custkey", F.date_format("o_orderdate", "yyyy-MM").alias("month"))
+    return filters.repeated_keys(orders, "o_custkey", "month")
+
+
 @query("b01_entity_filter", P + SHORT + " WHERE route = 'ASIA'")
 def _entity(spark, sf):
     return iso(panel(spark, sf, entities=["ASIA"]).select("route", "date", "pax", "revenue"))

@@ -1,14 +1,17 @@
 """Queries on the serving tables."""
 from __future__ import annotations
 
-from pyspark.sql import functions as F
+from functools import reduce
+
+from pyspark.sql import DataFrame, functions as F
 
 from panelflume.operators import did, enrich, metrics
 from panelflume.plans import serving, stages
 from panelflume.registry.allocation_queries import BASE, CAPACITY, CHAIN_BODY, lp_sql
 from panelflume.registry.base import (BASE_YEAR, EXPERIMENTS, LOOKUPS, PANEL, did_fit_sql, did_rows_sql, demo, demo_tables, panel,
                                       query, rounded)
-from panelflume.sources.files import cut_lineage
+from panelflume import fixed_values as fv
+from panelflume.sources.files import cut_lineage, shared_folder, write_results
 from panelflume.registry.causal_queries import _FULL, DID, START, _fitted, _specs, _table_sql
 from panelflume.registry.forecast_queries import CHAIN, METRICS_SQL, chain_table
 
@@ -68,3 +71,24 @@ def _headline(spark, sf):
     p, m, el, lp = _inputs(spark, sf)
     effects = did.estimate(p, _specs(spark), ["yield_aud"], p_values=False)
     return rounded(serving.headline(m, el, effects, lp, "ASIA"), {"value": 4})
+
+
+NINE = f"""WITH {PANEL}, n AS (SELECT route, count(*) AS n, count(*) FILTER (date >= DATE '{START}' AND pax > 0) AS late FROM panel GROUP BY route),
+    f AS (SELECT * FROM n WHERE n > 78)
+    SELECT 'model_metrics' AS name, count(*) AS n_rows FROM f UNION ALL SELECT 'forecasts', CAST(sum(26 + least(52, n - 78)) AS BIGINT) FROM f
+    UNION ALL SELECT 'feature_importance', 30 * count(*) FROM f UNION ALL SELECT 'cv_results', 3 * count(*) FROM f
+    UNION ALL SELECT 'decompositions', count(*) FROM f UNION ALL SELECT 'did_results', 2
+    UNION ALL SELECT 'elasticity', count(*) FROM n WHERE late >= {fv.ELASTICITY_MIN_OBS}
+    UNION ALL SELECT 'lp_results', count(*) FROM f UNION ALL SELECT 'lp_sensitivity', 14 * count(*) FROM f"""
+
+
+@query("a08_nine_tables", NINE)
+def _nine(spark, sf):
+    p = cut_lineage(enrich.calendar(panel(spark, sf), demo_tables(spark), BASE_YEAR))
+    tables = stages.forecast(p, base_year=BASE_YEAR)
+    tables |= stages.causal(p, _specs(spark), elasticity_start=START)
+    tables |= stages.allocate(tables["forecasts"], p, demo(spark, "daily_flights"), BASE)
+    folder = shared_folder(spark)
+    write_results(tables, folder)
+    counts = [spark.read.parquet(f"{folder}/{name}").agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit(name).alias("name"), "n_rows") for name in tables]
+    return reduce(DataFrame.unionByName, counts)

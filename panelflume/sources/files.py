@@ -4,7 +4,7 @@ from __future__ import annotations
 import uuid
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
 
@@ -39,6 +39,15 @@ def read_optional(spark: SparkSession, path: str, schema: StructType | str, fmt:
         return spark.createDataFrame([], schema)
 
 
+def json_arrays(rows: DataFrame, entities: DataFrame, key: str, order: str) -> DataFrame:
+    """(key, records): each entity's rows as one JSON array in order; `[]` for an entity without rows.
+
+    An array holds one entity's rows, so it is for tables of bounded length per entity, such as result tables.
+    """
+    packed = rows.groupBy(key).agg(F.array_sort(F.collect_list(F.struct(order, *[c for c in rows.columns if c not in (key, order)]))).alias("_rows"))
+    return entities.select(key).distinct().join(packed, key, "left").select(key, F.coalesce(F.to_json("_rows"), F.lit("[]")).alias("records"))
+
+
 def write_results(tables: dict[str, DataFrame], folder: str, partition_key: str = "route",
                   partitioned: frozenset[str] = frozenset({"forecasts", "decompositions"})) -> None:
     """Export named result tables as parquet; the long ones are laid out by entity.
