@@ -57,7 +57,7 @@ class Templates:
         self.sizes = [sum(c.values()) for _, c in self.items]
         self.known = {b: [k for k, (_, c) in enumerate(self.items) if b in c] for _, c in self.items for b in c}
         ratio = (2 - threshold) / threshold
-        self.bounds = [(n / ratio, n * ratio) for n in self.sizes]
+        self.bounds = [(n / ratio - 1e-9, n * ratio + 1e-9) for n in self.sizes]
         self.words = {w for pair in self.known for w in pair}
 
 
