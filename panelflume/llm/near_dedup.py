@@ -158,24 +158,37 @@ def sketch_pairs(pairs: DataFrame, reps: DataFrame) -> DataFrame:
     return both.select("a", "b", "sa", "sb").mapInArrow(run, "a long, b long")
 
 
-def node_pairs(members: DataFrame) -> DataFrame:
-    """Small nodes compared exhaustively by sketch: pairs from different components. members: node, rep, component, sketch."""
-    nodes = members.groupBy("node").agg(F.collect_list(F.struct("rep", "component", "sketch")).alias("rows")).select("rows")
+def node_pairs(members: DataFrame, small: int) -> DataFrame:
+    """Every pair of a node's members from different components whose sketches allow a link.
+
+    members: node, rep, component, sketch, size, main (the node's largest component). Members outside `main`, at most
+    `small` of them, are probes: each is compared with all members. A larger node is cut into blocks of about `small`
+    members, and each block gets all probes, so that no task holds a whole node and copies are no more than its members.
+    """
+    blocks = F.ceil(F.col("size") / small).cast("int")
+    row = F.struct("rep", "component", "sketch")
+    base = members.select("node", F.pmod(F.xxhash64("rep"), blocks).cast("int").alias("block"), F.lit(False).alias("probe"), row.alias("row"))
+    probes = members.where("component <> main").select("node", F.explode(F.sequence(F.lit(0), blocks - 1)).alias("block"),
+                                                       F.lit(True).alias("probe"), row.alias("row"))
+    nodes = base.unionByName(probes).groupBy("node", "block").agg(
+        F.collect_list(F.when(F.col("probe"), F.col("row"))).alias("probes"), F.collect_list(F.when(~F.col("probe"), F.col("row"))).alias("rows"))
+
+    def arrays(rows):
+        return (np.array([r["rep"] for r in rows], dtype=np.int64), np.array([r["component"] for r in rows], dtype=np.int64),
+                np.frombuffer(b"".join(r["sketch"] for r in rows), dtype=np.uint8).reshape(-1, SKETCH))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            first, second = [], []
-            for rows in batch.column(0).to_pylist():
-                rep, comp = np.array([r["rep"] for r in rows]), np.array([r["component"] for r in rows])
-                s = np.frombuffer(b"".join(r["sketch"] for r in rows), dtype=np.uint8).reshape(-1, SKETCH)
-                for i in range(len(rep) - 1):
-                    j = i + 1 + np.flatnonzero((comp[i + 1:] != comp[i]) & (_alike(s[i + 1:], s[i]) >= SKETCH_CUT))
-                    first += [np.maximum(rep[j], rep[i])]
-                    second += [np.minimum(rep[j], rep[i])]
-            empty = [np.zeros(0, dtype=np.int64)]
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(first + empty)), pa.array(np.concatenate(second + empty))], names=["a", "b"])
+            first, second = [np.zeros(0, dtype=np.int64)], [np.zeros(0, dtype=np.int64)]
+            for probe_rows, base_rows in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                rep, comp, sketch = arrays(base_rows)
+                for r, c, s in zip(*arrays(probe_rows)):
+                    j = np.flatnonzero((comp != c) & (_alike(sketch, s) >= SKETCH_CUT))
+                    first.append(np.maximum(rep[j], r))
+                    second.append(np.minimum(rep[j], r))
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(first)), pa.array(np.concatenate(second))], names=["a", "b"])
 
-    return nodes.mapInArrow(run, "a long, b long")
+    return nodes.select("probes", "rows").mapInArrow(run, "a long, b long")
 
 
 def confirmed(pairs: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
@@ -197,7 +210,7 @@ def _nodes(members: DataFrame) -> DataFrame:
     """
     members = saved(members)
     stats = members.groupBy("node").agg(F.count("*").alias("size"), F.min(F.struct("rep", "component")).alias("low")).where("size > 1")
-    return saved(members.join(saved(stats), "node"), rebalance=True)
+    return saved(members.join(saved(stats), "node"))
 
 
 def _stars(nodes: DataFrame) -> DataFrame:
@@ -211,9 +224,9 @@ def link_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
 
     Documents with equal shingle sets are one class. In each of `trees` independent trees a class goes to the node of its
     minwise shingle. Every node first compares its members with its smallest one; links are confirmed on full sets and
-    joined to components. A node whose members are all in one component is done: it can add nothing. Of the others, small
-    ones compare all members of different components; larger ones branch by further minwise shingles of each member,
-    picked by a hash of the node, and the next round goes on with the branches. All copies of one text cost one member, and
+    joined to components. A node whose members are all in one component is done: it can add nothing. Others compare all members
+    of different components, if at most `small` are outside the node's largest component; else they branch by further minwise
+    shingles of each member, picked by a hash of the node, and the next round goes on with the branches. All copies of one text cost one member, and
     a large group of near copies costs comparisons in proportion to its size.
 
     A pair at the threshold meets in the first node of a tree with probability 0.75, so ten trees miss one in a million; of
@@ -232,21 +245,21 @@ def link_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     reps = classes.select("rep", "path", "sketch")
     starts = reps.select("rep", F.posexplode(F.slice("path", 1, trees)).alias("tree", "token"))
     nodes = _nodes(starts.select(F.xxhash64("tree", "token").alias("node"), "rep", F.col("rep").alias("component")))
-    pairs = saved(sketch_pairs(_stars(nodes), reps), rebalance=True)
+    pairs = saved(sketch_pairs(_stars(nodes), reps))
     found = components(confirmed(pairs, rows, percent))
 
     level = 1
     while True:
-        known = saved(nodes.drop("component", "low").join(found.withColumnRenamed("id", "rep"), "rep", "left").select(
-            "node", "rep", "size", F.coalesce("component_id", "rep").alias("component")), rebalance=True)
-        mixed = saved(known.groupBy("node").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
-                      .where("lo <> hi").select("node"))
+        known = saved(nodes.select("node", "rep").join(found.withColumnRenamed("id", "rep"), "rep", "left").select(
+            "node", "rep", F.coalesce("component_id", "rep").alias("component")))
+        shares = known.groupBy("node", "component").agg(F.count("*").alias("n"))
+        mixed = saved(shares.groupBy("node").agg(F.sum("n").alias("size"), F.max("n").alias("most"), F.max_by("component", F.struct("n", "component")).alias("main"))
+                      .where("most < size"))
         if mixed.isEmpty():
             break
-        still = saved(known.join(mixed, "node"), rebalance=True)
-        few = still.where(F.col("size") <= small).join(reps.select("rep", "sketch"), "rep")
-        pairs = node_pairs(few).distinct()
-        large = F.col("size") > small
+        still = saved(known.join(mixed, "node"))
+        large = F.col("size") - F.col("most") > small
+        pairs = node_pairs(still.where(~large).join(reps.select("rep", "sketch"), "rep"), small).distinct()
         nodes = None
         if not still.where(large).isEmpty():
             many = still.where(large).join(reps.select("rep", "path"), "rep")
@@ -256,7 +269,7 @@ def link_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
             nodes = _nodes(many.withColumn("branch", branch).withColumn("place", place).select(
                 F.xxhash64("node", "branch", F.get("path", F.col("place"))).alias("node"), "rep", "component"))
             pairs = pairs.unionByName(sketch_pairs(_stars(nodes), reps)).distinct()
-        pairs = saved(pairs, rebalance=True)
+        pairs = saved(pairs)
         if not pairs.isEmpty():
             new = confirmed(pairs, rows, percent)
             found = components(found.select(F.col("id").alias("a"), F.col("component_id").alias("b")).unionByName(new))
