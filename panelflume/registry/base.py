@@ -130,8 +130,8 @@ EVENT_SUM = """(SELECT sum((peak_mult - 1) * exp(-0.5 * power(
       AND contains(p.route, city))"""
 REGIME = """(SELECT v0 + (v1 - v0) * date_diff('day', from_date, p.date) / date_diff('day', from_date, to_date)
     FROM regimes WHERE p.date >= from_date AND p.date < to_date)"""
-CPI = f"""(SELECT product(1 + coalesce(m.cpi, 0.025)) FROM generate_series({BASE_YEAR}, p.year) g(y)
-    LEFT JOIN macro m ON m.year = g.y)"""
+CPI = f"""coalesce((SELECT product(1 + coalesce(m.cpi, 0.025)) FROM generate_series({BASE_YEAR}, p.year) g(y)
+    LEFT JOIN macro m ON m.year = g.y), 1)"""
 ENRICHED = f"""{PANEL}, {LOOKUPS}, enriched AS (
   SELECT p.*,
     CAST(EXISTS (SELECT 1 FROM school_holidays WHERE p.date BETWEEN start_date AND end_date) AS INTEGER) AS school_holiday,
