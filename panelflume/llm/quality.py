@@ -43,7 +43,7 @@ def features(text: str | None) -> list[float]:
             counts[7:].sum() * 10, min(distinct / n ** 0.8, 2.0), repeats, min(len(raw) / n / 10, 3.0)]
 
 
-def fit_logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1.0, rounds: int = 30) -> np.ndarray:
+def fit_logistic(x: np.ndarray, y: np.ndarray, ridge: float = 0.1, rounds: int = 30) -> np.ndarray:
     """Weights by Newton's method with a ridge penalty."""
     w = np.zeros(x.shape[1])
     for _ in range(rounds):
