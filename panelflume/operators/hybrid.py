@@ -193,7 +193,7 @@ def importance(frame: DataFrame, names: list[str], trees: int = fv.BOOST_PARAMS[
     """Rise of the squared training error when a feature is shuffled: mean and population deviation over repeats, ranked.
 
     Shuffles are those of permuted(), by hash of route, feature, repeat and row. A feature that no tree of the entity's
-    model uses has importance zero, exactly, and is not tried.
+    model uses has importance zero, exactly, and is not tried; for others only the trees that use them are walked again.
     """
     import hashlib
 
@@ -201,15 +201,20 @@ def importance(frame: DataFrame, names: list[str], trees: int = fv.BOOST_PARAMS[
         pdf = pdf.sort_values("date").reset_index(drop=True)
         model, x = _kernel(pdf, np.ones(len(pdf), dtype=bool), trees)
         residual, route = pdf["residual"].to_numpy(float), pdf["route"].iloc[0]
-        base = np.mean((residual - boosting.predict(model, x)) ** 2)
+        bins = boosting.binned(x, model.edges)
+        parts = [boosting.walk(t, bins) for t in model.trees]
+        plain = model.start + sum(parts, np.zeros(len(x)))
+        base = np.mean((residual - plain) ** 2)
         used, rows = model.used(), []
         for f, name in enumerate(names):
             rises = np.zeros(repeats)
+            touched = [(t, part) for t, part in zip(model.trees, parts) if f in t.feature]
             for r in range(1, repeats + 1) if f in used else ():
                 order = sorted(range(len(x)), key=lambda i: (hashlib.md5(f"{route}|{name}|{r}|{i}".encode()).hexdigest(), i))
-                other = x.copy()
-                other[:, f] = x[order, f]
-                rises[r - 1] = np.mean((residual - boosting.predict(model, other)) ** 2) - base
+                other = bins.copy()
+                other[:, f] = bins[order, f]
+                shift = sum((boosting.walk(t, other) - part for t, part in touched), np.zeros(len(x)))
+                rises[r - 1] = np.mean((residual - plain - shift) ** 2) - base
             rows.append((route, name, float(rises.mean()), float(rises.std())))
         return pd.DataFrame(rows, columns=["route", "feature_code", "importance", "importance_std"])
 
