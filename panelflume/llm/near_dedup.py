@@ -18,7 +18,8 @@ SKETCH = 128
 SKETCH_CUT = 0.62
 SMALL_NODE = 512
 FILTER_SLOTS = 1 << 24
-CHUNK_BYTES = 1 << 20
+CHUNK_BYTES = 1 << 18
+SLICE_ROWS = 256
 SEED = 20240229
 
 
@@ -94,15 +95,17 @@ class Hasher:
 
 def _chunks(column: pa.Array) -> Iterator[tuple[int, list[bytes]]]:
     """Parts of a text column of about CHUNK_BYTES, with the place of their first row; nulls are empty."""
-    part, size, at = [], 0, 0
-    for i, t in enumerate(column.cast(pa.binary()).to_pylist()):
-        part.append(t or b"")
-        size += len(part[-1])
-        if size >= CHUNK_BYTES:
+    for first in range(0, len(column), SLICE_ROWS):
+        part, size, at = [], 0, first
+        for i, t in enumerate(column.slice(first, SLICE_ROWS).cast(pa.binary()).to_pylist(), first):
+            part.append(t or b"")
+            size += len(part[-1])
+            if size >= CHUNK_BYTES:
+                yield at, part
+                part, size, at = [], 0, i + 1
+        if part:
             yield at, part
-            part, size, at = [], 0, i + 1
-    if part:
-        yield at, part
+    pa.default_memory_pool().release_unused()
 
 
 def signatures(docs: DataFrame) -> DataFrame:

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, functions as F
 from panelflume.llm.common import opened, saved, sealed
 
 SAMPLE_ROWS = 20_000
+SLICE_ROWS = 256
 THRESHOLD = 0.5
 CLIP = 1e-4
 MARKS = "|!*$#%&"
@@ -85,10 +86,12 @@ def _with_evidence(rows: DataFrame, text: str, weights: np.ndarray | None) -> Da
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            x = np.array([features(t) for t in batch.column(at).to_pylist()]).reshape(-1, FEATURES)
+            texts = (t for first in range(0, batch.num_rows, SLICE_ROWS) for t in batch.column(at).slice(first, SLICE_ROWS).to_pylist())
+            x = np.array([features(t) for t in texts]).reshape(-1, FEATURES)
             p = np.full(len(x), 0.5) if weights is None else 1 / (1 + np.exp(-np.clip(x @ weights, -30, 30)))
             millionths = pa.array(np.rint(p * 1e6).astype(np.int64))
             yield pa.RecordBatch.from_arrays([*batch.columns, millionths], names=[*batch.schema.names, "proof_"])
+            pa.default_memory_pool().release_unused()
 
     schema = ", ".join(f"`{c}` {t}" for c, t in rows.dtypes) + ", proof_ long"
     return rows.mapInArrow(score, schema)
