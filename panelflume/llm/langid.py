@@ -11,10 +11,10 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from panelflume.llm.common import saved, sealed
 
-SAMPLE_DOCS = 64
-SLICE_CHARS = 1024
+SAMPLE_DOCS = 48
+SLICE_CHARS = 384
 OWN_CLASSES = 126
-FOLDED_CLASSES = 64
+FOLDED_CLASSES = 16
 BLOCK = 2048
 LANES = 4096
 UNKNOWN = "und"
