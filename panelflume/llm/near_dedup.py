@@ -1,4 +1,4 @@
-"""Near-duplicate documents: a chosen-path set similarity join over minwise shingles, confirmed on full sets."""
+"""Near-duplicate documents: a join by minwise shingles, and by rare shingles where those are too common, confirmed on full sets."""
 from __future__ import annotations
 
 from collections.abc import Iterator
@@ -13,10 +13,11 @@ from panelflume.llm.components import components
 SHINGLE = 5
 PERCENT = 75
 TREES = 10
-PATH = 32
 SKETCH = 128
-SKETCH_CUT = 0.62
+SKETCH_CUT = 0.55
 SMALL_NODE = 512
+ORDER_SAMPLE = 8192
+ORDER_SIZE = 1 << 18
 FILTER_SLOTS = 1 << 24
 CHUNK_BYTES = 1 << 18
 SLICE_ROWS = 256
@@ -42,8 +43,8 @@ class Hasher:
         self.space[[9, 10, 11, 12, 13, 32]] = True
         rng = np.random.default_rng(SEED)
         self.places = rng.integers(0, 2 ** 63, SHINGLE, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-        self.xors = rng.integers(0, 2 ** 32, PATH + SKETCH, dtype=np.uint32)
-        self.muls = rng.integers(0, 2 ** 31, PATH + SKETCH, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
+        self.xors = rng.integers(0, 2 ** 32, TREES + SKETCH, dtype=np.uint32)
+        self.muls = rng.integers(0, 2 ** 31, TREES + SKETCH, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
         self.powers = self.inverse = np.ones(1, dtype=np.uint64)
 
     def _grow(self, n: int) -> None:
@@ -84,11 +85,11 @@ class Hasher:
         return out
 
     def minwise(self, sets: list[np.ndarray]) -> np.ndarray:
-        """PATH + SKETCH minwise values of each non-empty set."""
+        """TREES + SKETCH minwise values of each non-empty set."""
         flat = (np.concatenate(sets) >> np.uint64(32)).astype(np.uint32)
         offsets = np.cumsum([0, *[len(s) for s in sets[:-1]]])
-        out = np.empty((len(sets), PATH + SKETCH), dtype=np.uint32)
-        for i in range(PATH + SKETCH):
+        out = np.empty((len(sets), TREES + SKETCH), dtype=np.uint32)
+        for i in range(TREES + SKETCH):
             out[:, i] = np.minimum.reduceat((flat ^ self.xors[i]) * self.muls[i], offsets)
         return out
 
@@ -122,8 +123,8 @@ def signatures(docs: DataFrame) -> DataFrame:
                     batch.column(0).slice(at, len(texts)), pa.array([len(s) for s in sets], pa.int64()),
                     pa.array(np.array([s.sum(dtype=np.uint64) for s in scrambled], dtype=np.uint64).view(np.int64)),
                     pa.array(np.array([np.bitwise_xor.reduce(s, initial=0) for s in scrambled], dtype=np.uint64).view(np.int64)),
-                    pa.array([low[i][:PATH].view(np.int32) if i in low else None for i in range(len(sets))], pa.list_(pa.int32())),
-                    pa.array([low[i][PATH:].astype(np.uint8).tobytes() if i in low else None for i in range(len(sets))], pa.binary())],
+                    pa.array([low[i][:TREES].view(np.int32) if i in low else None for i in range(len(sets))], pa.list_(pa.int32())),
+                    pa.array([low[i][TREES:].astype(np.uint8).tobytes() if i in low else None for i in range(len(sets))], pa.binary())],
                     names=["id", "n", "f1", "f2", "path", "sketch"])
 
     return docs.mapInArrow(run, "id long, n long, f1 long, f2 long, path array<int>, sketch binary")
@@ -164,16 +165,26 @@ def sketch_pairs(pairs: DataFrame, reps: DataFrame) -> DataFrame:
 def node_pairs(members: DataFrame, small: int) -> DataFrame:
     """Every pair of a node's members from different components whose sketches allow a link.
 
-    members: node, rep, component, sketch, size, main (the node's largest component). Members outside `main`, at most
-    `small` of them, are probes: each is compared with all members. A larger node is cut into blocks of about `small`
-    members, and each block gets all probes, so that no task holds a whole node and copies are no more than its members.
+    members: node, rep, component, sketch, size, most and main (the node's largest component and its members). Members
+    outside `main` are probes: each is compared with all members. Members and probes are cut into blocks of about `small`,
+    and every block of members meets every block of probes, so that no task holds a whole node; where at most `small` are
+    outside `main`, copies are no more than the members.
     """
-    blocks = F.ceil(F.col("size") / small).cast("int")
-    row = F.struct("rep", "component", "sketch")
-    base = members.select("node", F.pmod(F.xxhash64("rep"), blocks).cast("int").alias("block"), F.lit(False).alias("probe"), row.alias("row"))
-    probes = members.where("component <> main").select("node", F.explode(F.sequence(F.lit(0), blocks - 1)).alias("block"),
-                                                       F.lit(True).alias("probe"), row.alias("row"))
-    nodes = base.unionByName(probes).groupBy("node", "block").agg(
+    def parts(rows):
+        return F.ceil(rows / small).cast("int")
+
+    def own(blocks):
+        return F.pmod(F.xxhash64("rep"), blocks).cast("int")
+
+    def each(blocks):
+        return F.explode(F.sequence(F.lit(0), blocks - 1))
+
+    blocks, probe_blocks = parts(F.col("size")), parts(F.col("size") - F.col("most"))
+    row = F.struct("rep", "component", "sketch").alias("row")
+    base = members.select("node", own(blocks).alias("block"), each(probe_blocks).alias("probes_of"), F.lit(False).alias("probe"), row)
+    probes = members.where("component <> main").select("node", each(blocks).alias("block"), own(probe_blocks).alias("probes_of"),
+                                                       F.lit(True).alias("probe"), row)
+    nodes = base.unionByName(probes).groupBy("node", "block", "probes_of").agg(
         F.collect_list(F.when(F.col("probe"), F.col("row"))).alias("probes"), F.collect_list(F.when(~F.col("probe"), F.col("row"))).alias("rows"))
 
     def arrays(rows):
@@ -194,18 +205,56 @@ def node_pairs(members: DataFrame, small: int) -> DataFrame:
     return nodes.select("probes", "rows").mapInArrow(run, "a long, b long")
 
 
-def confirmed(pairs: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a written table) that link, by their full sets. docs (id, text) is read again for the ids in pairs; a Bloom filter of fixed
-    size keeps other texts out of the shuffle."""
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
+def sets_of(ids: DataFrame, docs: DataFrame) -> DataFrame:
+    """The full sets (id, set), written, of distinct ids. docs (id, text) is read again; a Bloom filter of fixed size keeps other texts
+    out of the shuffle."""
     slot = F.pmod(F.xxhash64("id"), F.lit(FILTER_SLOTS))
-    near = bloom_hit(docs, slot, bloom(wanted.select(slot.alias("slot_")), "slot_"), "hit_").where("hit_").select("id", "text")
-    sets = saved(full_sets(near.join(wanted, "id").dropDuplicates(["id"])))
+    near = bloom_hit(docs, slot, bloom(ids.select(slot.alias("slot_")), "slot_"), "hit_").where("hit_").select("id", "text")
+    return saved(full_sets(near.join(ids, "id").dropDuplicates(["id"])))
+
+
+def confirmed(pairs: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a written table) that link, by their full sets."""
+    sets = sets_of(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct(), docs)
     met = pairs.join(sets.toDF("b", "sb"), "b").join(sets.toDF("a", "sa"), "a").select("a", "b", F.size("sa").alias("na"), F.size("sb").alias("nb"),
                                                       F.size(F.array_intersect("sa", "sb")).alias("shared"))
     return met.where((F.col("shared") * 100).cast("long") >= (F.col("na") + F.col("nb") - F.col("shared")).cast("long") * percent).select("a", "b")
 
 
+def rare_shingles(sets: DataFrame, rows: int, percent: int) -> DataFrame:
+    """sets (id, set; a written table of so many rows) -> node, rep: the rarest shingles of each set, so many that two sets
+    that link have one in common.
+
+    Sets of n shingles that link share at least ceil(n * percent / 100), so in any one order of all shingles their first
+    n - ceil(n * percent / 100) + 1 meet. The order is by how often a sample of about ORDER_SAMPLE sets has a shingle, then by value:
+    the sample decides how many meet without a link, never whether a link is found.
+    """
+    every = max(1, rows // ORDER_SAMPLE)
+    counts = sets.where(F.pmod(F.xxhash64("id", F.lit("order")), F.lit(every)) == 0).select(F.explode("set").alias("shingle")).groupBy("shingle").agg(F.count("*").alias("n"))
+    top = sorted((r["shingle"], r["n"]) for r in counts.where("n > 1").orderBy(F.desc("n"), "shingle").limit(ORDER_SIZE).collect())
+    common = np.array([s for s, _ in top], dtype=np.int64)
+    often = np.array([n for _, n in top] + [0], dtype=np.int64)
+    shared = sets.sparkSession.sparkContext.broadcast((common, often))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        common, often = shared.value
+        for batch in batches:
+            ids = batch.column(0).to_numpy()
+            for first in range(0, batch.num_rows, SLICE_ROWS):
+                tokens, owners = [], []
+                for i, s in enumerate(batch.column(1).slice(first, SLICE_ROWS), first):
+                    s = s.values.to_numpy()
+                    at = np.searchsorted(common, s)
+                    at[at < len(common)] = np.where(common[at[at < len(common)]] == s[at < len(common)], at[at < len(common)], len(common))
+                    keep = len(s) - -(-len(s) * percent // 100) + 1
+                    tokens.append(s[np.lexsort((s, often[at]))[:keep]])
+                    owners.append(np.full(keep, ids[i]))
+                if tokens:
+                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(tokens)), pa.array(np.concatenate(owners))], names=["node", "rep"])
+
+    return sets.mapInArrow(run, "node long, rep long")
+
+
 def _nodes(members: DataFrame) -> DataFrame:
     """members (node, rep, component) of nodes with two or more, with size and low, the node's smallest rep and its component.
 
@@ -225,16 +274,18 @@ def link_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
                    percent: int = PERCENT) -> DataFrame:
     """A row per document: doc_id, n_shingles, component_id, kept.
 
-    Documents with equal shingle sets are one class. In each of `trees` independent trees a class goes to the node of its
-    minwise shingle. Every node first compares its members with its smallest one; links are confirmed on full sets and
+    Documents with equal shingle sets are one class. In each of `trees` (at most TREES) independent ways a class goes to the
+    node of its minwise shingle. Every node first compares its members with its smallest one; links are confirmed on full sets and
     joined to components. A node whose members are all in one component is done: it can add nothing. Others compare all members
-    of different components, if at most `small` are outside the node's largest component; else they branch by further minwise
-    shingles of each member, picked by a hash of the node, and the next round goes on with the branches. All copies of one text cost one member, and
-    a large group of near copies costs comparisons in proportion to its size.
+    of different components, if at most `small` are outside the node's largest component. Classes of any larger node meet once
+    more, all of them by their rarest shingles (`rare_shingles`), where no link is lost: first each with the node's smallest, then
+    all members of different components. All copies of one text cost one member, and a large group of near copies costs
+    comparisons in proportion to its size.
 
-    A pair at the threshold meets in the first node of a tree with probability 0.75, so ten trees miss one in a million; of
-    128 sketch bytes, which spare most comparisons, a cut of 0.62 misses three in ten thousand pairs that are exactly at the
-    threshold, and components mostly have other links for these.
+    A pair exactly at the threshold meets in a node of a tree with probability 0.75, so ten trees miss one in a million, however
+    large the nodes: a small one compares the pair, and both classes of a large one meet again by rare shingles for certain. Of
+    128 sketch bytes, which spare most comparisons, a cut of 0.55 misses four in ten million such pairs, and
+    components mostly have other links for these.
 
     Null and empty texts have no shingles and link with nothing; fewer than five words are one shingle. Rows with a null id
     link with nothing. Repeated rows are copies. An empty table gives an empty result. Other columns do not matter. If an id repeats with
@@ -251,7 +302,7 @@ def link_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     pairs = saved(sketch_pairs(_stars(nodes), reps))
     found = components(confirmed(pairs, rows, percent))
 
-    level = 1
+    rare = False
     while True:
         known = saved(nodes.select("node", "rep").join(found.withColumnRenamed("id", "rep"), "rep", "left").select(
             "node", "rep", F.coalesce("component_id", "rep").alias("component")))
@@ -261,24 +312,21 @@ def link_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
         if mixed.isEmpty():
             break
         still = saved(known.join(mixed, "node"))
-        large = F.col("size") - F.col("most") > small
+        large = F.lit(False) if rare else F.col("size") - F.col("most") > small
         pairs = node_pairs(still.where(~large).join(reps.select("rep", "sketch"), "rep"), small).distinct()
-        nodes = None
-        if not still.where(large).isEmpty():
-            many = still.where(large).join(reps.select("rep", "path"), "rep")
-            branch = F.explode(F.when((F.lit(level) <= 2) | (F.pmod(F.xxhash64("node", F.lit(-1)), F.lit(3)) == 0), F.array(F.lit(0), F.lit(1)))
-                               .otherwise(F.array(F.lit(0))))
-            place = F.pmod(F.xxhash64("node", "branch"), F.lit(PATH)).cast("int")
-            nodes = _nodes(many.withColumn("branch", branch).withColumn("place", place).select(
-                F.xxhash64("node", "branch", F.get("path", F.col("place"))).alias("node"), "rep", "component"))
+        many = saved(still.where(large).select("rep", "component").distinct())
+        n_many = many.count()
+        if n_many:
+            sets = sets_of(many.select(F.col("rep").alias("id")), rows)
+            nodes = _nodes(rare_shingles(sets, n_many, percent).join(many, "rep").select("node", "rep", "component"))
             pairs = pairs.unionByName(sketch_pairs(_stars(nodes), reps)).distinct()
         pairs = saved(pairs)
         if not pairs.isEmpty():
             new = confirmed(pairs, rows, percent)
             found = components(found.select(F.col("id").alias("a"), F.col("component_id").alias("b")).unionByName(new))
-        if nodes is None:
+        if not n_many:
             break
-        level += 1
+        rare = True
 
     whole = saved(classes.select(*print_, "rep").join(found.withColumnRenamed("id", "rep"), "rep", "left").select(
         *print_, F.coalesce("component_id", "rep").alias("component")))

@@ -90,3 +90,24 @@ def test_components_of_chains(spark):
     out = {r.id: r.component_id for r in components(spark.createDataFrame(chain + hub + [(5, 5), (7, None)], "a long, b long")).collect()}
     assert out == {**{i: 0 for i in order}, **{1000 + i: 1000 for i in range(300)}}
     assert components(spark.createDataFrame([], "a long, b long")).collect() == []
+
+
+def test_pairs_at_the_threshold_among_template_pages(spark):
+    rng = random.Random(11)
+    template = prose(rng, 124)
+    pages = [template + " " + prose(rng, 30) for _ in range(1500)]
+    longer = [p + " " + prose(rng, 50) for p in pages[:60]]    # 150 of 200 shingles
+    rows = list(enumerate(pages + longer))
+    assert all(100 * len(shingles(p) & shingles(q)) == 75 * len(shingles(p) | shingles(q)) for p, q in zip(pages, longer))
+    df = docs_frame(spark, [(i, t, "en", "s", len(t)) for i, t in rows])
+    expected = {i: i for i in range(1500)} | {1500 + i: i for i in range(60)}
+    assert {i: c for i, _, c in got(near_dedup.link_documents(df, small=16))} == expected
+
+
+def test_nodes_with_many_probes_compare_all(spark):
+    rng = np.random.default_rng(2)
+    sketch = bytes(rng.integers(0, 256, near_dedup.SKETCH, dtype=np.uint8))
+    members = spark.createDataFrame([(1, i, i, bytearray(sketch), 40, 1, 0) for i in range(40)],
+                                    "node long, rep long, component long, sketch binary, size long, most long, main long")
+    pairs = near_dedup.node_pairs(members, 8).distinct().collect()
+    assert {(r.a, r.b) for r in pairs} == {(a, b) for a in range(40) for b in range(a)}
