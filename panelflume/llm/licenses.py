@@ -1,6 +1,7 @@
-"""Licence scan: spans of lines compared with licence templates by the Dice coefficient over word bigrams."""
+"""Licence scan: spans of words compared with licence templates by the Dice coefficient over word bigrams."""
 from __future__ import annotations
 
+import math
 import re
 from collections import Counter
 from collections.abc import Iterator
@@ -104,12 +105,65 @@ def scan(text: str | None, t: Templates) -> list[tuple[str, float, int, int]]:
     return sorted((name, d, i, j) for name, (d, i, j) in best.items())
 
 
+def spans(words: list[str], t: Templates) -> list[tuple[int, int, float, int, int]]:
+    """(template, shared bigrams, dice, first word, last word) of spans of words like a template: from each start the closest,
+    then the shortest.
+
+    A span that begins or ends with a bigram the template lacks is less like it than without, so only spans between
+    template bigrams are compared. A start needs as many of them as the smallest span, within the largest span, and
+    shared bigrams are counted on from end to end.
+    """
+    pairs = bigrams(words)
+    at: dict[int, list[int]] = {}
+    for i, b in enumerate(pairs):
+        for k in t.known.get(b, ()):
+            at.setdefault(k, []).append(i)
+    out = []
+    for k, places in at.items():
+        body, n, most = t.items[k][1], t.sizes[k], math.floor(t.bounds[k][1])
+        least = max(1, math.ceil(t.bounds[k][0]))
+        for a in range(len(places) - least + 1):
+            first = places[a]
+            if places[a + least - 1] - first >= most:
+                continue
+            used: Counter = Counter()
+            both, closest = 0, None
+            for i in places[a:a + most]:
+                size = i - first + 1
+                if size > most:
+                    break
+                b = pairs[i]
+                if used[b] < body[b]:
+                    used[b] += 1
+                    both += 1
+                    dice = 2 * both / (size + n)
+                    if dice >= t.threshold and (closest is None or dice > closest[2]):
+                        closest = (k, both, dice, first, i + 1)
+            if closest:
+                out.append(closest)
+    return out
+
+
+def scan_words(text: str | None, t: Templates) -> list[tuple[str, float, int, int]]:
+    """scan() over spans of words instead of whole lines: notices within lines are found, lines only say where."""
+    low = (text or "").lower()
+    best: dict[str, tuple[float, int, int]] = {}
+    for k, _, dice, i, j in spans(normal_words(low), t):
+        name = t.items[k][0]
+        if name not in best or (dice, -i, -j) > (best[name][0], -best[name][1], -best[name][2]):
+            best[name] = (dice, i, j)
+    if not best:
+        return []
+    starts = [m.start() for m in TOKEN.finditer(low)]
+    return sorted((name, d, low.count("\n", 0, starts[i]), low.count("\n", 0, starts[j])) for name, (d, i, j) in best.items())
+
+
 def scan_licenses(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", templates: list[tuple[str, str]] | None = None,
                   threshold: float = THRESHOLD) -> DataFrame:
     """A row for each licence found in a document: doc_id, license, dice, first_line, last_line.
 
-    Every line of every text is looked at. Of several spans like one licence the closest counts, then the first, then the
-    shortest. Null and empty texts have no licence; repeated rows give repeated results; an empty table gives an empty one.
+    Every word of every text is looked at, whatever the lines. Of several spans like one licence the closest counts, then the
+    first, then the shortest. Null and empty texts have no licence; repeated rows give repeated results; an empty table gives an empty one.
     Other columns do not matter. There is no shuffle; templates travel with the task.
     """
     rows, names = sealed(docs.select(doc_id, text))
@@ -119,7 +173,7 @@ def scan_licenses(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", t
         t = Templates(chosen, threshold)
         for batch in batches:
             ids = batch.column(0).to_pylist()
-            found = [(i, *hit) for i, body in zip(ids, batch.column(1).to_pylist()) for hit in scan(body, t)]
+            found = [(i, *hit) for i, body in zip(ids, batch.column(1).to_pylist()) for hit in scan_words(body, t)]
             cols = list(zip(*found)) or [()] * 5
             yield pa.RecordBatch.from_arrays([pa.array(list(c), k) for c, k in zip(
                 cols, [pa.int64(), pa.string(), pa.float64(), pa.int32(), pa.int32()])], names=["doc_id", "license", "dice", "first_line", "last_line"])

@@ -218,6 +218,40 @@ def test_licence_lines_of_the_documents(spark):
     assert want and want <= got
 
 
+def test_licences_within_lines(spark):
+    rng = random.Random(9)
+    line = "Copyright 2020 Jane Roe. Released under the MIT License. See the file for more."
+    longest = max(licenses.TEMPLATES, key=lambda x: len(x[1]))
+    folded = f"{prose(rng, 90)} {longest[1]} {prose(rng, 90)}"
+    rows = [(1, line, "en", "s", 0), (2, f"{prose(rng, 20)}\n{folded}\nend", "en", "s", 0), (3, prose(rng, 300), "en", "s", 0)]
+    got = {(r.doc_id, r.license): r for r in licenses.scan_licenses(docs_frame(spark, rows)).collect()}
+    assert set(got) == {(1, "MIT"), (2, longest[0])}
+    assert all(r.dice == 1 for r in got.values()) and (got[2, longest[0]].first_line, got[2, longest[0]].last_line) == (1, 1)
+
+
+def test_licence_words_against_every_span():
+    rng = random.Random(10)
+    t = licenses.Templates([x for x in licenses.TEMPLATES if len(x[1]) < 110], licenses.THRESHOLD)
+    for _ in range(20):
+        words = prose(rng, 8).split()
+        notice = rng.choice([x for x in licenses.TEMPLATES if len(x[1]) < 110])[1].split()
+        notice[rng.randrange(len(notice))] = rng.choice([notice[0], "other"])
+        words[4:4] = notice
+        words = licenses.normal_words(" ".join(words))
+        want = {}
+        for i in range(len(words)):
+            for j in range(i + 1, len(words)):
+                a = Counter(licenses.bigrams(words[i:j + 1]))
+                for k, (_, b) in enumerate(t.items):
+                    d = 2 * sum((a & b).values()) / (sum(a.values()) + sum(b.values()))
+                    if d >= t.threshold:
+                        want[k] = max(want.get(k, 0), d)
+        got = {}
+        for k, _, d, _, _ in licenses.spans(words, t):
+            got[k] = max(got.get(k, 0), d)
+        assert got == want
+
+
 # --- chat
 
 @pytest.mark.parametrize("text", ["", "a", "<|done|>", "\\<|", "<\\|turn|>", "\\\\<<||", "é\U0001F600<|says|>\n"])
