@@ -252,6 +252,21 @@ def test_licence_words_against_every_span():
         assert got == want
 
 
+def test_licence_relatives():
+    t = licenses.Templates(licenses.TEMPLATES, licenses.THRESHOLD)
+    for name, text in licenses.TEMPLATES:
+        assert [(n, d) for n, d, _, _ in licenses.scan_words(f"zz yy {text}\nxx ww", t)] == [(name, 1)]
+    gpl = ("This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License as "
+           "published by the Free Software Foundation; either version 2 of the License, or (at your option) any later version.")
+    texts = {"GPL-2.0": gpl, "AGPL-3.0": gpl.replace("GNU", "GNU Affero").replace("version 2", "version 3"),
+             "LGPL-2.1": gpl.replace("GNU", "GNU Lesser").replace("program", "library").replace("version 2", "version 2.1"),
+             "CC-BY-3.0": "Licensed under CC BY 3.0.", "CC-BY-SA-4.0": "licensed under CC BY-SA 4.0"}
+    for name, text in texts.items():
+        assert [n for n, _, _, _ in licenses.scan_words(text, t)] == [name]
+    both = licenses.scan_words(texts["GPL-2.0"] + " or " + texts["AGPL-3.0"], t)
+    assert [n for n, _, _, _ in both] == ["AGPL-3.0", "GPL-2.0"]
+
+
 # --- chat
 
 @pytest.mark.parametrize("text", ["", "a", "<|done|>", "\\<|", "<\\|turn|>", "\\\\<<||", "é\U0001F600<|says|>\n"])
