@@ -6,7 +6,8 @@ from bisect import bisect_left, insort
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
-from panelflume.llm.common import sealed, words
+from panelflume.llm.common import attach, saved, sealed, words
+from panelflume.llm.near_dedup import link_documents
 
 CAPACITY = 2048
 SHARD_ROWS = 2048
@@ -72,15 +73,23 @@ def pack_shard(pdf: pd.DataFrame, capacity: int) -> pd.DataFrame:
     return out
 
 
+def near_clusters(docs: DataFrame, text: str = "text") -> DataFrame:
+    """body_, near_: for the hash of each lower-case text the component of near copies it is in, whatever the ids of its rows."""
+    low = F.lower(F.coalesce(F.col(text), F.lit("")))
+    links = link_documents(docs.select(F.xxhash64(low).alias("doc_id"), low.alias("text")))
+    return saved(links.groupBy(F.col("doc_id").alias("body_")).agg(F.min("component_id").alias("near_")))
+
+
 def pack(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source", cluster: Column | None = None,
-         size: Column | None = None, capacity: int = CAPACITY, shard_rows: int = SHARD_ROWS) -> DataFrame:
+         size: Column | None = None, near: DataFrame | None = None, capacity: int = CAPACITY, shard_rows: int = SHARD_ROWS) -> DataFrame:
     """A row for each piece: doc_id, piece, first_word, n_words, bin_id, bin_offset (words before it in its bin).
 
     A document of `capacity` words or more fills whole bins and its rest is packed. Rests go, largest first, into the
-    tightest open bin that has the room and holds no document of the same source and none of the same cluster (as set:
-    equal texts but for case). Documents are dealt by id to shards of about `shard_rows`, which pack on their own, so
-    no task holds more, whatever the sources; the deal and the order within a shard depend on rows only, not on partitions.
-    Only ids, sizes and two hashes are shuffled.
+    tightest open bin of its shard that has the room and holds no document of the same source and none of the same cluster
+    (given as a column of docs, or by `near`, the near_clusters() of docs; unset, equal texts but for case). Documents are dealt by id, text and source to shards of about `shard_rows`,
+    which pack on their own; rows equal in all three are numbered and dealt on by their number, so no task holds many more, whatever the
+    ids and sources. The deal and the order within a shard depend on rows only, not on partitions. Only ids, sizes and hashes are
+    shuffled.
 
     Documents without words, and null texts, have one row with n_words 0 and a null bin. A null source is a source of its
     own. Repeated rows are packed each, in different bins. An empty table gives an empty result. Other columns do not
@@ -89,11 +98,16 @@ def pack(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: st
     shards = max(1, -(-docs.count() // shard_rows))
     rows, names = sealed(docs)
     body = F.col(names[text])
-    same = F.xxhash64(F.lower(F.coalesce(body, F.lit("")))) if cluster is None else F.xxhash64(cluster)
+    same = F.xxhash64(F.lower(F.coalesce(body, F.lit(""))))
     narrow = rows.select(
         F.col(names[doc_id]).cast("long").alias("id_"), (words(body) if size is None else size).alias("size_"),
-        F.xxhash64(F.col(names[source]).isNull(), names[source]).alias("source_"), same.alias("cluster_"))
-    narrow = narrow.withColumn("shard_", F.pmod(F.xxhash64("id_", F.lit("shard")), F.lit(shards)))
+        F.xxhash64(F.col(names[source]).isNull(), names[source]).alias("source_"), (same if cluster is None else F.xxhash64(cluster)).alias("cluster_"), same.alias("body_"))
+    if near is not None:
+        narrow = attach(saved(narrow), near, ["body_"], ["id_", "source_"]).withColumn("cluster_", F.col("near_")).drop("near_")
+    key = ["id_", "body_", "source_", "size_", "cluster_"]
+    copies = narrow.groupBy(*key).agg(F.count("*").alias("n_")).select(*key, F.explode(F.sequence(F.lit(1), "n_")).alias("copy_"))
+    narrow = copies.select("id_", "size_", "source_", "cluster_", F.pmod(
+        F.xxhash64("id_", "body_", "source_", "copy_", F.lit("shard")), F.lit(shards)).alias("shard_"))
     packed = narrow.groupBy("shard_").applyInPandas(
         lambda pdf: pack_shard(pdf, capacity),
         "id_ long, piece int, first_word long, n_words long, bin_ long, bin_offset long")

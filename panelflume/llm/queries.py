@@ -66,7 +66,8 @@ def op9_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packing.pack(table(spark, sf_dir, "documents"))
+    docs = table(spark, sf_dir, "documents")
+    return packing.pack(docs, near=packing.near_clusters(docs))
 
 
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:

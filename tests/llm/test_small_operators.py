@@ -61,6 +61,20 @@ def test_packing_keeps_every_word(spark):
     assert sorted(map(str, again)) == sorted(map(str, out))
 
 
+def test_near_copies_and_null_ids_are_packed_apart(spark):
+    rng = random.Random(6)
+    text = prose(rng, 60)
+    near = [(i, text + " " + prose(rng, 1), "en", f"s{i}", 0) for i in range(8)]
+    docs = docs_frame(spark, near + [(100 + i, prose(rng, 30), "en", f"t{i}", 0) for i in range(20)])
+    out = packing.pack(docs, capacity=512, near=packing.near_clusters(docs)).collect()
+    assert len({r.bin_id for r in out if r.doc_id < 100}) == 8
+    nulls = docs_frame(spark, [(None, prose(rng, 5), "en", "s", 0) for _ in range(200)] + [(7, "same words", "en", "s", 0)] * 200)
+    out = packing.pack(nulls, capacity=64, shard_rows=20).collect()
+    for doc in (None, 7):
+        shards = Counter(r.bin_id >> 32 for r in out if r.doc_id == doc)
+        assert sum(shards.values()) == 200 and len(shards) > 10 and max(shards.values()) < 40
+
+
 # --- mixing
 
 def test_mix_reaches_targets(spark):
