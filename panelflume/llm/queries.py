@@ -6,7 +6,9 @@ from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from panelflume.llm import (chat, embedding_dedup, exact_dedup, langid, licenses, mixing, near_dedup, packing, pii, quality)
+from panelflume.llm import (chat, conversation_repair, embedding_dedup, exact_dedup, langid, licenses, merkle, mixing, near_dedup, packing, pii,
+                            quality, token_files)
+from panelflume.llm.manifest_sql import OP12_SQL, OP13_SQL
 
 
 class Query(NamedTuple):
@@ -70,6 +72,20 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(docs, near=packing.near_clusters(docs))
 
 
+def op11_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_files.read_back(token_files.write(table(spark, sf_dir, "documents").select("doc_id", "text")))
+
+
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = merkle.manifest(table(spark, sf_dir, "documents"), lambda doc_id: F.crc32(doc_id.cast("string").cast("binary")) % 5 == 0)
+    return merkle.verify(made)
+
+
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = table(spark, sf_dir, "conversations")
+    return conversation_repair.audit(turns, conversation_repair.repair(turns, damage=True))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
     return corpus_pipeline.run(spark, sf_dir)
@@ -152,5 +168,8 @@ QUERIES = {
     "op8_source_mixing": Query(op8_source_mixing, OP8_SQL),
     "op9_chat_format": Query(op9_chat_format, OP9_SQL),
     "op10_best_fit_packing": Query(op10_best_fit_packing, None),
+    "op11_token_files": Query(op11_token_files, None),
+    "op12_merkle_manifest": Query(op12_merkle_manifest, OP12_SQL),
+    "op13_conversation_repair": Query(op13_conversation_repair, OP13_SQL),
     "pipeline": Query(pipeline, None),
 }
