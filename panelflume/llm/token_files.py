@@ -9,27 +9,29 @@ from collections.abc import Iterator
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from panelflume.llm.common import scratch
+from panelflume.llm.common import saved, scratch
 from panelflume.llm.ordering import offsets, range_sorted
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 END = 0
 SHARD_IDS = 1 << 20
 MIN_COUNT = 6
-ROUND_RULES = 2048
-ROUND_SHARE = 64
+ROUND_RULES = 4096
+ROUND_SHARE = 1024
 CACHE_WORDS = 1 << 19
-ROW_PIECES = 4096
-SLICE_CHARS = 1 << 20
+ROW_PIECES = 64
+SLICE_BYTES = 1 << 22
 
 COLUMNS = ("part_ int, shard long, start long, n_ids long, doc_id array<long>, number array<long>, piece array<int>, more array<boolean>, "
            "payload binary")
 MAGIC = b"RePair1\n"
 HEADER = "<8sIIII"
 
-SPACES = re.compile(r"\s\s")
+WHITE = r"[\s\pZ\x0b\x1c-\x1f\x85]"
+SPACES = f" {WHITE}|{WHITE} "
 CUT = re.compile(r"(?<=\S) (?=\S)")
 
 
@@ -63,7 +65,7 @@ class WordEncoder:
         """Pieces that begin a text, each encoded by itself."""
         new = list(pieces.difference(self.heads))
         if new:
-            coded = [c.ids for c in self.tokenizer.encode_batch(new, add_special_tokens=False)]
+            coded = [c.ids for c in self.tokenizer.encode_batch_fast(new, add_special_tokens=False)]
             self._learn(self.heads, new, np.array([i for c in coded for i in c], dtype=np.uint32), [len(c) for c in coded])
 
     def _learn_tails(self, pieces: set[str]) -> None:
@@ -72,40 +74,50 @@ class WordEncoder:
         new = list(pieces.difference(self.tails))
         odd = [p for p in new if not p or " " in p]
         if odd:
-            coded = [c.ids for c in self.tokenizer.encode_batch([" " + p for p in odd], add_special_tokens=False)]
+            coded = [c.ids for c in self.tokenizer.encode_batch_fast([" " + p for p in odd], add_special_tokens=False)]
             self._learn(self.tails, odd, np.array([i for c in coded for i in c], dtype=np.uint32), [len(c) for c in coded])
             new = [p for p in new if p and " " not in p]
         if new:
             rows = [" " + " ".join(new[k:k + ROW_PIECES]) for k in range(0, len(new), ROW_PIECES)]
-            flat = np.array([i for c in self.tokenizer.encode_batch(rows, add_special_tokens=False) for i in c.ids], dtype=np.uint32)
+            flat = np.array([i for c in self.tokenizer.encode_batch_fast(rows, add_special_tokens=False) for i in c.ids], dtype=np.uint32)
             begins = np.flatnonzero(self.spaced[flat])
             self._learn(self.tails, new, flat, np.diff(np.append(begins, len(flat))))
 
-    def ids(self, texts: list[str]) -> list[np.ndarray]:
-        """The ids of each text, with END after them."""
+    def ids(self, texts: pa.Array) -> list[np.ndarray]:
+        """The ids of each text, with END after them. Texts where a space meets other white space are cut one by one."""
         if len(self.starts) > CACHE_WORDS:
             self._clear()
-        heads, tails, counts = [], [], []
-        for text in texts:
-            pieces = CUT.split(text) if SPACES.search(text) else text.split(" ")
-            heads.append(pieces[0])
-            tails.extend(pieces[1:])
-            counts.append(len(pieces) - 1)
+        spaced = pc.match_substring_regex(texts, SPACES).to_numpy(zero_copy_only=False)
+        out: list = [None] * len(texts)
+        for rows, cut in ((np.flatnonzero(~spaced), lambda some: pc.split_pattern(some, " ")),
+                          (np.flatnonzero(spaced), lambda some: pa.array([CUT.split(t) for t in some.to_pylist()], pa.list_(pa.string())))):
+            if len(rows):
+                for row, ids in zip(rows, self._of_pieces(cut(texts.take(pa.array(rows))))):
+                    out[row] = ids
+        return out
+
+    def _of_pieces(self, pieces: pa.ListArray) -> list[np.ndarray]:
+        words, firsts = pieces.flatten(), pieces.offsets.to_numpy()[:-1] - pieces.offsets[0].as_py()
+        counts = np.diff(pieces.offsets.to_numpy())
+        is_tail = np.ones(len(words), dtype=bool)
+        is_tail[firsts] = False
+        heads = words.take(pa.array(firsts)).to_pylist()
+        tails = words.filter(pa.array(is_tail)).dictionary_encode()
+        kinds = tails.dictionary.to_pylist()
         self._learn_heads({*heads, ""})
-        self._learn_tails(set(tails))
-        # each text: its head, its tails, and an empty piece in whose place END goes
-        count = np.array(counts)
-        at = np.cumsum(count + 2) - (count + 2)
-        which = np.full(int(count.sum()) + 2 * len(texts), self.heads[""], dtype=np.int64)
+        self._learn_tails(set(kinds))
+        # each text: its pieces, and an empty one in whose place END goes
+        at = np.cumsum(counts + 1) - (counts + 1)
+        which = np.full(len(words) + len(heads), self.heads[""], dtype=np.int64)
         which[at] = [self.heads[h] for h in heads]
         inner = np.ones(len(which), dtype=bool)
-        inner[at] = inner[at + count + 1] = False
-        which[inner] = np.fromiter(map(self.tails.__getitem__, tails), dtype=np.int64, count=len(tails))
+        inner[at] = inner[at + counts] = False
+        which[inner] = np.array([self.tails[k] for k in kinds], dtype=np.int64)[tails.indices.to_numpy()]
         lengths = np.diff(self.starts)[which]
-        lengths[at + count + 1] = 1
+        lengths[at + counts] = 1
         ends = np.cumsum(lengths)
         source = np.arange(int(ends[-1])) + np.repeat(self.starts[which] - (ends - lengths), lengths)
-        last = ends[at + count + 1] - 1
+        last = ends[at + counts] - 1
         source[last] = 0
         out = self.flat[source] if len(self.flat) else np.zeros(len(source), dtype=np.uint32)
         out[last] = END
@@ -313,17 +325,14 @@ def write(docs: DataFrame, folder: str | None = None, tokenizer_path: str = TOKE
     return read(spark, folder)
 
 
-def slices(column: pa.Array) -> Iterator[tuple[int, list[str]]]:
-    """Parts of a text column of about SLICE_CHARS, with the place of their first row."""
-    part, size, at = [], 0, 0
-    for i in range(len(column)):
-        part.append(column[i].as_py())
-        size += len(part[-1])
-        if size >= SLICE_CHARS:
-            yield at, part
-            part, size, at = [], 0, i + 1
-    if part:
-        yield at, part
+def slices(column: pa.Array) -> Iterator[tuple[int, pa.Array]]:
+    """Parts of a text column of about SLICE_BYTES, with the place of their first row."""
+    ends = np.cumsum(pc.binary_length(column).to_numpy(zero_copy_only=False), dtype=np.int64)
+    at = 0
+    while at < len(column):
+        to = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + SLICE_BYTES, "right")))
+        yield at, column.slice(at, to - at)
+        at = to
 
 
 def read(spark: SparkSession, folder: str) -> DataFrame:
@@ -378,8 +387,8 @@ def read_back(shards: DataFrame) -> DataFrame:
                     pa.array([part] * len(sizes), pa.int32()), pa.array(number, pa.int64()), pa.array(piece, pa.int32()), pa.array(more, pa.bool_()),
                     pa.array(doc_id, pa.int64()), pa.array(start + np.cumsum(sizes) - sizes), pa.array(sizes), pa.array(crcs, pa.int64())], schema=schema)
 
-    pieces = shards.select("part_", "start", "doc_id", "number", "piece", "more", "payload").mapInArrow(
-        run, "part_ int, number long, piece int, more boolean, doc_id long, at long, n long, crc long")
+    pieces = saved(shards.select("part_", "start", "doc_id", "number", "piece", "more", "payload").mapInArrow(
+        run, "part_ int, number long, piece int, more boolean, doc_id long, at long, n long, crc long"))
 
     @F.udf("long")
     def joined(parts):

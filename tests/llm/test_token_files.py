@@ -2,6 +2,7 @@ import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
@@ -33,7 +34,7 @@ def test_pieces_give_the_ids_of_whole_texts(tokenizer):
     texts = ["", " ", "a  b", "a   b", "a \n b", "it's  'll", *["".join(rng.choice(atoms) for _ in range(rng.randint(0, 60))) for _ in range(800)]]
     encoder = token_files.WordEncoder(tokenizer.to_str())
     for k in range(0, len(texts), 97):
-        for text, ids in zip(texts[k:k + 97], encoder.ids(texts[k:k + 97])):
+        for text, ids in zip(texts[k:k + 97], encoder.ids(pa.array(texts[k:k + 97]))):
             assert ids.tolist() == [*tokenizer.encode(text, add_special_tokens=False).ids, token_files.END], repr(text)
 
 
