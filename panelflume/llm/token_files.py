@@ -54,12 +54,14 @@ class WordEncoder:
         self.tails: dict[str, int] = {}
         self.flat = np.zeros(0, dtype=np.uint32)
         self.starts = np.zeros(1, dtype=np.int64)
+        self.met = np.zeros(0, dtype=np.int32)
 
     def _learn(self, known: dict[str, int], new: list[str], flat: np.ndarray, lengths: np.ndarray) -> None:
         first = len(self.starts) - 1
         known.update(zip(new, range(first, first + len(new))))
         self.starts = np.append(self.starts, self.starts[-1] + np.cumsum(lengths))
         self.flat = np.append(self.flat, flat)
+        self.met = np.append(self.met, np.zeros(len(new), dtype=np.int32))
 
     def _learn_heads(self, pieces: set[str]) -> None:
         """Pieces that begin a text, each encoded by itself."""
@@ -86,7 +88,7 @@ class WordEncoder:
     def ids(self, texts: pa.Array) -> list[np.ndarray]:
         """The ids of each text, with END after them. Texts where a space meets other white space are cut one by one."""
         if len(self.starts) > CACHE_WORDS:
-            self._clear()
+            self._forget()
         spaced = pc.match_substring_regex(texts, SPACES).to_numpy(zero_copy_only=False)
         out: list = [None] * len(texts)
         for rows, cut in ((np.flatnonzero(~spaced), lambda some: pc.split_pattern(some, " ")),
@@ -96,6 +98,20 @@ class WordEncoder:
                     out[row] = ids
         return out
 
+    def _forget(self) -> None:
+        """Drops the pieces met in one slice only, or all if too few are dropped."""
+        index = np.fromiter(self.tails.values(), dtype=np.int64, count=len(self.tails))
+        kept = [(p, i) for (p, i), n in zip(self.tails.items(), self.met[index]) if n > 1]
+        if len(kept) > CACHE_WORDS // 2:
+            kept = []
+        index = np.array([i for _, i in kept], dtype=np.int64)
+        flat, starts = self.flat, self.starts
+        self._clear()
+        lengths = (starts[1:] - starts[:-1])[index]
+        ends = np.cumsum(lengths)
+        at = np.arange(int(lengths.sum())) + np.repeat(starts[index] - (ends - lengths), lengths)
+        self._learn(self.tails, [p for p, _ in kept], flat[at], lengths)
+
     def _of_pieces(self, pieces: pa.ListArray) -> list[np.ndarray]:
         words, firsts = pieces.flatten(), pieces.offsets.to_numpy()[:-1] - pieces.offsets[0].as_py()
         counts = np.diff(pieces.offsets.to_numpy())
@@ -103,7 +119,7 @@ class WordEncoder:
         is_tail[firsts] = False
         heads = words.take(pa.array(firsts)).to_pylist()
         tails = words.filter(pa.array(is_tail)).dictionary_encode()
-        kinds = tails.dictionary.to_pylist()
+        kinds = strings(tails.dictionary)
         self._learn_heads({*heads, ""})
         self._learn_tails(set(kinds))
         # each text: its pieces, and an empty one in whose place END goes
@@ -112,7 +128,9 @@ class WordEncoder:
         which[at] = [self.heads[h] for h in heads]
         inner = np.ones(len(which), dtype=bool)
         inner[at] = inner[at + counts] = False
-        which[inner] = np.array([self.tails[k] for k in kinds], dtype=np.int64)[tails.indices.to_numpy()]
+        known = np.array([self.tails[k] for k in kinds], dtype=np.int64)
+        self.met[known] += 1
+        which[inner] = known[tails.indices.to_numpy()]
         lengths = np.diff(self.starts)[which]
         lengths[at + counts] = 1
         ends = np.cumsum(lengths)
@@ -124,6 +142,25 @@ class WordEncoder:
         return np.split(out, last[:-1] + 1)
 
 
+def strings(column: pa.Array) -> list[str]:
+    """column.to_pylist(), by one join and one split where no string holds a space."""
+    if len(column) == 0 or pc.any(pc.match_substring(column, " ")).as_py():
+        return column.to_pylist()
+    whole = pa.ListArray.from_arrays(pa.array([0, len(column)], pa.int32()), column)
+    return pc.binary_join(whole, " ")[0].as_py().split(" ")
+
+
+def kept_encoder(vocabulary) -> WordEncoder:
+    """The encoder of this Python worker: workers serve one task after another, so a vocabulary is loaded and common pieces are
+    encoded once per worker. Modules shipped by value don't outlive a task, hence the named one."""
+    import sys
+    import types
+    kept = sys.modules.setdefault("panelflume_kept", types.ModuleType("panelflume_kept"))
+    if getattr(kept, "vocabulary", None) != vocabulary.value:
+        kept.vocabulary, kept.encoder = vocabulary.value, WordEncoder(vocabulary.value)
+    return kept.encoder
+
+
 def _chosen(codes: np.ndarray, counts: np.ndarray, wide: int, room: int) -> list[tuple[int, int]]:
     """Frequent pairs, most frequent first, such that no symbol is the left of one and the right of another: their occurrences never
     overlap, but in runs of one symbol."""
@@ -301,7 +338,7 @@ def write(docs: DataFrame, folder: str | None = None, tokenizer_path: str = TOKE
 
         for batch in batches:
             for at, texts in slices(batch.column(2)):
-                encoder = encoder or WordEncoder(vocabulary.value)
+                encoder = encoder or kept_encoder(vocabulary)
                 part = batch.column(0)[at].as_py()
                 for doc_id, ids in zip(batch.column(1).slice(at, len(texts)).to_pylist(), encoder.ids(texts)):
                     piece = 0
