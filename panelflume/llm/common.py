@@ -18,7 +18,16 @@ def saved(df: DataFrame, rebalance: bool = False) -> DataFrame:
     """df written to the shared scratch folder and read back: computed once, and it outlives executors."""
     folder = scratch(df.sparkSession)
     (df.hint("rebalance") if rebalance else df).write.parquet(folder)
-    return df.sparkSession.read.schema(df.schema).parquet(folder)
+    out = df.sparkSession.read.schema(df.schema).parquet(folder)
+    out.scratch_folder = folder
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Removes the folders of saved() tables that nothing reads any more: everything made from them has been written."""
+    for table in tables:
+        path = table.sparkSession._jvm.org.apache.hadoop.fs.Path(table.scratch_folder)
+        path.getFileSystem(table.sparkSession._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
 
 
 def sealed(df: DataFrame, prefix: str = "c") -> tuple[DataFrame, dict[str, str]]:

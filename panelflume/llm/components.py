@@ -3,7 +3,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from panelflume.llm.common import saved
+from panelflume.llm.common import discard, saved
 
 
 def _both_ways(edges: DataFrame) -> DataFrame:
@@ -19,7 +19,9 @@ def _star(pairs: DataFrame, larger: bool) -> DataFrame:
         out = met.where("b > a").select(F.col("b").alias("a"), F.col("low").alias("b"))
     else:
         out = met.select(F.explode(F.array("a", "b")).alias("a"), F.col("low").alias("b"))
-    return out.where("a <> b").distinct()
+    done = saved(out.where("a <> b").distinct())
+    discard(pairs, low)
+    return done
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -37,8 +39,12 @@ def components(links: DataFrame) -> DataFrame:
         if chained.unionByName(forked).isEmpty():
             break
         large = _star(_both_ways(edges), True)
-        edges = saved(_star(large.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")), False)
-                      .select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
+        small = _star(large.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")), False)
+        discard(edges, large)
+        edges = saved(small.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
+        discard(small)
     ids = edges.select(F.col("a").alias("id"), F.col("b").alias("component_id"))
     roots = ids.select(F.col("component_id").alias("id")).distinct().withColumn("component_id", F.col("id"))
-    return saved(ids.unionByName(roots))
+    out = saved(ids.unionByName(roots))
+    discard(edges)
+    return out

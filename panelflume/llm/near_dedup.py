@@ -1,4 +1,4 @@
-"""Near-duplicate documents: a join by minwise shingles, and by rare shingles where those are too common, confirmed on full sets."""
+"""Near-duplicate documents: trees of nodes chosen by minwise shingles, small nodes compared whole, links confirmed on full sets."""
 from __future__ import annotations
 
 from collections.abc import Iterator
@@ -7,17 +7,18 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from panelflume.llm.common import bloom, bloom_hit, opened, saved, sealed
+from panelflume.llm.common import bloom, bloom_hit, discard, opened, saved, sealed
 from panelflume.llm.components import components
 
 SHINGLE = 5
 PERCENT = 75
 TREES = 10
+DEPTH = 9
+BRANCHES = (2, 2, 1)
 SKETCH = 128
-SKETCH_CUT = 0.55
-SMALL_NODE = 512
-ORDER_SAMPLE = 8192
-ORDER_SIZE = 1 << 18
+SKETCH_CUT = 0.58
+SMALL_NODE = 1024
+BLOCK_SHINGLES = 1 << 22
 FILTER_SLOTS = 1 << 24
 CHUNK_BYTES = 1 << 18
 SLICE_ROWS = 256
@@ -45,6 +46,8 @@ class Hasher:
         self.places = rng.integers(0, 2 ** 63, SHINGLE, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
         self.xors = rng.integers(0, 2 ** 32, TREES + SKETCH, dtype=np.uint32)
         self.muls = rng.integers(0, 2 ** 31, TREES + SKETCH, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
+        self.branch_xors = rng.integers(0, 2 ** 32, TREES * DEPTH * max(BRANCHES), dtype=np.uint32)
+        self.branch_muls = rng.integers(0, 2 ** 31, TREES * DEPTH * max(BRANCHES), dtype=np.uint32) * np.uint32(2) + np.uint32(1)
         self.powers = self.inverse = np.ones(1, dtype=np.uint64)
 
     def _grow(self, n: int) -> None:
@@ -84,13 +87,14 @@ class Hasher:
             a = b
         return out
 
-    def minwise(self, sets: list[np.ndarray]) -> np.ndarray:
-        """TREES + SKETCH minwise values of each non-empty set."""
+    def minwise(self, sets: list[np.ndarray], branches: bool = False) -> np.ndarray:
+        """Minwise values of each non-empty set: TREES + SKETCH of them, or those of all branches of all trees."""
+        xors, muls = (self.branch_xors, self.branch_muls) if branches else (self.xors, self.muls)
         flat = (np.concatenate(sets) >> np.uint64(32)).astype(np.uint32)
         offsets = np.cumsum([0, *[len(s) for s in sets[:-1]]])
-        out = np.empty((len(sets), TREES + SKETCH), dtype=np.uint32)
-        for i in range(TREES + SKETCH):
-            out[:, i] = np.minimum.reduceat((flat ^ self.xors[i]) * self.muls[i], offsets)
+        out = np.empty((len(sets), len(xors)), dtype=np.uint32)
+        for i, (x, m) in enumerate(zip(xors, muls)):
+            out[:, i] = np.minimum.reduceat((flat ^ x) * m, offsets)
         return out
 
 
@@ -143,6 +147,18 @@ def full_sets(docs: DataFrame) -> DataFrame:
     return docs.mapInArrow(run, "id long, set array<long>")
 
 
+def branch_tokens(docs: DataFrame) -> DataFrame:
+    """docs (id, text; no empty sets) -> id, tokens: the minwise values that choose branches, fresh ones for every tree and depth."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hasher = Hasher()
+        for batch in batches:
+            for at, texts in _chunks(batch.column(1)):
+                low = hasher.minwise(hasher.sets(texts), True).view(np.int32)
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(at, len(texts)), pa.array(list(low), pa.list_(pa.int32()))], names=["id", "tokens"])
+
+    return docs.mapInArrow(run, "id long, tokens array<int>")
+
+
 def _alike(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Estimated similarity of sketches: their share of equal bytes, less chance hits."""
     return ((a == b).mean(axis=-1) - 1 / 256) / (1 - 1 / 256)
@@ -162,16 +178,20 @@ def sketch_pairs(pairs: DataFrame, reps: DataFrame) -> DataFrame:
     return both.select("a", "b", "sa", "sb").mapInArrow(run, "a long, b long")
 
 
-def node_pairs(members: DataFrame, small: int) -> DataFrame:
-    """Every pair of a node's members from different components whose sketches allow a link.
+def _arrays(rows: list[dict], *columns: str) -> list[np.ndarray]:
+    return [np.array([r[c] for r in rows], dtype=np.int64) for c in columns]
 
-    members: node, rep, component, sketch, size, most and main (the node's largest component and its members). Members
-    outside `main` are probes: each is compared with all members. Members and probes are cut into blocks of about `small`,
-    and every block of members meets every block of probes, so that no task holds a whole node; where at most `small` are
-    outside `main`, copies are no more than the members.
+
+def alike_members(members: DataFrame, small: int) -> DataFrame:
+    """group_, rep, component, probe: members of nodes with a sketch near that of a member of another component.
+
+    members: node, rep, component, sketch, n, and per node weight, main (its largest component) and main_weight. Members
+    outside `main` are probes: each is compared with all members, in blocks of about `small` members (fewer if their sets are large),
+    every block of members meeting every block of probes, so that no task holds a whole node. What comes out are members, at
+    most each block's own, never pairs.
     """
-    def parts(rows):
-        return F.ceil(rows / small).cast("int")
+    def parts(weight):
+        return F.greatest(F.ceil(weight / small), F.lit(1)).cast("int")
 
     def own(blocks):
         return F.pmod(F.xxhash64("rep"), blocks).cast("int")
@@ -179,38 +199,48 @@ def node_pairs(members: DataFrame, small: int) -> DataFrame:
     def each(blocks):
         return F.explode(F.sequence(F.lit(0), blocks - 1))
 
-    blocks, probe_blocks = parts(F.col("size")), parts(F.col("size") - F.col("most"))
+    blocks, probe_blocks = parts(F.col("weight")), parts(F.col("weight") - F.col("main_weight"))
     row = F.struct("rep", "component", "sketch").alias("row")
     base = members.select("node", own(blocks).alias("block"), each(probe_blocks).alias("probes_of"), F.lit(False).alias("probe"), row)
     probes = members.where("component <> main").select("node", each(blocks).alias("block"), own(probe_blocks).alias("probes_of"),
                                                        F.lit(True).alias("probe"), row)
-    nodes = base.unionByName(probes).groupBy("node", "block", "probes_of").agg(
+    groups = base.unionByName(probes).groupBy("node", "block", "probes_of").agg(
         F.collect_list(F.when(F.col("probe"), F.col("row"))).alias("probes"), F.collect_list(F.when(~F.col("probe"), F.col("row"))).alias("rows"))
-
-    def arrays(rows):
-        return (np.array([r["rep"] for r in rows], dtype=np.int64), np.array([r["component"] for r in rows], dtype=np.int64),
-                np.frombuffer(b"".join(r["sketch"] for r in rows), dtype=np.uint8).reshape(-1, SKETCH))
+    groups = groups.select(F.xxhash64("node", "block", "probes_of").alias("group_"), "probes", "rows")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            first, second = [np.zeros(0, dtype=np.int64)], [np.zeros(0, dtype=np.int64)]
-            for probe_rows, base_rows in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                rep, comp, sketch = arrays(base_rows)
-                for r, c, s in zip(*arrays(probe_rows)):
-                    j = np.flatnonzero((comp != c) & (_alike(sketch, s) >= SKETCH_CUT))
-                    first.append(np.maximum(rep[j], r))
-                    second.append(np.minimum(rep[j], r))
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(first)), pa.array(np.concatenate(second))], names=["a", "b"])
-
-    return nodes.select("probes", "rows").mapInArrow(run, "a long, b long")
+            for i in range(batch.num_rows):
+                group, some, all_ = (batch.column(k)[i].as_py() for k in range(3))
+                if not some or not all_:
+                    continue
+                sketches = [np.frombuffer(b"".join(r["sketch"] for r in rows), dtype=np.uint8).reshape(-1, SKETCH) for rows in (some, all_)]
+                (rep, comp), (rep_, comp_) = _arrays(some, "rep", "component"), _arrays(all_, "rep", "component")
+                near, met = np.zeros(len(some), dtype=bool), np.zeros(len(all_), dtype=bool)
+                for k, (c, s) in enumerate(zip(comp, sketches[0])):
+                    hit = (comp_ != c) & (_alike(sketches[1], s) >= SKETCH_CUT)
+                    near[k] = hit.any()
+                    met |= hit
+                out = [np.concatenate((rep[near], rep_[met])), np.concatenate((comp[near], comp_[met]))]
+                probe = np.arange(len(out[0])) < near.sum()
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(probe), group)), pa.array(out[0]), pa.array(out[1]), pa.array(probe)],
+                                                 names=["group_", "rep", "component", "probe"])
+
+    return groups.mapInArrow(run, "group_ long, rep long, component long, probe boolean")
+
+
+def texts_of(ids: DataFrame, docs: DataFrame) -> DataFrame:
+    """docs (id, text) of distinct ids, one row each. docs is read again; a Bloom filter of fixed size keeps other texts out of the shuffle.
+    Copies of one id meet in salted groups first."""
+    slot = F.pmod(F.xxhash64("id"), F.lit(FILTER_SLOTS))
+    near = bloom_hit(docs, slot, saved(bloom(ids.select(slot.alias("slot_")), "slot_")), "hit_").where("hit_").select(
+        "id", "text", (F.monotonically_increasing_id() % 64).alias("salt_"))
+    return near.dropDuplicates(["id", "salt_"]).select("id", "text").join(ids, "id").dropDuplicates(["id"])
 
 
 def sets_of(ids: DataFrame, docs: DataFrame) -> DataFrame:
-    """The full sets (id, set), written, of distinct ids. docs (id, text) is read again; a Bloom filter of fixed size keeps other texts
-    out of the shuffle."""
-    slot = F.pmod(F.xxhash64("id"), F.lit(FILTER_SLOTS))
-    near = bloom_hit(docs, slot, bloom(ids.select(slot.alias("slot_")), "slot_"), "hit_").where("hit_").select("id", "text")
-    return saved(full_sets(near.join(ids, "id").dropDuplicates(["id"])))
+    """The full sets (id, set), written, of distinct ids."""
+    return saved(full_sets(texts_of(ids, docs)))
 
 
 def confirmed(pairs: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
@@ -218,74 +248,140 @@ def confirmed(pairs: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
     sets = sets_of(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct(), docs)
     met = pairs.join(sets.toDF("b", "sb"), "b").join(sets.toDF("a", "sa"), "a").select("a", "b", F.size("sa").alias("na"), F.size("sb").alias("nb"),
                                                       F.size(F.array_intersect("sa", "sb")).alias("shared"))
-    return met.where((F.col("shared") * 100).cast("long") >= (F.col("na") + F.col("nb") - F.col("shared")).cast("long") * percent).select("a", "b")
-
-
-def rare_shingles(sets: DataFrame, rows: int, percent: int) -> DataFrame:
-    """sets (id, set; a written table of so many rows) -> node, rep: the rarest shingles of each set, so many that two sets
-    that link have one in common.
-
-    Sets of n shingles that link share at least ceil(n * percent / 100), so in any one order of all shingles their first
-    n - ceil(n * percent / 100) + 1 meet. The order is by how often a sample of about ORDER_SAMPLE sets has a shingle, then by value:
-    the sample decides how many meet without a link, never whether a link is found.
-    """
-    every = max(1, rows // ORDER_SAMPLE)
-    counts = sets.where(F.pmod(F.xxhash64("id", F.lit("order")), F.lit(every)) == 0).select(F.explode("set").alias("shingle")).groupBy("shingle").agg(F.count("*").alias("n"))
-    top = sorted((r["shingle"], r["n"]) for r in counts.where("n > 1").orderBy(F.desc("n"), "shingle").limit(ORDER_SIZE).collect())
-    common = np.array([s for s, _ in top], dtype=np.int64)
-    often = np.array([n for _, n in top] + [0], dtype=np.int64)
-    shared = sets.sparkSession.sparkContext.broadcast((common, often))
+    out = saved(met.where((F.col("shared") * 100).cast("long") >= (F.col("na") + F.col("nb") - F.col("shared")).cast("long") * percent).select("a", "b"))
+    discard(sets)
+    return out
+
+
+def linked_forest(probes: list[tuple], rows: list[tuple], percent: int) -> list[tuple[int, int]]:
+    """Of all links between probes and rows (rep, component, sorted set) of different components, as many as join the components."""
+    root: dict[int, int] = {}
+
+    def find(x: int) -> int:
+        while root.get(x, x) != x:
+            root[x] = root.get(root[x], root[x])
+            x = root[x]
+        return x
+
+    sizes = np.array([len(s) for _, _, s in rows])
+    tokens, owners = np.concatenate([s for _, _, s in rows]), np.repeat(np.arange(len(rows)), sizes)
+    order = np.argsort(tokens, kind="stable")
+    tokens, owners = tokens[order], owners[order]
+    out = []
+    for rep, comp, own in probes:
+        first, last = np.searchsorted(tokens, own, "left"), np.searchsorted(tokens, own, "right")
+        times = last - first
+        at = np.arange(int(times.sum())) + np.repeat(first - (np.cumsum(times) - times), times)
+        shared = np.bincount(owners[at], minlength=len(rows))
+        for k in np.flatnonzero(100 * shared >= percent * (sizes + len(own) - shared)):
+            a, b = find(comp), find(rows[k][1])
+            if a != b:
+                root[a] = b
+                out.append((rep, rows[k][0]))
+    return out
+
+
+def compared(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links (a, b) between the probes and the other members of each group, by full sets: a forest of each group's components."""
+    row = F.struct("rep", "component", "probe", "set")
+    groups = members.join(sets.withColumnRenamed("id", "rep"), "rep").groupBy("group_").agg(F.collect_list(row).alias("rows")).select("rows")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        common, often = shared.value
         for batch in batches:
-            ids = batch.column(0).to_numpy()
-            for first in range(0, batch.num_rows, SLICE_ROWS):
-                tokens, owners = [], []
-                for i, s in enumerate(batch.column(1).slice(first, SLICE_ROWS), first):
-                    s = s.values.to_numpy()
-                    at = np.searchsorted(common, s)
-                    at[at < len(common)] = np.where(common[at[at < len(common)]] == s[at < len(common)], at[at < len(common)], len(common))
-                    keep = len(s) - -(-len(s) * percent // 100) + 1
-                    tokens.append(s[np.lexsort((s, often[at]))[:keep]])
-                    owners.append(np.full(keep, ids[i]))
-                if tokens:
-                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(tokens)), pa.array(np.concatenate(owners))], names=["node", "rep"])
-
-    return sets.mapInArrow(run, "node long, rep long")
+            for i in range(batch.num_rows):
+                rows = batch.column(0)[i].values
+                reps, comps, probe = (rows.field(k).to_numpy(zero_copy_only=False) for k in range(3))
+                sets, offsets = rows.field(3).values.to_numpy(), rows.field(3).offsets.to_numpy()
+                all_ = [(int(r), int(c), sets[a:b]) for r, c, a, b in zip(reps, comps, offsets[:-1], offsets[1:])]
+                links = linked_forest([x for x, p in zip(all_, probe) if p], [x for x, p in zip(all_, probe) if not p], percent) if not probe.all() else []
+                yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in links], pa.int64()) for k in range(2)], names=["a", "b"])
+
+    return groups.mapInArrow(run, "a long, b long")
 
 
 def _nodes(members: DataFrame) -> DataFrame:
-    """members (node, rep, component) of nodes with two or more, with size and low, the node's smallest rep and its component.
+    """members (tree, node, rep) of nodes with two or more, with low, the node's smallest rep.
 
     Both sides of the join are written tables, so adaptive execution can split a node that holds many members.
     """
     members = saved(members)
-    stats = members.groupBy("node").agg(F.count("*").alias("size"), F.min(F.struct("rep", "component")).alias("low")).where("size > 1")
-    return saved(members.join(saved(stats), "node"))
-
-
-def _stars(nodes: DataFrame) -> DataFrame:
-    """Pairs of a node's members with its smallest, where they are not in one component yet."""
-    return nodes.where("component <> low.component").select(F.col("rep").alias("a"), F.col("low.rep").alias("b")).distinct()
+    stats = saved(members.groupBy("node").agg(F.count("*").alias("size"), F.min("rep").alias("low")).where("size > 1").drop("size"))
+    out = saved(members.join(stats, "node"))
+    discard(members, stats)
+    return out
+
+
+def mixed_members(known: DataFrame) -> DataFrame:
+    """known (tree, node, rep, component, n) of nodes whose members are of two components or more, with the node's weight, main
+    component and its weight, and the number outside it."""
+    weight = 1 + F.col("n") / (BLOCK_SHINGLES / SMALL_NODE)
+    shares = known.groupBy("node", "component").agg(F.count("*").alias("n"), F.sum(weight).alias("w"))
+    largest = F.max_by(F.struct("component", "w", "n"), F.struct("n", "component")).alias("top")
+    stats = shares.groupBy("node").agg(F.sum("n").alias("size"), F.sum("w").alias("weight"), largest).where("size > top.n")
+    stats = saved(stats.select("node", "weight", F.col("top.component").alias("main"), F.col("top.w").alias("main_weight"), (F.col("size") - F.col("top.n")).alias("others")))
+    out = saved(known.join(stats, "node"))
+    discard(stats)
+    return out
+
+
+def children(members: DataFrame, tokens: DataFrame, depth: int) -> DataFrame:
+    """The members in the nodes below theirs: one, or two, chosen by minwise tokens of this tree and depth."""
+    most = max(BRANCHES)
+    branches = F.explode(F.sequence(F.lit(0), F.lit(BRANCHES[depth % len(BRANCHES)] - 1)))
+    token = F.col("tokens")[(F.col("tree") * DEPTH + depth) * most + F.col("branch")]
+    met = members.select("tree", "node", "rep", "component", "n", branches.alias("branch")).join(tokens.withColumnRenamed("id", "rep"), "rep")
+    return met.select("tree", F.xxhash64("node", "branch", token).alias("node"), "rep", "component", "n")
+
+
+def deeper_links(nodes: DataFrame, found: DataFrame, reps: DataFrame, docs: DataFrame, percent: int, small: int) -> DataFrame:
+    """Links found in the trees below nodes (tree, node, rep), given the components found so far.
+
+    A node whose members are all in one component ends. One with at most `small` members outside its largest component is compared whole.
+    Others branch; what is still larger at DEPTH is compared whole too, in blocks.
+    """
+    sizes = reps.select("rep", "n")
+    known = saved(nodes.select("tree", "node", "rep").join(sizes, "rep").join(found.withColumnRenamed("id", "rep"), "rep", "left").select(
+        "tree", "node", "rep", F.coalesce("component_id", "rep").alias("component"), "n"))
+    ends, tokens, levels = None, None, []
+    for depth in range(DEPTH + 1):
+        still = mixed_members(known)
+        discard(known)
+        levels.append(still)
+        large = F.col("others") > small if depth < DEPTH else F.lit(False)
+        small_ones = still.where(~large).drop("tree", "others")
+        ends = small_ones if ends is None else ends.unionByName(small_ones)
+        many = still.where(large)
+        if many.isEmpty():
+            break
+        if tokens is None:
+            tokens = saved(branch_tokens(texts_of(saved(many.select(F.col("rep").alias("id")).distinct()), docs)))
+        known = saved(children(many, tokens, depth))
+    near = saved(alike_members(ends.join(reps.select("rep", "sketch"), "rep"), small))
+    discard(*levels)
+    sets = sets_of(saved(near.select(F.col("rep").alias("id")).distinct()), docs)
+    links = saved(compared(near, sets, percent).distinct())
+    discard(near, sets)
+    return links
 
 
 def link_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", trees: int = TREES, small: int = SMALL_NODE,
                    percent: int = PERCENT) -> DataFrame:
     """A row per document: doc_id, n_shingles, component_id, kept.
 
-    Documents with equal shingle sets are one class. In each of `trees` (at most TREES) independent ways a class goes to the
+    Documents with equal shingle sets are one class. In each of `trees` (at most TREES) independent trees a class goes to the
     node of its minwise shingle. Every node first compares its members with its smallest one; links are confirmed on full sets and
-    joined to components. A node whose members are all in one component is done: it can add nothing. Others compare all members
-    of different components, if at most `small` are outside the node's largest component. Classes of any larger node meet once
-    more, all of them by their rarest shingles (`rare_shingles`), where no link is lost: first each with the node's smallest, then
-    all members of different components. All copies of one text cost one member, and a large group of near copies costs
-    comparisons in proportion to its size.
-
-    A pair exactly at the threshold meets in a node of a tree with probability 0.75, so ten trees miss one in a million, however
-    large the nodes: a small one compares the pair, and both classes of a large one meet again by rare shingles for certain. Of
-    128 sketch bytes, which spare most comparisons, a cut of 0.55 misses four in ten million such pairs, and
-    components mostly have other links for these.
+    joined to components. A node whose members are all in one component is done: it can add nothing. In others, members of
+    different components are compared with each other, if at most `small` are outside the node's largest component: by sketches, then
+    by full sets, within tasks that hand on a forest of links, never pairs. Nodes with more branch: each member goes on to one or two nodes
+    chosen by fresh minwise shingles of this tree and depth (BRANCHES, 1.59 a level on average, above 1 / 0.75, so that the number of nodes in
+    which a pair at the threshold meets grows with depth, while it shrinks for pairs less than 0.63 alike). What has not become small
+    after DEPTH levels is compared whole as well, block by block. All copies of one text cost one member, and a large group of near copies
+    costs comparisons in proportion to its size.
+
+    A pair exactly at the threshold meets in a node with probability 0.75, so ten trees miss one in a million where nodes are small. Below
+    six levels of branching it meets in a tree with probability 0.59, and ten trees miss one in 8,000; below nine, 0.56 and one in 3,000. Of
+    128 sketch bytes, which spare most comparisons, a cut of 0.58 misses one in 100,000 such pairs, and components mostly have
+    other links for these.
 
     Null and empty texts have no shingles and link with nothing; fewer than five words are one shingle. Rows with a null id
     link with nothing. Repeated rows are copies. An empty table gives an empty result. Other columns do not matter. If an id repeats with
@@ -296,41 +392,21 @@ def link_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     print_ = ["f1", "f2", "n"]
     classes = saved(sig.where("n > 0 and id is not null").groupBy(*print_).agg(
         F.min("id").alias("rep"), F.first("path").alias("path"), F.first("sketch").alias("sketch")))
-    reps = classes.select("rep", "path", "sketch")
+    reps = classes.select("rep", "n", "path", "sketch")
     starts = reps.select("rep", F.posexplode(F.slice("path", 1, trees)).alias("tree", "token"))
-    nodes = _nodes(starts.select(F.xxhash64("tree", "token").alias("node"), "rep", F.col("rep").alias("component")))
-    pairs = saved(sketch_pairs(_stars(nodes), reps))
+    nodes = _nodes(starts.select("tree", F.xxhash64("tree", "token").alias("node"), "rep"))
+    stars = nodes.where("rep <> low").select(F.col("rep").alias("a"), F.col("low").alias("b")).distinct()
+    pairs = saved(sketch_pairs(stars, reps))
     found = components(confirmed(pairs, rows, percent))
-
-    rare = False
-    while True:
-        known = saved(nodes.select("node", "rep").join(found.withColumnRenamed("id", "rep"), "rep", "left").select(
-            "node", "rep", F.coalesce("component_id", "rep").alias("component")))
-        shares = known.groupBy("node", "component").agg(F.count("*").alias("n"))
-        mixed = saved(shares.groupBy("node").agg(F.sum("n").alias("size"), F.max("n").alias("most"), F.max_by("component", F.struct("n", "component")).alias("main"))
-                      .where("most < size"))
-        if mixed.isEmpty():
-            break
-        still = saved(known.join(mixed, "node"))
-        large = F.lit(False) if rare else F.col("size") - F.col("most") > small
-        pairs = node_pairs(still.where(~large).join(reps.select("rep", "sketch"), "rep"), small).distinct()
-        many = saved(still.where(large).select("rep", "component").distinct())
-        n_many = many.count()
-        if n_many:
-            sets = sets_of(many.select(F.col("rep").alias("id")), rows)
-            nodes = _nodes(rare_shingles(sets, n_many, percent).join(many, "rep").select("node", "rep", "component"))
-            pairs = pairs.unionByName(sketch_pairs(_stars(nodes), reps)).distinct()
-        pairs = saved(pairs)
-        if not pairs.isEmpty():
-            new = confirmed(pairs, rows, percent)
-            found = components(found.select(F.col("id").alias("a"), F.col("component_id").alias("b")).unionByName(new))
-        if not n_many:
-            break
-        rare = True
+    links = deeper_links(nodes, found, reps, rows, percent, small)
+    discard(nodes, pairs)
+    if not links.isEmpty():
+        found = components(found.select(F.col("id").alias("a"), F.col("component_id").alias("b")).unionByName(links))
 
     whole = saved(classes.select(*print_, "rep").join(found.withColumnRenamed("id", "rep"), "rep", "left").select(
         *print_, F.coalesce("component_id", "rep").alias("component")))
     some = sig.where("n > 0 and id is not null").select("id", *print_).join(whole, print_).select("id", "n", "component")
+    discard(classes)
     none = sig.where("n = 0 or id is null").select("id", "n", F.col("id").alias("component"))
     return some.unionByName(none).select(F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"), F.col("component").alias("component_id"),
                                          F.col("id").eqNullSafe(F.col("component")).alias("kept"))

@@ -74,9 +74,9 @@ def pack_shard(pdf: pd.DataFrame, capacity: int) -> pd.DataFrame:
 
 
 def near_clusters(docs: DataFrame, text: str = "text") -> DataFrame:
-    """body_, near_: for the hash of each lower-case text the component of near copies it is in, whatever the ids of its rows."""
-    low = F.lower(F.coalesce(F.col(text), F.lit("")))
-    links = link_documents(docs.select(F.xxhash64(low).alias("doc_id"), low.alias("text")))
+    """body_, near_: for the hash of each text the component of near copies it is in, whatever the ids of its rows."""
+    body = F.coalesce(F.col(text), F.lit(""))
+    links = link_documents(docs.select(F.xxhash64(body).alias("doc_id"), body.alias("text")))
     return saved(links.groupBy(F.col("doc_id").alias("body_")).agg(F.min("component_id").alias("near_")))
 
 
@@ -98,7 +98,8 @@ def pack(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: st
     shards = max(1, -(-docs.count() // shard_rows))
     rows, names = sealed(docs)
     body = F.col(names[text])
-    same = F.xxhash64(F.lower(F.coalesce(body, F.lit(""))))
+    full = F.coalesce(body, F.lit(""))
+    same = F.xxhash64(full if near is not None else F.lower(full))
     narrow = rows.select(
         F.col(names[doc_id]).cast("long").alias("id_"), (words(body) if size is None else size).alias("size_"),
         F.xxhash64(F.col(names[source]).isNull(), names[source]).alias("source_"), (same if cluster is None else F.xxhash64(cluster)).alias("cluster_"), same.alias("body_"))

@@ -104,10 +104,48 @@ def test_pairs_at_the_threshold_among_template_pages(spark):
     assert {i: c for i, _, c in got(near_dedup.link_documents(df, small=16))} == expected
 
 
-def test_nodes_with_many_probes_compare_all(spark):
+def test_blocks_of_a_large_node_compare_all(spark):
     rng = np.random.default_rng(2)
     sketch = bytes(rng.integers(0, 256, near_dedup.SKETCH, dtype=np.uint8))
-    members = spark.createDataFrame([(1, i, i, bytearray(sketch), 40, 1, 0) for i in range(40)],
-                                    "node long, rep long, component long, sketch binary, size long, most long, main long")
-    pairs = near_dedup.node_pairs(members, 8).distinct().collect()
-    assert {(r.a, r.b) for r in pairs} == {(a, b) for a in range(40) for b in range(a)}
+    far = bytes(rng.integers(0, 256, near_dedup.SKETCH, dtype=np.uint8))
+    rows = [(1, i, i, bytearray(far if i == 7 else sketch), 9, 40.0, 0, 1.0) for i in range(40)]
+    members = spark.createDataFrame(rows, "node long, rep long, component long, sketch binary, n long, weight double, main long, main_weight double")
+    out = near_dedup.alike_members(members, 8).collect()
+    met = {}
+    for r in out:
+        met.setdefault(r.group_, ([], []))[r.probe].append(r.rep)
+    assert {(a, b) for base, probes in met.values() for a in probes for b in base if a != b} == {
+        (a, b) for a in range(1, 40) for b in range(40) if a != b and 7 not in (a, b)}
+    assert len(out) <= 2 * 40 * 5
+
+
+def test_forests_join_all_that_links():
+    rng = np.random.default_rng(5)
+    for _ in range(30):
+        bases = [rng.choice(400, 60, replace=False) for _ in range(4)]
+        sets = [np.unique(np.where(rng.random(60) < rng.choice([0, .05, .15]), rng.integers(1000, 9999, 60), bases[rng.integers(4)])) for _ in range(25)]
+        rows = [(i, i, s) for i, s in enumerate(sets)]
+        links = near_dedup.linked_forest(rows, rows, 75)
+        root = list(range(25))
+
+        def joined(pairs):
+            root[:] = range(25)
+            for a, b in pairs:
+                x, y = root[a], root[b]
+                root[:] = [min(x, y) if r in (x, y) else r for r in root]
+            return list(root)
+
+        full = [(a, b) for a in range(25) for b in range(a) if 100 * len(set(sets[a]) & set(sets[b])) >= 75 * len(set(sets[a]) | set(sets[b]))]
+        assert joined(links) == joined(full) and len(links) < 25
+
+
+def test_what_is_compared_grows_in_proportion(spark, monkeypatch):
+    rng = random.Random(17)
+    template = prose(rng, 100)
+    handed = []
+    plain = near_dedup.compared
+    monkeypatch.setattr(near_dedup, "compared", lambda m, s, p: (handed.append(m.count()), plain(m, s, p))[1])
+    for n in (200, 400):
+        pages = [(i, template + " " + prose(rng, 40), "en", "s", 1) for i in range(n)]    # about 0.55 alike, none link
+        assert {c for _, _, c in got(near_dedup.link_documents(docs_frame(spark, pages)))} == set(range(n))
+    assert handed[1] <= 3 * max(handed[0], 200 * 10)
