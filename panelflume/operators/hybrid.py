@@ -1,17 +1,16 @@
-"""Hybrid forecaster: Holt-Winters per entity plus a boosted-tree model of its residuals, also per entity.
+"""Hybrid forecaster: Holt-Winters per entity plus one boosted-tree model of the residuals of all entities.
 
-The frame is built with one exchange on the entity: rows are packed per series, smoothed, and unpacked again. Tree models
-are fitted where an entity's rows are, all entities side by side, so neither the number of entities nor the number of
-trees adds Spark jobs, and a model depends on its entity's rows only.
+The frame is built with one exchange on the entity: rows are packed per series, smoothed, and unpacked again. Trees are fitted by
+Spark ML over all rows, so an entity of any size spreads, and the number of entities adds no jobs.
 """
 from __future__ import annotations
 
-import numpy as np
-import pandas as pd
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from panelflume import fixed_values as fv
-from panelflume.operators import boosting, filters, metrics, smoothing
+from panelflume.operators import filters, metrics, residual_model, smoothing
 from panelflume.sources.files import cut_lineage
 
 LEVEL = "entity_level"
@@ -57,30 +56,24 @@ def smoothed_frame(feat: DataFrame, test_rows: int = fv.TEST_WEEKS, season: int
         "alpha", "beta", "gamma", "rmse")
 
 
-def _kernel(pdf: pd.DataFrame, train: np.ndarray, trees: int) -> tuple[boosting.Boosted, np.ndarray]:
-    """Model of an entity's training rows, which stand in time order, and the features of all its rows."""
-    x = np.array([np.asarray(v, dtype=float) for v in pdf["x"]])
+def left_out(feat: DataFrame, test_rows: int = fv.TEST_WEEKS) -> DataFrame:
+    """Routes that smoothed_frame() leaves out, with their number of rows and the reason."""
+    counts = feat.groupBy("route").agg(F.count(F.lit(1)).alias("n_rows")).filter(F.col("n_rows") <= test_rows)
+    return counts.withColumn("reason", F.lit(f"no training rows: at most {test_rows} rows"))
+
+
+def fit_residuals(train: DataFrame, trees: int, keys: tuple[str, ...] = ("route", "date")) -> residual_model.Boosted:
     p = fv.BOOST_PARAMS
-    model = boosting.fit(x[train], pdf["residual"].to_numpy(float)[train], trees, p["depth"], p["step"], p["subsample"], p["min_leaf"], p["seed"])
-    return model, x
+    return residual_model.fit(train, trees, p["depth"], p["subsample"], p["min_leaf"], p["seed"], keys)
 
 
 def boost(frame: DataFrame, trees: int = fv.BOOST_PARAMS["trees"]) -> DataFrame:
-    """Add boost, the entity's modelled residual, and hybrid_fc, the smoothed value plus the correction, floored at zero.
+    """Add boost, the modelled residual, and hybrid_fc, the smoothed value plus the correction, floored at zero.
 
-    Models are fitted on rows of period 'train'; an entity without such rows gets no correction.
+    The model is fitted on the rows of period 'train' of all entities.
     """
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("date").reset_index(drop=True)
-        train = (pdf["period"] == "train").to_numpy()
-        if not train.any():
-            return pdf.assign(boost=0.0)
-        model, x = _kernel(pdf, train, trees)
-        return pdf.assign(boost=boosting.predict(model, x))
-
-    schema = ", ".join(f"`{c}` {t}" for c, t in frame.dtypes) + ", boost double"
-    scored = smoothing.by_entity(frame, "route").groupBy("route").applyInPandas(run, schema)
-    return combined(scored)
+    model = fit_residuals(frame.filter(F.col("period") == "train"), trees)
+    return combined(residual_model.predict(model, frame))
 
 
 def combined(scored: DataFrame) -> DataFrame:
@@ -92,7 +85,7 @@ def cross_validate(frame: DataFrame, folds: int = fv.CV_FOLDS, fold_rows: int =
     """Walk-forward folds over the training rows: (route, fold, mape, rmse, n_train, n_val).
 
     The smoothing of the whole training part is reused in every fold. Given the feature frame `feat`, smoothing is
-    refitted on the rows before each fold instead. A fold of an entity is one group: all are fitted side by side.
+    refitted on the rows before each fold instead. One model per fold, for all entities.
     """
     marked = filters.walk_forward(frame.filter(F.col("period") == "train"), folds, fold_rows)
     if feat is not None:
@@ -104,20 +97,12 @@ def cross_validate(frame: DataFrame, folds: int = fv.CV_FOLDS, fold_rows: int =
                 "fold": F.lit(fold), "role": F.when(F.col("period") == "train", "train").otherwise("val")})
             refitted = again if refitted is None else refitted.unionByName(again)
         marked = refitted
-    rows = marked.select("route", "fold", "role", "date", "x", "residual", "actual", "hw_fc")
-
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("date").reset_index(drop=True)
-        train = (pdf["role"] == "train").to_numpy()
-        if train.any():
-            model, x = _kernel(pdf, train, trees)
-            pdf["boost"] = boosting.predict(model, x)
-        else:
-            pdf["boost"] = 0.0
-        return pdf[["route", "fold", "role", "actual", "hw_fc", "boost"]]
-
-    scored = combined(smoothing.by_entity(rows, "route", "fold").groupBy("route", "fold").applyInPandas(
-        run, "route string, fold int, role string, actual double, hw_fc double, boost double"))
+    rows = cut_lineage(marked.select("route", "fold", "role", "date", "x", "residual", "actual", "hw_fc"))
+    parts = []
+    for fold in range(1, folds + 1):
+        one = rows.filter(F.col("fold") == fold)
+        parts.append(residual_model.predict(fit_residuals(one.filter(F.col("role") == "train"), trees), one))
+    scored = combined(reduce(DataFrame.unionByName, parts))
     val = F.col("role") == "val"
     y, f = F.when(val, F.col("actual")), F.when(val, F.col("hybrid_fc"))
     return scored.groupBy("route", "fold").agg(
@@ -164,8 +149,9 @@ def bootstrap_interval(test: DataFrame, residuals: DataFrame, draws: int = fv.BO
                             ).drop("_pool", "_r", "_boot")
 
 
-def permuted(train: DataFrame, names: list[str], repeats: int, spread: int = 6) -> DataFrame:
-    """Rows (route, feature_code, repeat, residual, x): x with one feature shuffled among the rows of its route.
+def permuted(train: DataFrame, names: list[str], repeats: int, spread: int = 6, only: set[int] | None = None) -> DataFrame:
+    """Rows (route, feature_code, repeat, date, residual, x): x with one feature shuffled among the rows of its route. `only`
+    limits it to the features at these positions.
 
     The shuffle orders rows by a hash of (route, feature, repeat, row) on the packed series. A packed series is sent to
     `spread` places, each of which works off its share of the features, so few entities still fill many tasks.
@@ -174,7 +160,8 @@ def permuted(train: DataFrame, names: list[str], repeats: int, spread: int = 6)
     packed = train.groupBy("route").agg(F.array_sort(F.collect_list(F.struct("date", "residual", "x"))).alias("rows"))
     placed = smoothing.by_entity(
         packed.withColumn("slot", F.explode(F.sequence(F.lit(0), F.lit(spread - 1)))), "route", "slot")
-    mine = F.filter(F.sequence(F.lit(0), F.lit(len(names) - 1)), lambda f: f % spread == F.col("slot"))
+    tried = F.array(*[F.lit(f) for f in (range(len(names)) if only is None else sorted(only))]).cast("array<int>")
+    mine = F.filter(tried, lambda f: f % spread == F.col("slot"))
     trials = placed.withColumn("f", F.explode(mine)).withColumn(
         "repeat", F.explode(F.sequence(F.lit(1), F.lit(repeats))))
     keys = F.transform(F.sequence(F.lit(0), F.size("rows") - 1), lambda i: F.struct(
@@ -184,44 +171,29 @@ def permuted(train: DataFrame, names: list[str], repeats: int, spread: int = 6)
     zipped = F.arrays_zip(F.col("rows"), donors.alias("donor"))
     long = trials.select("route", "f", "repeat", F.explode(zipped).alias("r"))
     swapped = F.transform("r.rows.x", lambda v, i: F.when(i == F.col("f"), F.col("r.donor")).otherwise(v))
-    return long.select("route", F.get(labels, F.col("f")).alias("feature_code"), "repeat", "r.rows.residual",
+    return long.select("route", F.get(labels, F.col("f")).alias("feature_code"), "repeat", "r.rows.date", "r.rows.residual",
                        swapped.alias("x"))
 
 
 def importance(frame: DataFrame, names: list[str], trees: int = fv.BOOST_PARAMS["trees"],
                repeats: int = fv.IMPORTANCE_REPEATS) -> DataFrame:
-    """Rise of the squared training error when a feature is shuffled: mean and population deviation over repeats, ranked.
+    """Rise of a route's squared training error when a feature is shuffled within it: mean and population deviation over repeats, ranked.
 
-    Shuffles are those of permuted(), by hash of route, feature, repeat and row. A feature that no tree of the entity's
-    model uses has importance zero, exactly, and is not tried; for others only the trees that use them are walked again.
+    Shuffles are rows, scored by the model like any others. A feature that no tree splits on has importance zero, exactly, and is not
+    tried; so has one that is constant in a route, as rises are taken row by row.
     """
-    import hashlib
-
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("date").reset_index(drop=True)
-        model, x = _kernel(pdf, np.ones(len(pdf), dtype=bool), trees)
-        residual, route = pdf["residual"].to_numpy(float), pdf["route"].iloc[0]
-        bins = boosting.binned(x, model.edges)
-        parts = [boosting.walk(t, bins) for t in model.trees]
-        plain = model.start + sum(parts, np.zeros(len(x)))
-        base = np.mean((residual - plain) ** 2)
-        used, rows = model.used(), []
-        for f, name in enumerate(names):
-            rises = np.zeros(repeats)
-            touched = [(t, part) for t, part in zip(model.trees, parts) if f in t.feature]
-            for r in range(1, repeats + 1) if f in used else ():
-                order = sorted(range(len(x)), key=lambda i: (hashlib.md5(f"{route}|{name}|{r}|{i}".encode()).hexdigest(), i))
-                other = bins.copy()
-                other[:, f] = bins[order, f]
-                shift = sum((boosting.walk(t, other) - part for t, part in touched), np.zeros(len(x)))
-                rises[r - 1] = np.mean((residual - plain - shift) ** 2) - base
-            rows.append((route, name, float(rises.mean()), float(rises.std())))
-        return pd.DataFrame(rows, columns=["route", "feature_code", "importance", "importance_std"])
-
-    train = frame.filter(F.col("period") == "train").select("route", "date", "x", "residual")
-    table = smoothing.by_entity(train, "route").groupBy("route").applyInPandas(
-        run, "route string, feature_code string, importance double, importance_std double")
-    return label(metrics.top_per_group(table, "importance", len(names)))
+    train = cut_lineage(frame.filter(F.col("period") == "train").select("route", "date", "x", "residual"))
+    model = fit_residuals(train, trees)
+    used = {i for i in model.used() if i < len(names)}
+    gap = F.col("residual") - F.col("boost")
+    plain = residual_model.predict(model, train).select("route", "date", (gap * gap).alias("base"))
+    tried = residual_model.predict(model, permuted(train, names, repeats, only=used))
+    rise = tried.withColumn("error", gap * gap).join(plain, ["route", "date"]).groupBy("route", "feature_code", "repeat").agg(
+        F.avg(F.col("error") - F.col("base")).alias("rise"))
+    table = rise.groupBy("route", "feature_code").agg(F.avg("rise").alias("importance"), F.stddev_pop("rise").alias("importance_std"))
+    unused = F.array(*[F.lit(n) for i, n in enumerate(names) if i not in used]).cast("array<string>")
+    rest = train.select("route").distinct().select("route", F.explode(unused).alias("feature_code"), F.lit(0.0).alias("importance"), F.lit(0.0).alias("importance_std"))
+    return label(metrics.top_per_group(table.unionByName(rest), "importance", len(names)))
 
 
 def importance_table(plain: DataFrame, shuffled: DataFrame, features: int) -> DataFrame:

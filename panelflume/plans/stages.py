@@ -14,7 +14,8 @@ from panelflume.sources.lookups import lookup, values_table
 def forecast(panel: DataFrame, trees: int = fv.BOOST_PARAMS["trees"], cv_trees: int = fv.CV_TREES,
              draws: int = fv.BOOTSTRAP_DRAWS, repeats: int = fv.IMPORTANCE_REPEATS, leak_free: bool = False,
              base_year: int = fv.BASE_YEAR) -> dict[str, DataFrame]:
-    """model_metrics, forecasts, feature_importance, cv_results and decompositions of an enriched panel."""
+    """model_metrics, forecasts, feature_importance, cv_results and decompositions of an enriched panel, and left_out, the routes too
+    short for them."""
     panel = cut_lineage(panel)
     feat = features.add_features(panel, leak_free=leak_free, base_year=base_year)
     names = filters.present(feat, fv.FEATURE_COLS)
@@ -39,6 +40,7 @@ def forecast(panel: DataFrame, trees: int = fv.BOOST_PARAMS["trees"], cv_trees:
         "feature_importance": hybrid.importance(frame, names, trees, repeats),
         "cv_results": cv,
         "decompositions": smoothing.decomposition(components),
+        "left_out": hybrid.left_out(feat),
     }
 
 
@@ -58,10 +60,10 @@ def causal(panel: DataFrame, specs: DataFrame | None = None, outcomes: list[str]
     return {"did_results": estimates.select(*columns), "elasticity": elasticity_table(panel, elasticity_start)}
 
 
-def elasticity_table(panel: DataFrame, start: str = fv.ELASTICITY_START,
+def elasticity_table(panel: DataFrame, start: str | None = fv.ELASTICITY_START,
                      least: int = fv.ELASTICITY_MIN_OBS) -> DataFrame:
-    """Elasticities per route on rows from `start` on. The observation gate reads a count of the same aggregate."""
-    recent = panel.filter(F.col("date") >= F.lit(start).cast("date"))
+    """Elasticities per route on rows from `start` on, or all. The observation gate reads a count of the same aggregate."""
+    recent = panel if start is None else panel.filter(F.col("date") >= F.lit(start).cast("date"))
     columns = ["route", "n", "ols_elasticity", "ols_se", "ols_t", "ols_p", "ols_r2", "iv_elasticity", "iv_se", "iv_t",
                "iv_p", "stage1_fstat", "hausman_stat", "hausman_p", "endogenous", "preferred_elasticity"]
     return elasticity.estimate(recent, least=least).select(*columns)

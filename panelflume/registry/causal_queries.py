@@ -274,7 +274,7 @@ _BRAND_RECENT = f"""{panel_sql("n_name || '|' || p_brand", "JOIN part ON l_partk
 @query("j14_elasticity_many_routes",
        _table_sql(_elasticity_ctes("logs", ["competition_index", "week_sin", "week_cos"], _BRAND_RECENT)))
 def _many_routes(spark, sf):
-    return stages.elasticity_table(panel(spark, sf, grain="nation_brand"), "1995-01-02")
+    return stages.elasticity_table(panel(spark, sf, grain="nation_brand"), None)
 
 
 # Tail probabilities ------------------------------------------------------------------------------------------------

@@ -4,7 +4,7 @@ from __future__ import annotations
 from pyspark.sql import Window, functions as F
 
 from panelflume import fixed_values as fv
-from panelflume.operators import filters, hybrid, metrics, smoothing
+from panelflume.operators import filters, hybrid, metrics, residual_model, smoothing
 from panelflume.plans import stages
 from panelflume.registry.base import (BASE_YEAR, DAY, FEATURES, PANEL, enriched, feature_frame, iso, panel, query,
                                       rounded)
@@ -316,6 +316,44 @@ def _boosted(spark, sf):
     return iso(scored.select("route", "date", F.round("residual", 4).alias("residual"), lower.alias("lowers_error")))
 
 
+# Three stages of one stump each over features of few values, grown again in SQL: every threshold between two values of a
+# feature is tried, as the trees do.
+STUMP_FEATURES = ["school_holiday", "public_holiday", "year_idx", "is_summer", "is_winter"]
+STUMPS = 3
+
+
+def _stumps_sql() -> str:
+    names = [*STUMP_FEATURES, "lvl"]
+    grain = residual_model.GRAIN
+    ctes = [f"""d0 AS (SELECT *, round(residual / lvl * {grain}) / {grain} AS target, 0.0::DOUBLE AS fc FROM (
+      SELECT route, date, {', '.join(f'CAST({c} AS DOUBLE) AS {c}' for c in STUMP_FEATURES)}, CAST(pax - pax_lag52 AS DOUBLE) AS residual,
+      avg(CAST(pax AS DOUBLE)) OVER (PARTITION BY route) AS lvl FROM feat WHERE pax_lag52 IS NOT NULL))"""]
+    for k in range(STUMPS):
+        left = f"round((target - {residual_model.RATE} * fc) * {grain}) / {grain}"
+        values = " UNION ALL ".join(f"SELECT {i} AS f, {c} AS v, left_ FROM l{k}" for i, c in enumerate(names))
+        side = " ".join(f"WHEN {i} THEN {c}" for i, c in enumerate(names))
+        ctes += [f"l{k} AS (SELECT *, {left} AS left_ FROM d{k})",
+                 f"v{k} AS (SELECT f, v, count(*) AS n, sum(left_) AS s FROM ({values}) GROUP BY f, v)",
+                 f"""c{k} AS (SELECT f, (v + lead(v) OVER w) / 2 AS threshold, sum(n) OVER w AS nl, sum(s) OVER w AS sl,
+                 sum(n) OVER (PARTITION BY f) AS nn, sum(s) OVER (PARTITION BY f) AS ss FROM v{k} WINDOW w AS (PARTITION BY f ORDER BY v))""",
+                 f"""b{k} AS (SELECT * FROM c{k} WHERE threshold IS NOT NULL AND nl >= {fv.BOOST_PARAMS['min_leaf']} AND nn - nl >= {fv.BOOST_PARAMS['min_leaf']}
+                 ORDER BY sl * sl / nl + (ss - sl) * (ss - sl) / (nn - nl) DESC, f, threshold LIMIT 1)""",
+                 f"""d{k + 1} AS (SELECT d.* EXCLUDE (fc), fc + CASE WHEN CASE f {side} END <= threshold THEN sl / nl ELSE (ss - sl) / (nn - nl) END AS fc
+                 FROM d{k} d, b{k})"""]
+    return f"""WITH {FEATURES}, {', '.join(ctes)}
+    SELECT route, {DAY}, round(lvl * {residual_model.RATE} * fc, 4) AS boost FROM d{STUMPS}"""
+
+
+@query("i03_boosted_stumps", _stumps_sql())
+def _stumps(spark, sf):
+    feat = feature_frame(spark, sf)
+    level = F.avg(F.col("pax").cast("double")).over(Window.partitionBy("route"))
+    x = F.array(*[F.col(c).cast("double") for c in STUMP_FEATURES], level)
+    rows = cut_lineage(feat.select("route", "date", (F.col("pax") - F.col("pax_lag52")).cast("double").alias("residual"), x.alias("x")))
+    model = residual_model.fit(rows, STUMPS, 1, 1.0, fv.BOOST_PARAMS["min_leaf"], 1, stage_trees=1)
+    return rounded(residual_model.predict(model, rows).select("route", "date", "boost"), {"boost": 4})
+
+
 @query("i06_walk_forward_cv", f"""WITH {PANEL}, m AS (SELECT route, count(*) - 52 - 26 AS m FROM panel GROUP BY route HAVING m > 0)
     SELECT route, CAST(f AS INTEGER) AS fold, m - (4 - f) * 8 AS n_train, CAST(8 AS BIGINT) AS n_val, true AS measured
     FROM m, generate_series(1, 3) g(f)""")

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from panelflume import fixed_values as fv
-from panelflume.operators import boosting, features, filters, hybrid
+from panelflume.operators import features, filters, hybrid, residual_model
 from panelflume.plans import serving, stages
 from tests.test_features import weekly
 
@@ -51,12 +51,34 @@ def test_model_does_not_depend_on_partitions(frame):
     assert (one == eight).all()
 
 
-def test_kernel_recovers_a_step_and_handles_gaps():
-    x = np.column_stack([np.arange(60.0), np.full(60, np.nan), np.ones(60)])
-    y = np.where(x[:, 0] < 30, -1.0, 1.0)
-    model = boosting.fit(x, y, 200, 2, .1, 1.0, 5, 1)
-    assert np.abs(boosting.predict(model, x) - y).max() < 1e-6 and model.used() == {0}
-    assert boosting.predict(boosting.fit(x[:1], y[:1], 3, 4, .1, .8, 5, 1), x[:1]).tolist() == [-1.0]
+def test_forests_recover_a_step_and_handle_gaps(spark):
+    rows = [("r", i, [float(i), None, 1.0, 1.0], -1.0 if i < 30 else 1.0) for i in range(60)]
+    train = spark.createDataFrame(rows, "route string, date int, x array<double>, residual double")
+    model = residual_model.fit(train, 600, 2, 1.0, 5, 1)
+    got = residual_model.predict(model, train).toPandas()
+    assert (got.boost - got.residual).abs().max() < .15 and (got.boost - got.residual).abs().mean() < .01 and model.used() == {0}
+    assert residual_model.predict(residual_model.fit(train.limit(0), 3, 4, .8, 5, 1), train).filter("boost <> 0").count() == 0
+
+
+def test_exported_nodes_give_the_predictions(spark, frame):
+    train = frame.filter(F.col("period") == "train")
+    model = hybrid.fit_residuals(train, 60)
+    nodes = {(r["stage"], r["id"]): r for r in model.node_table().collect()}
+    for row in residual_model.predict(model, train.limit(20)).collect():
+        x, total = [residual_model.MISSING if v is None or v != v else v for v in row["x"]], 0.0
+        for k, _ in enumerate(model.stages):
+            roots = [n for (s, _), n in nodes.items() if s == k and n["root"]]
+            for node in roots:
+                while node["feature"] is not None:
+                    node = nodes[k, node["left"] if x[node["feature"]] <= node["threshold"] else node["right"]]
+                total += node["prediction"] / len(roots) * model.rate
+        assert abs(total * row["x"][-1] - row["boost"]) < 1e-6 * max(1, abs(row["boost"]))
+
+
+def test_short_routes_are_listed(spark):
+    short = features.add_features(spark.createDataFrame(panel(("AAA-BBB",)))).limit(20)
+    assert hybrid.smoothed_frame(short).count() == 0
+    assert [(r["route"], r["n_rows"]) for r in hybrid.left_out(short).collect()] == [("AAA-BBB", 20)]
 
 
 @pytest.mark.parametrize("refit", [False, True])
