@@ -69,11 +69,21 @@ def moments(panel: DataFrame, specs: DataFrame, outcomes: list[str], bucket_days
     """As daily_moments, but rows are first reduced to (route, date), which no experiment has a say in; only those meet the
     experiments, by route and bucket of days, so a row meets experiments near its date and the bounds follow from the specs.
     """
+    days = panel.groupBy("route", "date").agg(day_moments(outcomes))
+    return meet(days, specs, bucket_days)
+
+
+def day_moments(outcomes: list[str]):
+    """_moments: count, mean and centred sum of squares of each outcome, as an aggregate."""
     def moment(o: str):
         y = F.col(o).cast("double")
         return F.struct(F.lit(o).alias("outcome"), F.count(y).alias("n"), F.avg(y).alias("mean"), (F.var_pop(y) * F.count(y)).alias("m2"))
 
-    days = panel.groupBy("route", "date").agg(F.array(*[moment(o) for o in outcomes]).alias("_moments"))
+    return F.array(*[moment(o) for o in outcomes]).alias("_moments")
+
+
+def meet(days: DataFrame, specs: DataFrame, bucket_days: int = 56) -> DataFrame:
+    """Rows (route, date, _moments) matched with the experiments whose windows they lie in."""
     inside = date_window(F.col("date"), F.col("treatment_date"), F.col("pre_weeks"), F.col("post_weeks"))
     met = days.withColumn("bucket", _bucket(F.col("date"), bucket_days)).join(arms(specs, bucket_days), ["route", "bucket"]).filter(inside)
     post = (F.col("date") >= F.col("treatment_date")).cast("int")
@@ -81,23 +91,25 @@ def moments(panel: DataFrame, specs: DataFrame, outcomes: list[str], bucket_days
 
 
 def merge_moments(moments: DataFrame) -> DataFrame:
-    """Moments of disjoint sets of rows pooled to one row per key."""
-    keys = ["experiment", "pre_weeks", "treated", "post", "date", "outcome"]
-    return moments.groupBy(*keys).agg(
-        F.sum("n").alias("n"), (F.sum(F.col("n") * F.col("mean")) / F.sum("n")).alias("mean"),
-        F.greatest(F.sum(F.col("m2") + F.col("n") * F.col("mean") * F.col("mean"))
-                   - F.sum(F.col("n") * F.col("mean")) * F.sum(F.col("n") * F.col("mean")) / F.sum("n"), F.lit(0.0)).alias("m2"))
+    """Moments of disjoint sets of rows pooled to one row per key: the pooled mean first, then squares about it, so that no digits are
+    lost to a large mean."""
+    return pooled(moments, ["experiment", "pre_weeks", "treated", "post", "date", "outcome"])
 
 
-def cell_moments(moments: DataFrame, keys: list[str] = KEYS) -> DataFrame:
-    """Pool dates to cells: one row per key, treated and post with n, mean and m2."""
-    cell = Window.partitionBy(*keys, "treated", "post")
-    pooled = moments.withColumn("_mean", F.sum(F.col("n") * F.col("mean")).over(cell) / F.sum("n").over(cell))
+def pooled(moments: DataFrame, keys: list[str]) -> DataFrame:
+    """(keys, n, mean, m2) of rows with n, mean and m2. Both steps share one exchange of the reduced rows."""
+    group = Window.partitionBy(*keys)
+    centred = moments.withColumn("_mean", F.sum(F.col("n") * F.col("mean")).over(group) / F.sum("n").over(group))
     gap = F.col("mean") - F.col("_mean")
-    return pooled.groupBy(*keys, "treated", "post").agg(
+    return centred.groupBy(*keys).agg(
         F.sum("n").alias("n"), F.first("_mean").alias("mean"), F.sum(F.col("m2") + F.col("n") * gap * gap).alias("m2"))
 
 
+def cell_moments(moments: DataFrame, keys: list[str] = KEYS) -> DataFrame:
+    """Pool dates to cells: one row per key, treated and post with n, mean and m2."""
+    return pooled(moments, [*keys, "treated", "post"])
+
+
 def from_cells(cells: DataFrame, keys: list[str] = KEYS) -> DataFrame:
     """Estimates from the 2x2 cells. Absent cells count as mean 0 and leave the standard error NULL."""
     def cell(tr: int, po: int, column: str):

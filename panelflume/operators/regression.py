@@ -100,6 +100,77 @@ def ols(df: DataFrame, y: str, xs: list[str], keys: list[str]) -> DataFrame:
         F.col("fit.t").alias("t"), F.col("fit.p").alias("p"))))
 
 
+def robust_ols(df: DataFrame, y: str, xs: list[str], keys: list[str], instruments: list[str] | None = None) -> DataFrame:
+    """Coefficients with heteroskedasticity-robust errors: (keys, term, estimate, se_hc0, se_hc1, t, p, n).
+
+    The sandwich inv(Z'Z) Z' diag(e^2) Z inv(Z'Z) in two passes: moments give the coefficients, then each row's squared residual
+    weighs the cross products of its regressors about their means, which again combine on the map side. With `instruments`
+    (as many as xs, in their order; an exogenous regressor is its own) the estimates are two-stage least squares, Z the fitted
+    regressors, residuals those of the actual ones. Rows with a NULL variable are left out.
+    """
+    terms = ["intercept", *xs]
+    k = len(xs)
+    zs = instruments or xs
+    variables = [*dict.fromkeys([*xs, *zs]), y]
+    place = {v: i for i, v in enumerate(variables)}
+    x_at, z_at, y_at = [place[v] for v in xs], [place[v] for v in zs], place[y]
+
+    @F.pandas_udf(record(slopes="doubles", first="doubles", inverse="doubles"))
+    def solve(n: pd.Series, means: pd.Series, covs: pd.Series) -> pd.DataFrame:
+        rows = []
+        for mean, upper in zip(means, covs):
+            mean, cov = np.asarray(mean, float), square(np.asarray(upper, float), len(variables))
+            first = scaled_pinv(cov[np.ix_(z_at, z_at)], mean[z_at]) @ cov[np.ix_(z_at, x_at)]  # z -> fitted x
+            inv = scaled_pinv(first.T @ cov[np.ix_(z_at, z_at)] @ first, mean[x_at])
+            slopes = inv @ first.T @ cov[z_at, y_at]
+            rows.append((slopes, first.T.ravel(), inv.ravel()))
+        return pd.DataFrame(rows, columns=["slopes", "first", "inverse"])
+
+    solved = moments(df, variables, keys).filter(F.col("n") > 0).withColumn("fit", solve("n", "means", "covs")).select(
+        *keys, "n", "means", "fit.*")
+    whole = reduce(and_, [F.col(v).isNotNull() for v in variables])
+    rows = df.select(*keys, *[F.col(v).cast("double").alias(v) for v in variables]).filter(whole)
+    same = [F.col(f"k{i}_") for i, _ in enumerate(keys)]
+    named = solved.withColumnsRenamed({c: f"k{i}_" for i, c in enumerate(keys)})
+    met = rows.join(named, reduce(and_, [rows[c].eqNullSafe(s) for c, s in zip(keys, same)]))
+
+    def about(v: str):
+        return F.col(v) - F.col("means")[place[v]]
+
+    residual = about(y) - sum((F.col("slopes")[i] * about(x) for i, x in enumerate(xs)), F.lit(0.0))
+    design = [sum((F.col("first")[i * k + j] * about(z) for j, z in enumerate(zs)), F.lit(0.0)) for i in range(k)]
+    named_rows = met.select(*keys, "n", "means", "slopes", "inverse", (residual * residual).alias("e2_"), *[d.alias(f"d{i}_") for i, d in enumerate(design)])
+    full = [F.lit(1.0), *[F.col(f"d{i}_") for i in range(k)]]
+    meat = F.array(*[F.sum(F.col("e2_") * full[i] * full[j]) for i in range(k + 1) for j in range(i, k + 1)])
+    summed = named_rows.groupBy(*keys).agg(F.first("n").alias("n"), F.first("means").alias("means"), F.first("slopes").alias("slopes"),
+                                           F.first("inverse").alias("inverse"), meat.alias("meat"))
+
+    @F.pandas_udf(record(estimate="doubles", hc0="doubles", hc1="doubles", t="doubles", p="doubles"))
+    def errors(n: pd.Series, means: pd.Series, slopes: pd.Series, inverse: pd.Series, meat: pd.Series) -> pd.DataFrame:
+        out = []
+        for n_i, centre, b, inv, m in zip(n, means, slopes, inverse, meat):
+            centre, b = np.asarray(centre, float), np.asarray(b, float)
+            bread = np.zeros((k + 1, k + 1))  # of the centred design with a constant
+            bread[0, 0], bread[1:, 1:] = 1 / n_i, np.asarray(inv, float).reshape(k, k) / n_i
+            v = bread @ square(np.asarray(m, float), k + 1) @ bread
+            turn = np.eye(k + 1)
+            turn[0, 1:] = -centre[x_at]
+            v = turn @ v @ turn.T
+            est = np.concatenate([[centre[y_at] - b @ centre[x_at]], b])
+            hc0 = np.sqrt(np.maximum(np.diag(v), 0.0))
+            hc1 = hc0 * np.sqrt(n_i / (n_i - k - 1)) if n_i > k + 1 else np.full(k + 1, np.nan)
+            with np.errstate(all="ignore"):
+                t = np.where(hc1 > 0, est / np.where(hc1 > 0, hc1, 1.0), np.nan)
+            out.append((est, hc0, hc1, t, t_tail(t, n_i - k - 1)))
+        return pd.DataFrame(out, columns=["estimate", "hc0", "hc1", "t", "p"])
+
+    fitted = summed.withColumn("fit", errors("n", "means", "slopes", "inverse", "meat"))
+    labels = F.array(*[F.lit(t) for t in terms])
+    return fitted.select(*keys, "n", F.inline(F.arrays_zip(
+        labels.alias("term"), F.col("fit.estimate").alias("estimate"), F.col("fit.hc0").alias("se_hc0"), F.col("fit.hc1").alias("se_hc1"),
+        F.col("fit.t").alias("t"), F.col("fit.p").alias("p"))))
+
+
 def simple_ols(y: Column, x: Column) -> list[Column]:
     """Slope regression with one regressor as plain aggregates: n, slope, intercept, slope_se, r2."""
     n = F.regr_count(y, x)

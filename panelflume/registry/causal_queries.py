@@ -15,7 +15,7 @@ from panelflume.sources import table
 from panelflume.sources.files import cut_lineage, read_json, shared_folder, write_json
 from panelflume.sources.lookups import values_table
 from panelflume.sources.star import TABLE_SCHEMAS
-from panelflume.streaming import did_updates
+from panelflume.streaming import did_updates, panel_state
 
 E1 = EXPERIMENTS[:1]
 OUTCOMES = ["yield_aud", "pax"]
@@ -109,12 +109,12 @@ ORDER_SQL = f"""WITH {ORDER_ROWS}, {did_rows_sql(E1)}, {did_fit_sql('d', 'po', '
     SELECT outcome, n_obs, round(att, 2) AS att, round(att_se, 2) AS att_se FROM f WHERE outcome = 'yield_aud'"""
 
 
-def _order_rows(spark, sf, orders):
+def _order_rows(spark, sf, orders, *more):
     places = table(spark, sf, "nation").join(table(spark, sf, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
     owners = table(spark, sf, "customer").join(places, F.col("c_nationkey") == F.col("n_nationkey"))
     return orders.join(owners, F.col("o_custkey") == F.col("c_custkey")).select(
         F.col("r_name").alias("route"), F.col("o_orderdate").cast("date").alias("date"),
-        F.col("o_totalprice").alias("yield_aud"))
+        F.col("o_totalprice").alias("yield_aud"), *more)
 
 
 def _order_out(fitted):
@@ -136,6 +136,21 @@ def _incremental(spark, sf):
     return _order_out(did_updates.estimates(spark, folder))
 
 
+@query("m01_stateful_did", ORDER_SQL)
+def _stateful(spark, sf):
+    """Orders dealt by quarter into files that arrive one by one, some of them twice; the state forgets what the watermark passes."""
+    folder = shared_folder(spark)
+    orders = table(spark, sf, "orders")
+    quarter = F.date_format(F.date_trunc("quarter", F.col("o_orderdate")), "yyyy-MM")
+    again = orders.filter(F.col("o_orderkey") % 97 == 0)
+    orders.unionByName(again).withColumn("quarter", quarter).repartition("quarter").sortWithinPartitions("quarter").write.partitionBy("quarter").parquet(f"{folder}/in")
+    files = spark.readStream.schema(TABLE_SCHEMAS["orders"] + ", quarter string").option("maxFilesPerTrigger", 8).parquet(f"{folder}/in")
+    running = panel_state.keep(_order_rows(spark, sf, files, "o_orderkey"), ["yield_aud"], folder, "4000 days", ["o_orderkey"])
+    running.awaitTermination()
+    panel_state.compact(spark, folder)
+    return _order_out(panel_state.estimates(spark, folder, _specs(spark)))
+
+
 # Regression --------------------------------------------------------------------------------------------------------
 
 LOGS = """logs AS (SELECT *, ln(pax) AS ln_pax, ln(yield_aud) AS ln_yield, ln(fuel_index) AS ln_fuel FROM {src} WHERE pax > 0)"""
@@ -222,6 +237,31 @@ def _ols(spark, sf):
     return elasticity.estimate(_recent(spark, sf)).select("route", "n", "ols_elasticity", "ols_se", "ols_t", "ols_r2")
 
 
+def _robust_sql() -> str:
+    """J8's design again, each slope with the robust error of its regressor's own part: what the other regressors leave of it. A regressor
+    without a part of its own has estimate and error zero."""
+    xs = ["ln_yield", *fv.ELASTICITY_CONTROLS]
+    k = len(xs) + 1
+    out, last = [], []
+    for i, x in enumerate(xs):
+        others = [o for o in xs if o != x]
+        out.append(sweep(f"p{i}", "logs", ["route"], others, x))
+        part = f"l.{x} - q.m{len(others)}" + "".join(f" - q.b{j} * (l.{o} - q.m{j})" for j, o in enumerate(others))
+        left = f"l.ln_pax - o.m{len(xs)}" + "".join(f" - o.b{j} * (l.{o} - o.m{j})" for j, o in enumerate(xs))
+        last.append(f"""SELECT l.route, '{x}' AS term, o.n, round(any_value(o.b{i}), 6) AS estimate,
+            CASE WHEN sum(power({part}, 2)) > 1e-18 THEN round(sqrt(sum(power({part}, 2) * power({left}, 2)) * o.n / (o.n - {k}))
+              / sum(power({part}, 2)), 6) ELSE 0 END AS se_hc1
+            FROM logs l JOIN o_fit o ON l.route = o.route JOIN p{i}_fit q ON l.route = q.route GROUP BY l.route, o.n""")
+    return f"WITH {RECENT}, {sweep('o', 'logs', ['route'], xs, 'ln_pax')}, {', '.join(out)} {' UNION ALL '.join(last)}"
+
+
+@query("j06_general", _robust_sql())
+def _robust(spark, sf):
+    xs = ["ln_yield", *fv.ELASTICITY_CONTROLS]
+    out = regression.robust_ols(elasticity.log_columns(_recent(spark, sf)), "ln_pax", xs, ["route"]).filter(F.col("term") != "intercept")
+    return rounded(out.select("route", "term", "n", "estimate", "se_hc1"), {"estimate": 6, "se_hc1": 6})
+
+
 @query("j09_two_stage", f"""WITH {_FULL} SELECT route, round_even(iv, 4) AS iv_elasticity, round_even(iv_se, 4) AS iv_se,
     round_even(iv / iv_se, 3) AS iv_t FROM tested""")
 def _iv(spark, sf):

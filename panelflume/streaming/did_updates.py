@@ -33,5 +33,13 @@ def estimates(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def compact(spark: SparkSession, folder: str, into: str) -> None:
-    """Write the merged moments to a new folder, which a stream with new progress can go on from. Nothing is deleted."""
+    """Write the merged moments to a new folder, with the progress, so that a stream on that folder goes on after the last batch merged.
+    Nothing is deleted; no stream may run on `folder` meanwhile."""
     moments(spark, folder).write.parquet(f"{into}/moments/batch=base")
+    copied(spark, f"{folder}/progress", f"{into}/progress")
+
+
+def copied(spark: SparkSession, source: str, target: str) -> None:
+    hadoop, conf = spark._jvm.org.apache.hadoop.fs, spark._jsparkSession.sessionState().newHadoopConf()
+    a, b = hadoop.Path(source), hadoop.Path(target)
+    hadoop.FileUtil.copy(a.getFileSystem(conf), a, b.getFileSystem(conf), b, False, conf)

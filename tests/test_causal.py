@@ -8,7 +8,7 @@ from panelflume.functions.tails import chi2_1_tail, t_tail
 from panelflume.operators import did, elasticity, regression, unitroot
 from panelflume.plans import stages
 from panelflume.sources.lookups import values_table
-from panelflume.streaming import did_updates
+from panelflume.streaming import did_updates, panel_state
 
 SPEC = [("e", "2024-07-01", ["T1", "T2"], ["C1", "C2"], 52, 26)]
 
@@ -223,3 +223,82 @@ def test_unit_root_statistic_equals_least_squares():
     b, se, _ = lstsq(x, dy[k:])
     tau, lags, obs = unitroot.statistic(y, None)
     assert (lags, obs) == (k, n) and tau == pytest.approx(b[0] / se[0], rel=1e-8)
+
+
+def test_large_means_keep_their_digits(spark):
+    pdf = did_panel()
+    high = pdf.assign(yield_aud=pdf.yield_aud + 1e9)
+    rows = [run(spark, p, p_values=False).filter(F.col("outcome") == "yield_aud").first() for p in (pdf, high)]
+    for c in ("att", "att_se", "att_se_hc1"):
+        assert rows[1][c] == pytest.approx(rows[0][c], rel=1e-6)
+    doubled = spark.createDataFrame(pd.concat([high, high]))
+    m = did.moments(doubled, values_table(spark, did.SPEC_SHAPE, SPEC), ["yield_aud"])
+    assert m.agg(F.max("m2")).first()[0] == pytest.approx(2 * did.moments(spark.createDataFrame(high), values_table(spark, did.SPEC_SHAPE, SPEC), ["yield_aud"])
+                                                         .agg(F.max("m2")).first()[0], rel=1e-6)
+
+
+def test_compacted_streams_go_on(spark, tmp_path):
+    specs, rows = values_table(spark, did.SPEC_SHAPE, SPEC), spark.createDataFrame(did_panel())
+    inbox, work, small = f"{tmp_path}/in", f"{tmp_path}/work", f"{tmp_path}/small"
+
+    def maintained(folder):
+        did_updates.maintain(spark.readStream.schema(rows.schema).parquet(inbox), specs, ["yield_aud"], folder).awaitTermination()
+        return did_updates.estimates(spark, folder).first()["n_obs"]
+
+    rows.filter(F.col("route") != "C2").write.mode("append").parquet(inbox)
+    before = maintained(work)
+    did_updates.compact(spark, work, small)
+    assert maintained(small) == before
+    rows.filter(F.col("route") == "C2").write.mode("append").parquet(inbox)
+    assert maintained(small) == did.estimate(rows, specs, ["yield_aud"], p_values=False).first()["n_obs"]
+
+
+def test_stateful_stream_with_late_and_repeated_rows(spark, tmp_path):
+    specs = values_table(spark, did.SPEC_SHAPE, SPEC)
+    rows = spark.createDataFrame(did_panel()).withColumn("id", F.concat_ws("/", "route", "date"))
+    inbox, work = f"{tmp_path}/in", f"{tmp_path}/work"
+    states = []
+
+    def arrive(part):
+        part.coalesce(1).write.mode("append").parquet(inbox)
+        query = panel_state.keep(spark.readStream.schema(rows.schema).parquet(inbox), ["yield_aud"], work, "60 days", ["id"])
+        query.awaitTermination()
+        states.append(sum(op["numRowsTotal"] for op in query.lastProgress["stateOperators"]) if query.lastProgress else states[-1])
+        return panel_state.estimates(spark, work, specs).first()
+
+    split = [rows.filter(F.col("date").between(a, b)) for a, b in (("2023-01-01", "2024-01-31"), ("2024-02-01", "2024-08-31"), ("2024-09-01", "2026-01-01"))]
+    arrive(split[0])
+    arrive(split[1])
+    arrive(split[1].filter("date >= date '2024-08-01'"))    # repeated within the watermark
+    arrive(split[0].filter("date < date '2023-06-01'").withColumn("id", F.concat("id", F.lit("late"))).withColumn("yield_aud", F.lit(1e9)))
+    panel_state.compact(spark, work)
+    last = arrive(split[2])
+    whole = did.estimate(rows, specs, ["yield_aud"], p_values=False).first()
+    assert last["n_obs"] == whole["n_obs"] and last["att_se"] == pytest.approx(whole["att_se"], rel=1e-9)
+    assert states[-1] <= states[0] and states[-1] < rows.count()
+
+
+@pytest.mark.parametrize("instrumented", [False, True])
+def test_robust_errors_equal_the_plain_sandwich(spark, instrumented):
+    pdf = elasticity_rows().assign(yield_aud=lambda d: d.yield_aud + 1e3)
+    pdf["w"] = np.arange(len(pdf)) % 7
+    logs = elasticity.log_columns(spark.createDataFrame(pdf)).withColumn("g", F.lit(None).cast("string"))
+    out = regression.robust_ols(logs, "ln_pax", ["ln_yield", "w"], ["g"], ["ln_fuel", "w"] if instrumented else None).toPandas().set_index("term")
+    y, one = np.log(pdf.pax), np.ones(len(pdf))
+    x = np.column_stack([one, np.log(pdf.yield_aud), pdf.w])
+    z = np.column_stack([one, np.log(pdf.fuel_index) if instrumented else np.log(pdf.yield_aud), pdf.w])
+    fitted = z @ np.linalg.lstsq(z, x, rcond=None)[0]
+    beta = np.linalg.lstsq(fitted, y, rcond=None)[0]
+    e, inv = y - x @ beta, np.linalg.inv(fitted.T @ fitted)
+    v = inv @ (fitted.T * (e.to_numpy() ** 2)) @ fitted @ inv
+    names = ["intercept", "ln_yield", "w"]
+    assert np.allclose(out.loc[names].estimate, beta, rtol=1e-6)
+    assert np.allclose(out.loc[names].se_hc0, np.sqrt(np.diag(v)), rtol=1e-6)
+    assert np.allclose(out.loc[names].se_hc1, np.sqrt(np.diag(v) * len(y) / (len(y) - 3)), rtol=1e-6)
+
+
+def test_many_routes_hold_all_dates(spark):
+    from panelflume.registry import QUERIES
+    from tests.oracle import compare, connect
+    ok, note = compare(QUERIES["j14_elasticity_many_routes"].run(spark, "/root/testdata/sf0.01"), connect("/root/testdata/sf0.01"), QUERIES["j14_elasticity_many_routes"].sql)
+    assert ok, note
