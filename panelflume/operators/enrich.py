@@ -145,9 +145,17 @@ def day_dimension(tables: dict[str, DataFrame]) -> DataFrame:
 FIRST_YEAR, LAST_YEAR = 1900, 2100
 
 
-def year_dimension(annual: DataFrame, base_year: int, first: int = FIRST_YEAR, last: int = LAST_YEAR) -> DataFrame:
-    """One row per calendar year with macro columns, defaults filled in, and the price index."""
-    years = annual.sparkSession.range(first, last + 1, 1, 1).select(F.col("id").cast("int").alias("year"))
+def last_year(annual: DataFrame) -> DataFrame:
+    """One row: the last year of the year table, which reaches past LAST_YEAR where the macro table does."""
+    return annual.agg(F.greatest(F.coalesce(F.max("year"), F.lit(LAST_YEAR)), F.lit(LAST_YEAR)).alias("year"))
+
+
+def year_dimension(annual: DataFrame, base_year: int) -> DataFrame:
+    """One row per calendar year, FIRST_YEAR to LAST_YEAR and on to any listed year, with macro columns, defaults filled in, and
+    the price index."""
+    first = F.least(F.coalesce(F.min("year"), F.lit(FIRST_YEAR)), F.lit(FIRST_YEAR))
+    until = F.greatest(F.coalesce(F.max("year"), F.lit(LAST_YEAR)), F.lit(LAST_YEAR))
+    years = annual.agg(F.explode(F.sequence(first, until)).alias("year")).select(F.col("year").cast("int").alias("year"))
     return macro(price_index(years, annual, base_year), annual)
 
 
@@ -157,10 +165,10 @@ def calendar(df: DataFrame, tables: dict[str, DataFrame], base_year: int = fv.BA
     Years outside the year table get the defaults; their price index grows by the default rate beyond the table's end.
     """
     days = day_dimension(tables).withColumnRenamed("day", "date")
-    listed = tables["macro"].filter(F.col("year").between(FIRST_YEAR, LAST_YEAR))
+    listed = tables["macro"]
     out = df.join(days, "date", "left").join(year_dimension(listed, base_year), "year", "left")
-    until = F.greatest(F.lit(LAST_YEAR), F.lit(base_year - 1))
-    end = price_index(df.sparkSession.range(1).select(F.lit(LAST_YEAR).alias("year")), listed, base_year).select("cpi_index").scalar()
+    until = F.greatest(last_year(listed).scalar(), F.lit(base_year - 1))
+    end = price_index(last_year(listed), listed, base_year).select("cpi_index").scalar()
     beyond = F.when(F.col("year") > until, end * F.pow(F.lit(1.0 + fv.DEFAULT_CPI), F.col("year") - until)).otherwise(F.lit(1.0))
     total = F.lit(1.0) + F.coalesce(_effect_sum(F.col("route")), F.lit(0.0))
     return out.withColumns({

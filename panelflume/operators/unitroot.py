@@ -3,13 +3,14 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from panelflume import fixed_values as fv
 from panelflume.functions.columns import unit_root_p
-from panelflume.functions.shapes import record
+from panelflume.operators.blocks import with_halo
 from panelflume.operators.features import differences
-from panelflume.operators.smoothing import series
+from panelflume.operators.filters import numbered, series_window
+from panelflume.operators.regression import fit, moments, square
 
 
 def lag_order(n: int, max_lag: int | None = None) -> int:
@@ -18,44 +19,56 @@ def lag_order(n: int, max_lag: int | None = None) -> int:
     return min(rule, n // 4)
 
 
-def statistic(y: np.ndarray, max_lag: int | None) -> tuple[float, int, int]:
-    """(tau, lags, observations) of dy on previous level, lagged differences and a constant."""
-    k = lag_order(len(y), max_lag)
-    dy = np.diff(y)
-    obs = len(dy) - k
-    if obs < fv.MIN_UNIT_ROOT_OBS:
-        return np.nan, k, obs
-    lagged = [dy[k - i:len(dy) - i] for i in range(1, k + 1)]
-    x = np.column_stack([y[k:-1], *lagged])
-    # Centring removes the constant; scaling keeps the cross-products well conditioned.
-    centred, target = x - x.mean(axis=0), dy[k:] - dy[k:].mean()
-    size = np.linalg.norm(centred, axis=0)
-    if size[0] == 0:
-        return np.nan, k, obs
-    size = np.where(size > 0, size, 1.0)
-    unit = centred / size
-    coef = np.linalg.lstsq(unit, target, rcond=None)[0]
-    dof = obs - (k + 2)
-    if dof <= 0:
-        return np.nan, k, obs
-    s2 = np.sum((target - unit @ coef) ** 2) / dof
-    se = np.sqrt(s2 * np.linalg.pinv(unit.T @ unit, hermitian=True)[0, 0])
-    return (coef[0] / se if se > 0 else np.nan), k, obs
-
-
-def adf(df: DataFrame, value: str = "pax", max_lag: int | None = None) -> DataFrame:
+def lagged_rows(df: DataFrame, value: str, most: int, max_lag: int | None, bucket: Column | None, block_rows: int) -> DataFrame:
+    """route, k, dy, y_prev and dy_lag1 .. dy_lag<most> of the rows that enter the test; lags beyond a route's order k are zero.
+
+    With a bucket (an expression that does not decrease with time) series are cut into blocks whose halo holds the lags, so that no
+    task holds a whole one.
+    """
+    rows = numbered(df.select("route", "date", F.col(value).cast("double").alias("y")), bucket=bucket)
+    if bucket is None:
+        w = series_window()
+    else:
+        halo = with_halo(rows.withColumn("position", F.col("position") - 1), most + 2, max(block_rows, most + 2))
+        rows, w = halo.withColumn("position", F.col("position") + 1), Window.partitionBy("route", "block").orderBy("position")
+    rule = F.floor(F.lit(12) * F.pow(F.col("n_rows") / F.lit(100.0), F.lit(0.25))) if max_lag is None else F.lit(max_lag)
+    rows = rows.withColumn("k", F.least(rule, F.floor(F.col("n_rows") / 4)).cast("int"))
+    rows = rows.withColumns({"dy": F.col("y") - F.lag("y").over(w), "y_prev": F.lag("y").over(w)})
+    rows = rows.withColumns({f"dy_lag{i}": F.when(F.col("k") >= i, F.lag("dy", i).over(w)).otherwise(0.0) for i in range(1, most + 1)})
+    kept = rows.filter(F.col("position") >= F.col("k") + 2)
+    return kept.filter(~F.col("is_halo")) if bucket is not None else kept
+
+
+def adf(df: DataFrame, value: str = "pax", max_lag: int | None = None, bucket: Column | None = None, block_rows: int = 1 << 14) -> DataFrame:
     """One row per route: adf_t_stat, n_lags, n_obs, adf_p, critical values and is_stationary.
 
-    The lag order depends on each series' own length, so the test runs on the ordered series of one entity; a series
-    has at most one value per period.
+    The regression of each difference on the level before it and k lagged differences comes from one aggregate of moments per
+    route, which combines on the map side; Python solves a system of k + 1 unknowns. k follows from the route's number of rows;
+    the longest series sets how many lags are made.
     """
-    @F.pandas_udf(record(adf_t_stat="double", n_lags="int", n_obs="int"))
-    def run(y: pd.Series) -> pd.DataFrame:
-        return pd.DataFrame([statistic(np.asarray(v, float), max_lag) for v in y],
-                            columns=["adf_t_stat", "n_lags", "n_obs"])
+    counts = df.groupBy("route").agg(F.count(F.lit(1)).alias("n"))
+    longest = counts.agg(F.max("n")).first()[0] or 0
+    most = lag_order(longest, max_lag)
+    xs = ["y_prev", *[f"dy_lag{i}" for i in range(1, most + 1)]]
+    found = moments(lagged_rows(df, value, most, max_lag, bucket, block_rows), [*xs, "dy"], ["route", "k"])
+
+    @F.pandas_udf("double")
+    def tau(n: pd.Series, k: pd.Series, means: pd.Series, covs: pd.Series) -> pd.Series:
+        out = []
+        for n_i, k_i, mean, upper in zip(n, k, means, covs):
+            mean, cov = np.asarray(mean, float), square(np.asarray(upper, float), len(xs) + 1)
+            if n_i <= k_i + 2 or n_i < fv.MIN_UNIT_ROOT_OBS or cov[0, 0] <= 0:
+                out.append(np.nan)
+                continue
+            slopes, v, *_ = fit(float(n_i), mean, cov, list(range(k_i + 1)), len(xs), k_i + 2)
+            out.append(slopes[0] / np.sqrt(v[0, 0]) if v[0, 0] > 0 else np.nan)
+        return pd.Series(out)
 
-    tested = series(df, value).select("route", run("y").alias("r")).select("route", "r.*")
-    return verdict(tested.withColumn("adf_t_stat", F.nanvl("adf_t_stat", F.lit(None).cast("double"))))
+    tested = found.select("route", F.nanvl(tau("n", "k", "means", "covs"), F.lit(None).cast("double")).alias("adf_t_stat"))
+    rule = F.floor(F.lit(12) * F.pow(F.col("n") / F.lit(100.0), F.lit(0.25))) if max_lag is None else F.lit(max_lag)
+    lags = F.least(rule, F.floor(F.col("n") / 4)).cast("int")
+    every = counts.select("route", lags.alias("n_lags"), (F.col("n") - 1 - lags).cast("int").alias("n_obs"))
+    return verdict(every.join(tested, "route", "left").select("route", "adf_t_stat", "n_lags", "n_obs"))
 
 
 def verdict(df: DataFrame) -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 from pyspark.sql import Window, functions as F
 
 from panelflume import fixed_values as fv
-from panelflume.operators import filters, hybrid, metrics, residual_model, smoothing
+from panelflume.operators import filters, hybrid, metrics, residual_model, smoothing, smoothing_blocks
 from panelflume.plans import stages
 from panelflume.registry.base import (BASE_YEAR, DAY, FEATURES, PANEL, enriched, feature_frame, iso, panel, query,
                                       rounded)
@@ -105,6 +105,53 @@ def _decomposition(spark, sf):
                     total("residual").alias("residual_sum"), F.size("dates").cast("long").alias("weeks"))
 
 
+# The yearly season, by the prefix over blocks of two years.
+YEAR = 52
+HW_YEAR = f"WITH RECURSIVE {PANEL}, {smoothing_sql(SERIES, ONE, YEAR)} "
+
+
+def _yearly(spark, sf):
+    return smoothing_blocks.smooth(panel(spark, sf), *FIXED, season=YEAR, bucket=F.year("date"), block_rows=2 * YEAR)
+
+
+@query("h01_holt_winters_yearly", HW_YEAR + f"SELECT rec.route, {HW_DAY}, round(l, 4) AS level, round(tr, 4) AS trend, round(fitted, 4) AS fitted {HW_JOIN}")
+def _hw_yearly(spark, sf):
+    return rounded(_yearly(spark, sf).select("route", "date", "level", "trend", "fitted"), {"level": 4, "trend": 4, "fitted": 4})
+
+
+@query("h03_forecast_yearly", HW_YEAR + f"""SELECT route, CAST(h AS INTEGER) AS step, round(l + h * tr + CASE WHEN len(s) >= {YEAR} THEN s[1 + (h - 1) % {YEAR}] ELSE 0 END, 4) AS hw_fc
+    FROM (SELECT * FROM rec QUALIFY row_number() OVER (PARTITION BY route ORDER BY t DESC) = 1), generate_series(1, 104) g(h)""")
+def _ahead_yearly(spark, sf):
+    return rounded(smoothing_blocks.forecast(_yearly(spark, sf), 104, YEAR), {"hw_fc": 4})
+
+
+@query("h04_components_yearly", HW_YEAR + f"""SELECT rec.route, {HW_DAY}, round(l, 4) AS level, round(tr, 4) AS trend,
+    round(CASE WHEN rec.t >= {YEAR} THEN sp ELSE s0 END, 4) AS seasonal, round(rec.y - fitted, 4) AS residual {HW_JOIN}""")
+def _components_yearly(spark, sf):
+    cols = ["level", "trend", "seasonal", "residual"]
+    return rounded(_yearly(spark, sf).select("route", "date", *cols), {c: 4 for c in cols})
+
+
+@query("h05_decomposition_yearly", HW_YEAR + """SELECT route, string_agg(date, ',' ORDER BY t) AS dates, round(sum(l), 2) AS level_sum,
+    round(sum(residual), 2) AS residual_sum, count(*) AS weeks FROM (
+      SELECT rec.route, rec.t, strftime(ser.date, '%Y-%m-%d') AS date, l, rec.y - fitted AS residual,
+        row_number() OVER (PARTITION BY rec.route ORDER BY rec.t DESC) AS back
+      FROM rec JOIN ser ON ser.route = rec.route AND ser.t = rec.t) WHERE back <= 104 GROUP BY route""")
+def _decomposition_yearly(spark, sf):
+    d = smoothing.decomposition(_yearly(spark, sf))
+
+    def total(c):
+        return F.round(F.aggregate(c, F.lit(0.0), lambda a, v: a + v), 2)
+
+    return d.select("route", F.array_join("dates", ",").alias("dates"), total("level").alias("level_sum"),
+                    total("residual").alias("residual_sum"), F.size("dates").cast("long").alias("weeks"))
+
+
+@query("i01_residual_target_yearly", HW_YEAR + f"SELECT rec.route, {HW_DAY}, round(rec.y - fitted, 4) AS residual {HW_JOIN}")
+def _target_yearly(spark, sf):
+    return rounded(_yearly(spark, sf).select("route", "date", "residual"), {"residual": 4})
+
+
 # Holt-Winters on the part of each route the hybrid trains on: rows from the 53rd to the 27th last. `won` has the best
 # parameters, `hw` a row per training and test row.
 TRAINED = f"""{PANEL}, kept AS (SELECT route, date, CAST(pax AS DOUBLE) AS y, row_number() OVER (PARTITION BY route ORDER BY date) AS rn,

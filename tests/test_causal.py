@@ -214,15 +214,21 @@ def test_unit_roots(spark):
     assert out["noise"]["n_lags"] == int(12 * 2 ** .25) and out["noise"]["critical_5"] == -2.8621
 
 
-def test_unit_root_statistic_equals_least_squares():
-    y = np.cumsum(np.random.default_rng(2).normal(0, 1, 120)) + 50
-    k = unitroot.lag_order(120)
-    dy = np.diff(y)
-    n = len(dy) - k
-    x = np.column_stack([y[k:k + n], *[dy[k - i:k - i + n] for i in range(1, k + 1)], np.ones(n)])
-    b, se, _ = lstsq(x, dy[k:])
-    tau, lags, obs = unitroot.statistic(y, None)
-    assert (lags, obs) == (k, n) and tau == pytest.approx(b[0] / se[0], rel=1e-8)
+@pytest.mark.parametrize("bucketed", [False, True])
+@pytest.mark.parametrize("lags", [None, 0, 3])
+def test_unit_root_statistic_equals_least_squares(spark, bucketed, lags):
+    series = {f"r{n}": np.cumsum(np.random.default_rng(n).normal(0, 1, n)) + 1e6 for n in (60, 120, 400)}
+    rows = pd.concat([pd.DataFrame({"route": r, "date": pd.date_range("2015-01-05", periods=len(y), freq="7D").date, "pax": y}) for r, y in series.items()])
+    out = unitroot.adf(spark.createDataFrame(rows), max_lag=lags, bucket=F.year("date") if bucketed else None, block_rows=25)
+    found = {r["route"]: r for r in out.collect()}
+    for route, y in series.items():
+        k = unitroot.lag_order(len(y), lags)
+        dy = np.diff(y)
+        n = len(dy) - k
+        x = np.column_stack([y[k:k + n] - y.mean(), *[dy[k - i:k - i + n] for i in range(1, k + 1)], np.ones(n)])
+        b, se, _ = lstsq(x, dy[k:])
+        r = found[route]
+        assert (r["n_lags"], r["n_obs"]) == (k, n) and r["adf_t_stat"] == pytest.approx(b[0] / se[0], rel=1e-6)
 
 
 def test_large_means_keep_their_digits(spark):

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from panelflume import fixed_values as fv
-from panelflume.operators import smoothing
+from panelflume.operators import smoothing, smoothing_blocks
 
 
 def seasonal(n=104, seed=1):
@@ -110,3 +110,33 @@ def test_long_series_take_linear_time(spark):
         assert smoothing.smooth(df, .3, .1, .15, 52).select(F.size("state.level")).first()[0] == n
         took.append(time.perf_counter() - begun)
     assert took[1] < 8 * took[0]
+
+
+def test_prefix_over_blocks_equals_one_pass(spark):
+    n, season, params = 100_000, 52, (.3, .1, .15)
+    t = np.arange(n)
+    y = 1000 + 200 * np.sin(2 * np.pi * t / season) + np.random.default_rng(4).normal(0, 20, n)
+    dates = (np.datetime64("1700-01-01") + t).astype("datetime64[D]")
+    df = spark.createDataFrame(pd.DataFrame({"route": "a", "date": dates.astype(object), "pax": y}))
+    out = smoothing_blocks.smooth(df, *params, season, F.floor(F.datediff("date", F.lit("1700-01-01").cast("date")) / 5000), block_rows=10_000)
+    rows = out.orderBy("position").toPandas()
+    assert (rows.position // 10_036).nunique() >= 8
+    level, trend, index, fitted = (a[:, 0] for a in smoothing.states(y, np.array([params]), season))
+    for name, expected in (("level", level), ("trend", trend), ("index", index), ("fitted", fitted)):
+        np.testing.assert_allclose(rows[name], expected, rtol=1e-9, atol=1e-9)
+    ahead = smoothing_blocks.forecast(out, 60, season).orderBy("step").toPandas().hw_fc
+    h = np.arange(60)
+    np.testing.assert_allclose(ahead, level[-1] + (h + 1) * trend[-1] + index[n - season + h % season], rtol=1e-9)
+
+
+@pytest.mark.parametrize("n", [1, 5, 13, 20, 27, 90])
+def test_short_series_in_blocks(spark, n):
+    df = frame(spark, {"a": seasonal(n), "b": seasonal(40, 2)})
+    blocks = smoothing_blocks.smooth(df, .3, .1, .15, 13, F.year("date"), block_rows=13)
+    whole = smoothing.fitted_rows(smoothing.smooth(smoothing.series(df), .3, .1, .15, 13), 13)
+    cols = ["level", "trend", "seasonal", "fitted", "residual"]
+    a, b = (x.orderBy("route", "date").toPandas()[cols].to_numpy() for x in (blocks, whole))
+    np.testing.assert_allclose(a, b, rtol=1e-9, atol=1e-9)
+    ahead = [x.orderBy("route", "step").toPandas().hw_fc for x in (smoothing_blocks.forecast(blocks, 20, 13), smoothing.forecast_rows(
+        smoothing.smooth(smoothing.series(df), .3, .1, .15, 13), 20, 13))]
+    np.testing.assert_allclose(*ahead, rtol=1e-9)

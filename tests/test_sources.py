@@ -138,3 +138,14 @@ def test_lines_are_reduced_to_located_orders_before_they_are_summed(spark):
     lines = [i for i, x in enumerate(plan.splitlines()) if "LeftSemi" in x]
     sums = [i for i, x in enumerate(plan.splitlines()) if "Aggregate [l_orderkey" in x]
     assert lines and sums and sums[0] < lines[0]
+
+
+def test_listed_years_outside_the_usual_table_count(spark):
+    tables = dict(enrich.default_tables(spark))
+    extra = spark.createDataFrame([(2150, .09, .05, 300.0), (1850, .08, .04, 50.0)], "year int, rate double, cpi double, fuel double")
+    tables["macro"] = tables["macro"].select("year", "rate", "cpi", "fuel").unionByName(extra)
+    out = {r["date"].year: r for r in enrich.calendar(days(spark, "2150-01-05", "1850-01-07", "2149-01-06", "2160-01-07"), tables).collect()}
+    for year, row in ((2150, (.09, .05, 300.0)), (1850, (.08, .04, 50.0))):
+        assert (out[year]["rba_cash_rate"], out[year]["inflation"], out[year]["macro_fuel"]) == row
+    assert out[2150]["cpi_index"] == pytest.approx(out[2149]["cpi_index"] * 1.05, rel=1e-4)
+    assert out[2160]["cpi_index"] == pytest.approx(out[2150]["cpi_index"] * 1.025 ** 10, rel=1e-4)
