@@ -14,8 +14,8 @@ from panelflume.sources.lookups import lookup, values_table
 def forecast(panel: DataFrame, trees: int = fv.BOOST_PARAMS["trees"], cv_trees: int = fv.CV_TREES,
              draws: int = fv.BOOTSTRAP_DRAWS, repeats: int = fv.IMPORTANCE_REPEATS, leak_free: bool = False,
              base_year: int = fv.BASE_YEAR) -> dict[str, DataFrame]:
-    """model_metrics, forecasts, feature_importance, cv_results and decompositions of an enriched panel, and left_out, the routes too
-    short for them."""
+    """model_metrics, forecasts, feature_importance, cv_results and decompositions of an enriched panel. hybrid.left_out() lists the routes
+    that are too short for them."""
     panel = cut_lineage(panel)
     feat = features.add_features(panel, leak_free=leak_free, base_year=base_year)
     names = filters.present(feat, fv.FEATURE_COLS)
@@ -40,7 +40,6 @@ def forecast(panel: DataFrame, trees: int = fv.BOOST_PARAMS["trees"], cv_trees:
         "feature_importance": hybrid.importance(frame, names, trees, repeats),
         "cv_results": cv,
         "decompositions": smoothing.decomposition(components),
-        "left_out": hybrid.left_out(feat),
     }
 
 

@@ -5,7 +5,7 @@ from pyspark.sql import Window, functions as F
 
 from panelflume import fixed_values as fv
 from panelflume.functions import columns as fx
-from panelflume.operators import enrich, features, filters, metrics
+from panelflume.operators import enrich, features, filters, gaps, intervals, metrics
 from panelflume.registry.base import (BASE_YEAR, CPI, DAY, ENRICHED, EVENT_SUM, FEATURES, LOOKUPS, ORDER_JOINS, PANEL,
                                       REGIME, demo, demo_tables, enriched, feature_frame, features_sql, iso, panel_sql,
                                       query, rounded, with_sql)
@@ -98,6 +98,16 @@ def _export(spark, sf):
     return iso(back)
 
 
+@query("a08_committed_export", P + """SELECT route, strftime(date_trunc('month', date), '%Y-%m-%d') AS month_start,
+    CAST(sum(pax) + CASE WHEN route = 'ASIA' THEN 1000 ELSE 0 END AS BIGINT) AS pax FROM panel GROUP BY 1, 2""")
+def _committed(spark, sf):
+    folder = files.shared_folder(spark)
+    monthly = metrics.monthly(panel(spark, sf)).select("route", "month_start", "pax")
+    files.export({"monthly": monthly}, folder)
+    files.export({"monthly": monthly.filter("route = 'ASIA'").withColumn("pax", F.col("pax") + 1000)}, folder, replace=True)
+    return iso(files.read_export(spark, folder, "monthly"))
+
+
 # Selection ---------------------------------------------------------------------------------------------------------
 
 SHORT = f"SELECT route, {DAY}, pax, revenue FROM panel"
@@ -272,6 +282,53 @@ def _regime(spark, sf):
                    .select("route", "date", "covid_factor"), {"covid_factor": 8})
 
 
+# Intervals by the microsecond, over the event table: each error opens an outage of `value` minutes, each purchase pulls for two
+# hours around it, and the mean value moves on a line from one day to the next.
+OUTAGES = """o AS (SELECT ts AS a, ts + to_microseconds(CAST(floor(value * 60000000) AS BIGINT)) AS b FROM events WHERE event_type = 'error')"""
+
+
+def _event_table(spark, sf):
+    return table(spark, sf, "events").select("event_id", "ts", "event_type", "value")
+
+
+def _shifted(seconds):
+    return F.timestamp_micros(F.unix_micros(F.col("ts").cast("timestamp")) + F.floor(seconds * 1_000_000).cast("long"))
+
+
+@query("c03_interval_flag_at", f"""WITH {OUTAGES} SELECT event_id, CAST(EXISTS (SELECT 1 FROM o WHERE ts >= a AND ts < b) AS INTEGER) AS in_outage FROM events""")
+def _outage(spark, sf):
+    events = _event_table(spark, sf)
+    outages = events.filter("event_type = 'error'").select(F.col("ts").cast("timestamp").alias("start"), _shifted(F.col("value") * 60).alias("end"))
+    points = events.select("event_id", F.col("ts").cast("timestamp").alias("ts"))
+    return intervals.flagged(points, outages, "event_id", "ts", "in_outage").select("event_id", "in_outage")
+
+
+@query("c05_effect_at", """WITH p AS (SELECT ts AS peak, value FROM events WHERE event_type = 'purchase'),
+    m AS (SELECT event_id, sum(p.value * exp(-0.5 * power(date_diff('microsecond', peak, ts) / 2400000000.0::DOUBLE, 2))) AS pull FROM events
+      JOIN p ON ts >= peak - INTERVAL 2 HOUR AND ts < peak + INTERVAL 2 HOUR GROUP BY event_id)
+    SELECT e.event_id, round(coalesce(pull, 0), 5) AS pull FROM events e LEFT JOIN m ON m.event_id = e.event_id""")
+def _pull(spark, sf):
+    events = _event_table(spark, sf)
+    peaks = events.filter("event_type = 'purchase'").select(F.col("ts").cast("timestamp").alias("peak"), "value", _shifted(F.lit(-7200.0)).alias("start"),
+                                                            _shifted(F.lit(7200.0)).alias("end"))
+    points = events.select("event_id", F.col("ts").cast("timestamp").alias("ts"))
+    away = (F.unix_micros("ts") - F.unix_micros("peak")) / F.lit(2400000000.0)
+    out = intervals.summed(points, peaks, "event_id", "ts", F.col("value") * F.exp(F.lit(-0.5) * away * away), "pull")
+    return out.select("event_id", F.round("pull", 5).alias("pull"))
+
+
+@query("c06_regime_at", """WITH d AS (SELECT date_trunc('day', ts) AS a, avg(value) AS v0 FROM events GROUP BY 1),
+    r AS (SELECT a, v0, lead(v0) OVER (ORDER BY a) AS v1, lead(a) OVER (ORDER BY a) AS b FROM d)
+    SELECT event_id, round(coalesce(v0 + (v1 - v0) * (date_diff('microsecond', a, ts) / CAST(date_diff('microsecond', a, b) AS DOUBLE)), 1), 6) AS level
+    FROM events LEFT JOIN r ON ts >= a AND ts < b""")
+def _level(spark, sf):
+    events = _event_table(spark, sf).withColumn("ts", F.col("ts").cast("timestamp"))
+    days = events.groupBy(F.date_trunc("day", "ts").alias("start")).agg(F.avg("value").alias("v0"))
+    nearest = Window.orderBy("start")
+    regimes = days.withColumns({"v1": F.lead("v0").over(nearest), "end": F.lead("start").over(nearest)})
+    return intervals.interpolated(events.select("event_id", "ts"), regimes, "event_id", "ts", "level").select("event_id", F.round("level", 6).alias("level"))
+
+
 @query("c00_calendar_frame", E_ + f"""SELECT route, {DAY}, school_holiday, public_holiday, event_multiplier, covid_factor,
     rba_cash_rate, cpi_index FROM enriched""")
 def _calendar(spark, sf):
@@ -329,6 +386,27 @@ def _densify(spark, sf):
     return iso(enrich.densify(p, fill={"pax": 0, "revenue": 0.0}))
 
 
+FILL_LIMIT = 4
+
+
+@query("e00_fill", "WITH " + panel_sql("n_name || '|' || p_brand", "JOIN part ON l_partkey = p_partkey") + f""",
+    spine AS (SELECT route, CAST(unnest(generate_series(min(date), max(date), INTERVAL 7 DAY)) AS DATE) AS date FROM panel GROUP BY route),
+    dense AS (SELECT s.route, s.date, p.pax, row_number() OVER (PARTITION BY s.route ORDER BY s.date) AS n
+      FROM spine s LEFT JOIN panel p ON s.route = p.route AND s.date = p.date),
+    near AS (SELECT *, lag(pax, 52) OVER w AS before, last_value(CASE WHEN pax IS NOT NULL THEN n END IGNORE NULLS) OVER (w ROWS UNBOUNDED PRECEDING) AS np,
+      first_value(CASE WHEN pax IS NOT NULL THEN n END IGNORE NULLS) OVER (w ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS nf
+      FROM dense WINDOW w AS (PARTITION BY route ORDER BY date))
+    SELECT a.route, strftime(a.date, '%Y-%m-%d') AS date, CASE WHEN a.n - np <= {FILL_LIMIT} THEN b.pax END AS pax_forward,
+      round(CASE WHEN a.pax IS NOT NULL THEN a.pax WHEN nf - np <= {FILL_LIMIT + 1} THEN b.pax + (c.pax - b.pax) * (a.n - np) / CAST(nf - np AS DOUBLE) END, 6) AS pax_linear,
+      coalesce(a.pax, CASE WHEN a.n - np <= {FILL_LIMIT} THEN before END) AS pax_seasonal
+    FROM near a LEFT JOIN dense b ON b.route = a.route AND b.n = np LEFT JOIN dense c ON c.route = a.route AND c.n = nf""")
+def _fill(spark, sf):
+    dense = enrich.densify(panel(spark, sf, grain="nation_brand").select("route", "date", "pax"))
+    rows = dense.select("route", "date", F.col("pax").alias("pax_forward"), F.col("pax").cast("double").alias("pax_linear"), F.col("pax").alias("pax_seasonal"))
+    out = gaps.fill(rows, {"pax_forward": "forward", "pax_linear": "linear", "pax_seasonal": "seasonal"}, FILL_LIMIT, bucket=F.year("date"), block_rows=104)
+    return rounded(out, {"pax_linear": 6})
+
+
 def _feature_query(name: str, cols: dict[str, int | None], leak_free: bool = False, block_rows: int | None = None,
                    drop_na: bool = False):
     sql_cols = ", ".join(c if d is None else f"round({c}, {d}) AS {c}" for c, d in cols.items())

@@ -61,6 +61,56 @@ def write_results(tables: dict[str, DataFrame], folder: str, partition_key: str
         writer.parquet(f"{folder}/{name}")
 
 
+def export(tables: dict[str, DataFrame], folder: str, partition_key: str = "route", replace: bool = False) -> int:
+    """Writes a version of named tables; readers see all of it or nothing. Returns the version's number.
+
+    Tables go to a staged folder of their own first. The manifest of the version is written last and is the commit: a run that
+    fails before leaves what was readable as it was. With `replace` only the entities in the given rows are replaced, in the
+    given tables; files of other entities and tables are not touched. One writer at a time.
+    """
+    spark = next(iter(tables.values())).sparkSession
+    version = max([v for v, _ in _manifests(spark, folder)], default=0) + 1
+    staged = f"{folder}/runs/{uuid.uuid4().hex}"
+    rows = []
+    for name, df in tables.items():
+        df.write.parquet(f"{staged}/{name}")
+        if replace:
+            spark.read.parquet(f"{staged}/{name}").select(partition_key).distinct().write.parquet(f"{staged}/{name}_keys")
+        rows.append((name, f"{staged}/{name}", replace))
+    manifest = spark.createDataFrame(rows, "name string, path string, replaces boolean")
+    manifest.coalesce(1).write.json(f"{folder}/manifests/version={version}")
+    return version
+
+
+def _manifests(spark: SparkSession, folder: str) -> list[tuple[int, str]]:
+    """(version, path) of committed manifests, in order."""
+    hadoop, conf = spark._jvm.org.apache.hadoop.fs, spark._jsparkSession.sessionState().newHadoopConf()
+    top = hadoop.Path(f"{folder}/manifests")
+    files = top.getFileSystem(conf)
+    if not files.exists(top):
+        return []
+    found = [s.getPath() for s in files.listStatus(top)]
+    done = [p for p in found if files.exists(hadoop.Path(p, "_SUCCESS"))]
+    return sorted((int(p.getName()[len("version="):]), p.toString()) for p in done)
+
+
+def read_export(spark: SparkSession, folder: str, name: str, version: int | None = None, partition_key: str = "route") -> DataFrame:
+    """A table of the last committed version, or of an earlier one: its last whole run with the entities replaced since."""
+    runs = []
+    for v, path in _manifests(spark, folder):
+        if version is None or v <= version:
+            rows = spark.read.schema("name string, path string, replaces boolean").json(path).filter(F.col("name") == name)
+            runs += [(r["path"], r["replaces"]) for r in rows.collect()]
+    whole = [i for i, (_, replaces) in enumerate(runs) if not replaces]
+    if not whole:
+        raise FileNotFoundError(f"no committed run of {name} in {folder}")
+    out = spark.read.parquet(runs[whole[-1]][0])
+    for path, _ in runs[whole[-1] + 1:]:
+        keys = spark.read.parquet(f"{path}_keys").select(F.col(partition_key).alias("replaced_"))
+        out = out.join(keys, out[partition_key].eqNullSafe(F.col("replaced_")), "left_anti").unionByName(spark.read.parquet(path))
+    return out
+
+
 def shared_folder(spark: SparkSession, work_dir: str | None = None) -> str:
     """A fresh folder under work_dir, else under spark.checkpoint.dir, else under the warehouse: all of them shared by the
     executors, under any master."""
