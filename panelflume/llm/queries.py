@@ -22,7 +22,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def op1_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return pii.replace_entities(docs).select("doc_id", "text", "n_entities")
+    return pii.replace_entities(docs, "key of the registered query").select("doc_id", "text", "n_entities")
 
 
 def op2_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -6,6 +6,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from panelflume.llm import chat, embedding_dedup, exact_dedup, langid, licenses, mixing, packing, pii, quality
 from tests.llm.helpers import docs_frame, odd_docs, prose
@@ -377,7 +378,7 @@ def test_entities_are_replaced_and_the_rest_kept(spark):
         "Mr. John Smith met Mrs. Smith and Frau Müller.", 'token = "0123456789abcdef0123"', "nothing here", "", None,
         "Herr Иван wrote to иван", "4003036626649763"]
     rows = [(i, t, None, None, None) for i, t in enumerate(texts)] + [(0, texts[0], None, None, None)]
-    out = pii.replace_entities(docs_frame(spark, rows)).collect()
+    out = pii.replace_entities(docs_frame(spark, rows), "k").collect()
     assert len(out) == len(rows)
     new = {r.doc_id: r.text for r in out}
     n = {r.doc_id: r.n_entities for r in out}
@@ -401,6 +402,76 @@ def test_collisions_are_drawn_again(spark):
     ips = [(100 + i, f"{a}.{b}.1.1") for i, (a, b) in enumerate((a, b) for a in range(1, 10) for b in range(1, 10))]
     mails = [(500 + i, f"{c}@{d}.io") for i, (c, d) in enumerate((c, d) for c in "aeiou" for d in "bcd")]
     rows = [(i, t, None, None, None) for i, t in ips + mails]
-    out = {r.doc_id: r.text for r in pii.replace_entities(docs_frame(spark, rows)).collect()}
+    out = {r.doc_id: r.text for r in pii.replace_entities(docs_frame(spark, rows), "k").collect()}
     assert len(set(out.values())) == len(rows)
     assert not set(out.values()) & {t for _, t in ips + mails}
+
+
+def replaced(spark, texts, key="k"):
+    rows = pii.replace_entities(docs_frame(spark, [(i, t, None, None, None) for i, t in enumerate(texts)]), key).collect()
+    return {r.doc_id: r.text for r in rows}, {r.doc_id: r.n_entities for r in rows}
+
+
+def test_no_script_passes_through(spark):
+    names = ["Արամ Խաչատրյան", "王 伟明", "محمد علي", "דוד כהן", "राम कुमार", "ᏣᎳᎩ ᎠᏂᏴᏫ", "გიორგი ბერიძე", "김 민준"]
+    new, n = replaced(spark, [f"Mr. {x} came, {x.split()[1]} said." for x in names])
+    for i, x in enumerate(names):
+        assert n[i] == 2 and not any(part in new[i] for part in x.split()), (x, new[i])
+        name = re.fullmatch(r"Mr\. (\S+) (\S+) came, (\S+) said\.", new[i])
+        assert name[2] == name[3]
+
+
+def test_short_forms_follow_the_full_name(spark):
+    texts = ["Mr. John Smith met Dr. Jane Roe. Mr. Smith left. Roe stayed, SMITH too; Smith's and Mrs. Roe. Smithson.", "Mr. Smith and Smith.",
+             "Mrs. Ann Lee and Mr. Bob Lee: Mr. Lee, Mrs. Lee."]
+    new, n = replaced(spark, texts)
+    m = re.fullmatch(r"Mr\. (\w+) (\w+) met Dr\. (\w+) (\w+)\. Mr\. (\w+) left\. (\w+) stayed, SMITH too; (\w+)'s and Mrs\. (\w+)\. Smithson\.", new[0])
+    assert m and m[1] in pii.MALE_NAMES and m[2] == m[5] and m[4] == m[6] == m[8] and "Roe" not in new[0]
+    assert n[0] == 5 + (m[7] != "Smith") and m[7] == "Smith"    # an apostrophe makes it another word
+    m = re.fullmatch(r"Mr\. (\w+) and (\w+)\.", new[1])
+    assert m[1] == m[2] != "Smith" and n[1] == 2
+    m = re.fullmatch(r"Mrs\. (\w+) (\w+) and Mr\. (\w+) (\w+): Mr\. (\w+), Mrs\. (\w+)\.", new[2])
+    assert m[1] in pii.FEMALE_NAMES and m[3] in pii.MALE_NAMES and m[4] == m[5] and m[2] == m[6]
+
+
+def iban_ok(v):
+    v = v.replace(" ", "")
+    return int("".join(str(int(c, 36)) for c in v[4:] + v[:4])) % 97 == 1
+
+
+def test_wider_patterns(spark):
+    texts = ["Call +49 30 1234567 or +49 (30) 123-4567, +33 1 23 45 67 89.", "Card 378282246310005, 3782 822463 10005 and 30569309025904; id 123456789012345.",
+             "Pay DE89 3704 0044 0532 0130 00 or GB82WEST12345698765432.", "At 2001:db8:85a3::8a2e:370:7334 and FE80::1, not 10:30:45 or std::a."]
+    new, n = replaced(spark, texts)
+    m = re.fullmatch(r"Call \+49 (\d\d) (\d{7}) or \+49 \((\d\d)\) (\d{3})-(\d{4}), \+33 (\d) (\d\d) (\d\d) (\d\d) (\d\d)\.", new[0])
+    assert m[1] + m[2] == m[3] + m[4] + m[5] != "301234567" and n[0] == 3
+    m = re.fullmatch(r"Card (3\d{14}), (3\d{3}) (\d{6}) (\d{5}) and (3\d{13}); id 123456789012345\.", new[1])
+    assert m[1] == m[2] + m[3] + m[4] != "378282246310005" and luhn(m[1]) and luhn(m[5]) and n[1] == 3
+    m = re.fullmatch(r"Pay (DE\d\d(?: \d{4}){4} \d\d) or (GB\d\d[A-Z]{4}\d{14})\.", new[2])
+    assert iban_ok(m[1]) and iban_ok(m[2]) and "3704" not in m[1] and n[2] == 2
+    assert re.fullmatch(r"At [0-9]{4}:[a-f0-9]{3}:[a-f0-9]{4}::[a-f0-9]{4}:\d{3}:\d{4} and [A-F]{2}\d\d::\d, not 10:30:45 or std::a\.", new[3]) and n[3] == 2
+    assert not any(x in new[3] for x in ("85a3", "FE80::1"))
+
+
+def test_the_key_decides(spark):
+    import hashlib
+    import hmac
+    texts = ["Mail jane@site.org, card 4111111111111111."]
+    one, two = (replaced(spark, texts, k)[0][0] for k in ("a", "b" * 300))
+    assert one != two and one == replaced(spark, texts, "a")[0][0]
+    for key in ("a", "b" * 300):
+        got = spark.range(1).select(pii.keyed_digest(key, F.lit("email"), F.lit("é@x.y")).alias("d")).first()["d"]
+        assert got == hmac.new(key.encode(), "email|é@x.y".encode(), hashlib.sha512).hexdigest()
+
+
+def test_corpus_wide_distinctness_and_coreference(spark):
+    rng = random.Random(9)
+    people = [f"{t} {g} {f}" for t in ("Mr.", "Mrs.", "Dr.") for g in ("Al", "Bo", "Cy") for f in ("Orr", "Ash", "Ely")]
+    texts = [" ".join(rng.choice(people) + "," for _ in range(4)) for _ in range(60)]
+    new, _ = replaced(spark, texts)
+    seen = {}
+    for i, t in enumerate(texts):
+        for a, b in zip(t.split(","), new[i].split(",")):
+            if a.strip():
+                assert seen.setdefault(a.strip(), b.strip()) == b.strip() != a.strip()
+    assert len(set(seen.values())) == len(seen)
