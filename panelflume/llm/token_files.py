@@ -19,11 +19,11 @@ TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 END = 0
 SHARD_IDS = 1 << 20
 MIN_COUNT = 6
-ROUND_RULES = 4096
+ROUND_RULES = 8192
 ROUND_SHARE = 1024
-CACHE_WORDS = 1 << 19
+CACHE_WORDS = 3 << 18
 ROW_PIECES = 64
-SLICE_BYTES = 1 << 22
+SLICE_BYTES = 1 << 23
 
 COLUMNS = ("part_ int, shard long, start long, n_ids long, doc_id array<long>, number array<long>, piece array<int>, more array<boolean>, "
            "payload binary")
@@ -100,17 +100,17 @@ class WordEncoder:
 
     def _forget(self) -> None:
         """Drops the pieces met in one slice only, or all if too few are dropped."""
-        index = np.fromiter(self.tails.values(), dtype=np.int64, count=len(self.tails))
-        kept = [(p, i) for (p, i), n in zip(self.tails.items(), self.met[index]) if n > 1]
-        if len(kept) > CACHE_WORDS // 2:
-            kept = []
-        index = np.array([i for _, i in kept], dtype=np.int64)
+        again = self.met > 1
+        if again.sum() > CACHE_WORDS // 2:
+            again[:] = False
+        kept = [p for p, i in self.tails.items() if again[i]] if again.any() else []
+        index = np.fromiter(map(self.tails.__getitem__, kept), dtype=np.int64, count=len(kept))
         flat, starts = self.flat, self.starts
         self._clear()
-        lengths = (starts[1:] - starts[:-1])[index]
+        lengths = np.diff(starts)[index]
         ends = np.cumsum(lengths)
         at = np.arange(int(lengths.sum())) + np.repeat(starts[index] - (ends - lengths), lengths)
-        self._learn(self.tails, [p for p, _ in kept], flat[at], lengths)
+        self._learn(self.tails, kept, flat[at], lengths)
 
     def _of_pieces(self, pieces: pa.ListArray) -> list[np.ndarray]:
         words, firsts = pieces.flatten(), pieces.offsets.to_numpy()[:-1] - pieces.offsets[0].as_py()
