@@ -5,8 +5,10 @@ Spark ML over all rows, so an entity of any size spreads, and the number of enti
 """
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from panelflume import fixed_values as fv
@@ -98,10 +100,13 @@ def cross_validate(frame: DataFrame, folds: int = fv.CV_FOLDS, fold_rows: int =
             refitted = again if refitted is None else refitted.unionByName(again)
         marked = refitted
     rows = cut_lineage(marked.select("route", "fold", "role", "date", "x", "residual", "actual", "hw_fc"))
-    parts = []
-    for fold in range(1, folds + 1):
+
+    def scored_fold(fold: int) -> DataFrame:
         one = rows.filter(F.col("fold") == fold)
-        parts.append(residual_model.predict(fit_residuals(one.filter(F.col("role") == "train"), trees), one))
+        return residual_model.predict(fit_residuals(one.filter(F.col("role") == "train"), trees), one)
+
+    with ThreadPoolExecutor(folds) as pool:  # folds are fitted side by side, as their jobs are short
+        parts = list(pool.map(inheritable_thread_target(rows.sparkSession)(scored_fold), range(1, folds + 1)))
     scored = combined(reduce(DataFrame.unionByName, parts))
     val = F.col("role") == "val"
     y, f = F.when(val, F.col("actual")), F.when(val, F.col("hybrid_fc"))
