@@ -166,7 +166,7 @@ def _chosen(codes: np.ndarray, counts: np.ndarray, wide: int, room: int) -> list
     overlap, but in runs of one symbol."""
     floor = max(MIN_COUNT, int(counts.max(initial=0)) // ROUND_SHARE)
     keep = np.flatnonzero(counts >= floor)
-    keep = keep[np.lexsort((codes[keep], -counts[keep]))][:4 * ROUND_RULES]
+    keep = keep[np.lexsort((codes[keep], -counts[keep]))][:2 * ROUND_RULES]
     lefts: set[int] = set()
     rights: set[int] = set()
     twins: set[int] = set()
@@ -418,8 +418,8 @@ def read_back(shards: DataFrame) -> DataFrame:
                 part, start, doc_id, number, piece, more, payload = (c[row].as_py() for c in batch.columns)
                 shard = Shard(payload)
                 sizes = shard.sizes.astype(np.int64)
-                crcs = [zlib.crc32(shard.read(d).astype("<u4").tobytes()) for d in range(len(sizes))] if len(sizes) == 1 else [
-                    zlib.crc32(ids.astype("<u4").tobytes()) for ids in np.split(shard.expand(shard.symbols), np.cumsum(sizes)[:-1])]
+                whole, ends = memoryview(shard.expand(shard.symbols).astype("<u4").tobytes()), (4 * np.cumsum(sizes)).tolist()
+                crcs = [zlib.crc32(whole[a:b]) for a, b in zip([0, *ends], ends)]
                 yield pa.RecordBatch.from_arrays([
                     pa.array([part] * len(sizes), pa.int32()), pa.array(number, pa.int64()), pa.array(piece, pa.int32()), pa.array(more, pa.bool_()),
                     pa.array(doc_id, pa.int64()), pa.array(start + np.cumsum(sizes) - sizes), pa.array(sizes), pa.array(crcs, pa.int64())], schema=schema)
