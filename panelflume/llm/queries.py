@@ -45,7 +45,7 @@ def op5_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     held_out = F.crc32(F.col("doc_id").cast("string")) % 3 == 1
-    samples = langid.sample_texts(docs.where(~F.coalesce(held_out, F.lit(False))).select("doc_id", "text", "lang"))
+    samples = langid.sample_texts(docs.where(~F.coalesce(held_out, F.lit(False))).select("text", "lang"))
     return langid.predict_language(docs.select("doc_id", "text"), samples).select(
         "doc_id", F.coalesce(held_out, F.lit(False)).alias("held_out"), "lang_pred", "score")
 

@@ -14,7 +14,7 @@ LABELS = "doc_id long, quality int, toxic int"
 ON_DOCS = {
     "pii": lambda d: pii.replace_entities(d, "k"), "near": near_dedup.link_documents, "exact": exact_dedup.mark_copies,
     "quality": lambda d: quality.classify(d, d.sparkSession.createDataFrame([(4, 1, 0), (6, 0, 0), (6, 1, 0), (None, 1, 1), (5, None, 0)], LABELS)),
-    "langid": lambda d: langid.predict_language(d, langid.sample_texts(d.select("doc_id", "text", "lang"))),
+    "langid": lambda d: langid.predict_language(d, langid.sample_texts(d.select("text", "lang"))),
     "licenses": licenses.scan_licenses, "mixing": mixing.mix, "packing": packing.pack,
 }
 

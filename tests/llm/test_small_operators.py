@@ -153,26 +153,80 @@ def plain_phrases(codes, sample):
     return n
 
 
-def test_phrases_against_plain_search():
+def test_phrases_against_plain_search(monkeypatch):
+    """Blocks of 7 and 64 letters: phrases run on across them, also in periodic texts, where parses never fall into step."""
     rng = random.Random(7)
-    samples = {"x": langid.normalise(prose(rng, 150)), "y": langid.normalise(prose(rng, 100).replace("a", "z")), "z": "q"}
+    samples = {"x": langid.normalise(prose(rng, 150)), "y": langid.normalise(prose(rng, 100).replace("a", "z")), "z": "q",
+               "p": "aaa b", "han": "".join(chr(0x4e00 + rng.randint(0, 400)) for _ in range(600))}
     model = langid.train(samples)
     table = langid.code_table(model)
-    texts = [langid.normalise(prose(rng, n)) for n in (1, 5, 40, 200)] + ["ß x", "abq", samples["x"]]
-    blocks = [langid.encode(t, model, table) for t in texts]
-    counts = langid.phrase_counts(blocks, model)
-    for t, b, row in zip(texts, blocks, counts):
-        for lang, c in zip(model.langs, row):
-            assert c == plain_phrases(list(b), [langid.letter_class(ch, model.alphabet) for ch in samples[lang]])
-    assert counts[-1][0] == 1
+    texts = [langid.normalise(prose(rng, n)) for n in (1, 5, 40, 200)] + ["ß x", "abq", "a" * 300, samples["x"], samples["han"][50:220]]
+    coded = [langid.encode(t, table) for t in texts]
+    for block in (7, 64, langid.BLOCK):
+        monkeypatch.setattr(langid, "BLOCK", block)
+        for t, b, row in zip(texts, coded, langid.phrase_counts(coded, model)):
+            for lang, c in zip(model.langs, row):
+                assert c == plain_phrases(list(b), [langid.letter_code(ch, model.alphabet) for ch in samples[lang]])
+            if t in samples.values():
+                assert min(row) == 1
+
+
+def test_slots_hold_every_transition():
+    rng = random.Random(9)
+    samples = {lang: "".join(chr(0x3041 + rng.randint(0, span)) for _ in range(1500)) for lang, span in (("a", 5), ("b", 80), ("c", 1200))}
+    model = langid.train(samples)
+    for lang, start in zip(model.langs, model.starts):
+        rows = langid.suffix_automaton([langid.letter_code(c, model.alphabet) for c in samples[lang]])
+        for s, row in enumerate(rows):
+            for c in range(len(model.alphabet) + 2) if s and s % 50 == 0 else row:
+                entry = int(model.slots[model.base[start + s] + c])
+                assert not s or (entry >> 32 == start + s) == (c in row) and (c not in row or entry & 0xFFFFFFFF == start + row[c])
+    assert len(model.slots) < 3 * 3 * sum(map(len, samples.values())) + 3 * len(model.alphabet)
 
 
-def test_encode_is_normalise():
+def test_encode_is_normalise(monkeypatch):
     model = langid.train({"x": "abc def é"})
     table = langid.code_table(model)
-    for t in ("Abc, DEF!!  é", "", "  ", "1 2", "a\U00010400b", "İx", "ab퟿c"):
-        want = [langid.letter_class(c, model.alphabet) for c in langid.normalise(t)]
-        assert list(langid.encode(t, model, table)) == want
+    for piece in (1, 3, langid.PIECE):
+        monkeypatch.setattr(langid, "PIECE", piece)
+        for t in ("Abc, DEF!!  é", "", "  ", "1 2", "a\U00010400b", "İx", "ab\ud7ffc", " a  b ", "ΟΔΟΣ", "क्या"):
+            want = [langid.letter_code(c, model.alphabet) for c in langid.normalise(t)]
+            assert list(langid.encode(t, table)) == want
+
+
+def script(rng: random.Random, first: int, span: int, words: int):
+    """A vocabulary drawn from a script, and texts of it."""
+    vocabulary = ["".join(chr(first + rng.randint(0, span - 1)) for _ in range(rng.randint(1, 3))) for _ in range(words)]
+    return lambda n: " ".join(rng.choice(vocabulary) for _ in range(n))
+
+
+def test_scripts_rare_and_repeated_languages(spark):
+    """Han twice (only the words differ), kana, Hangul; a language of one short text; languages in which one text is most of the rows."""
+    rng = random.Random(12)
+    say = {"zh": script(rng, 0x4e00, 900, 150), "yue": script(rng, 0x4e00, 900, 150), "ja": script(rng, 0x3041, 80, 150),
+           "ko": script(rng, 0xac00, 2000, 150), "de": script(rng, 0x61, 20, 150), "fr": script(rng, 0x61, 20, 150), "rare": script(rng, 0x61, 20, 30)}
+    rows = [(say[lang](60), lang) for lang in ("zh", "yue", "ja", "ko", "fr") for _ in range(120)]
+    rows += [(say["rare"](60), "rare")] + [(say["de"](600), "de")] * 3000 + [(say["fr"](80), "fr")] * 3000
+    docs = spark.createDataFrame(rows, "text string, lang string").repartition(8)
+    samples = langid.sample_texts(docs)
+    assert set(samples) == set(say) and all(len(s) <= langid.SAMPLE_LETTERS for s in samples.values())
+    whole = {lang: sum(len(langid.normalise(t)) for t in {t for t, l in rows if l == lang}) for lang in say}
+    assert all(len(samples[lang]) >= 0.98 * min(whole[lang], langid.SAMPLE_LETTERS) for lang in say)
+    asked = [(i, say[lang](25), lang) for i, lang in enumerate(list(say) * 20)]
+    out = langid.predict_language(spark.createDataFrame(asked, "doc_id long, text string, truth string"), samples).collect()
+    right = {lang: np.mean([r.lang_pred == lang for r in out if r.truth == lang]) for lang in say}
+    assert min(right.values()) >= 0.9, right
+
+
+def test_sample_is_full_and_ignores_copies(spark):
+    rng = random.Random(13)
+    few = [(prose(rng, 40), "few") for _ in range(4)]
+    many = [(prose(rng, 40), "many") for _ in range(900)]
+    docs = spark.createDataFrame(few * 500 + many, "text string, lang string")
+    got = langid.sample_texts(docs, letters=20_000)
+    assert len(got["many"]) == 20_000
+    assert sorted(got["few"].split()) == sorted(w for t, _ in few for w in t.split())  # each text is one slice
+    assert got == langid.sample_texts(docs.repartition(5), letters=20_000)
 
 
 def test_language_held_out_accuracy(spark):
