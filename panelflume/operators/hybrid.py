@@ -18,13 +18,14 @@ from panelflume.sources.files import cut_lineage
 LEVEL = "entity_level"
 
 
-def smoothed_frame(feat: DataFrame, test_rows: int = fv.TEST_WEEKS, season: int = fv.SEASON_WEEKS) -> DataFrame:
+def smoothed_frame(feat: DataFrame, test_rows: int = fv.TEST_WEEKS, season: int = fv.SEASON_WEEKS,
+                   names: list[str] | None = None) -> DataFrame:
     """One row per (route, date): features as array x, period, step, hw_fc, residual, components and parameters.
 
     Smoothing is fitted on all but the last test_rows of a series; those get forecasts, floored at zero. Series with
-    no training rows are left out. x holds the features that exist, then the mean training level.
+    no training rows are left out. x holds the features in `names` (all known ones) that exist, then the mean training level.
     """
-    names = filters.present(feat, fv.FEATURE_COLS)
+    names = filters.present(feat, fv.FEATURE_COLS if names is None else names)
     x = F.array(*[F.col(c).cast("double") for c in names]).alias("x")
     packed = smoothing.series(feat.select("route", "date", "pax", x), "pax", carry=["x"])
     cut = (packed.filter(F.size("y") > test_rows)
@@ -64,17 +65,18 @@ def left_out(feat: DataFrame, test_rows: int = fv.TEST_WEEKS) -> DataFrame:
     return counts.withColumn("reason", F.lit(f"no training rows: at most {test_rows} rows"))
 
 
-def fit_residuals(train: DataFrame, trees: int, keys: tuple[str, ...] = ("route", "date")) -> residual_model.Boosted:
-    p = fv.BOOST_PARAMS
-    return residual_model.fit(train, trees, p["depth"], p["subsample"], p["min_leaf"], p["seed"], keys)
+def fit_residuals(train: DataFrame, trees: int, keys: tuple[str, ...] = ("route", "date"), params: dict | None = None) -> residual_model.Boosted:
+    """params replaces any of depth, subsample, min_leaf, seed and stage_trees."""
+    p = {**fv.BOOST_PARAMS, "stage_trees": residual_model.STAGE_TREES, **(params or {})}
+    return residual_model.fit(train, trees, p["depth"], p["subsample"], p["min_leaf"], p["seed"], keys, p["stage_trees"])
 
 
-def boost(frame: DataFrame, trees: int = fv.BOOST_PARAMS["trees"]) -> DataFrame:
+def boost(frame: DataFrame, trees: int = fv.BOOST_PARAMS["trees"], params: dict | None = None) -> DataFrame:
     """Add boost, the modelled residual, and hybrid_fc, the smoothed value plus the correction, floored at zero.
 
     The model is fitted on the rows of period 'train' of all entities.
     """
-    model = fit_residuals(frame.filter(F.col("period") == "train"), trees)
+    model = fit_residuals(frame.filter(F.col("period") == "train"), trees, params=params)
     return combined(residual_model.predict(model, frame))
 
 
@@ -83,7 +85,7 @@ def combined(scored: DataFrame) -> DataFrame:
 
 
 def cross_validate(frame: DataFrame, folds: int = fv.CV_FOLDS, fold_rows: int = fv.CV_FOLD_WEEKS,
-                   trees: int = fv.CV_TREES, feat: DataFrame | None = None) -> DataFrame:
+                   trees: int = fv.CV_TREES, feat: DataFrame | None = None, params: dict | None = None) -> DataFrame:
     """Walk-forward folds over the training rows: (route, fold, mape, rmse, n_train, n_val).
 
     The smoothing of the whole training part is reused in every fold. Given the feature frame `feat`, smoothing is
@@ -103,7 +105,7 @@ def cross_validate(frame: DataFrame, folds: int = fv.CV_FOLDS, fold_rows: int =
 
     def scored_fold(fold: int) -> DataFrame:
         one = rows.filter(F.col("fold") == fold)
-        return residual_model.predict(fit_residuals(one.filter(F.col("role") == "train"), trees), one)
+        return residual_model.predict(fit_residuals(one.filter(F.col("role") == "train"), trees, params=params), one)
 
     with ThreadPoolExecutor(folds) as pool:  # folds are fitted side by side, as their jobs are short
         parts = list(pool.map(inheritable_thread_target(rows.sparkSession)(scored_fold), range(1, folds + 1)))
@@ -181,14 +183,14 @@ def permuted(train: DataFrame, names: list[str], repeats: int, spread: int = 6,
 
 
 def importance(frame: DataFrame, names: list[str], trees: int = fv.BOOST_PARAMS["trees"],
-               repeats: int = fv.IMPORTANCE_REPEATS) -> DataFrame:
+               repeats: int = fv.IMPORTANCE_REPEATS, params: dict | None = None) -> DataFrame:
     """Rise of a route's squared training error when a feature is shuffled within it: mean and population deviation over repeats, ranked.
 
     Shuffles are rows, scored by the model like any others. A feature that no tree splits on has importance zero, exactly, and is not
     tried; so has one that is constant in a route, as rises are taken row by row.
     """
     train = cut_lineage(frame.filter(F.col("period") == "train").select("route", "date", "x", "residual"))
-    model = fit_residuals(train, trees)
+    model = fit_residuals(train, trees, params=params)
     used = {i for i in model.used() if i < len(names)}
     gap = F.col("residual") - F.col("boost")
     plain = residual_model.predict(model, train).select("route", "date", (gap * gap).alias("base"))

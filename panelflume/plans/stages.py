@@ -13,15 +13,15 @@ from panelflume.sources.lookups import lookup, values_table
 
 def forecast(panel: DataFrame, trees: int = fv.BOOST_PARAMS["trees"], cv_trees: int = fv.CV_TREES,
              draws: int = fv.BOOTSTRAP_DRAWS, repeats: int = fv.IMPORTANCE_REPEATS, leak_free: bool = False,
-             base_year: int = fv.BASE_YEAR) -> dict[str, DataFrame]:
+             base_year: int = fv.BASE_YEAR, names: list[str] | None = None, params: dict | None = None) -> dict[str, DataFrame]:
     """model_metrics, forecasts, feature_importance, cv_results and decompositions of an enriched panel. hybrid.left_out() lists the routes
-    that are too short for them."""
+    that are too short for them. names: the features of the residual model (all); params: see hybrid.fit_residuals."""
     panel = cut_lineage(panel)
     feat = features.add_features(panel, leak_free=leak_free, base_year=base_year)
-    names = filters.present(feat, fv.FEATURE_COLS)
-    frame = cut_lineage(hybrid.smoothed_frame(feat))
-    cv = cut_lineage(hybrid.cross_validate(frame, trees=cv_trees))
-    scored = cut_lineage(hybrid.boost(frame, trees))
+    names = filters.present(feat, fv.FEATURE_COLS if names is None else names)
+    frame = cut_lineage(hybrid.smoothed_frame(feat, names=names))
+    cv = cut_lineage(hybrid.cross_validate(frame, trees=cv_trees, params=params))
+    scored = cut_lineage(hybrid.boost(frame, trees, params))
 
     residuals = scored.filter(F.col("period") == "train").select(
         "route", "date", (F.col("actual") - F.col("hybrid_fc")).alias("residual"))
@@ -37,7 +37,7 @@ def forecast(panel: DataFrame, trees: int = fv.BOOST_PARAMS["trees"], cv_trees:
     return {
         "model_metrics": metrics.round_metrics(table),
         "forecasts": forecasts,
-        "feature_importance": hybrid.importance(frame, names, trees, repeats),
+        "feature_importance": hybrid.importance(frame, names, trees, repeats, params),
         "cv_results": cv,
         "decompositions": smoothing.decomposition(components),
     }

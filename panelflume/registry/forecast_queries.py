@@ -369,25 +369,34 @@ STUMP_FEATURES = ["school_holiday", "public_holiday", "year_idx", "is_summer", "
 STUMPS = 3
 
 
-def _stumps_sql() -> str:
+def stumps_sql(rows: str, stages: int = STUMPS) -> str:
+    """CTEs d0 to d<stages>: `rows` (fold, route, date, the features, lvl, residual, any others) with fc, the sum of the stumps so
+    far. A fold's stumps are grown on its rows with a residual."""
     names = [*STUMP_FEATURES, "lvl"]
     grain = residual_model.GRAIN
-    ctes = [f"""d0 AS (SELECT *, round(residual / lvl * {grain}) / {grain} AS target, 0.0::DOUBLE AS fc FROM (
-      SELECT route, date, {', '.join(f'CAST({c} AS DOUBLE) AS {c}' for c in STUMP_FEATURES)}, CAST(pax - pax_lag52 AS DOUBLE) AS residual,
-      avg(CAST(pax AS DOUBLE)) OVER (PARTITION BY route) AS lvl FROM feat WHERE pax_lag52 IS NOT NULL))"""]
-    for k in range(STUMPS):
+    ctes = [f"d0 AS MATERIALIZED (SELECT *, round(residual / lvl * {grain}) / {grain} AS target, 0.0::DOUBLE AS fc FROM ({rows}))"]
+    for k in range(stages):
         left = f"round((target - {residual_model.RATE} * fc) * {grain}) / {grain}"
-        values = " UNION ALL ".join(f"SELECT {i} AS f, {c} AS v, left_ FROM l{k}" for i, c in enumerate(names))
-        side = " ".join(f"WHEN {i} THEN {c}" for i, c in enumerate(names))
-        ctes += [f"l{k} AS (SELECT *, {left} AS left_ FROM d{k})",
-                 f"v{k} AS (SELECT f, v, count(*) AS n, sum(left_) AS s FROM ({values}) GROUP BY f, v)",
-                 f"""c{k} AS (SELECT f, (v + lead(v) OVER w) / 2 AS threshold, sum(n) OVER w AS nl, sum(s) OVER w AS sl,
-                 sum(n) OVER (PARTITION BY f) AS nn, sum(s) OVER (PARTITION BY f) AS ss FROM v{k} WINDOW w AS (PARTITION BY f ORDER BY v))""",
-                 f"""b{k} AS (SELECT * FROM c{k} WHERE threshold IS NOT NULL AND nl >= {fv.BOOST_PARAMS['min_leaf']} AND nn - nl >= {fv.BOOST_PARAMS['min_leaf']}
-                 ORDER BY sl * sl / nl + (ss - sl) * (ss - sl) / (nn - nl) DESC, f, threshold LIMIT 1)""",
-                 f"""d{k + 1} AS (SELECT d.* EXCLUDE (fc), fc + CASE WHEN CASE f {side} END <= threshold THEN sl / nl ELSE (ss - sl) / (nn - nl) END AS fc
-                 FROM d{k} d, b{k})"""]
-    return f"""WITH {FEATURES}, {', '.join(ctes)}
+        values = " UNION ALL ".join(f"SELECT fold, {i} AS f, {c} AS v, left_ FROM l{k}" for i, c in enumerate(names))
+        side = " ".join(f"WHEN {i} THEN d.{c}" for i, c in enumerate(names))
+        ctes += [f"l{k} AS (SELECT *, {left} AS left_ FROM d{k} WHERE target IS NOT NULL)",
+                 f"v{k} AS (SELECT fold, f, v, count(*) AS n, sum(left_) AS s FROM ({values}) GROUP BY fold, f, v)",
+                 f"""c{k} AS (SELECT fold, f, (v + lead(v) OVER w) / 2 AS threshold, sum(n) OVER w AS nl, sum(s) OVER w AS sl,
+                 sum(n) OVER (PARTITION BY fold, f) AS nn, sum(s) OVER (PARTITION BY fold, f) AS ss FROM v{k} WINDOW w AS (PARTITION BY fold, f ORDER BY v))""",
+                 f"""b{k} AS MATERIALIZED (SELECT * FROM c{k} WHERE threshold IS NOT NULL AND nl >= {fv.BOOST_PARAMS['min_leaf']} AND nn - nl >= {fv.BOOST_PARAMS['min_leaf']}
+                 QUALIFY row_number() OVER (PARTITION BY fold ORDER BY sl * sl / nl + (ss - sl) * (ss - sl) / (nn - nl) DESC, f, threshold) = 1)""",
+                 f"""d{k + 1} AS MATERIALIZED (SELECT d.* EXCLUDE (fc), d.fc + CASE WHEN CASE b.f {side} END <= threshold THEN sl / nl ELSE (ss - sl) / (nn - nl) END AS fc
+                 FROM d{k} d JOIN b{k} b ON b.fold = d.fold)"""]
+    return ", ".join(ctes)
+
+
+AS_NUMBERS = ", ".join(f"CAST({c} AS DOUBLE) AS {c}" for c in STUMP_FEATURES)
+
+
+def _stumps_sql() -> str:
+    rows = f"""SELECT 0 AS fold, route, date, {AS_NUMBERS}, CAST(pax - pax_lag52 AS DOUBLE) AS residual,
+      avg(CAST(pax AS DOUBLE)) OVER (PARTITION BY route) AS lvl FROM feat WHERE pax_lag52 IS NOT NULL"""
+    return f"""WITH {FEATURES}, {stumps_sql(rows)}
     SELECT route, {DAY}, round(lvl * {residual_model.RATE} * fc, 4) AS boost FROM d{STUMPS}"""
 
 
