@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from panelflume import fixed_values as fv
 from panelflume.functions.columns import unit_root_p
 from panelflume.functions.tails import chi2_1_p, student_t_p
-from panelflume.operators import did, elasticity, filters, hybrid, metrics, regression, unitroot
+from panelflume.operators import did, did_rolling, elasticity, filters, hybrid, metrics, regression, unitroot
 from panelflume.plans import stages
 from panelflume.registry.base import (ENRICHED, EXPERIMENTS, PANEL, chi2_tail_sql, did_fit_sql, did_rows_sql, enriched,
                                       panel, panel_sql, query, rounded, sweep, t_tail_sql, BASE_YEAR)
@@ -151,6 +151,38 @@ def _stateful(spark, sf):
     return _order_out(panel_state.estimates(spark, folder, _specs(spark)))
 
 
+# The first experiment's arms, with every fourth Monday as the date of the event.
+ROLL_WEEKS, ROLL_PRE, ROLL_POST = 4, 52, 26
+_ARMS = [f"[{', '.join(repr(r) for r in routes)}]" for routes in E1[0][2:4]]
+_ROLLING_ROWS = did_rows_sql(E1)
+ROLLING = f"""WITH {ORDER_ROWS}, span AS (SELECT min(date) + {7 * ROLL_PRE} AS low, max(date) - {7 * ROLL_POST} AS high FROM panel
+      WHERE list_contains({_ARMS[0]}, route) OR list_contains({_ARMS[1]}, route)),
+    specs AS (SELECT strftime(d, '%Y-%m-%d') AS experiment, CAST(d AS DATE) AS treatment_date, {_ARMS[0]} AS treatment_routes,
+      {_ARMS[1]} AS control_routes, {ROLL_PRE} AS pre_weeks, {ROLL_POST} AS post_weeks
+      FROM span, generate_series(TIMESTAMP '1970-01-05', TIMESTAMP '2100-01-01', INTERVAL {7 * ROLL_WEEKS} DAY) g(d) WHERE d BETWEEN low AND high),
+    {_ROLLING_ROWS[_ROLLING_ROWS.index("d0 AS"):]}, {did_fit_sql('d', 'po', 'f')}, r AS (SELECT * FROM f WHERE outcome = 'yield_aud')"""
+
+
+def _rolled(spark, sf):
+    folder = shared_folder(spark)
+    arriving = spark.readStream.schema(TABLE_SCHEMAS["orders"]).parquet(f"{sf}/orders.parquet*")
+    panel_state.keep(_order_rows(spark, sf, arriving), ["yield_aud"], folder, "4000 days").awaitTermination()
+    return panel_state.rolling(spark, folder, _specs(spark), ROLL_PRE, ROLL_POST, ROLL_WEEKS)
+
+
+@query("m02_rolling_did", ROLLING + "SELECT experiment AS treatment_date, n_obs, round(att, 2) AS att, round(att_se, 2) AS att_se, round(att / att_se, 4) AS att_t FROM r")
+def _rolling(spark, sf):
+    out = _rolled(spark, sf).select("treatment_date", "n_obs", "att", "att_se", "att_t")
+    return rounded(out, {"att": 2, "att_se": 2, "att_t": 4})
+
+
+@query("m02_rolling_events", ROLLING + """, s AS (SELECT experiment, strptime(experiment, '%Y-%m-%d') AS day, abs(att / att_se) AS size FROM r)
+    SELECT experiment AS treatment_date, round(size, 4) AS size FROM s WHERE size >= 0.5 AND size >= (SELECT max(size) FROM s o WHERE o.day BETWEEN s.day - INTERVAL 182 DAY AND s.day + INTERVAL 182 DAY)""")
+def _events(spark, sf):
+    found = did_rolling.events(_rolled(spark, sf), 0.5, 26)
+    return rounded(found.select("treatment_date", F.abs("att_t").alias("size")), {"size": 4})
+
+
 # Regression --------------------------------------------------------------------------------------------------------
 
 LOGS = """logs AS (SELECT *, ln(pax) AS ln_pax, ln(yield_aud) AS ln_yield, ln(fuel_index) AS ln_fuel FROM {src} WHERE pax > 0)"""

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from panelflume.operators import did
+from panelflume.operators import did, did_rolling
 
 
 def keep(rows: DataFrame, outcomes: list[str], folder: str, lateness: str = "90 days", key: list[str] | None = None):
@@ -41,6 +41,11 @@ def estimates(spark: SparkSession, folder: str, specs: DataFrame) -> DataFrame:
     return did.fit_tests(did.meet(totals(spark, folder).drop("batch"), specs))
 
 
+def rolling(spark: SparkSession, folder: str, specs: DataFrame, pre_weeks: int, post_weeks: int, every: int = 1) -> DataFrame:
+    """Estimates for every date of a Monday grid whose window the days seen so far fill, see did_rolling.rolling()."""
+    return did_rolling.rolling(totals(spark, folder).drop("batch"), specs, pre_weeks, post_weeks, every)
+
+
 def compact(spark: SparkSession, folder: str) -> None:
     """Gathers the latest totals in the folder of the last batch and removes those of older ones. The stream goes on where it was:
     its progress is not touched, and later batches have larger numbers. No stream may run on `folder` meanwhile."""

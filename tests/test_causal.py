@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from panelflume import fixed_values as fv
 from panelflume.functions.tails import chi2_1_tail, t_tail
-from panelflume.operators import did, elasticity, regression, unitroot
+from panelflume.operators import did, did_rolling, elasticity, regression, unitroot
 from panelflume.plans import stages
 from panelflume.sources.lookups import values_table
 from panelflume.streaming import did_updates, panel_state
@@ -308,3 +308,32 @@ def test_many_routes_hold_all_dates(spark):
     from tests.oracle import compare, connect
     ok, note = compare(QUERIES["j14_elasticity_many_routes"].run(spark, "/root/testdata/sf0.01"), connect("/root/testdata/sf0.01"), QUERIES["j14_elasticity_many_routes"].sql)
     assert ok, note
+
+
+def test_rolling_dates_equal_single_experiments(spark):
+    """Also where a mean of a billion hides a deviation of eight, and with an arm that lacks days."""
+    pdf = did_panel(weeks=90).assign(yield_aud=lambda d: d.yield_aud + 1e9)
+    pdf = pdf[~((pdf.route == "C1") & (pdf.index % 7 == 3))]
+    pdf.loc[pdf.index % 11 == 0, "pax"] = None
+    rows = spark.createDataFrame(pdf.astype({"pax": "Int64"}).astype({"pax": "float64"}))
+    rows = rows.withColumn("pax", F.nanvl("pax", F.lit(None).cast("double")))
+    arms = spark.createDataFrame([("e", ["T1", "T2"], ["C1", "C2"]), ("none", ["X"], ["Y"])], "experiment string, treatment_routes array<string>, control_routes array<string>")
+    days = rows.groupBy("route", "date").agg(did.day_moments(["yield_aud", "pax"]))
+    out = {(r["outcome"], str(r["treatment_date"])): r for r in did_rolling.rolling(days, arms, 20, 10, 5).collect()}
+    dates = sorted({d for _, d in out})
+    assert len(dates) >= 10 and {r["experiment"] for r in out.values()} == {"e"}
+    specs = values_table(spark, did.SPEC_SHAPE, [(d, d, ["T1", "T2"], ["C1", "C2"], 20, 10) for d in dates])
+    for r in did.estimate(rows, specs, ["yield_aud", "pax"], p_values=False).collect():
+        got = out[r["outcome"], r["experiment"]]
+        assert got["n_obs"] == r["n_obs"]
+        assert got["att"] == pytest.approx(r["att"], rel=1e-6, abs=1e-6) and got["att_se"] == pytest.approx(r["att_se"], rel=1e-6)
+    assert did_rolling.rolling(days.limit(0), arms, 20, 10).count() == 0
+
+
+def test_rolling_finds_the_event(spark):
+    days = spark.createDataFrame(did_panel(effect=40.0)).groupBy("route", "date").agg(did.day_moments(["yield_aud"]))
+    arms = spark.createDataFrame([("e", ["T1", "T2"], ["C1", "C2"])], "experiment string, treatment_routes array<string>, control_routes array<string>")
+    found = did_rolling.events(did_rolling.rolling(days, arms, 26, 13), least_t=6.0, apart_weeks=20).collect()
+    assert [str(r["treatment_date"]) for r in found] == ["2024-07-01"]
+    quiet = spark.createDataFrame(did_panel(effect=0.0)).groupBy("route", "date").agg(did.day_moments(["yield_aud"]))
+    assert did_rolling.events(did_rolling.rolling(quiet, arms, 26, 13), least_t=6.0).count() == 0
