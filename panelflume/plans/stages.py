@@ -29,9 +29,9 @@ def forecast(panel: DataFrame, trees: int = fv.BOOST_PARAMS["trees"], cv_trees:
     train_rows = scored.filter(F.col("period") == "train")
     forecasts = hybrid.forecast_table(test.unionByName(train_rows, allowMissingColumns=True))
 
-    params = frame.groupBy("route").agg(*[F.first(c).alias(f"hw_{c}") for c in ("alpha", "beta", "gamma")])
+    smoothing_params = frame.groupBy("route").agg(*[F.first(c).alias(f"hw_{c}") for c in ("alpha", "beta", "gamma")])
     adf = unitroot.adf(panel).select("route", "adf_t_stat", "adf_p", "is_stationary")
-    table = (metrics.forecast_metrics(scored).join(hybrid.cv_summary(cv), "route", "left").join(params, "route")
+    table = (metrics.forecast_metrics(scored).join(hybrid.cv_summary(cv), "route", "left").join(smoothing_params, "route")
              .join(adf, "route", "left"))
     components = frame.filter(F.col("period") == "train").withColumnRenamed("actual", "y")
     return {

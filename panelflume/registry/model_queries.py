@@ -5,15 +5,17 @@ stages, from the forecast table on, are those that the full model feeds.
 """
 from __future__ import annotations
 
-from pyspark.sql import functions as F
+from functools import reduce
+
+from pyspark.sql import DataFrame, functions as F
 
 from panelflume import fixed_values as fv
-from panelflume.operators import filters, hybrid, metrics, residual_model
+from panelflume.operators import hybrid, metrics, residual_model
 from panelflume.plans import stages
 from panelflume.registry.allocation_queries import BASE, CAPACITY, CHAIN_BODY, PCT_SQL, SEATS_SQL, lp_sql
-from panelflume.registry.base import BASE_YEAR, DAY, FEATURES, PANEL, demo, enriched, feature_frame, iso, panel, query, rounded
+from panelflume.registry.base import BASE_YEAR, DAY, FEATURES, PANEL, demo, enriched, feature_frame, panel, query, rounded
 from panelflume.registry.forecast_queries import AS_NUMBERS, METRICS_SQL, STUMP_FEATURES, STUMPS, TRAINED, stumps_sql
-from panelflume.sources.files import cut_lineage
+from panelflume.sources.files import cut_lineage, export, read_export, shared_folder
 
 STUMP_PARAMS = {"depth": 1, "subsample": 1.0, "stage_trees": 1}
 
@@ -70,3 +72,49 @@ def _allocation(spark, sf):
     p = cut_lineage(panel(spark, sf))
     results = stages.allocate(_forecasts(spark, sf), p, demo(spark, "daily_flights"), BASE, {"capacity": float(CAPACITY)})["lp_results"]
     return results.drop("revenue_uplift_pct", "bid_price_eco")
+
+
+def _importance_sql() -> str:
+    """Every feature of the stumps shuffled within its route by the hash order of hybrid.permuted; the rise of the squared error row by row."""
+    names = [*STUMP_FEATURES, "lvl"]
+
+    def stump(k: int, swapped: str) -> str:
+        side = " ".join(f"WHEN {i} THEN {'o' if c == swapped else 'a'}.{c}" for i, c in enumerate(names))
+        return f"CASE WHEN CASE b{k}.f {side} END <= b{k}.threshold THEN b{k}.sl / b{k}.nl ELSE (b{k}.ss - b{k}.sl) / (b{k}.nn - b{k}.nl) END"
+
+    trials = " UNION ALL ".join(
+        f"""SELECT a.route, '{c}' AS feature_code, a.repeat, power(a.residual - a.lvl * {residual_model.RATE} * (0.0::DOUBLE + {' + '.join(stump(k, c) for k in range(STUMPS))}), 2)
+          - power(a.residual - a.lvl * {residual_model.RATE} * a.fc, 2) AS rise
+        FROM repeated a JOIN (SELECT *, row_number() OVER (PARTITION BY route, repeat ORDER BY md5(concat_ws('|', route, '{c}', repeat, i))) - 1 AS place
+          FROM repeated) o ON o.route = a.route AND o.repeat = a.repeat AND o.place = a.i, {', '.join(f'b{k}' for k in range(STUMPS))}""" for c in STUMP_FEATURES)
+    return f"""{MODEL}, repeated AS MATERIALIZED (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY route ORDER BY date) - 1 AS i
+        FROM d{STUMPS} WHERE period = 'train'), generate_series(1, {fv.IMPORTANCE_REPEATS}) g(repeat)),
+      trial AS (SELECT route, feature_code, repeat, avg(rise) AS rise FROM ({trials}) GROUP BY 1, 2, 3),
+      importance AS (SELECT route, feature_code, avg(rise) AS importance, stddev_pop(rise) AS importance_std,
+        CAST(row_number() OVER (PARTITION BY route ORDER BY avg(rise) DESC, feature_code) AS INTEGER) AS rank FROM trial GROUP BY 1, 2)"""
+
+
+@query("i09_importance_values", f"WITH RECURSIVE {_importance_sql()} SELECT route, feature_code, round(importance, 3) AS importance, "
+       "round(importance_std, 3) AS importance_std, rank FROM importance")
+def _importance(spark, sf):
+    out = hybrid.importance(_frame(spark, sf), STUMP_FEATURES, STUMPS, params=STUMP_PARAMS)
+    return rounded(out.select("route", "feature_code", "importance", "importance_std", "rank"), {"importance": 3, "importance_std": 3})
+
+
+# What the forecast stage exports, read back from the committed version: rows and a sum of each table.
+@query("a08_forecast_contents", f"""WITH RECURSIVE {_importance_sql()}, m AS ({METRICS_SQL}),
+    back AS (SELECT *, row_number() OVER (PARTITION BY route, period ORDER BY date DESC) AS back FROM ft)
+    SELECT 'model_metrics' AS name, count(*) AS n_rows, round(sum(round_even(hybrid_mape, 4) + round_even(hw_mape, 4)), 4) AS total FROM m
+    UNION ALL SELECT 'forecasts', count(*), CAST(sum(CAST(trunc(hybrid_fc) AS BIGINT)) AS DOUBLE) FROM back WHERE period = 'test' OR back <= 52
+    UNION ALL SELECT 'feature_importance', count(*), round(sum(importance), 2) FROM importance
+    UNION ALL SELECT 'decompositions', count(DISTINCT route), round(sum(actual - hw_fc), 2) FROM back WHERE period = 'train' AND back <= 104""")
+def _contents(spark, sf):
+    tables = stages.forecast(enriched(spark, sf), STUMPS, STUMPS, base_year=BASE_YEAR, names=STUMP_FEATURES, params=STUMP_PARAMS)
+    totals = {"model_metrics": F.round(F.sum(F.col("hybrid_mape") + F.col("hw_mape")), 4), "forecasts": F.sum("hybrid_fc").cast("double"),
+              "feature_importance": F.round(F.sum("importance"), 2),
+              "decompositions": F.round(F.sum(F.aggregate("residual", F.lit(0.0), lambda a, v: a + v)), 2)}
+    folder = shared_folder(spark)
+    export({name: tables[name] for name in totals}, folder)
+    parts = [read_export(spark, folder, name).agg(F.count(F.lit(1)).alias("n_rows"), total.alias("total")).select(F.lit(name).alias("name"), "n_rows", "total")
+             for name, total in totals.items()]
+    return reduce(DataFrame.unionByName, parts)
