@@ -529,3 +529,14 @@ def test_corpus_wide_distinctness_and_coreference(spark):
             if a.strip():
                 assert seen.setdefault(a.strip(), b.strip()) == b.strip() != a.strip()
     assert len(set(seen.values())) == len(seen)
+
+
+def test_vectors_with_clashing_columns(spark):
+    """Nulls in every column, repeated rows, columns named like working ones, an empty table."""
+    rows = [(1, [1.0, 0.0], "a"), (2, [1.0, 0.01], "a"), (2, [1.0, 0.01], "a"), (3, None, "a"), (4, [1.0, 0.0], None), (None, [1.0, 0.0], "a"), (5, [0.0, 0.0], "a")]
+    plain = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label string")
+    extra = plain.withColumns({c: F.lit("x") for c in ("id", "v", "rep", "copies", "cell", "part", "n_links", "kept")})
+    want = sorted(embedding_dedup.link_vectors(plain).collect(), key=str)
+    assert sorted(embedding_dedup.link_vectors(extra).collect(), key=str) == want
+    assert {(r.vec_id, r.n_links, r.component_id) for r in want} == {(1, 2, 1), (2, 2, 1), (3, 0, 3), (4, 0, 4), (None, 0, None), (5, 0, 5)}
+    assert embedding_dedup.link_vectors(plain.limit(0)).count() == 0
