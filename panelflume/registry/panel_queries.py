@@ -312,8 +312,12 @@ def _pull(spark, sf):
     peaks = events.filter("event_type = 'purchase'").select(F.col("ts").cast("timestamp").alias("peak"), "value", _shifted(F.lit(-7200.0)).alias("start"),
                                                             _shifted(F.lit(7200.0)).alias("end"))
     points = events.select("event_id", F.col("ts").cast("timestamp").alias("ts"))
-    away = (F.unix_micros("ts") - F.unix_micros("peak")) / F.lit(2400000000.0)
-    out = intervals.summed(points, peaks, "event_id", "ts", F.col("value") * F.exp(F.lit(-0.5) * away * away), "pull")
+
+    def effect(at):
+        away = (F.unix_micros(at) - F.unix_micros("peak")) / F.lit(2400000000.0)
+        return F.col("value") * F.exp(F.lit(-0.5) * away * away)
+
+    out = intervals.summed(points, peaks, "event_id", "ts", effect, "pull", nodes=12)
     return out.select("event_id", F.round("pull", 5).alias("pull"))
 
 

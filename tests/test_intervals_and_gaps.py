@@ -39,6 +39,58 @@ def test_no_intervals(spark):
     assert intervals.interpolated(points, none, "id", "at", "level").first()["level"] == 1.0
 
 
+def pull(at):
+    away = (F.unix_micros(at) - F.unix_micros("start")) / (F.unix_micros("end") - F.unix_micros("start")) - 0.4
+    return F.col("v") * F.exp(F.lit(-8.0) * away * away)
+
+
+@pytest.mark.parametrize("keys", [(), ("k",)])
+def test_smooth_sums_and_flags_equal_those_of_all_pairs(spark, keys):
+    rng = random.Random(5)
+    spans = random_spans(rng, 150)
+    tiny = spans[:20].assign(end=spans.start[:20] + pd.Timedelta(microseconds=900))
+    even = pd.DataFrame([(0, pd.Timestamp("2001-01-01"), pd.Timestamp("2001-01-01") + pd.Timedelta(microseconds=2 ** 34), "a")], columns=spans.columns)
+    spans = pd.concat([spans, spans[:9], tiny, even])
+    spans["v"] = [[1.5, -2.0, None, 1e9, float("nan"), float("inf")][rng.choice([0, 0, 1, 1, 0, 1, 2, 3]) if i % 60 else 4 + i // 60 % 2] for i in range(len(spans))]
+    times = [pd.Timestamp("1990-01-01") + pd.Timedelta(seconds=rng.uniform(0, 1.2e9)) for _ in range(500)] + [*spans.start, *spans.end, *(spans.end - pd.Timedelta(microseconds=1))]
+    points = spark.createDataFrame([(i // 2 if i % 7 else None, t.to_pydatetime() if i % 50 else None, rng.choice(["a", "b", "b", None])) for i, t in enumerate(times)],
+                                   "id long, at timestamp, k string")
+    right = [(s.start.to_pydatetime(), s.end.to_pydatetime(), s.k if i % 9 else None, None if pd.isna(v) and i % 60 else float(v))
+             for i, (s, v) in enumerate(zip(spans.itertuples(), spans["v"]))]
+    right = spark.createDataFrame(right, "start timestamp, end timestamp, k string, v double")
+    right = right if keys else right.drop("k")
+
+    def rows(df, name):
+        return sorted(((r["id"], r["at"], r["k"], r[name]) for r in df.collect()), key=str)
+
+    pairs = rows(intervals.summed(points, right, "id", "at", pull, "pull", keys=keys), "pull")
+    sums = rows(intervals.summed(points, right, "id", "at", pull, "pull", nodes=24, keys=keys), "pull")
+    assert {str(abs(p[3])) for p in pairs} >= {"0.0", "nan", "inf"} and [p[:3] for p in pairs] == [p[:3] for p in sums]
+    np.testing.assert_allclose([p[3] for p in sums], [p[3] for p in pairs], rtol=1e-9, atol=1e-9)
+    hit = intervals.matched(points, right, "at", keys=keys).select("id").distinct().toPandas().id
+    flags = rows(intervals.flagged(points, right, "id", "at", "hit", keys=keys), "hit")
+    assert [p[3] for p in flags] == [int(p[0] in set(hit)) for p in flags] and {p[3] for p in flags} == {0, 1}
+
+
+@pytest.mark.parametrize("smooth", [True, False])
+def test_overlapping_intervals_make_no_pairs(spark, smooth):
+    """20,000 points in 20,000 intervals each, 400 million pairs: no operator hands on more than a few rows of each."""
+    at = F.timestamp_micros(F.lit(1_700_000_000_000_000) + F.col("id") * 50_000)
+    points = spark.range(20_000).select("id", at.alias("at"))
+    spans = spark.range(20_000).select(F.timestamp_seconds(F.lit(1_699_990_000) + F.col("id") / 1000).alias("start"),
+                                       F.timestamp_seconds(F.lit(1_700_010_000) + F.col("id") / 1000).alias("end"), F.lit(1.0).alias("v"))
+    if smooth:
+        out = intervals.summed(points, spans, "id", "at", pull, "found", nodes=16)
+    else:
+        out = intervals.flagged(points, spans, "id", "at", "found")
+    assert " Join Inner" not in out._jdf.queryExecution().optimizedPlan().toString()
+    assert out.where("found > 0").count() == 20_000
+    if smooth:
+        some = {r["id"]: r["found"] for r in out.where("id % 4000 = 7").collect()}
+        pairs = intervals.summed(points.where("id % 4000 = 7"), spans, "id", "at", pull, "found")
+        assert some and all(abs(some[r["id"]] / r["found"] - 1) < 1e-11 for r in pairs.collect())
+
+
 def by_hand(values, policy, limit, season):
     out = []
     for i, v in enumerate(values):
