@@ -8,7 +8,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from panelflume.llm.common import bloom, bloom_hit, discard, opened, saved, sealed
-from panelflume.llm.components import components
+from panelflume.llm.components import stars
 
 SHINGLE = 5
 PERCENT = 75
@@ -52,7 +52,7 @@ class Hasher:
 
     def _grow(self, n: int) -> None:
         if len(self.powers) < n:
-            size = max(n, CHUNK_BYTES * 2)
+            size = 1 << n.bit_length()
             self.powers = np.full(size, self.BASE, dtype=np.uint64)
             self.inverse = np.full(size, pow(self.BASE, -1, 2 ** 64), dtype=np.uint64)
             self.powers[0] = self.inverse[0] = 1
@@ -167,7 +167,7 @@ def _alike(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 def sketch_pairs(pairs: DataFrame, reps: DataFrame) -> DataFrame:
     """The pairs (a, b) whose sketches don't rule out a link."""
     sketches = reps.select("rep", "sketch")
-    both = saved(pairs).join(sketches.toDF("b", "sb"), "b").join(sketches.toDF("a", "sa"), "a")
+    both = pairs.join(sketches.toDF("b", "sb"), "b").join(sketches.toDF("a", "sa"), "a")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -230,25 +230,25 @@ def alike_members(members: DataFrame, small: int) -> DataFrame:
 
 
 def texts_of(ids: DataFrame, docs: DataFrame) -> DataFrame:
-    """docs (id, text) of distinct ids, one row each. docs is read again; a Bloom filter of fixed size keeps other texts out of the shuffle.
+    """docs (id, text) of ids, which may repeat, one row each. docs is read again; a Bloom filter of fixed size keeps other texts out of the shuffle.
     Copies of one id meet in salted groups first."""
     slot = F.pmod(F.xxhash64("id"), F.lit(FILTER_SLOTS))
-    near = bloom_hit(docs, slot, saved(bloom(ids.select(slot.alias("slot_")), "slot_")), "hit_").where("hit_").select(
+    near = bloom_hit(docs, slot, bloom(ids.select(slot.alias("slot_")), "slot_"), "hit_").where("hit_").select(
         "id", "text", (F.monotonically_increasing_id() % 64).alias("salt_"))
-    return near.dropDuplicates(["id", "salt_"]).select("id", "text").join(ids, "id").dropDuplicates(["id"])
+    return near.dropDuplicates(["id", "salt_"]).select("id", "text").join(ids.distinct(), "id").dropDuplicates(["id"])
 
 
 def sets_of(ids: DataFrame, docs: DataFrame) -> DataFrame:
-    """The full sets (id, set), written, of distinct ids."""
+    """The full sets (id, set), written, of ids, which may repeat."""
     return saved(full_sets(texts_of(ids, docs)))
 
 
 def confirmed(pairs: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a written table) that link, by their full sets."""
-    sets = sets_of(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct(), docs)
+    """The pairs (a written table) that link, by their full sets, as a table of stars."""
+    sets = sets_of(pairs.select(F.explode(F.array("a", "b")).alias("id")), docs)
     met = pairs.join(sets.toDF("b", "sb"), "b").join(sets.toDF("a", "sa"), "a").select("a", "b", F.size("sa").alias("na"), F.size("sb").alias("nb"),
                                                       F.size(F.array_intersect("sa", "sb")).alias("shared"))
-    out = saved(met.where((F.col("shared") * 100).cast("long") >= (F.col("na") + F.col("nb") - F.col("shared")).cast("long") * percent).select("a", "b"))
+    out = stars(met.where((F.col("shared") * 100).cast("long") >= (F.col("na") + F.col("nb") - F.col("shared")).cast("long") * percent).select("a", "b"))
     discard(sets)
     return out
 
@@ -300,7 +300,7 @@ def compared(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 
 def _nodes(members: DataFrame) -> DataFrame:
-    """members (tree, node, rep) of nodes with two or more, with low, the node's smallest rep.
+    """members (tree, node, rep, n) of nodes with two or more, with low, the node's smallest rep.
 
     Both sides of the join are written tables, so adaptive execution can split a node that holds many members.
     """
@@ -334,14 +334,12 @@ def children(members: DataFrame, tokens: DataFrame, depth: int) -> DataFrame:
 
 
 def deeper_links(nodes: DataFrame, found: DataFrame, reps: DataFrame, docs: DataFrame, percent: int, small: int) -> DataFrame:
-    """Links found in the trees below nodes (tree, node, rep), given the components found so far.
+    """Links found in the trees below nodes (tree, node, rep, n), given stars (a, b) of the components found so far.
 
     A node whose members are all in one component ends. One with at most `small` members outside its largest component is compared whole.
     Others branch; what is still larger at DEPTH is compared whole too, in blocks.
     """
-    sizes = reps.select("rep", "n")
-    known = saved(nodes.select("tree", "node", "rep").join(sizes, "rep").join(found.withColumnRenamed("id", "rep"), "rep", "left").select(
-        "tree", "node", "rep", F.coalesce("component_id", "rep").alias("component"), "n"))
+    known = saved(nodes.join(found.toDF("rep", "root"), "rep", "left").select("tree", "node", "rep", F.coalesce("root", "rep").alias("component"), "n"))
     ends, tokens, levels = None, None, []
     for depth in range(DEPTH + 1):
         still = mixed_members(known)
@@ -354,12 +352,12 @@ def deeper_links(nodes: DataFrame, found: DataFrame, reps: DataFrame, docs: Data
         if many.isEmpty():
             break
         if tokens is None:
-            tokens = saved(branch_tokens(texts_of(saved(many.select(F.col("rep").alias("id")).distinct()), docs)))
+            tokens = saved(branch_tokens(texts_of(many.select(F.col("rep").alias("id")), docs)))
         known = saved(children(many, tokens, depth))
     near = saved(alike_members(ends.join(reps.select("rep", "sketch"), "rep"), small))
     discard(*levels)
-    sets = sets_of(saved(near.select(F.col("rep").alias("id")).distinct()), docs)
-    links = saved(compared(near, sets, percent).distinct())
+    sets = sets_of(near.select(F.col("rep").alias("id")), docs)
+    links = saved(compared(near, sets, percent))
     discard(near, sets)
     return links
 
@@ -393,18 +391,17 @@ def link_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     classes = saved(sig.where("n > 0 and id is not null").groupBy(*print_).agg(
         F.min("id").alias("rep"), F.first("path").alias("path"), F.first("sketch").alias("sketch")))
     reps = classes.select("rep", "n", "path", "sketch")
-    starts = reps.select("rep", F.posexplode(F.slice("path", 1, trees)).alias("tree", "token"))
-    nodes = _nodes(starts.select("tree", F.xxhash64("tree", "token").alias("node"), "rep"))
-    stars = nodes.where("rep <> low").select(F.col("rep").alias("a"), F.col("low").alias("b")).distinct()
-    pairs = saved(sketch_pairs(stars, reps))
-    found = components(confirmed(pairs, rows, percent))
+    starts = reps.select("rep", "n", F.posexplode(F.slice("path", 1, trees)).alias("tree", "token"))
+    nodes = _nodes(starts.select("tree", F.xxhash64("tree", "token").alias("node"), "rep", "n"))
+    hubs = nodes.where("rep <> low").select(F.col("rep").alias("a"), F.col("low").alias("b")).distinct()
+    pairs = saved(sketch_pairs(hubs, reps))
+    found = confirmed(pairs, rows, percent)
     links = deeper_links(nodes, found, reps, rows, percent, small)
     discard(nodes, pairs)
     if not links.isEmpty():
-        found = components(found.select(F.col("id").alias("a"), F.col("component_id").alias("b")).unionByName(links))
+        found = stars(found.unionByName(links))
 
-    whole = saved(classes.select(*print_, "rep").join(found.withColumnRenamed("id", "rep"), "rep", "left").select(
-        *print_, F.coalesce("component_id", "rep").alias("component")))
+    whole = saved(classes.select(*print_, "rep").join(found.toDF("rep", "root"), "rep", "left").select(*print_, F.coalesce("root", "rep").alias("component")))
     some = sig.where("n > 0 and id is not null").select("id", *print_).join(whole, print_).select("id", "n", "component")
     discard(classes)
     none = sig.where("n = 0 or id is null").select("id", "n", F.col("id").alias("component"))

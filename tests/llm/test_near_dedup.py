@@ -149,3 +149,13 @@ def test_what_is_compared_grows_in_proportion(spark, monkeypatch):
         pages = [(i, template + " " + prose(rng, 40), "en", "s", 1) for i in range(n)]    # about 0.55 alike, none link
         assert {c for _, _, c in got(near_dedup.link_documents(docs_frame(spark, pages)))} == set(range(n))
     assert handed[1] <= 3 * max(handed[0], 200 * 10)
+
+
+def test_a_round_of_stars_writes_four_tables(spark, monkeypatch):
+    """Small tables cost a fixed time each, which held up a run over many partitions."""
+    import panelflume.llm.components as module
+    plain, written = module.saved, []
+    monkeypatch.setattr(module, "saved", lambda df: written.append(1) or plain(df))
+    links = spark.createDataFrame([(5, 9), (9, 5), (9, 7), (7, 7), (None, 3), (2, None), (20, 30), (20, 30), (20, 40)], "a long, b long")
+    assert sorted(map(tuple, components(links).collect())) == [(5, 5), (7, 5), (9, 5), (20, 20), (30, 20), (40, 20)]
+    assert len(written) <= 1 + 4 + 1
