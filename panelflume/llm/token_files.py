@@ -21,6 +21,8 @@ SHARD_IDS = 1 << 20
 MIN_COUNT = 6
 ROUND_RULES = 8192
 ROUND_SHARE = 1024
+TABLE_BITS = 18
+TABLE_FACTOR = 0x9E3779B97F4A7C15
 CACHE_WORDS = 1 << 19
 ROW_PIECES = 64
 SLICE_BYTES = 1 << 22
@@ -188,6 +190,31 @@ def _chosen(codes: np.ndarray, counts: np.ndarray, wide: int, room: int) -> list
     return out
 
 
+def _matches(codes: np.ndarray, inside: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where codes inside documents are wanted ones, in order, and which: a hashed table finds them, and the few that lost their slot to
+    another are searched for among what the table leaves over."""
+    bits, kind = 8 * codes.itemsize, codes.dtype.type
+    factor, shift = kind(TABLE_FACTOR >> (64 - bits) | 1), kind(bits - TABLE_BITS)
+
+    def slots(c):
+        return (c * factor) >> shift
+
+    table = np.zeros(1 << TABLE_BITS, dtype=np.uint16)
+    own = slots(wanted)
+    table[own[::-1]] = np.arange(len(wanted), 0, -1)
+    at = np.flatnonzero((rank := table[slots(codes)]).astype(bool) & inside)
+    rank = rank[at].astype(np.int64) - 1
+    hit = wanted[rank] == codes[at]
+    lost = np.flatnonzero(table[own] != np.arange(1, len(wanted) + 1))
+    if len(lost):
+        lost = lost[np.argsort(wanted[lost])]
+        left = np.flatnonzero(~hit)
+        found = lost[np.minimum(np.searchsorted(wanted[lost], codes[at[left]]), len(lost) - 1)]
+        rank[left] = found
+        hit[left] = wanted[found] == codes[at[left]]
+    return at[hit], rank[hit]
+
+
 def compress(ids: np.ndarray, sizes: np.ndarray, base: int) -> bytes:
     """A shard: documents of `sizes` ids, all below base, as a grammar of pairs.
 
@@ -212,13 +239,7 @@ def compress(ids: np.ndarray, sizes: np.ndarray, base: int) -> bytes:
         if not pairs:
             break
         wanted = np.array([a * wide + b for a, b in pairs], dtype=code_kind)
-        order = np.argsort(wanted)
-        may_left, may_right = np.zeros(base + len(left), dtype=bool), np.zeros(base + len(left), dtype=bool)
-        may_left[[a for a, _ in pairs]] = may_right[[b for _, b in pairs]] = True
-        at = np.flatnonzero(may_left[symbols[:-1]] & may_right[symbols[1:]] & inside)
-        rank = np.minimum(np.searchsorted(wanted[order], codes[at]), len(pairs) - 1)
-        hit = wanted[order][rank] == codes[at]
-        at, rank = at[hit], order[rank[hit]]
+        at, rank = _matches(codes, inside, wanted)
         run = np.flatnonzero(np.concatenate(([True], np.diff(at) != 1)))  # overlaps: every second of a run
         keep = (np.arange(len(at)) - np.repeat(run, np.diff(np.append(run, len(at))))) % 2 == 0
         at, rank = at[keep], rank[keep]

@@ -90,3 +90,18 @@ def test_long_documents_span_shards(spark, tokenizer, monkeypatch):
     assert shards.agg({"n_ids": "max"}).first()[0] == 1000 and shards.count() > 10
     expected = plain(tokenizer, [(r[0], r[1]) for r in docs.collect()])
     assert sorted(map(tuple, token_files.read_back(shards).collect()), key=str) == expected
+
+
+@pytest.mark.parametrize("kind", [np.uint32, np.uint64])
+def test_wanted_pairs_are_all_found(kind):
+    """More wanted codes than a small table has room for, so that many lose their slot; the rest by a plain search."""
+    rng = np.random.default_rng(4)
+    wanted = rng.permutation(np.unique(rng.integers(0, 1 << 20, 8000)))[:7000].astype(kind)
+    codes, inside = rng.integers(0, 1 << 20, 50_000).astype(kind), rng.random(50_000) < .9
+    codes[:7000] = wanted
+    place = {int(w): i for i, w in enumerate(wanted)}
+    expected = [(i, place[int(c)]) for i, c in enumerate(codes) if inside[i] and int(c) in place]
+    at, rank = token_files._matches(codes, inside, wanted)
+    assert list(zip(at.tolist(), rank.tolist())) == expected and len(expected) > 6000
+    at, rank = token_files._matches(codes[:0], inside[:0], wanted)
+    assert len(at) == len(rank) == 0
