@@ -5,6 +5,7 @@ import re
 import struct
 import zlib
 from collections.abc import Iterator
+from itertools import chain, repeat
 
 import numpy as np
 import public_tokenizers
@@ -72,10 +73,9 @@ class WordEncoder:
             coded = [c.ids for c in self.tokenizer.encode_batch_fast(new, add_special_tokens=False)]
             self._learn(self.heads, new, np.array([i for c in coded for i in c], dtype=np.uint32), [len(c) for c in coded])
 
-    def _learn_tails(self, pieces: set[str]) -> None:
-        """Pieces that follow a space. Those without another space are encoded in rows: a token that begins with a space begins a
+    def _learn_tails(self, new: list[str]) -> None:
+        """New pieces that follow a space, each once. Those without another space are encoded in rows: a token that begins with a space begins a
         piece, and no other does."""
-        new = list(pieces.difference(self.tails))
         odd = [p for p in new if not p or " " in p]
         if odd:
             coded = [c.ids for c in self.tokenizer.encode_batch_fast([" " + p for p in odd], add_special_tokens=False)]
@@ -83,7 +83,7 @@ class WordEncoder:
             new = [p for p in new if p and " " not in p]
         if new:
             rows = [" " + " ".join(new[k:k + ROW_PIECES]) for k in range(0, len(new), ROW_PIECES)]
-            flat = np.array([i for c in self.tokenizer.encode_batch_fast(rows, add_special_tokens=False) for i in c.ids], dtype=np.uint32)
+            flat = np.fromiter(chain.from_iterable(c.ids for c in self.tokenizer.encode_batch_fast(rows, add_special_tokens=False)), dtype=np.uint32)
             begins = np.flatnonzero(self.spaced[flat])
             self._learn(self.tails, new, flat, np.diff(np.append(begins, len(flat))))
 
@@ -123,14 +123,18 @@ class WordEncoder:
         tails = words.filter(pa.array(is_tail)).dictionary_encode()
         kinds = strings(tails.dictionary)
         self._learn_heads({*heads, ""})
-        self._learn_tails(set(kinds))
+        known = np.fromiter(map(self.tails.get, kinds, repeat(-1)), dtype=np.int64, count=len(kinds))
+        unknown = np.flatnonzero(known < 0)
+        if len(unknown):
+            new = [kinds[i] for i in unknown.tolist()]
+            self._learn_tails(new)
+            known[unknown] = np.fromiter(map(self.tails.__getitem__, new), dtype=np.int64, count=len(new))
         # each text: its pieces, and an empty one in whose place END goes
         at = np.cumsum(counts + 1) - (counts + 1)
         which = np.full(len(words) + len(heads), self.heads[""], dtype=np.int64)
         which[at] = [self.heads[h] for h in heads]
         inner = np.ones(len(which), dtype=bool)
         inner[at] = inner[at + counts] = False
-        known = np.array([self.tails[k] for k in kinds], dtype=np.int64)
         self.met[known] += 1
         which[inner] = known[tails.indices.to_numpy()]
         lengths = np.diff(self.starts)[which]
