@@ -23,6 +23,7 @@ FILTER_SLOTS = 1 << 24
 CHUNK_BYTES = 1 << 18
 SLICE_ROWS = 256
 SEED = 20240229
+SPACES = np.isin(np.arange(256), [9, 10, 11, 12, 13, 32])
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -40,8 +41,6 @@ class Hasher:
     def __init__(self):
         self.lower = np.arange(256, dtype=np.uint8)
         self.lower[65:91] += 32
-        self.space = np.zeros(256, dtype=bool)
-        self.space[[9, 10, 11, 12, 13, 32]] = True
         rng = np.random.default_rng(SEED)
         self.places = rng.integers(0, 2 ** 63, SHINGLE, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
         self.xors = rng.integers(0, 2 ** 32, TREES + SKETCH, dtype=np.uint32)
@@ -63,7 +62,7 @@ class Hasher:
         """The sorted distinct shingle hashes of each text. Fewer than SHINGLE words make one shingle, none make an empty set."""
         buf = np.frombuffer(b" ".join(texts) + b" ", dtype=np.uint8)
         self._grow(len(buf))
-        gap = self.space[buf]
+        gap = SPACES[buf]
         starts = np.flatnonzero(~gap & np.concatenate(([True], gap[:-1])))
         ends = np.flatnonzero(gap & np.concatenate(([False], ~gap[:-1])))
         sums = np.concatenate((np.zeros(1, dtype=np.uint64), np.cumsum((self.lower[buf].astype(np.uint64) + np.uint64(1)) * self.powers[:len(buf)], dtype=np.uint64)))
@@ -182,6 +181,14 @@ def _arrays(rows: list[dict], *columns: str) -> list[np.ndarray]:
     return [np.array([r[c] for r in rows], dtype=np.int64) for c in columns]
 
 
+def by_rep(members: DataFrame, values: DataFrame) -> DataFrame:
+    """members joined with values by rep, however many nodes or groups a rep is in: all its rows are one row of the join."""
+    names = [c for c in members.columns if c != "rep"]
+    places = members.groupBy("rep").agg(F.collect_list(F.struct(*names)).alias("places"))
+    met = places.join(values, "rep").withColumn("place", F.explode("places"))
+    return met.select("rep", "place.*", *[c for c in values.columns if c != "rep"])
+
+
 def alike_members(members: DataFrame, small: int) -> DataFrame:
     """group_, rep, component, probe: members of nodes with a sketch near that of a member of another component.
 
@@ -196,15 +203,17 @@ def alike_members(members: DataFrame, small: int) -> DataFrame:
     def own(blocks):
         return F.pmod(F.xxhash64("rep"), blocks).cast("int")
 
-    def each(blocks):
-        return F.explode(F.sequence(F.lit(0), blocks - 1))
+    def each(blocks, place):
+        return F.transform(F.sequence(F.lit(0), blocks - 1), place)
+
+    def place(block, probes_of, probe):
+        return F.struct(block.alias("block"), probes_of.alias("probes_of"), F.lit(probe).alias("probe"))
 
     blocks, probe_blocks = parts(F.col("weight")), parts(F.col("weight") - F.col("main_weight"))
-    row = F.struct("rep", "component", "sketch").alias("row")
-    base = members.select("node", own(blocks).alias("block"), each(probe_blocks).alias("probes_of"), F.lit(False).alias("probe"), row)
-    probes = members.where("component <> main").select("node", each(blocks).alias("block"), own(probe_blocks).alias("probes_of"),
-                                                       F.lit(True).alias("probe"), row)
-    groups = base.unionByName(probes).groupBy("node", "block", "probes_of").agg(
+    base = each(probe_blocks, lambda k: place(own(blocks), k, False))
+    probes = each(F.when(F.col("component") != F.col("main"), blocks), lambda k: place(k, own(probe_blocks), True))
+    dealt = members.select("node", F.struct("rep", "component", "sketch").alias("row"), F.explode(F.concat(base, F.coalesce(probes, F.array()))).alias("at"))
+    groups = dealt.select("node", "at.*", "row").groupBy("node", "block", "probes_of").agg(
         F.collect_list(F.when(F.col("probe"), F.col("row"))).alias("probes"), F.collect_list(F.when(~F.col("probe"), F.col("row"))).alias("rows"))
     groups = groups.select(F.xxhash64("node", "block", "probes_of").alias("group_"), "probes", "rows")
 
@@ -282,18 +291,20 @@ def linked_forest(probes: list[tuple], rows: list[tuple], percent: int) -> list[
 
 
 def compared(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Links (a, b) between the probes and the other members of each group, by full sets: a forest of each group's components."""
-    row = F.struct("rep", "component", "probe", "set")
-    groups = members.join(sets.withColumnRenamed("id", "rep"), "rep").groupBy("group_").agg(F.collect_list(row).alias("rows")).select("rows")
+    """Links (a, b) between the probes and the other members of each group, by full sets: a forest of each group's components.
+    A rep that is both in its group comes with its set once."""
+    once = members.repartition("rep").groupBy("rep", "group_", "component").agg(F.bool_or("probe").alias("probe"), F.bool_or(~F.col("probe")).alias("base"))
+    met = by_rep(once, sets.withColumnRenamed("id", "rep"))
+    groups = met.groupBy("group_").agg(F.collect_list(F.struct("rep", "component", "probe", "base", "set")).alias("rows")).select("rows")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(batch.num_rows):
                 rows = batch.column(0)[i].values
-                reps, comps, probe = (rows.field(k).to_numpy(zero_copy_only=False) for k in range(3))
-                sets, offsets = rows.field(3).values.to_numpy(), rows.field(3).offsets.to_numpy()
+                reps, comps, probe, base = (rows.field(k).to_numpy(zero_copy_only=False) for k in range(4))
+                sets, offsets = rows.field(4).values.to_numpy(), rows.field(4).offsets.to_numpy()
                 all_ = [(int(r), int(c), sets[a:b]) for r, c, a, b in zip(reps, comps, offsets[:-1], offsets[1:])]
-                links = linked_forest([x for x, p in zip(all_, probe) if p], [x for x, p in zip(all_, probe) if not p], percent) if not probe.all() else []
+                links = linked_forest([x for x, p in zip(all_, probe) if p], [x for x, p in zip(all_, base) if p], percent) if base.any() else []
                 yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in links], pa.int64()) for k in range(2)], names=["a", "b"])
 
     return groups.mapInArrow(run, "a long, b long")
@@ -327,10 +338,13 @@ def mixed_members(known: DataFrame) -> DataFrame:
 def children(members: DataFrame, tokens: DataFrame, depth: int) -> DataFrame:
     """The members in the nodes below theirs: one, or two, chosen by minwise tokens of this tree and depth."""
     most = max(BRANCHES)
-    branches = F.explode(F.sequence(F.lit(0), F.lit(BRANCHES[depth % len(BRANCHES)] - 1)))
-    token = F.col("tokens")[(F.col("tree") * DEPTH + depth) * most + F.col("branch")]
-    met = members.select("tree", "node", "rep", "component", "n", branches.alias("branch")).join(tokens.withColumnRenamed("id", "rep"), "rep")
-    return met.select("tree", F.xxhash64("node", "branch", token).alias("node"), "rep", "component", "n")
+    met = by_rep(members.select("tree", "node", "rep", "component", "n"), tokens.withColumnRenamed("id", "rep"))
+
+    def below(branch):
+        return F.xxhash64("node", branch, F.col("tokens")[(F.col("tree") * DEPTH + depth) * most + branch])
+
+    nodes = F.array(*[below(F.lit(k)) for k in range(BRANCHES[depth % len(BRANCHES)])])
+    return met.select("tree", F.explode(nodes).alias("node"), "rep", "component", "n")
 
 
 def deeper_links(nodes: DataFrame, found: DataFrame, reps: DataFrame, docs: DataFrame, percent: int, small: int) -> DataFrame:
@@ -354,7 +368,7 @@ def deeper_links(nodes: DataFrame, found: DataFrame, reps: DataFrame, docs: Data
         if tokens is None:
             tokens = saved(branch_tokens(texts_of(many.select(F.col("rep").alias("id")), docs)))
         known = saved(children(many, tokens, depth))
-    near = saved(alike_members(ends.join(reps.select("rep", "sketch"), "rep"), small))
+    near = saved(alike_members(by_rep(ends, reps.select("rep", "sketch")), small))
     discard(*levels)
     sets = sets_of(near.select(F.col("rep").alias("id")), docs)
     links = saved(compared(near, sets, percent))

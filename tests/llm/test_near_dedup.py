@@ -159,3 +159,30 @@ def test_a_round_of_stars_writes_four_tables(spark, monkeypatch):
     links = spark.createDataFrame([(5, 9), (9, 5), (9, 7), (7, 7), (None, 3), (2, None), (20, 30), (20, 30), (20, 40)], "a long, b long")
     assert sorted(map(tuple, components(links).collect())) == [(5, 5), (7, 5), (9, 5), (20, 20), (30, 20), (40, 20)]
     assert len(written) <= 1 + 4 + 1
+
+
+def join_rows(df):
+    """Runs df and returns the number of rows that its joins made."""
+    def walk(p):
+        name, kids = p.nodeName(), p.children()
+        inner = [p.executedPlan()] if "Adaptive" in name else [p.plan()] if "QueryStage" in name else [kids.apply(i) for i in range(kids.size())]
+        return (p.metrics().apply("numOutputRows").value() if "Join" in name else 0) + sum(map(walk, inner))
+
+    rows = df.collect()
+    return rows, walk(df._jdf.queryExecution().executedPlan())
+
+
+def test_joins_by_document_make_a_row_for_each_document(spark):
+    """However many nodes and groups a document is in."""
+    rows = [(node % 10, node, rep, rep, 9) for node in range(20) for rep in range(30)]
+    members = spark.createDataFrame(rows, "tree int, node long, rep long, component long, n long")
+    size = near_dedup.TREES * near_dedup.DEPTH * max(near_dedup.BRANCHES)
+    tokens = spark.createDataFrame([(rep, [rep % 3] * size) for rep in range(30)], "id long, tokens array<int>")
+    out, made = join_rows(near_dedup.children(members, tokens, 0))
+    assert made == 30 and len(out) == 20 * 30 * near_dedup.BRANCHES[0]
+    assert len({r.node for r in out}) == 20 * 3 * near_dedup.BRANCHES[0]
+    groups = [(g, rep, rep, probe) for g in range(20) for rep in range(30) for probe in (False, True)]
+    members = spark.createDataFrame(groups, "group_ long, rep long, component long, probe boolean")
+    sets = spark.createDataFrame([(rep, list(range(rep % 3 * 50, rep % 3 * 50 + 40))) for rep in range(30)], "id long, set array<long>")
+    links, made = join_rows(near_dedup.compared(members, sets, 75))
+    assert made == 30 and len(links) == 20 * 27 and all(a % 3 == b % 3 for a, b in links)
