@@ -112,6 +112,18 @@ def _chunks(column: pa.Array) -> Iterator[tuple[int, list[bytes]]]:
     pa.default_memory_pool().release_unused()
 
 
+def count_words(column: pa.Array) -> pa.Array:
+    """The number of words of each text of a column; nulls have none."""
+    table, out = SPACES.tobytes(), []
+    for _, texts in _chunks(column):
+        gap = np.frombuffer((b" " + b" ".join(texts)).translate(table), dtype=bool)
+        starts, at = gap[:-1] > gap[1:], 0
+        for t in texts:
+            out.append(np.count_nonzero(starts[at:at + len(t)]))
+            at += len(t) + 1
+    return pa.array(out, pa.int64())
+
+
 def signatures(docs: DataFrame) -> DataFrame:
     """docs (id, text) -> id, n (set size), f1, f2 (fingerprint of the set), path and sketch (minwise values; null if empty)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

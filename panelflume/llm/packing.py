@@ -4,10 +4,12 @@ from __future__ import annotations
 from bisect import bisect_left, insort
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql.types import LongType
 
-from panelflume.llm.common import attach, saved, sealed, words
-from panelflume.llm.near_dedup import link_documents
+from panelflume.llm.common import attach, saved, sealed
+from panelflume.llm.near_dedup import count_words, link_documents
 
 CAPACITY = 2048
 SHARD_ROWS = 2048
@@ -73,6 +75,11 @@ def pack_shard(pdf: pd.DataFrame, capacity: int) -> pd.DataFrame:
     return out
 
 
+@F.arrow_udf(LongType())
+def words(text: pa.Array) -> pa.Array:
+    return count_words(text)
+
+
 def near_clusters(docs: DataFrame, text: str = "text") -> DataFrame:
     """body_, near_: for the hash of each text the component of near copies it is in, whatever the ids of its rows."""
     body = F.coalesce(F.col(text), F.lit(""))

@@ -76,6 +76,15 @@ def test_near_copies_and_null_ids_are_packed_apart(spark):
         assert sum(shards.values()) == 200 and len(shards) > 10 and max(shards.values()) < 40
 
 
+def test_words_are_counted_without_lists_of_them(spark):
+    rng = random.Random(8)
+    texts = ["".join(rng.choice(" \t\n\x0b\x0c\rab \u00e9\x1c\u2003\x85") for _ in range(rng.randint(0, 30))) for _ in range(600)] + [None, "", " ", "x"]
+    out = packing.pack(docs_frame(spark, [(i, t, "en", "s", 0) for i, t in enumerate(texts)]))
+    assert "regexp" not in out._jdf.queryExecution().toString()
+    sizes = {r.doc_id: r.n_words for r in out.collect()}
+    assert sizes == {i: len(re.findall(r"[^\x20\x09-\x0D]+", t or "")) for i, t in enumerate(texts)}
+
+
 # --- mixing
 
 def test_mix_reaches_targets(spark):
